@@ -28,7 +28,7 @@ def exact_ratio(numerator: Column, denominator: Column, digits: int = 2) -> Colu
     """
     num = numerator.cast(WHOLE)
     den = F.nullif(denominator.cast(WHOLE), F.lit(0).cast(WHOLE))
-    doubled = F.abs(num) * F.lit(2 * 10**digits).cast("decimal(10,0)") + F.abs(den)
+    doubled = F.abs(num) * F.lit(2 * 10**digits).cast("decimal(20,0)") + F.abs(den)
     steps = F.call_function("div", doubled.cast(WHOLE), (F.abs(den) * 2).cast(WHOLE))
     sign = F.when((num < 0) != (den < 0), -1).otherwise(1)
     return ((steps * sign).cast("decimal(20,0)") / F.lit(10**digits)).cast(f"decimal({18 + digits},{digits})")

@@ -65,7 +65,7 @@ def sales_dashboard(model: SalesModel) -> DataFrame:
 
 
 def _two_decimals(name: str) -> Column:
-    return F.round(F.col(name).cast("decimal(24,9)"), 2).cast("decimal(20,2)").alias(name)
+    return F.round(F.col(name).cast("decimal(26,12)"), 2).cast("decimal(20,2)").alias(name)
 
 
 def operations_dashboard(facts: DataFrame) -> DataFrame:
