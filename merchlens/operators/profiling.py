@@ -19,8 +19,6 @@ from merchlens.sources.schemas import KEYS
 DATE_COLUMN_PATTERN = r"(date|timestamp|_at)$"
 CODE_COLUMN_PATTERN = r"zip_code_prefix$"
 
-OVERALL = Window.partitionBy()
-
 
 def _number_text(value: Column) -> Column:
     whole = value == F.floor(value)
@@ -149,7 +147,7 @@ def status_distribution(orders: DataFrame) -> DataFrame:
     """Orders per status with their share; a missing status is a group of its own."""
     grouped = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"))
     return grouped.select(
-        "order_status", "orders", percent(F.col("orders"), F.sum("orders").over(OVERALL)).alias("pct")
+        "order_status", "orders", percent(F.col("orders"), F.sum("orders").over(Window.partitionBy())).alias("pct")
     ).orderBy(F.desc("orders"), "order_status")
 
 

@@ -14,8 +14,6 @@ from merchlens.functions.numbers import cents, count_when, exact_ratio, mean_mon
 from merchlens.plans.model import CATEGORY, SalesModel, named_states, order_facts, placed_orders
 from merchlens.plans.regional import SMALL_SAMPLE, _all, _late_vs_national, mean_days, state_totals, tiers
 
-OVERALL = Window.partitionBy()
-
 
 # ------------------------------------------------------------------ dashboard tables
 
@@ -65,43 +63,51 @@ def sales_dashboard(model: SalesModel) -> DataFrame:
 
 
 def _two_decimals(name: str) -> Column:
-    return F.round(F.col(name).cast("decimal(26,12)"), 2).cast("decimal(20,2)").alias(name)
+    return F.round(F.col(name).cast("decimal(26,12)"), 2).cast("decimal(20,2)")
+
+
+OPERATIONS_COLUMNS = (
+    "order_id", "customer_unique_id", "customer_state", "state_name", "macro_region", "order_status",
+    "order_purchase_date", "order_month", "in_trend_window", "primary_category", "item_count", "freight_value",
+    "revenue", "is_revenue_order", "is_canceled", "is_unavailable", "is_measurable_delivery", "is_late",
+    "delivery_outcome", "timeliness_bucket", "delivery_days", "estimated_days", "days_vs_estimate",
+    "approval_hours", "seller_handoff_days", "carrier_transit_days", "has_invalid_dates",
+)
+# Columns of the dashboard that are derived from another column of the facts.
+DERIVED_FROM = {"delivery_outcome": "is_late", "timeliness_bucket": "days_vs_estimate"}
 
 
 def operations_dashboard(facts: DataFrame) -> DataFrame:
-    """One row per order: outcome, timeliness, durations and freight, from the order facts."""
+    """One row per order: outcome, timeliness, durations and freight, as far as the facts hold them."""
     outcome = F.when(F.col("is_late"), "Late").when(~F.col("is_late"), "On time")
+    special = {
+        "freight_value": money(F.col("freight_value")),
+        "revenue": money(F.col("revenue")),
+        "delivery_outcome": outcome,
+        "timeliness_bucket": m.timeliness_label(F.col("days_vs_estimate")),
+        **{
+            name: _two_decimals(name)
+            for name in (
+                "delivery_days", "estimated_days", "approval_hours", "seller_handoff_days", "carrier_transit_days"
+            )
+        },
+    }
+    present = set(facts.columns)
     return facts.select(
-        "order_id",
-        "customer_unique_id",
-        "customer_state",
-        "state_name",
-        "macro_region",
-        "order_status",
-        "order_purchase_date",
-        "order_month",
-        "in_trend_window",
-        "primary_category",
-        "item_count",
-        money(F.col("freight_value")).alias("freight_value"),
-        money(F.col("revenue")).alias("revenue"),
-        "is_revenue_order",
-        "is_canceled",
-        "is_unavailable",
-        "is_measurable_delivery",
-        "is_late",
-        outcome.alias("delivery_outcome"),
-        m.timeliness_label(F.col("days_vs_estimate")).alias("timeliness_bucket"),
-        _two_decimals("delivery_days"),
-        _two_decimals("estimated_days"),
-        "days_vs_estimate",
-        _two_decimals("approval_hours"),
-        _two_decimals("seller_handoff_days"),
-        _two_decimals("carrier_transit_days"),
-        "has_invalid_dates",
+        *[
+            special.get(name, F.col(name)).alias(name)
+            for name in OPERATIONS_COLUMNS
+            if DERIVED_FROM.get(name, name) in present
+        ]
     )
 
 
+def operations_view(model: SalesModel, *columns: str) -> DataFrame:
+    """Selected columns of the operations dashboard straight from the tables, joining only what they need."""
+    view = operations_dashboard(order_facts(model, {DERIVED_FROM.get(name, name) for name in columns}))
+    return view.select(*columns)
+
+
 def regional_dashboard(model: SalesModel, small_sample: int = SMALL_SAMPLE) -> DataFrame:
     """One row per state: totals, national comparison and segment."""
     tier = tiers()
@@ -326,7 +332,7 @@ def timeliness_by_outcome(dashboard: DataFrame, selection: DashboardFilter = NO_
 
 def state_scorecard(regional: DataFrame) -> DataFrame:
     """State figures with the national reference lines and the median state revenue."""
-    doubled = F.sort_array(F.collect_list(cents("revenue")).over(OVERALL))
+    doubled = F.sort_array(F.collect_list(cents("revenue")).over(Window.partitionBy()))
     size = F.size(doubled)
     middle = F.try_element_at(doubled, F.ceil(size / 2).cast("int")) + F.try_element_at(
         doubled, (F.floor(size / 2) + 1).cast("int")

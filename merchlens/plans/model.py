@@ -7,6 +7,7 @@ one row per order.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -161,46 +162,68 @@ def _hours(start: str, end: str) -> Column:
     return micros_between(start, end).cast("double") / F.lit(float(MICROS_PER_HOUR))
 
 
-def order_facts(model: SalesModel) -> DataFrame:
+STAGE_COLUMNS = ("approval_hours", "seller_handoff_days", "carrier_transit_days")
+DELIVERY_COLUMNS = (
+    "is_measurable_delivery", "is_late", "delivery_days", "estimated_days", "days_vs_estimate", "has_invalid_dates",
+)
+ITEM_COLUMNS = ("item_count", "product_value", "freight_value", "order_value", "revenue")
+
+
+def order_facts(model: SalesModel, need: Collection[str] | None = None) -> DataFrame:
     """One row per order: totals, primary category, status flags, lateness and stage durations.
 
     Measures that do not apply are NULL, so averages skip them. Stage durations need only plausible dates, the
     delivery measures need a measurable delivery.
+
+    `need` names the wanted columns. Spark keeps a left join whose columns go unused, because it does not know that
+    the joined side has one row per order; with `need`, item totals, categories and lifecycle stages are only
+    joined when asked for.
     """
-    placed = placed_orders(model, model.orders).join(named_states(model), "customer_state", "left")
-    wide = placed.join(item_profile(model.order_items, model.products), "order_id", "left")
-    flagged = (
-        wide.withColumn("is_revenue_order", m.earns_revenue())
-        .withColumn("is_measurable_delivery", m.measurable_delivery())
-    )
-    measurable, plausible = F.col("is_measurable_delivery"), ~F.col("has_invalid_dates")
-    return flagged.select(
-        "order_id",
-        "customer_unique_id",
-        "customer_state",
-        "state_name",
-        "macro_region",
-        "order_status",
-        m.PURCHASED,
-        F.to_date(m.PURCHASED).alias("order_purchase_date"),
-        m.purchase_month().alias("order_month"),
-        model.calendar.in_trend().alias("in_trend_window"),
-        "primary_category",
-        F.coalesce("item_count", F.lit(0).cast("bigint")).alias("item_count"),
-        "product_value",
-        "freight_value",
-        "order_value",
-        F.when(F.col("is_revenue_order"), F.col("order_value")).alias("revenue"),
-        "is_revenue_order",
-        m.has_status(m.CANCELED).alias("is_canceled"),
-        m.has_status(m.UNAVAILABLE).alias("is_unavailable"),
-        "is_measurable_delivery",
-        F.when(measurable, m.arrived_late()).alias("is_late"),
-        F.when(measurable, _days(m.PURCHASED, m.RECEIVED)).alias("delivery_days"),
-        F.when(measurable, _days(m.PURCHASED, m.PROMISED)).alias("estimated_days"),
-        F.when(measurable, m.days_past_promise()).alias("days_vs_estimate"),
-        F.when(plausible, _hours(m.PURCHASED, m.APPROVED)).alias("approval_hours"),
-        F.when(plausible, _days(m.APPROVED, m.HANDED_OVER)).alias("seller_handoff_days"),
-        F.when(plausible, _days(m.HANDED_OVER, m.RECEIVED)).alias("carrier_transit_days"),
-        "has_invalid_dates",
-    )
+    wanted = set(need) if need is not None else None
+
+    def asked(*columns: str) -> bool:
+        return wanted is None or bool(wanted.intersection(columns))
+
+    if asked(*STAGE_COLUMNS):
+        orders = model.orders
+    else:
+        orders = model.order_deliveries if asked(*DELIVERY_COLUMNS) else model.order_headers
+    wide = placed_orders(model, orders)
+    if asked("state_name", "macro_region"):
+        wide = wide.join(named_states(model), "customer_state", "left")
+    if asked("primary_category"):
+        wide = wide.join(item_profile(model.order_items, model.products), "order_id", "left")
+    elif asked(*ITEM_COLUMNS):
+        wide = wide.join(item_totals(model.order_items), "order_id", "left")
+    earns, measurable, plausible = m.earns_revenue(), m.measurable_delivery(), ~F.col("has_invalid_dates")
+    columns = {
+        "order_id": F.col("order_id"),
+        "customer_unique_id": F.col("customer_unique_id"),
+        "customer_state": F.col("customer_state"),
+        "state_name": F.col("state_name"),
+        "macro_region": F.col("macro_region"),
+        "order_status": F.col("order_status"),
+        m.PURCHASED: F.col(m.PURCHASED),
+        "order_purchase_date": F.to_date(m.PURCHASED),
+        "order_month": m.purchase_month(),
+        "in_trend_window": model.calendar.in_trend(),
+        "primary_category": F.col("primary_category"),
+        "item_count": F.coalesce("item_count", F.lit(0).cast("bigint")),
+        "product_value": F.col("product_value"),
+        "freight_value": F.col("freight_value"),
+        "order_value": F.col("order_value"),
+        "revenue": F.when(earns, F.col("order_value")),
+        "is_revenue_order": earns,
+        "is_canceled": m.has_status(m.CANCELED),
+        "is_unavailable": m.has_status(m.UNAVAILABLE),
+        "is_measurable_delivery": measurable,
+        "is_late": F.when(measurable, m.arrived_late()),
+        "delivery_days": F.when(measurable, _days(m.PURCHASED, m.RECEIVED)),
+        "estimated_days": F.when(measurable, _days(m.PURCHASED, m.PROMISED)),
+        "days_vs_estimate": F.when(measurable, m.days_past_promise()),
+        "approval_hours": F.when(plausible, _hours(m.PURCHASED, m.APPROVED)),
+        "seller_handoff_days": F.when(plausible, _days(m.APPROVED, m.HANDED_OVER)),
+        "carrier_transit_days": F.when(plausible, _days(m.HANDED_OVER, m.RECEIVED)),
+        "has_invalid_dates": F.col("has_invalid_dates"),
+    }
+    return wide.select(*[value.alias(name) for name, value in columns.items() if asked(name)])

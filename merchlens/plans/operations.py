@@ -22,8 +22,6 @@ from merchlens.functions.numbers import (
 from merchlens.functions.quantiles import exact_distribution, quantile_value
 from merchlens.plans.model import SalesModel, measured_deliveries, primary_category
 
-OVERALL = Window.partitionBy()
-
 
 def _mean(micros: str) -> Column:
     return mean_days(F.sum(micros), F.count(micros))
@@ -79,7 +77,7 @@ def delivery_timeliness_distribution(model: SalesModel) -> DataFrame:
         .select(
             "timeliness_bucket",
             "orders",
-            percent(F.col("orders"), F.sum("orders").over(OVERALL)).alias("pct_of_delivered"),
+            percent(F.col("orders"), F.sum("orders").over(Window.partitionBy())).alias("pct_of_delivered"),
         )
         .orderBy("timeliness_bucket")
     )
@@ -223,7 +221,7 @@ def delivery_performance_by_status(model: SalesModel) -> DataFrame:
     return grouped.select(
         "order_status",
         "orders",
-        percent(F.col("orders"), F.sum("orders").over(OVERALL)).alias("pct_of_orders"),
+        percent(F.col("orders"), F.sum("orders").over(Window.partitionBy())).alias("pct_of_orders"),
         "approved",
         "handed_to_carrier",
         "delivered_to_customer",

@@ -25,7 +25,6 @@ from merchlens.functions.numbers import (
 from merchlens.functions.quantiles import twice_median
 from merchlens.plans.model import SalesModel, named_states
 
-OVERALL = Window.partitionBy()
 SMALL_SAMPLE = 100
 
 TOTALS = (
@@ -75,7 +74,7 @@ def state_totals(model: SalesModel) -> DataFrame:
 
 
 def _all(name: str) -> Column:
-    return F.sum(name).over(OVERALL)
+    return F.sum(name).over(Window.partitionBy())
 
 
 def _late_vs_national() -> Column:

@@ -21,8 +21,7 @@ from merchlens.functions.numbers import (
 from merchlens.functions.quantiles import exact_distribution, quantile_value
 from merchlens.plans.model import SalesModel, category_totals, item_totals
 
-# Reports are already grouped to one row per month, category or state when a global window runs over them.
-OVERALL = Window.partitionBy()
+# Global windows only ever run over reports already grouped to one row per month, category or state.
 
 
 def _valued_orders(model: SalesModel) -> DataFrame:
@@ -202,7 +201,7 @@ def revenue_by_state(model: SalesModel) -> DataFrame:
         "orders",
         "customers",
         money(F.col("revenue")).alias("revenue"),
-        percent(cents("revenue"), cents(F.sum("revenue").over(OVERALL))).alias("revenue_share_pct"),
+        percent(cents("revenue"), cents(F.sum("revenue").over(Window.partitionBy()))).alias("revenue_share_pct"),
     ).orderBy(F.desc_nulls_first("revenue"), "customer_state")
 
 
@@ -254,7 +253,7 @@ def category_revenue_contribution(model: SalesModel) -> DataFrame:
     running = Window.orderBy(F.desc_nulls_first("revenue"), "product_category").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    grand_total = cents(F.sum("revenue").over(OVERALL))
+    grand_total = cents(F.sum("revenue").over(Window.partitionBy()))
     return (
         _category_revenue(model)
         .select(
@@ -289,8 +288,8 @@ def category_trend_recent_vs_prior(model: SalesModel, min_orders: int = 50) -> D
             "*",
             cents("prior").alias("p"),
             cents("recent").alias("r"),
-            cents(F.sum("prior").over(OVERALL)).alias("p_all"),
-            cents(F.sum("recent").over(OVERALL)).alias("r_all"),
+            cents(F.sum("prior").over(Window.partitionBy())).alias("p_all"),
+            cents(F.sum("recent").over(Window.partitionBy())).alias("r_all"),
         )
     )
     p, r, p_all, r_all = (F.col(c) for c in ("p", "r", "p_all", "r_all"))

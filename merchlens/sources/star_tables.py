@@ -39,17 +39,24 @@ def star_model(spark: SparkSession, folder: str) -> SalesModel:
         F.col("n_name").alias("state_name"),
         F.col("r_name").alias("macro_region"),
     )
+    custkey, partkey, event = F.col("c_custkey"), F.col("p_partkey"), F.col("event_id")
     customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_custkey").alias("customer_unique_id"),
-        F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0").alias("customer_zip_code_prefix"),
+        custkey.alias("customer_id"),
+        custkey.alias("customer_unique_id"),
+        F.when(custkey % 200 != 0, F.lpad((custkey % 100000).cast("string"), 5, "0"))
+        .otherwise((custkey % 1000).cast("string"))
+        .alias("customer_zip_code_prefix"),
         F.lower("c_mktsegment").alias("customer_city"),
         F.col("n_name").alias("customer_state"),
     )
+    size = F.col("p_size")
     products = read_table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_brand").alias("product_category_name"),
-        F.col("p_size").alias("product_weight_g"),
+        partkey.alias("product_id"),
+        F.when(partkey % 41 != 0, F.col("p_brand")).alias("product_category_name"),
+        F.when(partkey % 53 != 0, size).alias("product_weight_g"),
+        size.alias("product_length_cm"),
+        size.alias("product_height_cm"),
+        F.when(partkey % 59 != 0, size).alias("product_width_cm"),
         F.col("p_type").alias(CATEGORY),
     )
     price = F.col("l_extendedprice").cast("decimal(18,2)")
@@ -63,13 +70,17 @@ def star_model(spark: SparkSession, folder: str) -> SalesModel:
         price.alias("price"),
         F.round(price * tax, 2).cast("decimal(18,2)").alias("freight_value"),
     )
+    # A purchase event pays the order of the same number.
+    kinds = F.array(*[F.lit(k) for k in ("credit_card", "boleto", "voucher", "debit_card", "not_defined")])
+    payer = F.col("user_id")
     payments = (
         read_table(spark, folder, "events")
         .where(F.col("event_type") == "purchase")
         .select(
-            F.col("event_id").alias("payment_id"),
-            F.col("user_id").alias("customer_id"),
-            F.col("event_type").alias("payment_type"),
+            event.alias("order_id"),
+            (payer % 4 + 1).cast("int").alias("payment_sequential"),
+            F.element_at(kinds, (payer % 5 + 1).cast("int")).alias("payment_type"),
+            F.when(payer % 7 != 0, (payer % 7).cast("int")).alias("payment_installments"),
             F.col("value").cast("decimal(18,2)").alias("payment_value"),
         )
     )
