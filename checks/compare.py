@@ -24,7 +24,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    return f"{value:.9g}" if isinstance(value, float) else value
+    return f"{value:.17g}" if isinstance(value, float) else value
 
 
 def _rows(names: list[str], rows: Iterable) -> tuple[list[str], list[tuple]]:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.untidy import untidy_raw
+from checks.untidy import UntidyTables
 from merchlens.operators import cleaning, profiling, quality, validation
 from merchlens.plans import dashboards as d
 from merchlens.plans import explore, operations, regional, sales
@@ -56,9 +56,9 @@ def _model(report: Callable[[SalesModel], DataFrame], **settings) -> Query:
     return run
 
 
-def _untidy(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+def _untidy(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(build(untidy_raw(spark, folder)))
+        return plain(build(UntidyTables(spark, folder)))
 
     return run
 
@@ -67,7 +67,7 @@ def _cleaned(build: Callable[[dict[str, cleaning.CleanTable]], DataFrame]) -> Qu
     return _untidy(lambda raw: build(cleaning.clean_all(raw)))
 
 
-def _clean_data(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+def _clean_data(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
     return _cleaned(lambda tables: build({name: table.data for name, table in tables.items()}))
 
 
@@ -105,8 +105,8 @@ def _column_listing(spark: SparkSession, folder: str) -> DataFrame:
     return plain(listing.crossJoin(F.broadcast(facts.agg(F.count(F.lit(1)).alias("table_rows")))))
 
 
-def _profile(part: int) -> Callable[[dict[str, DataFrame]], DataFrame]:
-    return lambda raw: profiling.profile_all(raw)[part]
+def _column_profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
+    return profiling.profile_all(raw)[1]
 
 
 def queries() -> dict[str, Query]:
@@ -206,10 +206,10 @@ def queries() -> dict[str, Query]:
     result["orders_across_categories"] = _model(explore.orders_across_categories)
 
     # Profiling of raw text
-    result["profile_datasets"] = _untidy(_profile(0))
-    result["profile_columns"] = _untidy(_profile(1))
-    result["profile_date_ranges"] = _untidy(lambda raw: profiling.date_ranges(_profile(1)(raw)))
-    result["profile_missing_values"] = _untidy(lambda raw: profiling.missing_values(_profile(1)(raw)))
+    result["profile_datasets"] = _untidy(lambda raw: profiling.profile_all(raw)[0])
+    result["profile_columns"] = _untidy(_column_profiles)
+    result["profile_date_ranges"] = _untidy(lambda raw: profiling.date_ranges(_column_profiles(raw)))
+    result["profile_missing_values"] = _untidy(lambda raw: profiling.missing_values(_column_profiles(raw)))
     result["raw_status_distribution"] = _untidy(lambda raw: profiling.status_distribution(raw["orders"]))
     result["missing_timestamps_by_status"] = _untidy(
         lambda raw: profiling.missing_timestamps_by_status(raw["orders"])
@@ -220,8 +220,13 @@ def queries() -> dict[str, Query]:
     result["raw_value_checks"] = _untidy(profiling.raw_value_checks)
 
     # Cleaning
-    for name in ("customers", "orders", "order_items", "payments", "products"):
-        result[f"clean_{name}"] = _cleaned(lambda tables, name=name: tables[name].data)
+    result["clean_customers"] = _untidy(lambda raw: cleaning.clean_customers(raw["customers"]).data)
+    result["clean_orders"] = _untidy(lambda raw: cleaning.clean_orders(raw["orders"]).data)
+    result["clean_order_items"] = _untidy(lambda raw: cleaning.clean_order_items(raw["order_items"]).data)
+    result["clean_payments"] = _untidy(lambda raw: cleaning.clean_payments(raw["payments"]).data)
+    result["clean_products"] = _untidy(
+        lambda raw: cleaning.clean_products(raw["products"], raw["category_translation"]).data
+    )
     result["cleaning_summary"] = _cleaned(cleaning.cleaning_summary)
     result["cleaning_actions"] = _cleaned(cleaning.cleaning_actions)
     result["missing_value_report"] = _clean_data(

@@ -5,6 +5,8 @@ Every row of the source tables takes part; keys only decide which defect a row s
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +33,8 @@ def _repeated(data: DataFrame, twice: Column) -> DataFrame:
     return data.withColumn("_copy", F.explode(copies)).drop("_copy")
 
 
-def untidy_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    model = star_model(spark, folder)
-    key, order = F.col("c_custkey"), F.col("o_orderkey")
-    part, product = F.col("l_partkey"), F.col("p_partkey")
-
-    segment, nation = F.col("c_mktsegment"), F.col("n_name")
+def _customers(spark: SparkSession, folder: str) -> DataFrame:
+    key, segment, nation = F.col("c_custkey"), F.col("c_mktsegment"), F.col("n_name")
     customers = (
         read_table(spark, folder, "customer")
         .join(read_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -53,10 +51,13 @@ def untidy_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.when(key % 3 == 0, F.concat(F.lit(" "), F.lower(nation))).otherwise(nation).alias("customer_state"),
         )
     )
+    return _repeated(customers, key % 10 == 0)
 
+
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
     status, bought = F.col("order_status"), F.col("order_purchase_timestamp")
     number = F.col("order_id")
-    orders = model.order_headers.select(
+    orders = star_model(spark, folder).order_headers.select(
         number.alias("o_orderkey"),
         F.when(number % 499 != 3, F.concat(F.lit("O"), _text(number))).alias("order_id"),
         F.concat(F.lit("C"), _text(F.col("customer_id"))).alias("customer_id"),
@@ -69,10 +70,13 @@ def untidy_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.when(number % 13 != 0, _stamp(_days_after(bought, number % 11 - 1))).alias("order_delivered_customer_date"),
         _stamp(_days_after(bought, 20)).alias("order_estimated_delivery_date"),
     )
+    return _repeated(orders, F.col("o_orderkey") % 20 == 0)
+
 
+def _order_items(spark: SparkSession, folder: str) -> DataFrame:
     price, freight = _text(F.col("price")), _text(F.col("freight_value"))
     sold = F.col("product_id")
-    order_items = model.order_items.select(
+    order_items = star_model(spark, folder).order_items.select(
         sold.alias("l_partkey"),
         F.concat(F.lit("O"), _text(F.col("order_id"))).alias("order_id"),
         F.when(sold % 97 == 0, "x").otherwise(_text(F.col("order_item_id"))).alias("order_item_id"),
@@ -82,9 +86,12 @@ def untidy_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.when(sold % 50 == 0, F.concat(F.lit("-"), price)).when(sold % 53 == 0, "abc").otherwise(price).alias("price"),
         F.when(sold % 7 == 0, "0").otherwise(freight).alias("freight_value"),
     )
+    return _repeated(order_items, F.col("l_partkey") % 100 == 1)
 
+
+def _payments(spark: SparkSession, folder: str) -> DataFrame:
     event, payer = F.col("event_id"), F.col("user_id")
-    payments = (
+    return (
         read_table(spark, folder, "events")
         .where(F.col("event_type") == "purchase")
         .select(
@@ -101,9 +108,10 @@ def untidy_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         )
     )
 
-    brand, size = F.col("p_brand"), F.col("p_size")
-    parts = read_table(spark, folder, "part")
-    products = parts.select(
+
+def _products(spark: SparkSession, folder: str) -> DataFrame:
+    product, brand, size = F.col("p_partkey"), F.col("p_brand"), F.col("p_size")
+    return read_table(spark, folder, "part").select(
         F.concat(F.lit("P"), _text(product)).alias("product_id"),
         F.when(product % 41 == 0, F.lit(None))
         .when(product % 5 == 0, F.concat(F.lit(" "), F.upper(brand), F.lit(" ")))
@@ -117,19 +125,43 @@ def untidy_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         _text(size).alias("product_height_cm"),
         F.when(product % 31 != 0, _text(size - 1)).alias("product_width_cm"),
     )
-    category_translation = (
-        parts.select(F.lower(brand).alias("product_category_name"))
+
+
+def _category_translation(spark: SparkSession, folder: str) -> DataFrame:
+    brand = F.col("p_brand")
+    return (
+        read_table(spark, folder, "part")
+        .select(F.lower(brand).alias("product_category_name"))
         .distinct()
         .where(~F.col("product_category_name").isin("brand#13", "brand#7"))
         .select("product_category_name", F.concat(F.lit("English "), "product_category_name").alias("english"))
         .withColumnRenamed("english", "product_category_name_english")
     )
-    raw = {
-        "customers": _repeated(customers, key % 10 == 0),
-        "orders": _repeated(orders, order % 20 == 0),
-        "order_items": _repeated(order_items, part % 100 == 1),
-        "payments": payments,
-        "products": products,
-        "category_translation": category_translation,
-    }
-    return {name: data.select(*RAW_COLUMNS[name]) for name, data in raw.items()}
+
+
+BUILDERS = {
+    "customers": _customers,
+    "orders": _orders,
+    "order_items": _order_items,
+    "payments": _payments,
+    "products": _products,
+    "category_translation": _category_translation,
+}
+
+
+class UntidyTables(Mapping[str, DataFrame]):
+    """The raw tables by name, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder, self._built = spark, folder, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = BUILDERS[name](self._spark, self._folder).select(*RAW_COLUMNS[name])
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)

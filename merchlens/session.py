@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
+    # Call sites of column expressions are only worth their driver time while debugging.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

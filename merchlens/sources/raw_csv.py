@@ -80,6 +80,7 @@ class RawFolder:
         """Total bytes at a location from the file listing alone; the contents are pruned from the scan."""
         try:
             listing = spark.read.format("binaryFile").load(location)
-            return listing.agg(F.sum("length")).first()[0]
         except AnalysisException:
             return None
+        # Empty files are not listed at all.
+        return listing.agg(F.sum("length")).first()[0] or 0

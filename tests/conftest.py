@@ -21,10 +21,12 @@ STAR = "/root/testdata/sf0.01"
 def spark(tmp_path_factory):
     session = build_session(
         "merchlens-tests",
-        master="local[4]",
+        master="local[8]",
         **{
             "spark.ui.enabled": "false",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            # Compiling a stage takes longer than running it on a few rows.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "4g",
             "spark.log.level": "ERROR",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
