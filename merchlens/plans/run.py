@@ -10,13 +10,10 @@ from __future__ import annotations
 import json
 import sys
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from decimal import Decimal
-from typing import TypeVar
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from merchlens.functions.metrics import Calendar
@@ -30,14 +27,14 @@ from merchlens.plans.dashboards import (
 from merchlens.plans.model import SalesModel, order_facts
 from merchlens.session import build_session
 from merchlens.sources import clean_store, exports
+from merchlens.sources.jobs import side_by_side
 from merchlens.sources.raw_csv import RawFolder
-from merchlens.sources.schemas import CLEAN_SCHEMAS
+from merchlens.sources.schemas import CLEAN_DATASETS
 from merchlens.sources.states import state_reference
 
-Item = TypeVar("Item")
-SIDE_BY_SIDE = 8
-
 DASHBOARDS = ("sales_dashboard", "operations_dashboard", "regional_dashboard", "data_quality_summary")
+# In dependency order.
+VIEWS = ("state_reference", "order_facts", *DASHBOARDS)
 HEADLINES = ("total_revenue", "total_orders", "average_order_value", "operations_kpis")
 
 
@@ -62,15 +59,18 @@ class Run:
 
     # ---- tables handed from step to step
 
-    def staged(self) -> dict[str, cleaning.CleanTable]:
-        """The cleaned datasets over the rows staged by `clean_data`."""
-        lazy = cleaning.clean_all(self.raw.read_all(self.spark))
-        return {name: table.staged_at(f"{self.folder}/staged/{name}") for name, table in lazy.items()}
+    def raw_tables(self) -> dict[str, DataFrame]:
+        """The raw datasets as ingested by `check_raw_data`."""
+        return {name: self.spark.read.parquet(f"{self.folder}/raw/{name}") for name in self.raw.files}
 
     def clean(self) -> dict[str, DataFrame]:
-        return {
-            name: table.data.select(*CLEAN_SCHEMAS[name].fieldNames()) for name, table in self.staged().items()
-        }
+        """The clean tables: the surviving rows staged by `clean_data`, without the staging columns."""
+        tables = {}
+        for name in CLEAN_DATASETS:
+            staged = self.spark.read.parquet(f"{self.folder}/staged/{name}")
+            kept = [column for column in staged.columns if not column.startswith("_")]
+            tables[name] = staged.where(cleaning.KEPT).select(*kept)
+        return tables
 
     def model(self) -> SalesModel:
         """The sales model over the newest published tables."""
@@ -81,29 +81,25 @@ class Run:
             calendar=self.calendar,
         )
 
-    def facts(self) -> DataFrame:
-        """The order facts written by `create_views`."""
-        return self.spark.read.parquet(f"{self.folder}/order_facts")
-
     def views(self) -> dict[str, DataFrame]:
-        model, facts = self.model(), self.facts()
-        return {
-            "state_reference": model.states,
-            "order_facts": facts,
-            "sales_dashboard": sales_dashboard(model),
-            "operations_dashboard": operations_dashboard(facts),
-            "regional_dashboard": regional_dashboard(model),
-            "data_quality_summary": quality.data_quality_summary(model.tables(), model.states),
-        }
+        """The tables written by `create_views`."""
+        return {name: self.spark.read.parquet(f"{self.folder}/views/{name}") for name in VIEWS}
 
     # ---- steps
 
     def check_raw_data(self) -> dict[str, int]:
-        """Sizes of the raw datasets; raises with every problem found."""
-        return self.raw.check(self.spark)
+        """Check the raw files and ingest them; returns their sizes and raises with every problem found.
 
-    def profile_data(self) -> dict[str, int]:
+        The text is parsed once and kept unchanged in columns, so that profiling and cleaning, which read every
+        dataset several times, each read only the columns they need.
+        """
+        sizes = self.raw.check(self.spark)
         raw = self.raw.read_all(self.spark)
+        side_by_side(self.spark, lambda n: raw[n].write.mode("overwrite").parquet(f"{self.folder}/raw/{n}"), raw)
+        return sizes
+
+    def profile_data(self) -> dict[str, int]:
+        raw = self.raw_tables()
         datasets, columns = profiling.profile_all(raw)
         reports = {
             "datasets": datasets,
@@ -120,7 +116,7 @@ class Run:
         return {row.dataset: row.row_count for row in written.collect()}
 
     def clean_data(self) -> dict[str, dict[str, int]]:
-        tables = cleaning.clean_all(self.raw.read_all(self.spark))
+        tables = cleaning.clean_all(self.raw_tables())
         staged = dict(
             zip(tables, side_by_side(self.spark, lambda n: tables[n].stage(f"{self.folder}/staged/{n}"), tables))
         )
@@ -153,12 +149,27 @@ class Run:
         return clean_store.publish(self.spark, clean, f"{self.folder}/warehouse")
 
     def create_views(self) -> list[str]:
-        """Write the order facts once and (re)create every view; each dashboard must have rows."""
-        order_facts(self.model()).write.mode("overwrite").parquet(f"{self.folder}/order_facts")
+        """Write the order facts and every dashboard once, register them as views, and require rows.
+
+        The order facts come first: the operations dashboard reads them instead of joining the tables again.
+        """
+        model = self.model()
+        order_facts(model).write.mode("overwrite").parquet(f"{self.folder}/views/order_facts")
+        built = {
+            "state_reference": model.states,
+            "sales_dashboard": sales_dashboard(model),
+            "operations_dashboard": operations_dashboard(
+                self.spark.read.parquet(f"{self.folder}/views/order_facts")
+            ),
+            "regional_dashboard": regional_dashboard(model),
+            "data_quality_summary": quality.data_quality_summary(model.tables(), model.states),
+        }
+        side_by_side(
+            self.spark, lambda n: built[n].write.mode("overwrite").parquet(f"{self.folder}/views/{n}"), built
+        )
         views = self.views()
-        exports.refresh_views(views)
         exports.require_rows({name: views[name] for name in DASHBOARDS})
-        return list(views)
+        return exports.refresh_views(views)
 
     def run_sales_analysis(self) -> dict[str, int]:
         return self._export_reports("sales", sales.REPORTS)
@@ -200,12 +211,12 @@ class Run:
         model, folder = self.model(), f"{self.folder}/reports/{group}"
 
         def export(name: str) -> int:
-            exports.export_results({name: reports[name](model)}, folder)
-            return self.spark.read.option("header", True).csv(f"{folder}/{name}").count()
+            return exports.export_results({name: reports[name](model)}, folder)[name]
 
         return dict(zip(reports, side_by_side(self.spark, export, reports)))
 
 
+
 STEPS = (
     "check_raw_data",
     "profile_data",
@@ -221,12 +232,6 @@ STEPS = (
 )
 
 
-def side_by_side(spark: SparkSession, work: Callable[[str], Item], names: Iterable[str]) -> list[Item]:
-    """Results of independent jobs in the order of `names`, submitted from a few driver threads."""
-    with ThreadPoolExecutor(max_workers=SIDE_BY_SIDE) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), names))
-
-
 def run(batch: Run, steps: Iterable[str] | None = None) -> dict[str, object]:
     """Run the named steps in the given order, or all of them; returns what each step reports."""
     names = list(steps) if steps else list(STEPS)

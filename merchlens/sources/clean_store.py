@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from merchlens.sources.jobs import side_by_side
 from merchlens.sources.schemas import CLEAN_DATASETS, CLEAN_SCHEMAS
 
 POINTER_SCHEMA = "publication bigint, folder string, tables string"
@@ -80,8 +81,7 @@ def publish(spark: SparkSession, data: Mapping[str, DataFrame], root: str) -> di
     number = _latest(spark, root)[0] + 1
     folder = f"{root}/publication={number}"
     typed = {name: _typed(data[name], name) for name in CLEAN_DATASETS}
-    for name, table in typed.items():
-        write_dataset(table, folder, name)
+    side_by_side(spark, lambda name: write_dataset(typed[name], folder, name), typed)
     written = read_datasets(spark, folder)
     counts = verify_row_counts(count_rows(typed), written)
     pointer = spark.createDataFrame([(number, folder, ",".join(CLEAN_DATASETS))], POINTER_SCHEMA)

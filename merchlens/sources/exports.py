@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from merchlens.sources.jobs import counted
+
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -36,11 +38,15 @@ def write_csv(data: DataFrame, path: str) -> None:
     )
 
 
-def export_results(results: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """One CSV folder per named result. Results are reports of bounded size, so each is one ordered file."""
-    for name, data in results.items():
-        write_csv(data.coalesce(1), f"{folder}/{name}")
-    return list(results)
+def export_results(results: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
+    """One CSV folder per named result; returns the rows of each.
+
+    Results are reports of bounded size, so each is one ordered file.
+    """
+    return {
+        name: counted(data, lambda rows, name=name: write_csv(rows.coalesce(1), f"{folder}/{name}"))
+        for name, data in results.items()
+    }
 
 
 def flags_as_numbers(data: DataFrame) -> DataFrame:
@@ -63,13 +69,10 @@ def require_rows(views: Mapping[str, DataFrame]) -> None:
 def export_dashboards(views: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Export every view with numeric flags; returns the rows written per view."""
     require_rows(views)
-    written = {}
-    for name, data in views.items():
-        path = f"{folder}/{name}"
-        flat = flags_as_numbers(data)
-        write_csv(flat, path)
-        written[name] = data.sparkSession.read.option("header", True).schema(_as_text(flat)).csv(path).count()
-    return written
+    return {
+        name: counted(flags_as_numbers(data), lambda rows, name=name: write_csv(rows, f"{folder}/{name}"))
+        for name, data in views.items()
+    }
 
 
 def write_json(data: DataFrame, path: str) -> None:
@@ -82,7 +85,3 @@ def refresh_views(views: Mapping[str, DataFrame]) -> list[str]:
     for name, data in views.items():
         data.createOrReplaceTempView(name)
     return list(views)
-
-
-def _as_text(data: DataFrame) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in data.columns])
