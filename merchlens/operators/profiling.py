@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,10 +42,20 @@ def profile_columns(dataset: str, raw: DataFrame, exact_unique: bool = True) ->
         counted = long.withColumn("n", F.lit(1).cast("bigint"))
         unique = F.approx_count_distinct("value")
 
+    # Values are parsed once each, and only as what their column's name lets them be.
+    dates = [c for c in names if re.search(DATE_COLUMN_PATTERN, c)]
+    codes = [c for c in names if re.search(CODE_COLUMN_PATTERN, c) and c not in dates]
     value, filled = F.col("value"), F.col("value").isNotNull()
-    moment = parse_timestamp("value")
-    number = F.when(value.rlike(NUMBER_PATTERN), F.trim(value).try_cast("double"))
-    stats = counted.groupBy("column_name").agg(
+    is_date, is_code = F.col("column_name").isin(*dates), F.col("column_name").isin(*codes)
+    parsed = counted.select(
+        "column_name",
+        "value",
+        "n",
+        F.when(is_date, parse_timestamp("value")).alias("moment"),
+        F.when(~is_date & ~is_code & value.rlike(NUMBER_PATTERN), F.trim(value).try_cast("double")).alias("number"),
+    )
+    moment, number = F.col("moment"), F.col("number")
+    stats = parsed.groupBy("column_name").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(filled, F.col("n"))), F.lit(0)).alias("non_null"),
         unique.alias("unique"),
@@ -60,9 +71,7 @@ def profile_columns(dataset: str, raw: DataFrame, exact_unique: bool = True) ->
     listed = raw.sparkSession.createDataFrame(list(enumerate(names, 1)), "position int, column_name string")
     joined = F.broadcast(listed).join(stats, "column_name", "left").fillna(0, ["rows", "non_null", "unique", "dated"])
 
-    is_date = F.col("column_name").rlike(DATE_COLUMN_PATTERN)
-    is_code = F.col("column_name").rlike(CODE_COLUMN_PATTERN)
-    is_number = ~is_code & F.coalesce("all_numbers", F.lit(False))
+    is_number = F.coalesce("all_numbers", F.lit(False))
     kind = (
         F.when(is_date, "datetime")
         .when(is_number & F.col("any_point"), "decimal")

@@ -39,7 +39,7 @@ def sales_dashboard(model: SalesModel) -> DataFrame:
     items = model.order_items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
     catalogue = model.products.select("product_id", F.col(CATEGORY).alias("product_category"))
     sold = items.join(headers, "order_id").join(catalogue, "product_id", "left")
-    bare = headers.join(model.order_items.select("order_id").distinct(), "order_id", "left_anti")
+    bare = headers.join(model.order_totals().select("order_id"), "order_id", "left_anti")
     whole = sold.drop("product_id").unionByName(bare, allowMissingColumns=True)
     item_value = F.col("price") + F.col("freight_value")
     return whole.select(

@@ -18,7 +18,7 @@ from merchlens.functions.numbers import (
     sum_when,
 )
 from merchlens.plans.dashboards import operations_view
-from merchlens.plans.model import SalesModel, category_totals
+from merchlens.plans.model import SalesModel
 from merchlens.plans.regional import region_totals, state_totals
 from merchlens.plans.sales import _revenue_orders
 from merchlens.sources.clean_store import row_counts
@@ -320,7 +320,7 @@ def undelivered_in_latest_month(model: SalesModel) -> DataFrame:
 
 def orders_across_categories(model: SalesModel) -> DataFrame:
     """Orders whose items belong to more than one category."""
-    per_order = category_totals(model.order_items, model.products).groupBy("order_id").agg(
+    per_order = model.order_categories().groupBy("order_id").agg(
         F.count("product_category").alias("categories")
     )
     everything, mixed = F.count(F.lit(1)), count_when(F.col("categories") > 1)

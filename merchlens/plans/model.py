@@ -27,6 +27,9 @@ class SalesModel:
     `headers` (order, customer, status, purchase time) and `deliveries` (headers plus delivery, promise and
     date flag) are narrower versions of `orders` for sources where lifecycle dates must be derived first; by
     default they are the orders table itself, which Spark prunes to the columns in use.
+
+    `per_order` and `per_category` are stored results of `item_totals` and `category_totals`. Almost every report
+    needs one of them, so a run writes them once; without them they are derived from the items in every query.
     """
 
     customers: DataFrame
@@ -38,6 +41,8 @@ class SalesModel:
     calendar: m.Calendar = field(default_factory=m.Calendar)
     headers: DataFrame | None = None
     deliveries: DataFrame | None = None
+    per_order: DataFrame | None = None
+    per_category: DataFrame | None = None
 
     @property
     def order_headers(self) -> DataFrame:
@@ -47,6 +52,19 @@ class SalesModel:
     def order_deliveries(self) -> DataFrame:
         return self.deliveries if self.deliveries is not None else self.orders
 
+    def order_totals(self) -> DataFrame:
+        return self.per_order if self.per_order is not None else item_totals(self.order_items)
+
+    def order_categories(self) -> DataFrame:
+        return self.per_category if self.per_category is not None else category_totals(self.order_items, self.products)
+
+    def order_profiles(self) -> DataFrame:
+        """Item totals and primary category per order."""
+        if self.per_order is None or self.per_category is None:
+            return item_profile(self.order_items, self.products)
+        primary = largest_category(self.per_category).withColumnRenamed("product_category", "primary_category")
+        return self.per_order.join(primary, "order_id", "left")
+
     def tables(self) -> dict[str, DataFrame]:
         return {
             "customers": self.customers,
@@ -97,7 +115,11 @@ def _most_valuable(value: Column, category: Column, known: Column) -> Column:
 
 def primary_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order: the category holding most of its value."""
-    per_category = category_totals(items, products)
+    return largest_category(category_totals(items, products))
+
+
+def largest_category(per_category: DataFrame) -> DataFrame:
+    """The same from category totals."""
     return per_category.groupBy("order_id").agg(
         _most_valuable(F.col("value"), F.col("product_category"), F.lit(True)).alias("product_category")
     )
@@ -192,9 +214,9 @@ def order_facts(model: SalesModel, need: Collection[str] | None = None) -> DataF
     if asked("state_name", "macro_region"):
         wide = wide.join(named_states(model), "customer_state", "left")
     if asked("primary_category"):
-        wide = wide.join(item_profile(model.order_items, model.products), "order_id", "left")
+        wide = wide.join(model.order_profiles(), "order_id", "left")
     elif asked(*ITEM_COLUMNS):
-        wide = wide.join(item_totals(model.order_items), "order_id", "left")
+        wide = wide.join(model.order_totals(), "order_id", "left")
     earns, measurable, plausible = m.earns_revenue(), m.measurable_delivery(), ~F.col("has_invalid_dates")
     columns = {
         "order_id": F.col("order_id"),

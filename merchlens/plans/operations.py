@@ -20,7 +20,7 @@ from merchlens.functions.numbers import (
     sum_when,
 )
 from merchlens.functions.quantiles import exact_distribution, quantile_value
-from merchlens.plans.model import SalesModel, measured_deliveries, primary_category
+from merchlens.plans.model import SalesModel, largest_category, measured_deliveries
 
 
 def _mean(micros: str) -> Column:
@@ -28,8 +28,8 @@ def _mean(micros: str) -> Column:
 
 
 def _freight_per_order(model: SalesModel) -> DataFrame:
-    return model.order_items.groupBy("order_id").agg(
-        F.sum("freight_value").alias("freight"), F.count(F.lit(1)).alias("items")
+    return model.order_totals().select(
+        "order_id", F.col("freight_value").alias("freight"), F.col("item_count").alias("items")
     )
 
 
@@ -159,7 +159,7 @@ def late_deliveries_by_category(model: SalesModel, min_delivered: int = 100) ->
     """Lateness by each order's primary category; small categories are left out."""
     return (
         measured_deliveries(model)
-        .join(primary_category(model.order_items, model.products), "order_id")
+        .join(largest_category(model.order_categories()), "order_id")
         .groupBy("product_category")
         .agg(*_lateness(), _mean("actual_micros").alias("avg_delivery_days"))
         .where(F.col("delivered_orders") >= min_delivered)

@@ -39,10 +39,7 @@ def state_totals(model: SalesModel) -> DataFrame:
     Orders are totalled per customer id, then per person, then per state: the customer join meets one row per
     customer however many orders they hold, and people are counted without a distinct aggregate.
     """
-    value = model.order_items.groupBy("order_id").agg(
-        F.sum(F.col("price") + F.col("freight_value")).alias("order_value"),
-        F.sum("freight_value").alias("order_freight"),
-    )
+    value = model.order_totals().select("order_id", "order_value", F.col("freight_value").alias("order_freight"))
     measurable = m.measurable_delivery()
     late = measurable & m.arrived_late()
     earned, freight = (F.when(m.earns_revenue(), F.col(c)) for c in ("order_value", "order_freight"))

@@ -24,7 +24,7 @@ from merchlens.plans.dashboards import (
     regional_dashboard,
     sales_dashboard,
 )
-from merchlens.plans.model import SalesModel, order_facts
+from merchlens.plans.model import SalesModel, category_totals, item_totals, order_facts
 from merchlens.session import build_session
 from merchlens.sources import clean_store, exports
 from merchlens.sources.jobs import side_by_side
@@ -76,7 +76,9 @@ class Run:
         """The sales model over the newest published tables."""
         tables = clean_store.published(self.spark, f"{self.folder}/warehouse")
         return SalesModel(
-            **tables,
+            **{name: tables[name] for name in CLEAN_DATASETS},
+            per_order=tables["item_totals"],
+            per_category=tables["category_totals"],
             states=self.states if self.states is not None else state_reference(self.spark),
             calendar=self.calendar,
         )
@@ -143,10 +145,18 @@ class Run:
         return {row.status: row["count"] for row in results.groupBy("status").count().collect()}
 
     def load_tables(self) -> dict[str, int]:
-        """Publish the clean tables as one set, after the constraints of the published tables hold."""
+        """Publish the clean tables as one set, after the constraints of the published tables hold.
+
+        The two per-order aggregates of the items are part of the publication: the items are shuffled for them
+        once, not again by every report.
+        """
+        def per_order(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+            items, products = tables["order_items"], tables["products"]
+            return {"item_totals": item_totals(items), "category_totals": category_totals(items, products)}
+
         clean = self.clean()
         validation.gate(validation.check_constraints(clean))
-        return clean_store.publish(self.spark, clean, f"{self.folder}/warehouse")
+        return clean_store.publish(self.spark, clean, f"{self.folder}/warehouse", per_order)
 
     def create_views(self) -> list[str]:
         """Write the order facts and every dashboard once, register them as views, and require rows.

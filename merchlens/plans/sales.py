@@ -19,7 +19,7 @@ from merchlens.functions.numbers import (
     sum_when,
 )
 from merchlens.functions.quantiles import exact_distribution, quantile_value
-from merchlens.plans.model import SalesModel, category_totals, item_totals
+from merchlens.plans.model import SalesModel
 
 # Global windows only ever run over reports already grouped to one row per month, category or state.
 
@@ -27,7 +27,7 @@ from merchlens.plans.model import SalesModel, category_totals, item_totals
 def _valued_orders(model: SalesModel) -> DataFrame:
     """Orders with items and their item totals."""
     headers = model.order_headers.select("order_id", "customer_id", "order_status", m.PURCHASED)
-    return headers.join(item_totals(model.order_items), "order_id")
+    return headers.join(model.order_totals(), "order_id")
 
 
 def _revenue_orders(model: SalesModel) -> DataFrame:
@@ -39,9 +39,7 @@ def _category_orders(model: SalesModel, period: Column | None = None) -> DataFra
     headers = model.order_headers.where(m.earns_revenue())
     if period is not None:
         headers = headers.where(period)
-    return category_totals(model.order_items, model.products).join(
-        headers.select("order_id", m.PURCHASED), "order_id"
-    )
+    return model.order_categories().join(headers.select("order_id", m.PURCHASED), "order_id")
 
 
 def _category_revenue(model: SalesModel) -> DataFrame:
@@ -66,7 +64,7 @@ def total_orders(model: SalesModel) -> DataFrame:
     Orders are first counted per customer id, so the join to customers meets one row per customer, and people
     are counted as groups instead of by a distinct aggregate over all orders.
     """
-    with_items = model.order_items.groupBy("order_id").agg(F.lit(True).alias("has_items"))
+    with_items = model.order_totals().select("order_id", F.lit(True).alias("has_items"))
     per_customer = (
         model.order_headers.join(with_items, "order_id", "left")
         .groupBy("customer_id")

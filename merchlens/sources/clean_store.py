@@ -7,7 +7,7 @@ run leaves the old one in place.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +75,16 @@ def verify_row_counts(expected: Mapping[str, int], tables: Mapping[str, DataFram
     return actual
 
 
-def publish(spark: SparkSession, data: Mapping[str, DataFrame], root: str) -> dict[str, int]:
-    """Replace the published set by `data` as a whole; returns the verified row counts."""
+Tables = Mapping[str, DataFrame]
+
+
+def publish(
+    spark: SparkSession, data: Tables, root: str, derive: Callable[[Tables], Tables] | None = None
+) -> dict[str, int]:
+    """Replace the published set by `data` as a whole; returns the verified row counts.
+
+    `derive` computes further tables from the written ones; they become part of the same publication.
+    """
     check_load_contract(data)
     number = _latest(spark, root)[0] + 1
     folder = f"{root}/publication={number}"
@@ -84,27 +92,32 @@ def publish(spark: SparkSession, data: Mapping[str, DataFrame], root: str) -> di
     side_by_side(spark, lambda name: write_dataset(typed[name], folder, name), typed)
     written = read_datasets(spark, folder)
     counts = verify_row_counts(count_rows(typed), written)
-    pointer = spark.createDataFrame([(number, folder, ",".join(CLEAN_DATASETS))], POINTER_SCHEMA)
+    further = derive(written) if derive is not None else {}
+    side_by_side(spark, lambda name: write_dataset(further[name], folder, name), further)
+    pointer = spark.createDataFrame([(number, folder, ",".join([*CLEAN_DATASETS, *further]))], POINTER_SCHEMA)
     pointer.coalesce(1).write.mode("append").parquet(f"{root}/pointer")
     return counts
 
 
 def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The newest published set."""
-    number, folder = _latest(spark, root)
+    """The newest published set, derived tables included."""
+    number, folder, names = _latest(spark, root)
     if number == 0:
         raise PublishError(f"Nothing published under {root}")
-    return read_datasets(spark, folder)
+    return {
+        name: read_dataset(spark, folder, name) if name in CLEAN_SCHEMAS else spark.read.parquet(f"{folder}/{name}")
+        for name in names
+    }
 
 
 def _typed(data: DataFrame, dataset: str) -> DataFrame:
     return data.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN_SCHEMAS[dataset]])
 
 
-def _latest(spark: SparkSession, root: str) -> tuple[int, str]:
+def _latest(spark: SparkSession, root: str) -> tuple[int, str, list[str]]:
     try:
         pointers = spark.read.schema(POINTER_SCHEMA).parquet(f"{root}/pointer")
-        newest = pointers.agg(F.max(F.struct("publication", "folder")).alias("newest")).first().newest
+        newest = pointers.agg(F.max(F.struct("publication", "folder", "tables")).alias("newest")).first().newest
     except AnalysisException:
-        return 0, ""
-    return (newest.publication, newest.folder) if newest else (0, "")
+        newest = None
+    return (newest.publication, newest.folder, newest.tables.split(",")) if newest else (0, "", [])
