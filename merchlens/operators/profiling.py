@@ -69,7 +69,7 @@ def profile_columns(dataset: str, raw: DataFrame, exact_unique: bool = True) ->
     )
     # An empty table still has a profile of its columns.
     listed = raw.sparkSession.createDataFrame(list(enumerate(names, 1)), "position int, column_name string")
-    joined = F.broadcast(listed).join(stats, "column_name", "left").fillna(0, ["rows", "non_null", "unique", "dated"])
+    joined = listed.join(stats, "column_name", "left").fillna(0, ["rows", "non_null", "unique", "dated"])
 
     is_number = F.coalesce("all_numbers", F.lit(False))
     kind = (

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from merchlens.functions.metrics import Calendar
@@ -60,7 +61,14 @@ class Run:
     # ---- tables handed from step to step
 
     def raw_tables(self) -> dict[str, DataFrame]:
-        """The raw datasets as ingested by `check_raw_data`."""
+        """The raw datasets as ingested by `check_raw_data`, which is run first where it has not been."""
+        try:
+            return self._ingested()
+        except AnalysisException:
+            self.check_raw_data()
+            return self._ingested()
+
+    def _ingested(self) -> dict[str, DataFrame]:
         return {name: self.spark.read.parquet(f"{self.folder}/raw/{name}") for name in self.raw.files}
 
     def clean(self) -> dict[str, DataFrame]:
@@ -161,22 +169,24 @@ class Run:
     def create_views(self) -> list[str]:
         """Write the order facts and every dashboard once, register them as views, and require rows.
 
-        The order facts come first: the operations dashboard reads them instead of joining the tables again.
+        The operations dashboard is a projection of the written facts, so the tables are not joined again for it.
         """
         model = self.model()
-        order_facts(model).write.mode("overwrite").parquet(f"{self.folder}/views/order_facts")
         built = {
             "state_reference": model.states,
+            "order_facts": order_facts(model),
             "sales_dashboard": sales_dashboard(model),
-            "operations_dashboard": operations_dashboard(
-                self.spark.read.parquet(f"{self.folder}/views/order_facts")
-            ),
             "regional_dashboard": regional_dashboard(model),
             "data_quality_summary": quality.data_quality_summary(model.tables(), model.states),
         }
-        side_by_side(
-            self.spark, lambda n: built[n].write.mode("overwrite").parquet(f"{self.folder}/views/{n}"), built
-        )
+
+        def write(name: str) -> None:
+            built[name].write.mode("overwrite").parquet(f"{self.folder}/views/{name}")
+
+        side_by_side(self.spark, write, list(built))
+        facts = self.spark.read.parquet(f"{self.folder}/views/order_facts")
+        built["operations_dashboard"] = operations_dashboard(facts)
+        write("operations_dashboard")
         views = self.views()
         exports.require_rows({name: views[name] for name in DASHBOARDS})
         return exports.refresh_views(views)
