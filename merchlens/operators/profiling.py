@@ -219,6 +219,7 @@ def raw_value_checks(raw: Mapping[str, DataFrame]) -> DataFrame:
     def keys_without(child: str) -> Column:
         return F.count_if((F.col("n_orders") > 0) & (F.col(f"n_{child}") == 0))
 
+    # Names of the observations, in report order.
     observations = [
         observe("order_items", "price <= 0", F.count_if(F.col("price") <= 0)),
         observe("order_items", "freight_value = 0", r.equal_to("freight_value", 0)),

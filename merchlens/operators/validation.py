@@ -104,6 +104,7 @@ def validation_rules(domains: Domains = Domains()) -> list[Rule]:
     purchased, promised = "order_purchase_timestamp", "order_estimated_delivery_date"
     received = "order_delivered_customer_date"
     undated = F.count_if((F.col("order_status") == "delivered") & F.col(received).isNull())
+    # Rule names and severities, in report order.
     rules += [
         Rule("price is not negative", "order_items", CRITICAL, "order_items", r.negative("price")),
         Rule("freight_value is not negative", "order_items", CRITICAL, "order_items", r.negative("freight_value")),
