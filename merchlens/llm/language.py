@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.shared import map_batches, record, remainder
+from merchlens.llm.shared import drawn, map_batches, record, remainder
 
 UNKNOWN = "und"
 # Letter codes: 0 ends a word, 1-26 are a-z, the rest is shared by all other letters through a hash.
@@ -142,8 +142,7 @@ def fit(documents: DataFrame, settings: Settings = Settings(), learn: Column | N
     shares = usable.groupBy("lang").count().select(
         "lang", F.least(F.lit(1.0), F.lit(float(settings.per_language)) / F.col("count")).alias("share")
     )
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = usable.join(shares, "lang").where(drawn < F.col("share")).select("lang", "text")
+    sample = usable.join(shares, "lang").where(drawn("doc_id", "text") <= F.col("share")).select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("bundle", pa.list_(pa.float64()))])
 
     def work(batches):

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.shared import map_batches, record, remainder, word_pieces, written
+from merchlens.llm.shared import drawn, map_batches, record, remainder, word_pieces, written
 
 SEED = 42
 ENDINGS = 1 << 16
@@ -288,10 +288,10 @@ def _add_up(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": [key[0]], "change": [change.astype(np.float32).tobytes()], "met": [met.astype(np.float32).tobytes()]})
 
 
-def train(documents: DataFrame, v: Vocabulary, drawn: Column) -> Weights:
+def train(documents: DataFrame, v: Vocabulary, place: Column) -> Weights:
     """Weights after `rounds` distributed updates over disjoint shares of the documents.
 
-    `drawn` is a number in 0..1 per row that deals the rows to the rounds. The changes of all tasks are added up in two
+    `place` is a number in 0..1 per row that deals the rows to the rounds. The changes of all tasks are added up in two
     levels by slices of the tables, and the driver receives the sums.
     """
     s, w = v.settings, Weights.initial(v)
@@ -308,7 +308,7 @@ def train(documents: DataFrame, v: Vocabulary, drawn: Column) -> Weights:
                 for slice_number, change, met in trainer.changes():
                     yield record(schema, slice=[slice_number], salt=[salt], change=[change], met=[met])
 
-        mine = documents.where((drawn >= number * s.share) & (drawn < (number + 1) * s.share))
+        mine = documents.where((place >= number * s.share) & (place < (number + 1) * s.share))
         rows = mine.select(F.col("text").cast("string").alias("text"), F.pmod(F.spark_partition_id(), F.lit(32)).alias("salt"))
         parts = map_batches(rows, work, "slice int, salt int, change binary, met binary")
         out = "slice int, change binary, met binary"
@@ -339,8 +339,7 @@ def score(documents: DataFrame, learn: Column, settings: Settings = Settings(),
     counts = written(count_words(training), "words")
     v = vocabulary(counts, settings)
     # Rows are dealt by id and text, whatever their order.
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    w = train(training, v, drawn)
+    w = train(training, v, drawn("doc_id", "text"))
     scored = written(_score_head(rows.select("doc_id", "text"), v, w).withColumn("row", F.monotonically_increasing_id()), "scored")
 
     smoothing = settings.smoothing

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from merchlens.llm.shared import map_batches, record
+from merchlens.llm.shared import drawn, map_batches, record
 
 VECTORS_PER_INDEX = 8192
 
@@ -124,9 +124,10 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 10, settings: Setti
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size = lengths.size
     rows = rows.where(F.size("embedding") == size)
-    # At most `pivots` rows, spread by hash; equal vectors would be one pivot several times.
-    drawn = rows.select("vec_id", "embedding").orderBy(F.xxhash64(F.lit(settings.seed), "vec_id"), "vec_id").limit(settings.pivots)
-    pivots = np.unique(_collect(drawn, size)[1], axis=0)
+    # About twice `pivots` rows are drawn by hash, whatever the number of rows; equal vectors are one pivot.
+    share = 2 * settings.pivots / max(lengths["count"], 2 * settings.pivots)
+    sample = rows.where(drawn("vec_id", "embedding") <= share)
+    pivots = np.unique(_collect(sample.orderBy(F.xxhash64(F.lit(settings.seed), "vec_id"), "vec_id").limit(settings.pivots), size)[1], axis=0)
     kept = min(settings.kept, len(pivots))
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
     wanted = rows.where(is_query)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.shared import map_batches, record, remainder, text_key
+from merchlens.llm.shared import drawn, map_batches, record, remainder, text_key
 
 # Longer words are taken apart, so that one endless word costs no more than many short ones.
 LONGEST_WORD = 64
@@ -185,16 +185,17 @@ class Scorer:
 def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings(), learn: Column | None = None) -> Model:
     """A model from documents (doc_id, text) and labels (doc_id, quality 0/1).
 
-    `learn` is a condition on doc_id for the labels that may be used. The labels with the smallest hashes of doc_id are
-    the sample. Labels that are NULL or not 0/1 and ids that are NULL teach nothing; of contradicting labels of one id
+    `learn` is a condition on doc_id for the labels that may be used. A share of them is drawn by a hash of doc_id, so
+    that `sample` labels are expected; no task or driver sees all. Labels that are NULL or not 0/1 and ids that are NULL teach nothing; of contradicting labels of one id
     the lower counts. The sample's features, bounded by rows and buckets, are trained on at the driver.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     if learn is not None:
         usable = usable.where(learn)
     known = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample)
-    # At most `sample` ids, so the broadcast is bounded; rows repeating an id are cut to the same bound below.
+    share = settings.sample / max(known.count(), settings.sample)
+    # About `sample` ids, so the broadcast is bounded; rows repeating an id are cut to the bound below.
+    sample = known.where(drawn("doc_id") <= share)
     taught = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     schema = pa.schema([
         ("doc_id", pa.int64()), ("key", pa.int64()), ("label", pa.int32()),

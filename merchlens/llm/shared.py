@@ -55,6 +55,11 @@ def text_key(column: str = "text") -> Column:
     return F.when(F.col(column).isNull(), F.lit(-1).cast("long")).otherwise(F.xxhash64(F.col(column)))
 
 
+def drawn(*columns: str) -> Column:
+    """A number in 0..1 fixed by the values of columns, spread evenly over different values."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
+
+
 def byte_pieces(data: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
     """The bytes cut at ASCII white space into pieces of about `size`, so that splitting never holds a whole long text.
 
