@@ -28,11 +28,12 @@ class Settings:
     """Vector length, seed of the letter vectors, and training rows expected per language.
 
     Rows are drawn by a hash of id and text with the share per_language / rows of the language, so `per_language`
-    bounds the sample in expectation at every corpus size.
+    bounds the sample in expectation at every corpus size. More than `languages` different values are an error.
     """
 
     size: int = 1024
     seed: int = 11
+    languages: int = 2000
     per_language: int = 8000
 
 
@@ -138,11 +139,14 @@ def fit(documents: DataFrame, settings: Settings = Settings(), learn: Column | N
     usable = documents.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     if learn is not None:
         usable = usable.where(learn)
-    # One row per language; languages are names, not data, so the list is short.
-    shares = usable.groupBy("lang").count().select(
-        "lang", F.least(F.lit(1.0), F.lit(float(settings.per_language)) / F.col("count")).alias("share")
-    )
-    sample = usable.join(shares, "lang").where(drawn("doc_id", "text") <= F.col("share")).select("lang", "text")
+    # One row per language, `languages` at most, so the shares fit an expression and no text is shuffled to its language.
+    rows = {r.lang: r["count"] for r in usable.groupBy("lang").count().limit(settings.languages + 1).collect()}
+    if len(rows) > settings.languages:
+        raise ValueError(f"more than {settings.languages} different languages")
+    if not rows:
+        return Model([], np.zeros((0, settings.size), np.float32), settings)
+    shares = F.create_map(*[F.lit(v) for lang, n in sorted(rows.items()) for v in (lang, min(1.0, settings.per_language / n))])
+    sample = usable.where(drawn("doc_id", "text") <= F.element_at(shares, F.col("lang"))).select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("bundle", pa.list_(pa.float64()))])
 
     def work(batches):
@@ -158,7 +162,7 @@ def fit(documents: DataFrame, settings: Settings = Settings(), learn: Column | N
     added = parts.select("lang", F.posexplode("bundle").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
     found = added.toPandas().sort_values(["lang", "i"])
     languages = sorted(found.lang.unique().tolist())
-    prototypes = found.x.to_numpy(np.float64).reshape(len(languages), -1) if languages else np.zeros((0, settings.size))
+    prototypes = found.x.to_numpy(np.float64).reshape(len(languages), settings.size)
     return Model(languages, np.array([_unit(p) for p in prototypes], np.float32).reshape(len(languages), settings.size), settings)
 
 
