@@ -34,16 +34,16 @@ HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 class Settings:
     """Hash buckets, vector length, n-gram lengths, training rows and passes, learning rate, decision threshold.
 
-    `sample` bounds the labelled rows used for training; a row contributes at most one entry per bucket, which bounds
-    the training data however long texts are.
+    `sample` bounds the labelled rows used for training; a row contributes at most one entry of four bytes per bucket,
+    of which there are 65,536 at most, so the training data is bounded however long texts are.
     """
 
     buckets: int = 1 << 16
     size: int = 8
     shortest: int = 2
     longest: int = 4
-    sample: int = 3000
-    passes: int = 6
+    sample: int = 2000
+    passes: int = 8
     rate: float = 0.5
     threshold: float = 0.3
     seed: int = 7
@@ -93,7 +93,7 @@ def subwords(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarr
 
 
 def features(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and how often each occurs."""
+    """Distinct buckets of a text and how often each occurs, up to 65,535 times."""
     counts = np.zeros(settings.buckets)
     for words in _word_lists(text):
         if words:
@@ -102,7 +102,7 @@ def features(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarr
             often = np.fromiter(distinct.values(), np.float64, len(distinct))
             counts += np.bincount(buckets, often[owners], settings.buckets)
     found = np.flatnonzero(counts)
-    return found.astype(np.int32), counts[found].astype(np.float32)
+    return found.astype(np.uint16), np.minimum(counts[found], 0xFFFF).astype(np.uint16)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) -> Model:
@@ -114,6 +114,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) ->
     for _ in range(settings.passes):
         for i in rng.permutation(len(rows)):
             ids, counts, label = rows[i]
+            counts = counts.astype(np.float32)
             rate = settings.rate * (1 - step / steps)
             step += 1
             shares = counts / max(1.0, counts.sum())
@@ -199,7 +200,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     taught = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     schema = pa.schema([
         ("doc_id", pa.int64()), ("key", pa.int64()), ("label", pa.int32()),
-        ("ids", pa.list_(pa.int32())), ("counts", pa.list_(pa.float32())),
+        ("ids", pa.binary()), ("counts", pa.binary()),
     ])
 
     def work(batches):
@@ -207,21 +208,15 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
             pairs = [features(t, settings) for t in batch.column(3).to_pylist()]
             yield record(
                 schema, doc_id=batch.column(0), key=batch.column(1), label=batch.column(2),
-                ids=[p[0] for p in pairs], counts=[p[1] for p in pairs],
+                ids=[p[0].tobytes() for p in pairs], counts=[p[1].tobytes() for p in pairs],
             )
 
     rows = map_batches(
         taught.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "label", F.col("text").cast("string").alias("text")),
-        work, "doc_id long, key long, label int, ids array<int>, counts array<float>",
-    )
-    found = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(settings.sample).toArrow().combine_chunks()
-    return train(
-        [
-            (ids.values.to_numpy(zero_copy_only=False), counts.values.to_numpy(zero_copy_only=False), label)
-            for ids, counts, label in zip(found.column("ids"), found.column("counts"), found.column("label").to_pylist())
-        ],
-        settings,
+        work, "doc_id long, key long, label int, ids binary, counts binary",
     )
+    found = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(settings.sample).select("ids", "counts", "label").collect()
+    return train([(np.frombuffer(r.ids, np.uint16), np.frombuffer(r.counts, np.uint16), r.label) for r in found], settings)
 
 
 def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:
