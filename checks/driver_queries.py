@@ -230,7 +230,7 @@ def queries() -> dict[str, Query]:
     result["cleaning_summary"] = _cleaned(cleaning.cleaning_summary)
     result["cleaning_actions"] = _cleaned(cleaning.cleaning_actions)
     result["missing_value_report"] = _clean_data(
-        lambda data: cleaning.missing_value_report(data).drop("reason")
+        cleaning.missing_value_report
     )
 
     # Validation

@@ -68,9 +68,11 @@ raw_order_items AS (
            'P' || product_id AS product_id, 'S' || seller_id AS seller_id,
            {_stamp('ship_limit')} AS shipping_limit_date,
            CASE WHEN product_id % 50 = 0 THEN '-' || CAST(price_c / 100.0 AS DECIMAL(18,2))
-                WHEN product_id % 53 = 0 THEN 'abc'
+                WHEN product_id % 53 = 0 THEN 'abc' WHEN product_id % 59 = 1 THEN '-0.004'
+                WHEN product_id % 61 = 1 THEN '0.004' WHEN product_id % 67 = 1 THEN '10.005'
+                WHEN product_id % 71 = 1 THEN '123456789.5'
                 ELSE CAST(CAST(price_c / 100.0 AS DECIMAL(18,2)) AS VARCHAR) END AS price,
-           CASE WHEN product_id % 7 = 0 THEN '0'
+           CASE WHEN product_id % 7 = 0 THEN '0' WHEN product_id % 73 = 1 THEN '0.004'
                 ELSE CAST(CAST(freight_c / 100.0 AS DECIMAL(18,2)) AS VARCHAR) END AS freight_value
     FROM lines
   ), (VALUES (1), (2)) AS copies(i) WHERE i = 1 OR k % 100 = 1
@@ -110,6 +112,11 @@ def _moment(column: str) -> str:
 
 
 def _amount(column: str) -> str:
+    """The number as written; rows are tested on it before it is rounded."""
+    return f"try_cast({column} AS DECIMAL(38,18))"
+
+
+def _fitted(column: str) -> str:
     return f"try_cast({column} AS DECIMAL(10,2))"
 
 
@@ -156,16 +163,17 @@ s_orders AS (
   SELECT *, {_fold('order_status')} AS c_status, {orders}, keyed AS kept FROM {_distinct('orders')}
 ),
 s_order_items AS (
-  SELECT *, keyed AND NOT coalesce(c_price < 0, FALSE) AND NOT coalesce(c_freight < 0, FALSE) AS kept FROM (
-    SELECT *, {_whole('order_item_id')} AS c_item, {_amount('price')} AS c_price,
-           {_amount('freight_value')} AS c_freight, {_moment('shipping_limit_date')} AS c_limit
+  SELECT *, keyed AND NOT coalesce(e_price < 0, FALSE) AND NOT coalesce(e_freight < 0, FALSE) AS kept,
+         {_fitted('e_price')} AS c_price, {_fitted('e_freight')} AS c_freight FROM (
+    SELECT *, {_whole('order_item_id')} AS c_item, {_amount('price')} AS e_price,
+           {_amount('freight_value')} AS e_freight, {_moment('shipping_limit_date')} AS c_limit
     FROM {_distinct('order_items')})
 ),
 s_payments AS (
   SELECT *, CASE WHEN w_installments > 0 THEN w_installments END AS c_installments,
-         keyed AND NOT coalesce(c_value < 0, FALSE) AS kept FROM (
+         keyed AND NOT coalesce(e_value < 0, FALSE) AS kept, {_fitted('e_value')} AS c_value FROM (
     SELECT *, {_fold('payment_type')} AS c_type, {_whole('payment_sequential')} AS c_seq,
-           {_whole('payment_installments')} AS w_installments, {_amount('payment_value')} AS c_value
+           {_whole('payment_installments')} AS w_installments, {_amount('payment_value')} AS e_value
     FROM {_distinct('payments')})
 ),
 s_products AS (
@@ -348,7 +356,13 @@ def _actions() -> dict[str, list[tuple[str, str, bool]]]:
         name = NUMBERS.get(raw, raw)
         return f"{name}: non-numeric values set to NULL", f"keyed AND {lost.format(raw=raw, new=new)}", True
 
+    def fitted(*columns: tuple[str, str]) -> list[tuple[str, str, bool]]:
+        rounded = [(f"{n}: rounded to 2 decimals", f"kept AND e_{c} <> c_{c}", True) for n, c in columns]
+        large = "{}: values too large for the column set to NULL"
+        return rounded + [(large.format(n), f"kept AND e_{c} IS NOT NULL AND c_{c} IS NULL", True) for n, c in columns]
+
     english = "product_category_name_english"
+    # The labels of the audit's actions.
     return {
         "customers": [
             ("customer_city: whitespace/case standardised", "keyed AND customer_city <> c_city", True),
@@ -364,24 +378,26 @@ def _actions() -> dict[str, list[tuple[str, str, bool]]]:
         ],
         "order_items": [
             number("order_item_id", "c_item"),
-            number("price", "c_price"),
-            number("freight_value", "c_freight"),
+            number("price", "e_price"),
+            number("freight_value", "e_freight"),
             ("shipping_limit_date: unparseable dates set to NULL",
              f"keyed AND {lost.format(raw='shipping_limit_date', new='c_limit')}", True),
             ("Rows with negative price / freight_value removed", "keyed AND NOT kept", False),
-            ("Info: freight_value = 0 kept (free shipping is plausible)", "kept AND c_freight = 0", False),
+            ("Info: freight_value = 0 kept (free shipping is plausible)", "kept AND e_freight = 0", False),
             ("Info: shipping_limit_date after 2018 kept (seller SLA date, not used in KPIs)",
              "kept AND year(c_limit) > 2018", False),
+            *fitted(("price", "price"), ("freight_value", "freight")),
         ],
         "payments": [
             ("payment_type: whitespace/case standardised", "keyed AND payment_type <> c_type", True),
             number("payment_sequential", "c_seq"),
             number("payment_installments", "w_installments"),
-            number("payment_value", "c_value"),
+            number("payment_value", "e_value"),
             ("Rows with negative payment_value removed", "keyed AND NOT kept", False),
             ("payment_installments: values <= 0 set to NULL", "kept AND w_installments <= 0", True),
-            ("Info: payment_value = 0 kept (e.g. fully voucher-paid)", "kept AND c_value = 0", False),
+            ("Info: payment_value = 0 kept (e.g. fully voucher-paid)", "kept AND e_value = 0", False),
             ("Info: payment_type = 'not_defined' kept", "kept AND c_type = 'not_defined'", False),
+            *fitted(("payment_value", "value")),
         ],
         "products": [
             ("product_category_name: whitespace/case standardised",

@@ -83,8 +83,11 @@ def _order_items(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("P"), _text(sold)).alias("product_id"),
         F.concat(F.lit("S"), _text(F.col("seller_id"))).alias("seller_id"),
         _stamp(F.col("shipping_limit_date")).alias("shipping_limit_date"),
-        F.when(sold % 50 == 0, F.concat(F.lit("-"), price)).when(sold % 53 == 0, "abc").otherwise(price).alias("price"),
-        F.when(sold % 7 == 0, "0").otherwise(freight).alias("freight_value"),
+        F.when(sold % 50 == 0, F.concat(F.lit("-"), price)).when(sold % 53 == 0, "abc")
+        # Too small to be seen after rounding, half a cent, and more than the column holds.
+        .when(sold % 59 == 1, "-0.004").when(sold % 61 == 1, "0.004").when(sold % 67 == 1, "10.005")
+        .when(sold % 71 == 1, "123456789.5").otherwise(price).alias("price"),
+        F.when(sold % 7 == 0, "0").when(sold % 73 == 1, "0.004").otherwise(freight).alias("freight_value"),
     )
     return _repeated(order_items, F.col("l_partkey") % 100 == 1)
 

@@ -46,10 +46,13 @@ def is_number(column: str) -> Column:
     return F.col(column).rlike(NUMBER_PATTERN)
 
 
-def parse_amount(column: str, precision: int = 10, scale: int = 2) -> Column:
-    """Decimal amount; text that is not a number, or does not fit, becomes NULL."""
+def parse_amount(column: str) -> Column:
+    """The number as written, up to 20 digits before and 18 after the point; text that is not one becomes NULL.
+
+    Signs and zeros are tested on this value: rounded to the column's two decimals, -0.004 would be neither.
+    """
     trimmed = F.trim(F.regexp_replace(F.col(column), r"(?U)\s+", " "))
-    return F.when(is_number(column), trimmed.try_cast(f"decimal({precision},{scale})"))
+    return F.when(is_number(column), trimmed.try_cast("decimal(38,18)"))
 
 
 def parse_whole(column: str) -> Column:

@@ -30,7 +30,7 @@ from merchlens.session import build_session
 from merchlens.sources import clean_store, exports
 from merchlens.sources.jobs import side_by_side
 from merchlens.sources.raw_csv import RawFolder
-from merchlens.sources.schemas import CLEAN_DATASETS
+from merchlens.sources.schemas import CLEAN_DATASETS, ROW_ORDER
 from merchlens.sources.states import state_reference
 
 DASHBOARDS = ("sales_dashboard", "operations_dashboard", "regional_dashboard", "data_quality_summary")
@@ -60,22 +60,36 @@ class Run:
 
     # ---- tables handed from step to step
 
-    def raw_tables(self) -> dict[str, DataFrame]:
-        """The raw datasets as ingested by `check_raw_data`, which is run first where it has not been."""
+    def raw_tables(self, ordered: bool = False) -> dict[str, DataFrame]:
+        """The raw datasets as ingested by `check_raw_data`, which runs first where the files as they are now have not been.
+
+        The ingested copy is named after the files' sizes and times, so a step never reads that of older files.
+        `ordered` keeps the place of each row.
+        """
+        folder = f"{self.folder}/raw/{self.raw.fingerprint(self.spark)}"
+        if not self._complete(folder):
+            self.check_raw_data()
+        tables = {name: self.spark.read.parquet(f"{folder}/{name}") for name in self.raw.files}
+        return tables if ordered else {name: table.drop(ROW_ORDER) for name, table in tables.items()}
+
+    def _complete(self, folder: str) -> bool:
+        """Whether every table of a folder was written; the marker comes last."""
         try:
-            return self._ingested()
+            return not self.spark.read.parquet(f"{folder}/complete").isEmpty()
         except AnalysisException:
-            self.check_raw_data()
-            return self._ingested()
+            return False
 
-    def _ingested(self) -> dict[str, DataFrame]:
-        return {name: self.spark.read.parquet(f"{self.folder}/raw/{name}") for name in self.raw.files}
+    def _mark_complete(self, folder: str) -> None:
+        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{folder}/complete")
 
     def clean(self) -> dict[str, DataFrame]:
-        """The clean tables: the surviving rows staged by `clean_data`, without the staging columns."""
+        """The clean tables of the files as they are now: the rows `clean_data` keeps, without the staging columns."""
+        folder = f"{self.folder}/staged/{self.raw.fingerprint(self.spark)}"
+        if not self._complete(folder):
+            self.clean_data()
         tables = {}
         for name in CLEAN_DATASETS:
-            staged = self.spark.read.parquet(f"{self.folder}/staged/{name}")
+            staged = self.spark.read.parquet(f"{folder}/{name}")
             kept = [column for column in staged.columns if not column.startswith("_")]
             tables[name] = staged.where(cleaning.KEPT).select(*kept)
         return tables
@@ -103,9 +117,12 @@ class Run:
         The text is parsed once and kept unchanged in columns, so that profiling and cleaning, which read every
         dataset several times, each read only the columns they need.
         """
+        folder = f"{self.folder}/raw/{self.raw.fingerprint(self.spark)}"
         sizes = self.raw.check(self.spark)
-        raw = self.raw.read_all(self.spark)
-        side_by_side(self.spark, lambda n: raw[n].write.mode("overwrite").parquet(f"{self.folder}/raw/{n}"), raw)
+        # Only repeated translations are told apart by their place.
+        raw = {name: self.raw.read(self.spark, name, ordered=name == "category_translation") for name in self.raw.files}
+        side_by_side(self.spark, lambda n: raw[n].write.mode("overwrite").parquet(f"{folder}/{n}"), raw)
+        self._mark_complete(folder)
         return sizes
 
     def profile_data(self) -> dict[str, int]:
@@ -126,10 +143,10 @@ class Run:
         return {row.dataset: row.row_count for row in written.collect()}
 
     def clean_data(self) -> dict[str, dict[str, int]]:
-        tables = cleaning.clean_all(self.raw_tables())
-        staged = dict(
-            zip(tables, side_by_side(self.spark, lambda n: tables[n].stage(f"{self.folder}/staged/{n}"), tables))
-        )
+        folder = f"{self.folder}/staged/{self.raw.fingerprint(self.spark)}"
+        tables = cleaning.clean_all(self.raw_tables(ordered=True))
+        staged = dict(zip(tables, side_by_side(self.spark, lambda n: tables[n].stage(f"{folder}/{n}"), tables)))
+        self._mark_complete(folder)
         summary = cleaning.cleaning_summary(staged)
         clean = {name: table.data for name, table in staged.items()}
         reports = {

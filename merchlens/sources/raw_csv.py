@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from merchlens.sources.schemas import RAW_COLUMNS, RAW_FILES
+from merchlens.sources.jobs import side_by_side
+from merchlens.sources.schemas import RAW_COLUMNS, RAW_FILES, ROW_ORDER
+
+MALFORMED = "_malformed"
 
 
 class RawDataError(Exception):
@@ -20,39 +25,70 @@ class RawDataError(Exception):
 class RawFolder:
     """A folder of raw datasets, each a CSV file, a glob of files or a sub-folder of part files.
 
-    `multiline` allows line breaks inside quoted fields, which makes a file one unit of work; turn it off for
-    sources known to have none, so that large files are split between tasks.
+    `multiline` allows line breaks inside quoted fields, which makes a file one unit of work. Without it, large files
+    are split between tasks and a quoted line break shows as rows with too few fields, which `check` reports.
     """
 
     path: str
     files: Mapping[str, str] = field(default_factory=lambda: dict(RAW_FILES))
-    multiline: bool = True
+    multiline: bool = False
 
     def location(self, dataset: str) -> str:
         if dataset not in self.files:
             raise KeyError(f"Unknown dataset '{dataset}'. Expected one of: {sorted(self.files)}")
         return f"{self.path.rstrip('/')}/{self.files[dataset]}"
 
-    def read(self, spark: SparkSession, dataset: str) -> DataFrame:
+    def read(self, spark: SparkSession, dataset: str, ordered: bool = False) -> DataFrame:
         """All columns of one dataset as text, named after its header.
 
         Without schema inference only the header is read here. `enforceSchema=false` makes every part file
-        prove that its header agrees, instead of being read by position.
+        prove that its header agrees, instead of being read by position. `ordered` adds the place of each row in the
+        files, taken in order of their paths.
         """
+        data = self._reader(spark).csv(self.location(dataset))
+        if not ordered:
+            return data
+        # Within a split the id grows from row to row, whatever order the splits are read in.
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+        return data.select("*", place.alias(ROW_ORDER))
+
+    def malformed(self, spark: SparkSession, dataset: str) -> int:
+        """How many rows have more or fewer fields than the header."""
+        header = self.read(spark, dataset).schema
+        schema = T.StructType([*header.fields, T.StructField(MALFORMED, T.StringType())])
+        # Without pruning, since a parser that skips fields does not miss any.
+        reader = self._reader(spark).schema(schema).option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+        data = reader.csv(self.location(dataset))
+        every = [F.count(F.col(f"`{f.name}`")) for f in header.fields]
+        counted = data.agg(F.count_if(F.col(MALFORMED).isNotNull()).alias("rows"), *every)
+        return counted.first().rows
+
+    def fingerprint(self, spark: SparkSession) -> str:
+        """Changes whenever a file is added, removed, grown, shortened or written again."""
+        digest = hashlib.sha256(f"{self.multiline}".encode())
+        for dataset in sorted(self.files):
+            try:
+                listed = spark.read.format("binaryFile").load(self.location(dataset)).select("path", "length", "modificationTime")
+                files = sorted((r.path, r.length, str(r.modificationTime)) for r in listed.collect())
+            except AnalysisException:
+                files = []
+            digest.update(repr((dataset, files)).encode())
+        return digest.hexdigest()[:32]
+
+    def _reader(self, spark: SparkSession) -> DataFrameReader:
         return (
             spark.read.option("header", True)
             .option("escape", '"')
             .option("multiLine", self.multiline)
             .option("enforceSchema", False)
             .option("encoding", "UTF-8")
-            .csv(self.location(dataset))
         )
 
     def read_all(self, spark: SparkSession, datasets: Iterable[str] | None = None) -> dict[str, DataFrame]:
         return {dataset: self.read(spark, dataset) for dataset in self._names(datasets)}
 
     def check(self, spark: SparkSession, datasets: Iterable[str] | None = None) -> dict[str, int]:
-        """Size in bytes per dataset; raises once with every problem found."""
+        """Size in bytes per dataset; raises once with every problem found, rows with a wrong number of fields included."""
         sizes: dict[str, int] = {}
         problems: list[str] = []
         for dataset in self._names(datasets):
@@ -68,6 +104,8 @@ class RawFolder:
                     problems.append(f"{dataset}: missing expected columns {absent}")
                 else:
                     sizes[dataset] = size
+        counts = side_by_side(spark, lambda dataset: self.malformed(spark, dataset), sizes)
+        problems += [f"{dataset}: {rows} rows with too many or too few fields" for dataset, rows in zip(sizes, counts) if rows]
         if problems:
             raise RawDataError("Raw data check failed:\n" + "\n".join(problems))
         return sizes

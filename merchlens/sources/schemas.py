@@ -104,3 +104,6 @@ CLEAN_SCHEMAS: dict[str, T.StructType] = {
         ("payment_value", AMOUNT),
     ),
 }
+
+# Where rows were read in order, their place: file, first byte of the split, number within it.
+ROW_ORDER = "_row_order"

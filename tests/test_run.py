@@ -80,3 +80,13 @@ def test_warnings_do_not_stop_the_run(spark, tmp_path):
     report = r.run(batch, ["clean_data", "validate_data", "load_tables"])
     assert report["validate_data"] == {"PASS": 41, "WARNING": 3}
     assert report["load_tables"]["orders"] == 3
+
+
+def test_a_step_reads_the_files_as_they_are_now(spark, tmp_path):
+    raw = write_raw(tmp_path / "raw")
+    batch = r.Run(spark, raw, str(tmp_path / "work"))
+    assert r.run(batch, ["clean_data"])["clean_data"]["customers"]["rows_after"] == 2
+    with (tmp_path / "raw" / "customers.csv").open("a") as file:
+        file.write("c9,u9,04000,recife,PE\n")
+    assert batch.clean()["customers"].count() == 3
+    assert r.run(batch, ["profile_data"])["profile_data"]["customers"] == 3

@@ -33,7 +33,7 @@ def test_every_column_is_text_and_only_empty_is_missing(spark, tmp_path):
         'c1,NA,01310,"são ""paulo"", sp",\n'
         'c2,"",null, x ,"two\nlines"\n',
     )
-    rows = RawFolder(str(tmp_path), {"customers": "customers.csv"}).read(spark, "customers").collect()
+    rows = RawFolder(str(tmp_path), {"customers": "customers.csv"}, multiline=True).read(spark, "customers").collect()
     assert list(rows[0]) == ["c1", "NA", "01310", 'são "paulo", sp', None]
     assert list(rows[1]) == ["c2", None, "null", " x ", "two\nlines"]
 
@@ -166,3 +166,39 @@ def test_state_reference(spark):
     for row in rows:
         regions[row.macro_region] = regions.get(row.macro_region, 0) + 1
     assert regions == {"North": 7, "Northeast": 9, "Center-West": 4, "Southeast": 4, "South": 3}
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_rows_with_a_wrong_number_of_fields_are_reported(spark, tmp_path, multiline):
+    header = ",".join(RAW_COLUMNS["customers"])
+    folder = raw_folder(
+        tmp_path, customers=f"{header}\na,b,c,d,e,f\na,b\na,b,c,d,e\n", payments="order_id\n1\n",
+    )
+    with pytest.raises(RawDataError) as error:
+        RawFolder(folder.path, folder.files, multiline).check(spark)
+    assert "customers: 2 rows with too many or too few fields" in str(error.value)
+    assert "payments: missing expected columns" in str(error.value)
+
+
+def test_a_quoted_line_break_needs_the_multiline_mode(spark, tmp_path):
+    header = ",".join(RAW_COLUMNS["customers"])
+    folder = raw_folder(tmp_path, customers=f'{header}\na,b,c,"sao\npaulo",e\n')
+    with pytest.raises(RawDataError, match="customers: 2 rows"):
+        folder.check(spark)
+    whole = RawFolder(folder.path, folder.files, multiline=True)
+    assert whole.check(spark)["customers"] > 0
+    assert whole.read(spark, "customers").first().customer_city == "sao\npaulo"
+
+
+@pytest.mark.parametrize("long_part", ["a", "b"])
+def test_the_last_translation_of_the_last_file_wins(spark, tmp_path, long_part):
+    from merchlens.operators.cleaning import translation_lookup
+
+    (tmp_path / "t").mkdir()
+    for part in ("a", "b"):
+        filler = "".join(f"name{i},x\n" for i in range(3000 if part == long_part else 1))
+        text = f"product_category_name,product_category_name_english\npc,{part}1\n{filler}pc,{part}2\n"
+        write_file(tmp_path / "t", f"{part}.csv", text)
+    folder = RawFolder(str(tmp_path), {"category_translation": "t"})
+    lookup = translation_lookup(folder.read(spark, "category_translation", ordered=True))
+    assert lookup.where("category_key = 'pc'").first().english == "b2"
