@@ -76,8 +76,8 @@ def reputations(pages: DataFrame, outcomes: DataFrame, settings: Settings = Sett
 
     `outcomes` has page_id and bad (0/1); pages without outcome and NULL outcomes count as unlabelled, and an id that
     occurs several times on either side counts once per page row, with its worst outcome. mean and bound are the
-    posterior mean of the host's rate of bad pages and its lower bound. Without any outcome the rate is one half with
-    the weakest prior.
+    posterior mean of the host's rate of bad pages and its lower bound. Without any outcome the rate is one half, with
+    the weight of the weakest prior.
     """
     worst = outcomes.where("bad IN (0, 1)").groupBy("page_id").agg(F.max("bad").alias("bad"))
     host = host_of()
@@ -90,23 +90,36 @@ def reputations(pages: DataFrame, outcomes: DataFrame, settings: Settings = Sett
     )
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    half = F.lit(settings.weakest / 2)
     world = suffixes.agg(
-        F.when(F.sum("labelled") > 0, F.sum("bad") / F.sum("labelled")).otherwise(F.lit(0.5)).alias("prior")
+        (half + F.coalesce(F.sum("bad"), F.lit(0))).alias("a"), (half + F.coalesce(F.sum(F.col("labelled") - F.col("bad")), F.lit(0))).alias("b")
+    )
+    top = _shrunk(suffixes.crossJoin(F.broadcast(world)), settings).select("suffix", "a", "b")
+    middle = _shrunk(domains.join(top, "suffix"), settings).select("domain", "a", "b")
+    shrunk = _shrunk(hosts.join(middle, "domain"), settings)
+    a, b = F.col("a"), F.col("b")
+    mean = a / (a + b)
+    deviation = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
+    return shrunk.select(
+        "host", "domain", "suffix", "labelled", "bad", mean.alias("mean"),
+        F.greatest(F.lit(0.0), mean - settings.deviations * deviation).alias("bound"),
     )
-    top = _shrunk(suffixes.crossJoin(F.broadcast(world)), settings).select("suffix", F.col("mean").alias("prior"))
-    middle = _shrunk(domains.join(top, "suffix"), settings).select("domain", F.col("mean").alias("prior"))
-    return _shrunk(hosts.join(middle, "domain"), settings).select("host", "domain", "suffix", "labelled", "bad", "mean", "bound")
 
 
 def _shrunk(groups: DataFrame, settings: Settings) -> DataFrame:
-    """Posterior of each group given `prior`, the mean of its parent, with mean and lower bound.
+    """The groups with (a, b) of their beta posteriors in place of those of their parents.
 
-    The spread of beta-binomial counts k of n around a mean m is n m (1 - m) (1 + (n - 1) r); the common r of a level
-    is found by moments over its groups, and 1 / r - 1 is the strength of the prior in pages.
+    A group's prior is its parent's posterior without the group's own pages, so none counts twice; it weighs as many
+    pages as groups of the level resemble each other, but never more than the parent's evidence. The spread of
+    beta-binomial counts k of n around a mean m is n m (1 - m) (1 + (n - 1) r); the common r of a level is found by
+    moments over its groups, and 1 / r - 1 is the strength in pages.
     """
-    n, k, m = F.col("labelled").cast("double"), F.col("bad").cast("double"), F.col("prior")
+    n, k = F.col("labelled").cast("double"), F.col("bad").cast("double")
+    others = F.col("a") + F.col("b") - n
+    placed = groups.withColumn("others", others).withColumn("prior", (F.col("a") - k) / others)
+    m = F.col("prior")
     plain = n * m * (1 - m)
-    moments = groups.agg(
+    moments = placed.agg(
         F.sum((k - n * m) * (k - n * m) - plain).alias("excess"), F.sum((n - 1) * plain).alias("scale")
     ).select(
         F.greatest(
@@ -117,13 +130,11 @@ def _shrunk(groups: DataFrame, settings: Settings) -> DataFrame:
                     F.col("scale") > 0, F.lit(settings.strongest)
                 ).otherwise(F.lit(settings.weakest)),
             ),
-        ).alias("strength")
+        ).alias("level")
     )
-    joined = groups.crossJoin(F.broadcast(moments))
-    a, b = F.col("strength") * m + k, F.col("strength") * (1 - m) + n - k
-    mean = a / (a + b)
-    deviation = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return joined.withColumn("mean", mean).withColumn("bound", F.greatest(F.lit(0.0), mean - settings.deviations * deviation))
+    strength = F.least(F.col("level"), F.col("others"))
+    joined = placed.crossJoin(F.broadcast(moments)).withColumn("strength", strength)
+    return joined.withColumn("a", F.col("strength") * m + k).withColumn("b", F.col("strength") * (1 - m) + n - k)
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], settings: Settings = Settings()) -> DataFrame:
