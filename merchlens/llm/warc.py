@@ -50,7 +50,8 @@ def plan_records(pages: DataFrame, settings: Settings = Settings()) -> DataFrame
     keyed = rows.withColumn("digest", F.unhex(F.sha1("body"))).withColumn("bytes", F.octet_length("body"))
     # Only payloads that occur again are joined back; they are counted without their bodies.
     again = keyed.groupBy("digest", "bytes").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n"))
-    again = again.where((F.col("n") > 1) & (F.col("bytes") >= settings.least)).select("digest", "bytes", "kept")
+    # Written first, so that its size is known and the bodies are shuffled only if it is large.
+    again = written(again.where((F.col("n") > 1) & (F.col("bytes") >= settings.least)).select("digest", "bytes", "kept"), "payloads")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("kept")), F.col("kept"))
     return keyed.join(again, ["digest", "bytes"], "left").select("page_id", "url", "body", "digest", refers.alias("refers_to"))
 
