@@ -28,7 +28,7 @@ class Settings:
 
     pivots: int = 512
     kept: int = 96
-    reranked: float = 0.15
+    reranked: float = 0.25
     queries: int = 4096
     seed: int = 3
 
