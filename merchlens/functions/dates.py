@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the one timestamp format of the source files.
-SOURCE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 
 def micros_between(start: str, end: str) -> Column:
     """Microseconds from `start` to `end`, as a decimal so that sums over many orders cannot overflow."""

@@ -1,10 +1,11 @@
 """Exact interpolated quantiles without gathering all values in one task.
 
 Spark's own exact percentile ships every distinct value to a single reducer. Here the values are first counted
-(a normal shuffle with map-side combine), then located in two steps: a window over coarse buckets of 2**24
-consecutive whole values finds the bucket that holds each wanted rank, and a second window runs only over the
-distinct values of those buckets. For values spanning at most 2**48 (nine years in microseconds, trillions in
-cents) no step holds more than 2**24 rows, however many rows the input has.
+(a normal shuffle with map-side combine), then located in three steps: a window over buckets of 2**32 consecutive
+whole values finds the bucket that holds each wanted rank, a second one over the buckets of 2**16 values inside it
+narrows that down, and a third runs over the distinct values that are left. For values spanning at most 2**48 (nine
+years in microseconds, trillions in cents) no window partition holds more than 2**16 rows, however many rows the input
+has.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql.window import Window
 
 from merchlens.functions.numbers import WHOLE, exact_ratio
 
-BUCKET_BITS = 24
+# Widths of the buckets, in bits, from the first step to the second.
+COARSE_BITS, FINE_BITS = 32, 16
 
 
 def exact_distribution(values: DataFrame, value: str, points: dict[str, str]) -> DataFrame:
@@ -33,7 +35,8 @@ def exact_distribution(values: DataFrame, value: str, points: dict[str, str]) ->
         .where(F.col("v").isNotNull())
         .groupBy("v")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", F.shiftright("v", BUCKET_BITS))
+        .withColumn("bucket", F.shiftright("v", COARSE_BITS))
+        .withColumn("sub_bucket", F.shiftright("v", FINE_BITS))
     )
     weighted = F.col("v").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)")
     coarse = counted.groupBy("bucket").agg(
@@ -53,23 +56,28 @@ def exact_distribution(values: DataFrame, value: str, points: dict[str, str]) ->
         F.min("bucket_min").over(everything).alias("value_min"),
         F.max("bucket_max").over(everything).alias("value_max"),
     )
-    holds_rank = None
+    holds_rank = F.lit(False)
     for fraction in wanted.values():
         for rank in _ranks(fraction):
-            here = (rank >= F.col("rows_below")) & (rank < F.col("rows_through"))
-            holds_rank = here if holds_rank is None else holds_rank | here
-    # At most two buckets per quantile remain.
+            holds_rank = holds_rank | ((rank >= F.col("rows_below")) & (rank < F.col("rows_through")))
+    # At most two buckets per quantile remain after each step.
     chosen = placed.where(holds_rank)
 
-    # Null-safe equality keeps both uses of the counted values identical, so their shuffle is run once.
+    # Null-safe equality keeps all uses of the counted values identical, so their shuffle is run once.
     fine = counted.join(F.broadcast(chosen), F.col("bucket").eqNullSafe(F.col("rank_bucket")))
-    inside = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = fine.select(
+    totals = ("total", "value_sum", "value_min", "value_max")
+    per_sub = fine.groupBy("bucket", "sub_bucket", "rows_below", *totals).agg(F.sum("n").alias("sub_n"))
+    along = Window.partitionBy("bucket").orderBy("sub_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    through = F.col("rows_below") + F.sum("sub_n").over(along)
+    narrowed = per_sub.select(
+        F.col("sub_bucket").alias("rank_bucket"), *totals, (through - F.col("sub_n")).alias("rows_below"), through.alias("rows_through")
+    ).where(holds_rank)
+
+    finest = counted.join(F.broadcast(narrowed), F.col("sub_bucket").eqNullSafe(F.col("rank_bucket")))
+    inside = Window.partitionBy("sub_bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = finest.select(
         "v",
-        "total",
-        "value_sum",
-        "value_min",
-        "value_max",
+        *totals,
         (F.col("rows_below") + F.sum("n").over(inside) - F.col("n")).alias("first_rank"),
         (F.col("rows_below") + F.sum("n").over(inside)).alias("next_rank"),
     )
@@ -92,16 +100,20 @@ def quantile_value(column: str, point: str, unit: int, digits: int = 2) -> Colum
     return exact_ratio(F.col(column), F.lit(denominator * unit).cast(WHOLE), digits)
 
 
-def twice_median(value: Column) -> Column:
-    """Window expression: twice the median of one value per group row.
+def with_twice_median(groups: DataFrame, value: Column, name: str) -> DataFrame:
+    """`groups` with one more column: twice the median of `value` over all rows, NULL where there is none.
 
-    For already grouped results only (one row per state); `value` must be whole.
+    For already grouped results only (one row per state), which are ranked in one window. Memory and time grow with
+    the groups, not with their square; `value` must be whole.
     """
-    listed = F.sort_array(F.collect_list(value).over(Window.partitionBy()))
-    size = F.size(listed)
-    low = F.try_element_at(listed, F.ceil(size / 2).cast("int"))
-    high = F.try_element_at(listed, (F.floor(size / 2) + 1).cast("int"))
-    return F.when(size > 0, low + high)
+    everything = Window.partitionBy()
+    # Filled values take the first places.
+    place = F.row_number().over(Window.orderBy(value.asc_nulls_last()))
+    ranked = groups.select("*", place.alias("_place"), F.count(value).over(everything).alias("_filled"))
+    low = F.when(F.col("_place") == F.ceil(F.col("_filled") / 2), value)
+    high = F.when(F.col("_place") == F.floor(F.col("_filled") / 2) + 1, value)
+    doubled = F.sum(low).over(everything) + F.sum(high).over(everything)
+    return ranked.select("*", F.when(F.col("_filled") > 0, doubled).alias(name)).drop("_place", "_filled")
 
 
 def _scaled_rank(fraction: Fraction) -> Column:

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from merchlens.functions.numbers import percent
 from merchlens.functions.text import NUMBER_PATTERN, parse_amount, parse_timestamp
@@ -125,11 +124,11 @@ def profile_dataset(dataset: str, raw: DataFrame, key: Sequence[str] | None = No
     )
 
 
-def profile_all(raw: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Dataset profiles and column profiles of several tables."""
+def profile_all(raw: Mapping[str, DataFrame], exact_unique: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Dataset profiles and column profiles of several tables; see `profile_columns` for `exact_unique`."""
     datasets, columns = None, None
     for name, data in raw.items():
-        one, many = profile_dataset(name, data), profile_columns(name, data)
+        one, many = profile_dataset(name, data), profile_columns(name, data, exact_unique)
         datasets = one if datasets is None else datasets.unionByName(one)
         columns = many if columns is None else columns.unionByName(many)
     return datasets, columns
@@ -155,8 +154,10 @@ def missing_values(columns: DataFrame) -> DataFrame:
 def status_distribution(orders: DataFrame) -> DataFrame:
     """Orders per status with their share; a missing status is a group of its own."""
     grouped = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"))
-    return grouped.select(
-        "order_status", "orders", percent(F.col("orders"), F.sum("orders").over(Window.partitionBy())).alias("pct")
+    # One row; raw status text may have any number of groups.
+    total = grouped.agg(F.sum("orders").alias("all_orders"))
+    return grouped.crossJoin(F.broadcast(total)).select(
+        "order_status", "orders", percent(F.col("orders"), F.col("all_orders")).alias("pct")
     ).orderBy(F.desc("orders"), "order_status")
 
 

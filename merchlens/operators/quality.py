@@ -22,7 +22,7 @@ PROMISED = "order_estimated_delivery_date"
 def quality_scopes(data: Mapping[str, DataFrame], states: DataFrame) -> dict[str, DataFrame]:
     """What the checks are measured on: each table is read once for its own checks and once for its keys."""
     last_purchase = data["orders"].agg(F.max(PURCHASED).alias("last_purchase"))
-    known = states.select(F.col("state_code").alias("customer_state"), F.lit(True).alias("known_state"))
+    known = states.select(F.col("state_code").alias("customer_state"), F.lit(True).alias("known_state")).distinct()
     folded = F.lower(F.trim("product_category_name"))
     return {
         "customers": data["customers"].join(known, "customer_state", "left"),

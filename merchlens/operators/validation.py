@@ -236,6 +236,13 @@ def publish_constraints() -> list[Rule]:
     return rules
 
 
+def check_everything(data: Mapping[str, DataFrame], domains: Domains = Domains()) -> DataFrame:
+    """The rows of `validate` and of `check_constraints`, told apart by `is_rule`, from one evaluation of each scope."""
+    rules = validation_rules(domains)
+    found = _report([*rules, *publish_constraints()], data).withColumn("is_rule", F.col("position") <= len(rules))
+    return found.withColumn("position", F.when(F.col("is_rule"), F.col("position")).otherwise(F.col("position") - len(rules)))
+
+
 def check_constraints(data: Mapping[str, DataFrame]) -> DataFrame:
     """One row per publish constraint, same columns as `validate`."""
     return _report(publish_constraints(), data)

@@ -11,8 +11,9 @@ from pyspark.sql.window import Window
 
 from merchlens.functions import metrics as m
 from merchlens.functions.numbers import cents, count_when, exact_ratio, mean_money, money, percent
+from merchlens.functions.quantiles import with_twice_median
 from merchlens.plans.model import CATEGORY, SalesModel, named_states, order_facts, placed_orders
-from merchlens.plans.regional import SMALL_SAMPLE, _all, _late_vs_national, mean_days, state_totals, tiers
+from merchlens.plans.regional import SMALL_SAMPLE, _all, _late_vs_national, mean_days, tiered_states, tiers
 
 
 # ------------------------------------------------------------------ dashboard tables
@@ -112,7 +113,7 @@ def regional_dashboard(model: SalesModel, small_sample: int = SMALL_SAMPLE) -> D
     """One row per state: totals, national comparison and segment."""
     tier = tiers()
     return (
-        state_totals(model)
+        tiered_states(model)
         .join(named_states(model), "customer_state", "left")
         .select(
             "customer_state",
@@ -332,12 +333,7 @@ def timeliness_by_outcome(dashboard: DataFrame, selection: DashboardFilter = NO_
 
 def state_scorecard(regional: DataFrame) -> DataFrame:
     """State figures with the national reference lines and the median state revenue."""
-    doubled = F.sort_array(F.collect_list(cents("revenue")).over(Window.partitionBy()))
-    size = F.size(doubled)
-    middle = F.try_element_at(doubled, F.ceil(size / 2).cast("int")) + F.try_element_at(
-        doubled, (F.floor(size / 2) + 1).cast("int")
-    )
-    return regional.select(
+    return with_twice_median(regional, cents("revenue"), "median_doubled").select(
         "customer_state",
         "state_name",
         "revenue",
@@ -349,7 +345,7 @@ def state_scorecard(regional: DataFrame) -> DataFrame:
         "small_sample",
         "national_late_pct",
         "national_avg_delivery_days",
-        exact_ratio(F.when(size > 0, middle), F.lit(200)).alias("median_state_revenue"),
+        exact_ratio(F.col("median_doubled"), F.lit(200)).alias("median_state_revenue"),
     ).orderBy(F.desc_nulls_first("revenue"), "customer_state")
 
 
@@ -387,15 +383,3 @@ def check_detail(summary: DataFrame, with_passed: bool = False) -> DataFrame:
     return shown.select(
         "check_category", "table_name", "check_name", "status", "record_count", "pct_of_records"
     ).orderBy("check_category", "table_name", "check_name")
-
-
-def dashboard_views(model: SalesModel, facts: DataFrame | None = None) -> dict[str, DataFrame]:
-    """State reference, order facts and the three sales dashboards, in dependency order."""
-    base = facts if facts is not None else order_facts(model)
-    return {
-        "state_reference": model.states,
-        "order_facts": base,
-        "sales_dashboard": sales_dashboard(model),
-        "operations_dashboard": operations_dashboard(base),
-        "regional_dashboard": regional_dashboard(model),
-    }

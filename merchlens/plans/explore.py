@@ -289,9 +289,9 @@ def state_late_shares(model: SalesModel) -> DataFrame:
 def region_value_premium(model: SalesModel, base_region: str = "Southeast") -> DataFrame:
     """Average order value of each macro-region against a base region, in percent."""
     regions = region_totals(model).select("macro_region", cents("revenue").alias("r"), "valued_orders")
-    base = regions.where(F.col("macro_region") == base_region).select(
-        F.col("r").alias("base_r"), F.col("valued_orders").alias("base_n")
-    )
+    is_base = F.col("macro_region") == base_region
+    # One row in any case; without the base region the premiums are NULL.
+    base = regions.agg(F.max(F.when(is_base, F.col("r"))).alias("base_r"), F.max(F.when(is_base, F.col("valued_orders"))).alias("base_n"))
     n, base_n = F.col("valued_orders").cast(WHOLE), F.col("base_n").cast(WHOLE)
     return (
         regions.crossJoin(F.broadcast(base))

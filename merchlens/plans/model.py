@@ -197,9 +197,8 @@ def order_facts(model: SalesModel, need: Collection[str] | None = None) -> DataF
     Measures that do not apply are NULL, so averages skip them. Stage durations need only plausible dates, the
     delivery measures need a measurable delivery.
 
-    `need` names the wanted columns. Spark keeps a left join whose columns go unused, because it does not know that
-    the joined side has one row per order; with `need`, item totals, categories and lifecycle stages are only
-    joined when asked for.
+    `need` names the wanted columns; item totals, categories and lifecycle stages are only joined when asked for. Spark
+    drops an unused left join by itself where the joined side is grouped by the key, but not one to stored aggregates.
     """
     wanted = set(need) if need is not None else None
 

@@ -22,7 +22,7 @@ from merchlens.functions.numbers import (
     percent,
     sum_when,
 )
-from merchlens.functions.quantiles import twice_median
+from merchlens.functions.quantiles import with_twice_median
 from merchlens.plans.model import SalesModel, named_states
 
 SMALL_SAMPLE = 100
@@ -139,9 +139,17 @@ class Tiers:
     median_doubled: Column
 
 
+def tiered_states(model: SalesModel) -> DataFrame:
+    """The state totals with what `tiers` compares them with."""
+    return with_twice_median(state_totals(model), cents("revenue"), "median_doubled")
+
+
 def tiers() -> Tiers:
-    """Revenue at or above the median state, and late rate above the national one; unknown counts as below."""
-    median_doubled = twice_median(cents("revenue"))
+    """Revenue at or above the median state, and late rate above the national one; unknown counts as below.
+
+    To be selected from `tiered_states`.
+    """
+    median_doubled = F.col("median_doubled")
     higher = cents("revenue") * 2 >= median_doubled
     # Tier and segment labels.
     revenue = F.when(higher, "Higher revenue").otherwise("Lower revenue")
@@ -154,7 +162,7 @@ def state_segments(model: SalesModel, small_sample: int = SMALL_SAMPLE) -> DataF
     """Each state's revenue tier, delivery tier and segment."""
     tier = tiers()
     return (
-        state_totals(model)
+        tiered_states(model)
         .select(
             "customer_state",
             money(F.col("revenue")).alias("revenue"),
@@ -174,7 +182,7 @@ def segment_summary(model: SalesModel) -> DataFrame:
     """Revenue and late orders per segment; the state list is ordered by revenue."""
     listed = "listagg(customer_state, ', ') WITHIN GROUP (ORDER BY revenue DESC, customer_state)"
     grouped = (
-        state_totals(model)
+        tiered_states(model)
         .select("*", tiers().segment.alias("segment"))
         .groupBy("segment")
         .agg(

@@ -7,8 +7,8 @@ submitted side by side from driver threads; Spark interleaves their stages.
 
 from __future__ import annotations
 
+import argparse
 import json
-import sys
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -16,6 +16,7 @@ from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from merchlens.functions.metrics import Calendar
 from merchlens.operators import cleaning, profiling, quality, validation
@@ -36,6 +37,7 @@ from merchlens.sources.states import state_reference
 DASHBOARDS = ("sales_dashboard", "operations_dashboard", "regional_dashboard", "data_quality_summary")
 # In dependency order.
 VIEWS = ("state_reference", "order_facts", *DASHBOARDS)
+REPORTS = {"sales": sales.REPORTS, "operations": operations.REPORTS, "regional": regional.REPORTS}
 HEADLINES = ("total_revenue", "total_orders", "average_order_value", "operations_kpis")
 
 
@@ -57,6 +59,8 @@ class Run:
     calendar: Calendar = Calendar()
     domains: validation.Domains = validation.Domains()
     states: DataFrame | None = None
+    # Whether profiles count distinct values exactly or estimate them from sketches.
+    exact_unique: bool = True
 
     # ---- tables handed from step to step
 
@@ -106,8 +110,8 @@ class Run:
         )
 
     def views(self) -> dict[str, DataFrame]:
-        """The tables written by `create_views`."""
-        return {name: self.spark.read.parquet(f"{self.folder}/views/{name}") for name in VIEWS}
+        """The newest complete set written by `create_views`."""
+        return clean_store.published(self.spark, f"{self.folder}/views")
 
     # ---- steps
 
@@ -127,10 +131,16 @@ class Run:
 
     def profile_data(self) -> dict[str, int]:
         raw = self.raw_tables()
-        datasets, columns = profiling.profile_all(raw)
+        datasets, columns = profiling.profile_all(raw, self.exact_unique)
+        # The columns are profiled once; what follows from their profiles is read from the written ones.
+        exports.write_json(columns, f"{self.folder}/profile/columns")
+        columns = self.spark.read.schema(columns.schema).json(f"{self.folder}/profile/columns")
+        names = [F.struct(F.lit(self.raw.files[n]).alias("file_name"), F.lit(", ".join(raw[n].columns)).alias("columns")) for n in raw]
+        described = F.element_at(F.map_from_arrays(F.array(*[F.lit(n) for n in raw]), F.array(*names)), F.col("dataset"))
         reports = {
-            "datasets": datasets,
-            "columns": columns,
+            "datasets": datasets.select("*", described.alias("described")).select(*datasets.columns, "described.*"),
+            "date_ranges": profiling.date_ranges(columns),
+            "missing_values": profiling.missing_values(columns),
             "order_status": profiling.status_distribution(raw["orders"]),
             "missing_timestamps": profiling.missing_timestamps_by_status(raw["orders"]),
             "untranslated_categories": profiling.untranslated_categories(
@@ -163,9 +173,15 @@ class Run:
         }
 
     def validate_data(self) -> dict[str, int]:
-        """Rule outcomes; raises when a critical rule is broken."""
-        path = f"{self.folder}/validation"
-        exports.write_json(validation.validate(self.clean(), self.domains), path)
+        """Rule outcomes; raises when a critical rule is broken.
+
+        The constraints of the published tables are evaluated along with the rules, and kept for `load_tables`.
+        """
+        path, outcomes = f"{self.folder}/validation", f"{self.folder}/outcomes/{self.raw.fingerprint(self.spark)}"
+        validation.check_everything(self.clean(), self.domains).coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/rows")
+        self._mark_complete(outcomes)
+        rules = self.spark.read.parquet(f"{outcomes}/rows").where("is_rule").drop("is_rule").orderBy("position")
+        exports.write_json(rules, path)
         results = validation.gate(self.spark.read.json(path))
         return {row.status: row["count"] for row in results.groupBy("status").count().collect()}
 
@@ -180,12 +196,18 @@ class Run:
             return {"item_totals": item_totals(items), "category_totals": category_totals(items, products)}
 
         clean = self.clean()
-        validation.gate(validation.check_constraints(clean))
+        outcomes = f"{self.folder}/outcomes/{self.raw.fingerprint(self.spark)}"
+        if self._complete(outcomes):
+            constraints = self.spark.read.parquet(f"{outcomes}/rows").where("NOT is_rule")
+        else:
+            constraints = validation.check_constraints(clean)
+        validation.gate(constraints)
         return clean_store.publish(self.spark, clean, f"{self.folder}/warehouse", per_order)
 
     def create_views(self) -> list[str]:
-        """Write the order facts and every dashboard once, register them as views, and require rows.
+        """Write the order facts and every dashboard once, require rows, and register them as views.
 
+        They go to a folder of their own that becomes visible as a whole, so no reader meets views of different runs.
         The operations dashboard is a projection of the written facts, so the tables are not joined again for it.
         """
         model = self.model()
@@ -197,15 +219,15 @@ class Run:
             "data_quality_summary": quality.data_quality_summary(model.tables(), model.states),
         }
 
-        def write(name: str) -> None:
-            built[name].write.mode("overwrite").parquet(f"{self.folder}/views/{name}")
-
-        side_by_side(self.spark, write, list(built))
-        facts = self.spark.read.parquet(f"{self.folder}/views/order_facts")
-        built["operations_dashboard"] = operations_dashboard(facts)
-        write("operations_dashboard")
-        views = self.views()
+        root = f"{self.folder}/views"
+        number, folder = clean_store.new_folder(self.spark, root)
+        sizes = clean_store.write_counted(self.spark, built, folder)
+        facts = self.spark.read.parquet(f"{folder}/order_facts")
+        sizes |= clean_store.write_counted(self.spark, {"operations_dashboard": operations_dashboard(facts)}, folder)
+        views = {name: self.spark.read.parquet(f"{folder}/{name}") for name in VIEWS}
+        clean_store.verify_row_counts(sizes, views)
         exports.require_rows({name: views[name] for name in DASHBOARDS})
+        clean_store.point_to(self.spark, root, number, folder, VIEWS)
         return exports.refresh_views(views)
 
     def run_sales_analysis(self) -> dict[str, int]:
@@ -252,8 +274,15 @@ class Run:
 
         return dict(zip(reports, side_by_side(self.spark, export, reports)))
 
+    def run_report(self, name: str) -> dict[str, int]:
+        """Export one named report over the published tables; returns its rows."""
+        for group, reports in REPORTS.items():
+            if name in reports:
+                return self._export_reports(group, {name: reports[name]})
+        raise ValueError(f"Unknown report: {name}. Choose from: {sorted(n for reports in REPORTS.values() for n in reports)}")
 
 
+# Names of the steps.
 STEPS = (
     "check_raw_data",
     "profile_data",
@@ -279,7 +308,12 @@ def run(batch: Run, steps: Iterable[str] | None = None) -> dict[str, object]:
 
 
 if __name__ == "__main__":
-    # python -m merchlens.plans.run <raw folder> [step ...]
+    parser = argparse.ArgumentParser(prog="python -m merchlens.plans.run")
+    parser.add_argument("folder", help="folder of the raw files")
+    parser.add_argument("steps", nargs="*", help="steps to run, all by default")
+    parser.add_argument("--report", help="export this report over the published tables instead of running steps")
+    chosen = parser.parse_args()
     session = build_session()
-    report = run(Run(session, RawFolder(sys.argv[1]), shared_folder(session)), sys.argv[2:] or None)
+    batch = Run(session, RawFolder(chosen.folder), shared_folder(session))
+    report = batch.run_report(chosen.report) if chosen.report else run(batch, chosen.steps or None)
     print(json.dumps(report, default=str, indent=2))

@@ -7,13 +7,14 @@ run leaves the old one in place.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.sources.jobs import side_by_side
+from merchlens.sources.jobs import counted, side_by_side
 from merchlens.sources.schemas import CLEAN_DATASETS, CLEAN_SCHEMAS
 
 POINTER_SCHEMA = "publication bigint, folder string, tables string"
@@ -83,22 +84,44 @@ def publish(
 ) -> dict[str, int]:
     """Replace the published set by `data` as a whole; returns the verified row counts.
 
-    `derive` computes further tables from the written ones; they become part of the same publication.
+    `derive` computes further tables from the written ones; they become part of the same publication. Rows are counted
+    by the tasks that write them and again in the written files, for every table.
     """
     check_load_contract(data)
-    number = _latest(spark, root)[0] + 1
-    folder = f"{root}/publication={number}"
+    number, folder = new_folder(spark, root)
     typed = {name: _typed(data[name], name) for name in CLEAN_DATASETS}
-    side_by_side(spark, lambda name: write_dataset(typed[name], folder, name), typed)
+    sizes = write_counted(spark, typed, folder)
     written = read_datasets(spark, folder)
-    counts = verify_row_counts(count_rows(typed), written)
+    counts = verify_row_counts(sizes, written)
     further = derive(written) if derive is not None else {}
-    side_by_side(spark, lambda name: write_dataset(further[name], folder, name), further)
-    pointer = spark.createDataFrame([(number, folder, ",".join([*CLEAN_DATASETS, *further]))], POINTER_SCHEMA)
-    pointer.coalesce(1).write.mode("append").parquet(f"{root}/pointer")
+    if further:
+        sizes = write_counted(spark, further, folder)
+        verify_row_counts(sizes, {name: spark.read.parquet(f"{folder}/{name}") for name in sizes})
+    point_to(spark, root, number, folder, [*CLEAN_DATASETS, *further])
     return counts
 
 
+def new_folder(spark: SparkSession, root: str) -> tuple[int, str]:
+    """The number and the folder of the next set; folders of runs at the same time differ."""
+    number = _latest(spark, root)[0] + 1
+    return number, f"{root}/publication={number}-{uuid.uuid4().hex[:8]}"
+
+
+def write_counted(spark: SparkSession, tables: Tables, folder: str) -> dict[str, int]:
+    """Write the tables side by side; returns the rows of each, counted while writing."""
+
+    def write(name: str) -> int:
+        return counted(tables[name], lambda data: write_dataset(data, folder, name))
+
+    return dict(zip(tables, side_by_side(spark, write, tables)))
+
+
+def point_to(spark: SparkSession, root: str, number: int, folder: str, names: Iterable[str]) -> None:
+    """Make a complete folder the newest set."""
+    pointer = spark.createDataFrame([(number, folder, ",".join(names))], POINTER_SCHEMA)
+    pointer.coalesce(1).write.mode("append").parquet(f"{root}/pointer")
+
+
 def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The newest published set, derived tables included."""
     number, folder, names = _latest(spark, root)

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from merchlens.functions.quantiles import exact_distribution, with_twice_median
 from merchlens.operators import keys as k
 from merchlens.operators.cleaning import clean_customers
 from merchlens.plans import regional, sales
@@ -160,3 +161,24 @@ def test_no_python_in_any_plan(spark):
     for name in ("order_facts", "validation", "profile_columns", "clean_products", "average_order_value"):
         plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "InPandas" not in plan and "CartesianProduct" not in plan, name
+
+
+@pytest.mark.parametrize("groups", [100_000, 99_999])
+def test_median_of_many_groups(spark, groups):
+    values = spark.range(groups).select((F.col("id") * 7919 % groups).alias("v"))
+    found = with_twice_median(values, F.col("v"), "m").agg(F.min("m"), F.max("m"), F.count("m")).first()
+    assert tuple(found) == (groups - 1, groups - 1, groups)
+
+
+def test_median_ignores_null_groups(spark):
+    values = spark.createDataFrame([(None,), (3,), (None,), (8,)], "v long")
+    assert {row.m for row in with_twice_median(values, F.col("v"), "m").collect()} == {11}
+    assert with_twice_median(values.where("v IS NULL"), F.col("v"), "m").first().m is None
+
+
+@pytest.mark.parametrize("step", [1, 40_000_000_000])
+def test_quantiles_within_and_across_buckets(spark, step):
+    # Step 1 keeps all values in one coarse bucket, the other spreads them over many; negative ones included.
+    values = spark.range(-30_000, 170_001).select((F.col("id") * step).alias("v"))
+    found = exact_distribution(values, "v", {"half": "1/2", "most": "9/10", "first": "0/1"}).first()
+    assert (found.value_count, found.half, found.most, found.first) == (200_001, 140_000 * step, 1_500_000 * step, -30_000 * step)

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from conftest import CONSISTENT
 
 from merchlens.sources import clean_store, exports
 from merchlens.sources.raw_csv import RawDataError, RawFolder
@@ -96,13 +97,13 @@ def test_default_file_patterns(tmp_path):
 def test_publish_replaces_the_set_as_a_whole(spark, clean, tmp_path):
     root = str(tmp_path / "warehouse")
     counts = clean_store.publish(spark, clean, root)
-    assert counts == {name: 2 for name in CLEAN_SCHEMAS}
+    assert counts == {name: len(CONSISTENT[name]) for name in CLEAN_SCHEMAS}
     published = clean_store.published(spark, root)
     assert {n: t.schema for n, t in published.items()} == {n: CLEAN_SCHEMAS[n] for n in published}
-    row = published["order_items"].where("order_id = 'o1'").first()
-    assert (row.price, row.shipping_limit_date) == (Decimal("100.00"), dt.datetime(2018, 1, 15))
+    row = published["order_items"].where("order_id = 'o2'").first()
+    assert (row.price, row.shipping_limit_date) == (Decimal("41.00"), dt.datetime(2018, 3, 8, 12))
 
-    fewer = {**clean, "payments": clean["payments"].where("order_id = 'o1'")}
+    fewer = {**clean, "payments": clean["payments"].where("order_id = 'o2'")}
     assert clean_store.publish(spark, fewer, root)["payments"] == 1
     assert clean_store.published(spark, root)["payments"].count() == 1
 
@@ -114,7 +115,7 @@ def test_failed_publication_leaves_the_old_set(spark, clean, tmp_path):
         "payment_value", clean["payments"].payment_type.cast("decimal(10,2)"))}
     with pytest.raises(Exception):
         clean_store.publish(spark, broken, root)
-    assert clean_store.published(spark, root)["payments"].count() == 2
+    assert clean_store.published(spark, root)["payments"].count() == 4
 
 
 def test_load_contract(clean):
@@ -126,9 +127,9 @@ def test_load_contract(clean):
 
 
 def test_row_count_verification(clean):
-    assert clean_store.verify_row_counts({"orders": 2}, {"orders": clean["orders"]}) == {"orders": 2}
+    assert clean_store.verify_row_counts({"orders": 3}, {"orders": clean["orders"]}) == {"orders": 3}
     with pytest.raises(clean_store.PublishError, match="Row count mismatch"):
-        clean_store.verify_row_counts({"orders": 3}, {"orders": clean["orders"]})
+        clean_store.verify_row_counts({"orders": 4}, {"orders": clean["orders"]})
 
 
 def test_nothing_published(spark, tmp_path):

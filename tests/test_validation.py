@@ -44,7 +44,7 @@ def test_repeated_key_fails(clean):
 
 
 def test_broken_reference_fails(clean):
-    clean["order_items"] = replace_first(clean["order_items"], ("order_id", "o1"), order_id="missing_order")
+    clean["order_items"] = replace_first(clean["order_items"], ("order_id", "o2"), order_id="missing_order")
     row = results(clean)["order_items", "order_items.order_id exists in orders.order_id"]
     assert (row.status, row.record_count) == ("FAIL", 1)
 
@@ -71,7 +71,7 @@ def test_order_without_items_only_warns(clean):
     clean["order_items"] = clean["order_items"].where("order_id = 'o1'")
     found = results(clean)
     row = found["orders", "Orders without order items (orphan orders)"]
-    assert (row.status, row.record_count) == ("WARNING", 1)
+    assert (row.status, row.record_count) == ("WARNING", 2)
     assert "FAIL" not in {row.status for row in found.values()}
 
 
@@ -158,7 +158,7 @@ def test_quality_of_consistent_data(spark, clean):
     assert len(rows) == 36
     # The sellers' shipping limits lie after the only purchase day of the set.
     assert [(row.check_name, row.record_count, row.status) for row in rows if row.status != "PASS"] == [
-        ("Shipping limit after last purchase date in data", 2, "WARNING")
+        ("Shipping limit after last purchase date in data", 4, "WARNING")
     ]
     by_category = {row.check_category: row.checks for row in data_quality_by_category(found).collect()}
     assert by_category == {
@@ -168,7 +168,7 @@ def test_quality_of_consistent_data(spark, clean):
 
 
 def test_quality_counts_missing_child_keys(spark, clean):
-    clean["order_items"] = replace_first(clean["order_items"], ("order_id", "o1"), product_id=None)
+    clean["order_items"] = replace_first(clean["order_items"], ("order_id", "o2"), product_id=None)
     found = {(row.table_name, row.check_name): row for row in data_quality_summary(clean, state_reference(spark)).collect()}
     assert found["order_items", "product_id not in products"].record_count == 1
     assert results(clean)["order_items", "order_items.product_id exists in products.product_id"].record_count == 0
@@ -178,4 +178,20 @@ def test_quality_finds_category_spellings(spark, clean):
     clean["products"] = replace_first(clean["products"], ("product_id", "p2"), product_category_name=" Beleza_Saude")
     found = {row.check_name: row for row in data_quality_summary(clean, state_reference(spark)).collect()}
     row = found["Category name variants differing only by case/spacing"]
-    assert (row.record_count, row.total_records, row.status) == (1, 2, "WARNING")
+    assert (row.record_count, row.total_records, row.status) == (1, 3, "WARNING")
+
+
+def test_rules_and_constraints_share_one_evaluation(clean):
+    both = v.check_everything(clean)
+    split = {flag: [tuple(x) for x in both.where(f"is_rule = {flag}").drop("is_rule").orderBy("position").collect()] for flag in ("true", "false")}
+    rules, constraints = v.validate(clean), v.check_constraints(clean)
+    assert split["true"] == [tuple(x) for x in rules.orderBy("position").collect()]
+    assert split["false"] == [tuple(x) for x in constraints.orderBy("position").collect()]
+    # The constraints add no scope to those of the rules.
+    assert {rule.scope for rule in v.publish_constraints()} <= {rule.scope for rule in v.validation_rules()}
+
+
+def test_repeated_states_count_once(clean):
+    states = state_reference(clean["orders"].sparkSession)
+    plain = data_quality_summary(clean, states).collect()
+    assert data_quality_summary(clean, states.unionByName(states)).collect() == plain
