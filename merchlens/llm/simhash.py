@@ -182,28 +182,31 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str =
     one node, so copies cost a group, not pairs. A NULL doc_id never names a component unless all are NULL; repeated
     rows each get their row. Columns other than id and text are not read. No rows give no rows.
     """
+    return _grouped(documents, id_column, text, settings).drop("root")
+
+
+def _grouped(documents: DataFrame, id_column: str, text: str, settings: SimHash) -> DataFrame:
+    """The rows of `near_duplicates` and root, the smallest fingerprint of the component, which no other shares."""
     rows = written(fingerprints(documents, id_column, text, settings.words), "fingerprints")
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "distinct")
     parts = components(links(distinct.select("fp"), settings), "a", "b")
     rooted = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    by_print = rooted.where("root <> fp").join(named, "root").select("fp", "component_id")
-    alone = rooted.where("root = fp").join(named, "root").select("fp", "component_id")
-    return rows.join(by_print.unionByName(alone), "fp").select("doc_id", "text_key", "fp", "component_id")
+    by_print = rooted.where("root <> fp").join(named, "root").select("fp", "component_id", "root")
+    alone = rooted.where("root = fp").join(named, "root").select("fp", "component_id", "root")
+    return rows.join(by_print.unionByName(alone), "fp").select("doc_id", "text_key", "fp", "component_id", "root")
 
 
 def keep_one(documents: DataFrame, settings: SimHash = SimHash()) -> DataFrame:
     """The rows of `documents` without near-duplicates: of each component the row with the smallest doc_id stays.
 
     Between rows of that doc_id the smallest text hash wins, and of rows equal in both one stays. All columns are
-    kept. Components without any doc_id keep one row.
+    kept. Components without any doc_id keep one row, and different texts under one doc_id are components of their own.
     """
-    grouped = near_duplicates(documents, settings=settings)
+    grouped = _grouped(documents, "doc_id", "text", settings)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
-    # A NULL component groups documents without any id; their fingerprints keep the components apart.
-    best = grouped.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("apart")).agg(
-        F.min(order).alias("first")
-    )
+    # Not by component_id, which is NULL without ids and equal where an id repeats with different texts.
+    best = grouped.groupBy("root").agg(F.min(order).alias("first"))
     first = best.select(F.col("first.doc_id").alias("_doc"), F.col("first.text_key").alias("_key"))
     copies = grouped.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(F.count(F.lit(1)).alias("_copies"))
     chosen = written(

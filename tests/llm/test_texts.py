@@ -111,6 +111,17 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 5, 6]
 
 
+def test_different_texts_under_one_id_are_all_kept(spark):
+    first, second = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    rows = frame(spark, [
+        (1, first, "en", "a"), (1, second, "en", "a"), (2, first, "en", "a"), (3, second, "en", "b"), (None, "lone words here", "en", "b"),
+        (None, "other words there", "en", "b"),
+    ])
+    kept = simhash.keep_one(rows)
+    assert kept.columns == rows.columns
+    assert sorted((r.doc_id or 0, r.text[:2]) for r in kept.collect()) == [(0, "lo"), (0, "ot"), (1, "a0"), (1, "b0")]
+
+
 # ------------------------------------------------------------------ classifiers
 
 
