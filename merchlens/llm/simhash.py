@@ -203,7 +203,11 @@ def keep_one(documents: DataFrame, settings: SimHash = SimHash()) -> DataFrame:
     Between rows of that doc_id the smallest text hash wins, and of rows equal in both one stays. All columns are
     kept. Components without any doc_id keep one row, and different texts under one doc_id are components of their own.
     """
-    grouped = _grouped(documents, "doc_id", "text", settings)
+    return keep_first(documents, _grouped(documents, "doc_id", "text", settings))
+
+
+def keep_first(documents: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The rows of `documents` that `keep_one` keeps of the components in `grouped` (doc_id, text_key, root)."""
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
     # Not by component_id, which is NULL without ids and equal where an id repeats with different texts.
     best = grouped.groupBy("root").agg(F.min(order).alias("first"))

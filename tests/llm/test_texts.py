@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from merchlens.llm import decontaminate as dc
-from merchlens.llm import language, language_model, mixing, quality, simhash
+from merchlens.llm import language, language_model, mixing, near_copies, quality, simhash
 from merchlens.llm.components import components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -323,3 +323,42 @@ def test_mix_of_awkward_rows(spark):
     assert Counter(r.doc_id for r in found)[1] == 2
     assert {r.doc_id for r in found} == {1, None, 5, 6}
     assert mixing.mix(awkward(spark).limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ near-duplicate stage of the pipeline
+
+
+def plain_shingles(text, words=5):
+    found = (text or "").lower().split()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
+@pytest.mark.parametrize("bucket", [2, 32])
+def test_stage_keeps_one_of_each_chain_of_similar_texts(spark, bucket):
+    rng = np.random.default_rng(3)
+    texts = ["", "one two", "One  TWO"]
+    for base in range(4):
+        words = [f"b{base}w{i}" for i in range(120)]
+        texts.append(" ".join(words))
+        for copy in range(25):
+            edits = dict.fromkeys(rng.choice(120, rng.integers(1, 7), replace=False).tolist(), f"x{base}y{copy}")
+            texts.append(" ".join(edits.get(i, w) for i, w in enumerate(words)))
+    sets = [plain_shingles(t) for t in texts]
+    near = lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    rows = frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    kept = near_copies.keep_one(rows, near_copies.Settings(bucket=bucket, block=8))
+    assert kept.columns == rows.columns
+    wanted = sorted(set(reachable(range(len(texts)), near).values()))
+    assert sorted(r.doc_id for r in kept.collect()) == wanted
+    # Most of these copies are further apart than the fingerprints of op7 link.
+    assert simhash.keep_one(rows).count() > len(wanted)
+    assert near_copies.keep_one(awkward(spark)).count() == 5 and near_copies.keep_one(rows.limit(0)).count() == 0
+
+
+def test_pipeline_removes_near_duplicates_by_similarity(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(words), " ".join("x" if i in (30, 70) else w for i, w in enumerate(words)), " ".join(f"v{i}" for i in range(100))]
+    rows = frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, rows, FOLDER).collect()) == [0, 2]
