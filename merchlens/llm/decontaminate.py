@@ -1,12 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-N-grams of the test items are counted over the whole corpus. Those that are rare, for the corpus or for their item, are
-seeds. Documents are cut to the passages around their seeds, passages and items are joined on seeds, and every joined
-pair is aligned word by word, which scores edited copies that no long n-gram would match.
+An alignment of a given score cannot avoid a number of the item's word pairs within a stretch of words, whatever its
+edits are. Documents are cut to the passages where an item reaches that number, and these pairs of passage and item are
+aligned word by word. No n-gram is left out for being frequent, so copies of an item never hide other copies of it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -15,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from merchlens.llm.shared import map_batches, record, text_key, written
 
@@ -23,19 +23,34 @@ PIECE_CHARS = 1 << 20
 # Letters and digits are kept, other ASCII characters separate words.
 APART = bytes(c if c > 127 or chr(c).isalnum() else 0x20 for c in range(256))
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+# Words whose hits are looked up together.
+STRETCH = 4096
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Words per n-gram, corpus share up to which an n-gram is rare, least normalised alignment score, and the most
-    bytes of item text handled in one pass; larger benchmarks take several passes over the corpus.
+    """Words per n-gram, least normalised alignment score, and the most bytes of item text handled in one pass; larger
+    benchmarks take several passes over the corpus.
     """
 
-    words: int = 3
-    rare_share: float = 1e-4
+    words: int = 2
     score: float = 0.5
     block_bytes: int = 8 << 20
 
+    def least_hits(self, length: int) -> int:
+        """N-grams of an item of `length` words that every passage of the least score shares with it.
+
+        A passage with m matches and e errors scores m - e and has its matches in e + 1 runs at most, so it shares
+        m - (words - 1) * (e + 1) n-grams at least. With two words that is the least score less one, whatever e is;
+        with more words e counts, which is at most the length less the least score.
+        """
+        least = math.ceil(self.score * length - 1e-9)
+        return max(1, least - (self.words - 2) * (length - least) - (self.words - 1))
+
+    def span(self, length: int) -> int:
+        """Words of the longest passage of the least score: the item with a word inserted per match above it."""
+        return length + max(0, length - math.ceil(self.score * length - 1e-9))
+
 
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased words without ASCII punctuation, as UTF-8; NULL has none."""
@@ -60,13 +75,20 @@ class Grams:
     Words of the items are numbered from 1; an n-gram is the 64-bit mix of its numbers.
     """
 
-    def __init__(self, items: list[str], words: int):
-        self.words, self.numbers, found = words, {}, []
+    def __init__(self, items: list[str], words: int, settings: Settings = Settings()):
+        self.words, self.numbers, found, lengths = words, {}, [], []
         for item in items:
             ids = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of(item)], np.uint64)
-            found.append(self.mix(ids))
-        self.per_item = found
-        self.keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+            found.append(np.unique(self.mix(ids)))
+            lengths.append(len(ids))
+        every = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        self.keys, counts = np.unique(every, return_counts=True)
+        # Items of key k are owners[begins[k] : begins[k + 1]].
+        owners = np.repeat(np.arange(len(items)), [len(f) for f in found])
+        self.owners, self.begins = owners[np.argsort(every, kind="stable")], np.concatenate([[0], np.cumsum(counts)])
+        self.needed = np.array([settings.least_hits(n) for n in lengths], np.int64)
+        self.spans = np.array([settings.span(n) for n in lengths], np.int64)
+        self.reach = int(max(self.spans, default=0))
 
     def mix(self, ids: np.ndarray) -> np.ndarray:
         """Keys of all n-grams of a sequence of word numbers."""
@@ -96,6 +118,35 @@ class Grams:
         hit = keys[np.minimum(np.searchsorted(keys, mixed), len(keys) - 1)] == mixed
         return at[hit], mixed[hit]
 
+    def anchors(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, item numbers), by position, from which an item has as many hits within its span as it needs."""
+        at, keys = self.find(words, self.keys)
+        places = np.searchsorted(self.keys, keys)
+        found = []
+        low = 0
+        while low < len(at):
+            # Hits from `low` to `high` start windows; those up to `end` complete them.
+            high = max(low + 1, int(np.searchsorted(at, at[low] + STRETCH)))
+            end = int(np.searchsorted(at, at[high - 1] + self.reach))
+            part = places[low:end]
+            many = self.begins[part + 1] - self.begins[part]
+            nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            items = self.owners[np.repeat(self.begins[part], many) + nth]
+            where = np.repeat(at[low:end], many)
+            order = np.argsort(items, kind="stable")
+            items, where = items[order], where[order]
+            last = np.arange(len(items)) + self.needed[items] - 1
+            inside = np.minimum(last, len(items) - 1)
+            enough = (last < len(items)) & (items[inside] == items) & (where[inside] - where < self.spans[items])
+            enough &= where <= at[high - 1]
+            found.append((where[enough], items[enough]))
+            low = high
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        where, items = (np.concatenate(f) for f in zip(*found))
+        order = np.argsort(where, kind="stable")
+        return where[order], items[order]
+
 
 def align(passage: list[bytes], item: list[bytes]) -> tuple[float, int, int]:
     """Best local alignment of word lists: (score / item length, first word, end) within the passage.
@@ -162,27 +213,12 @@ def _block(rows: DataFrame, block: DataFrame, settings: Settings) -> DataFrame:
     spark = rows.sparkSession
     # Bounded by block_bytes.
     items = sorted((r.item_id, r.text) for r in block.collect())
-    grams = Grams([text for _, text in items], settings.words)
-    frequency = _document_frequency(rows, grams)
-    postings = [(item, int(np.int64(np.uint64(k)))) for (item, _), keys in zip(items, grams.per_item) for k in set(keys.tolist())]
-    by_item = spark.createDataFrame(
-        pa.table({"item_id": pa.array([p[0] for p in postings], pa.int64()), "gram": pa.array([p[1] for p in postings], pa.int64())})
-    )
-    # A copied passage raises the frequency of all its n-grams, so each item keeps the rarer half of its own as well.
-    median = F.percentile("documents", F.lit(0.5)).over(Window.partitionBy("item_id"))
-    seeds = written(
-        by_item.join(frequency, "gram")
-        .withColumn("limit", F.greatest(median, F.col("corpus") * settings.rare_share))
-        .where("documents <= limit").select("item_id", "gram"),
-        "seeds",
-    )
-    wanted = np.unique(np.array([r.gram for r in seeds.select("gram").distinct().collect()], np.int64).view(np.uint64))
-    longest = max((len(words_of(t)) for _, t in items), default=0)
-    passages = _passages(rows, grams, wanted, longest)
+    grams = Grams([text for _, text in items], settings.words, settings)
+    passages = _passages(rows, grams, np.array([i for i, _ in items], np.int64))
     texts = spark.createDataFrame(
         pa.table({"item_id": pa.array([i for i, _ in items], pa.int64()), "item": pa.array([t for _, t in items], pa.string())})
     )
-    pairs = passages.select("*", F.explode("grams").alias("gram")).join(seeds, "gram").select("doc_id", "text_key", "first", "passage", "item_id")
+    pairs = passages.select("doc_id", "text_key", "first", "passage", F.explode("items").alias("item_id"))
     aligned = _align(pairs.distinct().join(texts, "item_id"))
     order = F.struct((-F.col("score")).alias("s"), F.col("first_word").alias("f"), F.col("end_word").alias("e"))
     best = aligned.where(F.col("score") >= settings.score).groupBy("doc_id", "text_key", "item_id").agg(F.min(order).alias("best"))
@@ -192,41 +228,16 @@ def _block(rows: DataFrame, block: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _document_frequency(rows: DataFrame, grams: Grams) -> DataFrame:
-    """(gram, documents, corpus): in how many of all rows each n-gram of the items occurs; only those that occur."""
-    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
+def _passages(rows: DataFrame, grams: Grams, ids: np.ndarray) -> DataFrame:
+    """(doc_id, text_key, first, passage, items): stretches of words around the anchors of items, and these items' ids.
 
-    def work(batches):
-        counts, seen = np.zeros(len(grams.keys) + 1, np.int64), 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found, carry = set(), []
-                for words in _pieces(text):
-                    _, keys = grams.find(carry + words, grams.keys)
-                    found.update(keys.tolist())
-                    carry = (carry + words)[-(grams.words - 1) :] if grams.words > 1 else []
-                seen += 1
-                if found:
-                    counts[np.searchsorted(grams.keys, np.fromiter(found, np.uint64, len(found)))] += 1
-        hit = np.flatnonzero(counts[:-1])
-        # Gram 0 carries the number of rows.
-        yield record(schema, gram=np.append(grams.keys[hit].view(np.int64), 0), n=np.append(counts[hit], seen))
-
-    counted = map_batches(rows.select("text"), work, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("documents"))
-    counted = written(counted, "grams")
-    corpus = counted.where("gram = 0").select(F.col("documents").alias("corpus"))
-    return counted.where("gram <> 0").crossJoin(F.broadcast(corpus))
-
-
-def _passages(rows: DataFrame, grams: Grams, wanted: np.ndarray, reach: int) -> DataFrame:
-    """(doc_id, text_key, first, passage, grams): stretches of words around wanted n-grams.
-
-    Seeds up to `reach` words apart, the length of the longest item, share a passage, and a passage extends as far to
-    both sides; so it holds any copy of an item that one of its seeds belongs to. Long passages are cut into
-    overlapping parts, each holding a whole copy with as many words inserted again.
+    Anchors up to the longest span apart share a passage, and a passage extends as far to both sides; so it holds any
+    copy of an item that one of its anchors belongs to. Long passages are cut into overlapping parts, each holding a
+    whole copy.
     """
+    reach = grams.reach
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("text_key", pa.int64()), ("first", pa.int64()), ("passage", pa.string()), ("grams", pa.list_(pa.int64())),
+        ("doc_id", pa.int64()), ("text_key", pa.int64()), ("first", pa.int64()), ("passage", pa.string()), ("items", pa.list_(pa.int64())),
     ])
     step = max(1, 8 * reach)
 
@@ -247,7 +258,7 @@ def _passages(rows: DataFrame, grams: Grams, wanted: np.ndarray, reach: int) ->
                 for words in _pieces(text):
                     # The carry overlaps pieces of very long texts by more than a passage's reach on both sides.
                     sequence = carry + words
-                    at, keys = grams.find(sequence, wanted)
+                    at, found = grams.anchors(sequence)
                     for low, high in spans(at) if len(at) else ():
                         low = max(0, low)
                         inside = (at >= low) & (at < high)
@@ -256,12 +267,12 @@ def _passages(rows: DataFrame, grams: Grams, wanted: np.ndarray, reach: int) ->
                             out["text_key"].append(key)
                             out["first"].append(offset + low)
                             out["passage"].append(b" ".join(sequence[low:high]).decode("utf-8", "surrogatepass"))
-                            out["grams"].append(np.unique(keys[inside]).view(np.int64))
+                            out["items"].append(np.unique(ids[found[inside]]))
                     carry = sequence[-4 * reach :] if reach else []
                     offset += len(sequence) - len(carry)
             yield record(schema, **out)
 
-    return map_batches(rows, work, "doc_id long, text_key long, first long, passage string, grams array<long>")
+    return map_batches(rows, work, "doc_id long, text_key long, first long, passage string, items array<long>")
 
 
 def _align(pairs: DataFrame) -> DataFrame:

@@ -362,3 +362,40 @@ def test_pipeline_removes_near_duplicates_by_similarity(spark):
     texts = [" ".join(words), " ".join("x" if i in (30, 70) else w for i, w in enumerate(words)), " ".join(f"v{i}" for i in range(100))]
     rows = frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
     assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, rows, FOLDER).collect()) == [0, 2]
+
+
+# ------------------------------------------------------------------ edited copies beside exact ones
+
+
+@pytest.mark.parametrize("every", [4, 5, 6])
+def test_edited_copies_are_found_beside_exact_ones(spark, every):
+    benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet").limit(40)
+    items = {r.item_id: dc.words_of(r.text) for r in benchmark.collect()}
+    rows, wanted = [], set()
+    for i, words in items.items():
+        plain = [w.decode() for w in words]
+        replaced = [f"q{n}" if n % every == every - 1 else w for n, w in enumerate(plain)]
+        added = [x for n, w in enumerate(plain) for x in ((w, f"q{n}") if n % every == every - 1 else (w,))]
+        for k, text in enumerate([plain, replaced, added, [w for n, w in enumerate(plain) if n % every]]):
+            rows.append((4 * i + k, f"zz before {' '.join(text)} after zz", "en", "a"))
+            if plain_alignment([w.encode() for w in text], words) >= 0.5:
+                wanted.add((4 * i + k, i))
+    found = {(r.doc_id, r.item_id) for r in dc.contaminated(frame(spark, rows), benchmark).collect()}
+    assert wanted <= found and len(wanted) >= 3 * len(items)
+
+
+def test_any_passage_of_the_least_score_has_the_hits_it_needs():
+    rng = np.random.default_rng(7)
+    reached = 0
+    for _ in range(3000):
+        item = [b"%d" % x for x in rng.integers(0, 40, rng.integers(3, 24))]
+        passage = []
+        for w in item:
+            kind = rng.integers(0, 8)
+            passage += [[w], [w], [w], [w], [w], [b"x"], [], [w, b"y"]][kind]
+        passage = [b"a"] * 5 + passage + [b"b"] * 5
+        if plain_alignment(passage, item) >= 0.5:
+            reached += 1
+            at, items = dc.Grams([b" ".join(item).decode()], 2).anchors(passage)
+            assert len(at) and set(items.tolist()) == {0}
+    assert reached > 1000
