@@ -42,10 +42,11 @@ def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
-    """Outcomes are those of `labels`, whose ids number the pages as well: bad means toxic or of low quality."""
+    """Outcomes are those of the labelled document that a page shows: bad means toxic or of low quality."""
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0)
-    outcomes = read_table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
-    return reputation.judge(read_table(spark, folder, "pages"), outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
+    pages, documents = read_table(spark, folder, "pages"), read_table(spark, folder, "documents")
+    outcomes = reputation.outcomes_of(pages, documents, read_table(spark, folder, "labels").select("doc_id", bad.alias("bad")))
+    return reputation.judge(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:

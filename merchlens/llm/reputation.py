@@ -71,6 +71,38 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return fitting
 
 
+def document_of(url: str = "url") -> Column:
+    """The whole number that ends the path, with or without `.html` or a slash after it; NULL without one."""
+    return F.regexp_extract(path_of(url), r"/([0-9]+)(?:\.html)?/?$", 1).try_cast("long")
+
+
+def _opening(text: Column, words: int = 3) -> Column:
+    """The first words with single spaces."""
+    return F.array_join(F.slice(F.split(F.trim(F.regexp_replace(F.substring(text, 1, 1000), r"\s+", " ")), " "), 1, words), " ")
+
+
+def title_of(html: str = "html") -> Column:
+    """The page's title with the entities of markup characters resolved; empty without one."""
+    title = F.coalesce(F.regexp_extract(F.col(html), r"<title>([^<]*)", 1), F.lit(""))
+    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&amp;", "&")):
+        title = F.replace(title, F.lit(entity), F.lit(character))
+    return title
+
+
+def outcomes_of(pages: DataFrame, documents: DataFrame, judged: DataFrame) -> DataFrame:
+    """(page_id, bad) of the pages that show a judged document; `judged` has doc_id and bad.
+
+    The number in the url names the document, and the page's title must open like its text; a page whose number is of no
+    document, or of one that opens differently, has no outcome. Page ids are not document ids.
+    """
+    # Cut before the join, so no text is shuffled.
+    known = documents.select("doc_id", _opening(F.col("text")).alias("opening")).join(judged, "doc_id").distinct()
+    shown = pages.select("page_id", document_of().alias("doc_id"), _opening(title_of()).alias("title")).where("doc_id IS NOT NULL AND title <> ''")
+    # A title is the first line, which can be shorter than the opening.
+    opens = F.concat("opening", F.lit(" ")).startswith(F.concat("title", F.lit(" ")))
+    return shown.join(known, "doc_id").where(opens).select("page_id", "bad")
+
+
 def reputations(pages: DataFrame, outcomes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(host, domain, suffix, labelled, bad, mean, bound) per host of `pages`.
 

@@ -119,6 +119,28 @@ def test_reputation_shrinks_by_levels(spark):
     assert reputation.judge(data.limit(0), labels, queries.RULES).count() == 0
 
 
+def test_outcomes_follow_the_document_a_page_shows(spark):
+    html = "<html><title>{}</title><p>x</p></html>"
+    pages = [
+        (0, "http://a.com/en/7.html?x=9", html.format("Seven &amp; more words here")), (7, "http://a.com/en/8#top", html.format("Eight starts so")),
+        (8, "http://a.com/en/8/", html.format("Other text")), (9, "http://a.com/en/99", html.format("Seven & more")), (1, None, None),
+        (2, "http://a.com/8/en", html.format("Eight starts so")), (3, "http://a.com/99999999999999999999", html.format("Eight")),
+    ]
+    documents = [(7, "Seven  & more words\nhere and there"), (8, "Eight starts so and ends"), (0, "Zero"), (9, None)]
+    judged = spark.createDataFrame([(7, 1), (8, 0), (0, 1), (9, 1), (None, 1)], "doc_id long, bad int")
+    found = reputation.outcomes_of(
+        spark.createDataFrame(pages, "page_id long, url string, html string"), spark.createDataFrame(documents, "doc_id long, text string"), judged
+    )
+    assert sorted(map(tuple, found.collect())) == [(0, 1), (7, 0)]
+
+
+def test_most_given_pages_of_a_judged_document_have_an_outcome(spark):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+    pages, documents, labels = read("pages"), read("documents"), read("labels").select("doc_id", F.lit(1).alias("bad"))
+    numbered = pages.withColumn("doc_id", reputation.document_of()).join(labels, "doc_id").count()
+    assert reputation.outcomes_of(pages, documents, labels).count() >= 0.9 * numbered > 0
+
+
 # ------------------------------------------------------------------ conversations
 
 NASTY = [
