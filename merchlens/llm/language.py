@@ -21,6 +21,8 @@ UNKNOWN = "und"
 CODES = 128
 CACHED_GRAMS = 50_000
 PIECE_CHARS = 1 << 18
+# Characters of the cut texts that limits are measured on.
+LENGTHS = (5, 10, 20, 40, 80, 160, 320, 640)
 
 
 @dataclass(frozen=True)
@@ -79,6 +81,7 @@ class Encoder:
         self.rows = np.full(CODES**3, -1, np.int32)
         self.vectors = np.empty((CACHED_GRAMS, settings.size), np.int8)
         self.used = 0
+        self.trigrams = 0
 
     def _vectors(self, grams: np.ndarray) -> np.ndarray:
         rows = self.rows[grams]
@@ -100,13 +103,14 @@ class Encoder:
         return self.rotated[0][first] * self.rotated[1][second] * self.rotated[2][third]
 
     def __call__(self, text: str | None) -> np.ndarray | None:
-        """The bundle of all trigrams of the whole text; None without any letter."""
-        total = None
+        """The bundle of all trigrams of the whole text, counted in `trigrams`; None without any letter."""
+        total, self.trigrams = None, 0
         for start in range(0, len(text or ""), PIECE_CHARS):
             # Two more characters than the piece, so that no trigram is lost at the cut.
             codes = letter_codes(text[start : start + PIECE_CHARS + 2])
             if codes.any():
                 keys = (codes[:-2] * CODES + codes[1:-1]) * CODES + codes[2:]
+                self.trigrams += len(keys)
                 grams, counts = np.unique(keys, return_counts=True)
                 part = counts.astype(np.float32) @ self._vectors(grams).astype(np.float32)
                 total = part if total is None else total + part
@@ -184,19 +188,80 @@ def predict(documents: DataFrame, model: Model, id_column: str = "doc_id", text:
     return map_batches(rows, work, "doc_id long, lang_pred string, score double")
 
 
-def keep_known(documents: DataFrame, model: Model, least: float = 0.02, text: str = "text") -> DataFrame:
+@dataclass(frozen=True)
+class Limits:
+    """Least cosine by the number of trigrams, measured at `trigrams` (ascending) and interpolated by its logarithm."""
+
+    trigrams: np.ndarray
+    cosines: np.ndarray
+
+    def __call__(self, trigrams: int) -> float:
+        return float(np.interp(np.log(max(1, trigrams)), self.trigrams, self.cosines))
+
+
+def limits(documents: DataFrame, model: Model, held_out: Column, per_language: int = 200, lost: float = 0.02) -> Limits | None:
+    """The cosines that tell learned languages from chance, from rows of `documents` that taught nothing.
+
+    Texts of the rows where `held_out` holds, `per_language` expected of each language, are cut to several lengths, and
+    beside each cut a string of as many random letters of the same text is made. At each length the limit is what all
+    but the share `lost` of the random strings stay below, in the language where they come nearest, but no more than
+    what all but that share of the clean cuts reach, in the language where these lie lowest: very short texts are not
+    told apart from chance at the expense of clean ones. None without such rows.
+    """
+    usable = documents.select("doc_id", "text", "lang").where("text IS NOT NULL").where(held_out).where(F.col("lang").isin(model.languages))
+    rows = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
+    if not rows:
+        return None
+    shares = F.create_map(*[F.lit(v) for lang, n in sorted(rows.items()) for v in (lang, min(1.0, per_language / n))])
+    sample = usable.where(drawn("doc_id", "text") <= F.element_at(shares, F.col("lang"))).select("lang", "text")
+    schema = pa.schema([("lang", pa.string()), ("length", pa.int64()), ("trigrams", pa.int64()), ("clean", pa.float64()), ("random", pa.float64())])
+
+    def work(batches):
+        predictor = Predictor(model)
+        for batch in batches:
+            out = {name: [] for name in schema.names}
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                letters = sorted({c for c in text[: 2 * LENGTHS[-1]].lower() if c.isalpha()})
+                if len(letters) < 2:
+                    continue
+                rng = np.random.default_rng(len(text))
+                for length in (n for n in LENGTHS if n <= len(text)):
+                    places = rng.integers(0, len(letters) * 6 // 5 + 1, length)
+                    random = predictor("".join(letters[i] if i < len(letters) else " " for i in places))[1]
+                    clean = predictor(text[:length])[1]
+                    if predictor.encoder.trigrams:
+                        for name, value in zip(schema.names, (lang, length, predictor.encoder.trigrams, clean, random)):
+                            out[name].append(value)
+            yield record(schema, **out)
+
+    measured = map_batches(sample, work, "lang string, length long, trigrams long, clean double, random double")
+    by_language = measured.groupBy("length", "lang").agg(
+        F.percentile("trigrams", F.lit(0.5)).alias("trigrams"), F.percentile("clean", F.lit(lost)).alias("clean"),
+        F.percentile("random", F.lit(1 - lost)).alias("random"),
+    )
+    found = by_language.groupBy("length").agg(
+        F.avg("trigrams").alias("trigrams"), F.least(F.min("clean"), F.max("random")).alias("limit")
+    ).orderBy("trigrams").collect()
+    return Limits(np.log([max(1.0, r.trigrams) for r in found]), np.array([r.limit for r in found])) if found else None
+
+
+def keep_known(documents: DataFrame, model: Model, least: float = 0.02, text: str = "text", limits: Limits | None = None) -> DataFrame:
     """The rows of `documents` in a learned language, all columns unchanged.
 
-    Rejected are texts without a letter and texts whose cosine to every prototype is under `least`: chance level
-    between random vectors of length 1024 is about 0.03, so only texts unlike every learned language fall below.
+    Rejected are texts without a letter and texts whose cosine to every prototype is under the limit of their length.
+    Without `limits` it is `least` for all; as the largest of several chance cosines (about 0.03 each between random
+    vectors of length 1024) is tested, so low a limit rejects hardly any text with letters.
     """
     position = documents.columns.index(text)
 
     def work(batches):
         predictor = Predictor(model)
         for batch in batches:
-            found = [predictor(t) for t in batch.column(position).to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+            kept = []
+            for t in batch.column(position).to_pylist():
+                lang, score = predictor(t)
+                kept.append(lang != UNKNOWN and score >= (least if limits is None else limits(predictor.encoder.trigrams)))
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return map_batches(documents, work, documents.schema)
 

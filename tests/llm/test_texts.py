@@ -399,3 +399,28 @@ def test_any_passage_of_the_least_score_has_the_hits_it_needs():
             at, items = dc.Grams([b" ".join(item).decode()], 2).anchors(passage)
             assert len(at) and set(items.tolist()) == {0}
     assert reached > 1000
+
+
+# ------------------------------------------------------------------ limits of the language stage
+
+
+def test_language_stage_rejects_gibberish_and_unlearned_scripts(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    rng = np.random.default_rng(4)
+    scripts = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "".join(map(chr, range(0x430, 0x450))), "cjk": "".join(map(chr, range(0x4E00, 0x9FA5)))}
+    foreign = [
+        ("".join(rng.choice([*letters, *" " * (len(letters) // 6)], int(n)))) for letters in scripts.values() for n in rng.integers(60, 900, 80)
+    ]
+    whole = [r.text for r in documents.where("lang = 'en' AND length(text) > 400").limit(60).collect()]
+    clean = [*whole, *(t[:60] for t in whole)]
+    rows = spark.createDataFrame([(-1 - i, t, None, "s", 0) for i, t in enumerate([*foreign, *clean])], documents.schema)
+    kept = corpus_pipeline.keep_known_languages(spark, documents.unionByName(rows), folder)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    lost = sum(-1 - i not in ids for i in range(len(foreign)))
+    assert lost >= 0.95 * len(foreign)
+    assert sum(-1 - len(foreign) - i in ids for i in range(len(clean))) >= 0.95 * len(clean)
+    given = documents.where("text IS NOT NULL AND length(text) > 0")
+    assert len([i for i in ids if i >= 0]) >= 0.97 * given.count()
