@@ -39,7 +39,7 @@ class Settings:
     """Sizes and training.
 
     `classes` times `units` output units, `own` of them single words; `head` words known to every task; feature rows
-    of the two softmax steps; each of `rounds` updates uses its own `share` of the training texts.
+    of the two softmax steps; each of `rounds` updates uses its own `share` of the training texts, together all of them.
     """
 
     classes: int = 16
@@ -49,7 +49,7 @@ class Settings:
     class_rows: int = 1 << 14
     unit_rows: int = 1 << 11
     rounds: int = 2
-    share: float = 0.1
+    share: float = 0.5
     rate: float = 0.1
     batch: int = 8192
     smoothing: float = 0.5

@@ -424,3 +424,14 @@ def test_language_stage_rejects_gibberish_and_unlearned_scripts(spark):
     assert sum(-1 - len(foreign) - i in ids for i in range(len(clean))) >= 0.95 * len(clean)
     given = documents.where("text IS NOT NULL AND length(text) > 0")
     assert len([i for i in ids if i >= 0]) >= 0.97 * given.count()
+
+
+# ------------------------------------------------------------------ training rows of the language model
+
+
+@pytest.mark.parametrize("place", [0.25, 0.55, 0.999999])
+def test_every_training_text_updates_the_weights(spark, place):
+    rows = frame(spark, [(1, "a b a b a c a b", "en", "a"), (2, "b a b a b a", "en", "a")]).select("doc_id", "text")
+    v = language_model.vocabulary(language_model.count_words(rows))
+    trained = language_model.train(rows, v, F.lit(place))
+    assert (trained.classes != language_model.Weights.initial(v).classes).any()
