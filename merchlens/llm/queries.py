@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens.llm import (
-    chat, decontaminate, language, language_model, mixing, neighbours, quality, reputation, simhash, warc,
+    chat, decontaminate, language, language_model, mixing, neighbours, quality, reputation, sharding, simhash, spelling,
+    token_alignment, warc,
 )
 from merchlens.llm.shared import read_table, remainder
 
@@ -75,10 +76,29 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(read_table(spark, folder, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(read_table(spark, folder, "documents")))
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The digests are those of the rows as they lie in the written shards."""
+    rows = sharding.shuffle_files(spark, f"{folder}/documents.parquet")
+    text = F.coalesce(F.col("row.text").cast("string").cast("binary"), F.lit(b""))
+    return rows.select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_tokenizers(read_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_quality_classifier, op2_source_mixing, op3_permutation_index, op4_language_model, op5_host_reputation,
-        op6_chat_format, op7_simhash, op8_decontamination, op9_language_id, op10_warc,
+        op6_chat_format, op7_simhash, op8_decontamination, op9_language_id, op10_warc, op11_spelling_variants,
+        op12_sharding, op13_token_alignment,
     )
     return {query.__name__: query for query in found}
 

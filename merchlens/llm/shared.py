@@ -10,39 +10,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows per Arrow batch while the session has Spark's own default: texts are long, and a worker holds a batch at a time.
+# Rows that a worker turns into Python objects at a time; Spark itself bounds the bytes of the Arrow batches they come in.
 TEXTS_PER_BATCH = 256
-DEFAULT_PER_BATCH = "10000"
-PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PIECE_BYTES = 1 << 20
 
 Batches = Iterable[pa.RecordBatch]
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a folder under the warehouse where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+    """The shared folder the cluster names in spark.checkpoint.dir.
+
+    In local mode, where one machine holds everything, a folder under the warehouse serves where it is unset.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     return folder.rstrip("/")
 
 
-def written(data: DataFrame, name: str) -> DataFrame:
+def written(data: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The rows of `data`, computed once and read back from a new folder of the shared work folder.
 
-    Cuts the lineage like checkpoint() does, in compressed columns that later steps can prune. Survives the loss of
+    With `by`, rows of different values of that column lie apart, so that a filter on it reads only its own. Cuts the lineage like checkpoint() does, in compressed columns that later steps can prune. Survives the loss of
     executors because nothing of it is kept on them.
     """
     spark = data.sparkSession
     folder = f"{work_folder(spark)}/merchlens-{name}-{uuid.uuid4().hex}"
-    data.write.parquet(folder)
+    (data.write.partitionBy(by) if by else data.write).parquet(folder)
     return spark.read.schema(data.schema).parquet(folder)
 
 
 def map_batches(data: DataFrame, work: Callable[[Batches], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """mapInArrow with batches small enough for long texts; a batch size the user has chosen is left alone."""
-    spark = data.sparkSession
-    if spark.conf.get(PER_BATCH) == DEFAULT_PER_BATCH:
-        spark.conf.set(PER_BATCH, str(TEXTS_PER_BATCH))
-    return data.mapInArrow(work, schema)
+    """mapInArrow whose work sees short slices of the batches, since texts are long; the session's settings stay as they are."""
+
+    def sliced(batches: Batches) -> Iterator[pa.RecordBatch]:
+        return work(b.slice(begin, TEXTS_PER_BATCH) for b in batches for begin in range(0, b.num_rows, TEXTS_PER_BATCH))
+
+    return data.mapInArrow(sliced, schema)
 
 
 def remainder(column: str, modulus: int) -> Column:
