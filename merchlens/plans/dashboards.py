@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from merchlens.functions import metrics as m
 from merchlens.functions.numbers import cents, count_when, exact_ratio, mean_money, money, percent
 from merchlens.functions.quantiles import with_twice_median
-from merchlens.plans.model import CATEGORY, SalesModel, named_states, order_facts, placed_orders
+from merchlens.plans.model import CATEGORY, SalesModel, named_states, order_facts
 from merchlens.plans.regional import SMALL_SAMPLE, _all, _late_vs_national, mean_days, tiered_states, tiers
 
 
@@ -25,22 +25,24 @@ def sales_dashboard(model: SalesModel) -> DataFrame:
     Written as an inner join and an anti join instead of a left join from the orders: in a left join Spark cannot
     split an order that holds a large share of the items.
     """
-    headers = placed_orders(model, model.order_headers).join(named_states(model), "customer_state", "left").select(
-        "order_id",
-        "customer_unique_id",
-        "customer_state",
-        "state_name",
-        "macro_region",
-        "order_status",
-        F.to_date(m.PURCHASED).alias("order_purchase_date"),
-        m.purchase_month().alias("order_month"),
-        model.calendar.in_trend().alias("in_trend_window"),
-        m.earns_revenue().alias("is_revenue_order"),
-    )
+    def headed(orders: DataFrame) -> DataFrame:
+        return model.placed(orders).join(named_states(model), "customer_state", "left").select(
+            "order_id",
+            "customer_unique_id",
+            "customer_state",
+            "state_name",
+            "macro_region",
+            "order_status",
+            F.to_date(m.PURCHASED).alias("order_purchase_date"),
+            m.purchase_month().alias("order_month"),
+            model.calendar.in_trend().alias("in_trend_window"),
+            m.earns_revenue().alias("is_revenue_order"),
+        )
+
     items = model.order_items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
     catalogue = model.products.select("product_id", F.col(CATEGORY).alias("product_category"))
-    sold = items.join(headers, "order_id").join(catalogue, "product_id", "left")
-    bare = headers.join(model.order_totals().select("order_id"), "order_id", "left_anti")
+    sold = items.join(headed(model.order_headers), "order_id").join(catalogue, "product_id", "left")
+    bare = headed(model.bare(model.order_headers))
     whole = sold.drop("product_id").unionByName(bare, allowMissingColumns=True)
     item_value = F.col("price") + F.col("freight_value")
     return whole.select(
@@ -67,6 +69,7 @@ def _two_decimals(name: str) -> Column:
     return F.round(F.col(name).cast("decimal(26,12)"), 2).cast("decimal(20,2)")
 
 
+# The columns of the operations dashboard in order.
 OPERATIONS_COLUMNS = (
     "order_id", "customer_unique_id", "customer_state", "state_name", "macro_region", "order_status",
     "order_purchase_date", "order_month", "in_trend_window", "primary_category", "item_count", "freight_value",

@@ -307,7 +307,7 @@ def region_value_premium(model: SalesModel, base_region: str = "Southeast") -> D
 def undelivered_in_latest_month(model: SalesModel) -> DataFrame:
     """Orders of the last trend month that are not delivered."""
     per_month = (
-        model.order_headers.where(model.calendar.in_trend())
+        model.order_headers.where(model.in_trend())
         .groupBy(m.purchase_month().alias("order_month"))
         .agg(
             F.count(F.lit(1)).alias("orders"),

@@ -20,19 +20,13 @@ from merchlens.functions.numbers import (
     sum_when,
 )
 from merchlens.functions.quantiles import exact_distribution, quantile_value
-from merchlens.plans.model import SalesModel, largest_category, measured_deliveries
+from merchlens.plans.model import SalesModel, measured_deliveries
 
 
 def _mean(micros: str) -> Column:
     return mean_days(F.sum(micros), F.count(micros))
 
 
-def _freight_per_order(model: SalesModel) -> DataFrame:
-    return model.order_totals().select(
-        "order_id", F.col("freight_value").alias("freight"), F.col("item_count").alias("items")
-    )
-
-
 def delivery_time_summary(model: SalesModel) -> DataFrame:
     """Delivery days: mean, exact median and 90th percentile, range."""
     spread = exact_distribution(measured_deliveries(model), "actual_micros", {"p50": "1/2", "p90": "9/10"})
@@ -109,7 +103,7 @@ def late_deliveries_by_month(model: SalesModel) -> DataFrame:
     """Lateness and durations by purchase month."""
     return (
         measured_deliveries(model)
-        .where(model.calendar.in_trend())
+        .where(model.in_trend())
         .groupBy(m.purchase_month().alias("order_month"))
         .agg(
             *_lateness(),
@@ -125,23 +119,16 @@ def late_deliveries_by_state(model: SalesModel) -> DataFrame:
 
     Deliveries are totalled per customer before the customer join, so a customer with very many orders is one row.
     """
-    per_customer = (
-        measured_deliveries(model)
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("delivered"),
-            count_when(F.col("is_late")).alias("late"),
-            F.sum("actual_micros").alias("micros"),
-        )
+    per_customer = model.per_customer(
+        measured_deliveries(model),
+        F.count(F.lit(1)).alias("delivered"),
+        count_when(F.col("is_late")).alias("late"),
+        F.sum("actual_micros").alias("micros"),
     )
-    per_state = (
-        per_customer.join(model.customers.select("customer_id", "customer_state"), "customer_id")
-        .groupBy("customer_state")
-        .agg(
-            F.sum("delivered").alias("delivered_orders"),
-            F.sum("late").alias("late_orders"),
-            F.sum("micros").alias("micros"),
-        )
+    per_state = per_customer.groupBy("customer_state").agg(
+        F.sum("delivered").alias("delivered_orders"),
+        F.sum("late").alias("late_orders"),
+        F.sum("micros").alias("micros"),
     )
     # Ranked on 18 digits of the rate, not on the rounded percentage.
     rate = exact_ratio(F.col("late_orders"), F.col("delivered_orders"), 18)
@@ -158,8 +145,7 @@ def late_deliveries_by_state(model: SalesModel) -> DataFrame:
 def late_deliveries_by_category(model: SalesModel, min_delivered: int = 100) -> DataFrame:
     """Lateness by each order's primary category; small categories are left out."""
     return (
-        measured_deliveries(model)
-        .join(largest_category(model.order_categories()), "order_id")
+        model.categorised(measured_deliveries(model))
         .groupBy("product_category")
         .agg(*_lateness(), _mean("actual_micros").alias("avg_delivery_days"))
         .where(F.col("delivered_orders") >= min_delivered)
@@ -169,14 +155,11 @@ def late_deliveries_by_category(model: SalesModel, min_delivered: int = 100) ->
 
 def freight_cost_summary(model: SalesModel) -> DataFrame:
     """Freight per item and order, and per order on time or late."""
-    priced = (
-        model.order_deliveries.where(m.earns_revenue())
-        .select(
-            "order_id",
-            (m.measurable_delivery() & m.arrived_late()).alias("late"),
-            (m.measurable_delivery() & ~m.arrived_late()).alias("on_time"),
-        )
-        .join(_freight_per_order(model), "order_id")
+    priced = model.valued(model.order_deliveries.where(m.earns_revenue())).select(
+        (m.measurable_delivery() & m.arrived_late()).alias("late"),
+        (m.measurable_delivery() & ~m.arrived_late()).alias("on_time"),
+        F.col("freight_value").alias("freight"),
+        F.col("item_count").alias("items"),
     )
     freight = F.col("freight")
 
@@ -195,7 +178,7 @@ def cancellation_rate_by_month(model: SalesModel) -> DataFrame:
     """Canceled and unavailable orders by purchase month."""
     everything = F.count(F.lit(1))
     return (
-        model.order_headers.where(model.calendar.in_trend())
+        model.order_headers.where(model.in_trend())
         .groupBy(m.purchase_month().alias("order_month"))
         .agg(
             everything.alias("orders"),
@@ -211,7 +194,7 @@ def cancellation_rate_by_month(model: SalesModel) -> DataFrame:
 def delivery_performance_by_status(model: SalesModel) -> DataFrame:
     """How far orders of each status got through fulfilment."""
     waited = micros_between(m.PURCHASED, m.APPROVED)
-    grouped = model.orders.groupBy("order_status").agg(
+    grouped = model.order_lifecycles.groupBy("order_status").agg(
         F.count(F.lit(1)).alias("orders"),
         F.count(m.APPROVED).alias("approved"),
         F.count(m.HANDED_OVER).alias("handed_to_carrier"),
@@ -231,7 +214,7 @@ def delivery_performance_by_status(model: SalesModel) -> DataFrame:
 
 def fulfilment_stage_times(model: SalesModel) -> DataFrame:
     """Mean time per stage for late and on-time orders with every stage recorded."""
-    staged = model.orders.where(
+    staged = model.order_lifecycles.where(
         m.measurable_delivery() & F.col(m.APPROVED).isNotNull() & F.col(m.HANDED_OVER).isNotNull()
     ).select(
         F.when(m.arrived_late(), "late").otherwise("on_time").alias("delivery_outcome"),
@@ -254,15 +237,14 @@ def fulfilment_stage_times(model: SalesModel) -> DataFrame:
 def _kpi_base(model: SalesModel) -> DataFrame:
     """One row per order with everything the KPI tables need."""
     measurable = F.coalesce(m.measurable_delivery(), F.lit(False))
-    return model.order_deliveries.select(
-        "order_id",
-        "order_status",
-        m.PURCHASED,
-        measurable.alias("measurable"),
-        F.when(measurable, m.arrived_late()).alias("late"),
-        F.when(measurable, micros_between(m.PURCHASED, m.RECEIVED)).alias("actual_micros"),
-        F.when(measurable, micros_between(m.PURCHASED, m.PROMISED)).alias("promised_micros"),
-    ).join(_freight_per_order(model).select("order_id", "freight"), "order_id", "left")
+    orders = model.valued(model.order_deliveries, "left")
+    return orders.withColumns({
+        "freight": F.col("freight_value"),
+        "measurable": measurable,
+        "late": F.when(measurable, m.arrived_late()),
+        "actual_micros": F.when(measurable, micros_between(m.PURCHASED, m.RECEIVED)),
+        "promised_micros": F.when(measurable, micros_between(m.PURCHASED, m.PROMISED)),
+    })
 
 
 def _kpis() -> dict[str, Column]:
@@ -306,7 +288,7 @@ def operations_kpis_monthly(model: SalesModel) -> DataFrame:
     )
     return (
         _kpi_base(model)
-        .where(model.calendar.in_trend())
+        .where(model.in_trend())
         .groupBy(m.purchase_month().alias("order_month"))
         .agg(*[kpis[name].alias(name) for name in wanted])
         .orderBy("order_month")

@@ -39,31 +39,25 @@ def state_totals(model: SalesModel) -> DataFrame:
     Orders are totalled per customer id, then per person, then per state: the customer join meets one row per
     customer however many orders they hold, and people are counted without a distinct aggregate.
     """
-    value = model.order_totals().select("order_id", "order_value", F.col("freight_value").alias("order_freight"))
     measurable = m.measurable_delivery()
     late = measurable & m.arrived_late()
-    earned, freight = (F.when(m.earns_revenue(), F.col(c)) for c in ("order_value", "order_freight"))
-    per_customer = (
-        model.order_deliveries.join(value, "order_id", "left")
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            count_when(m.earns_revenue()).alias("revenue_orders"),
-            F.sum(earned).alias("revenue"),
-            F.count(earned).alias("valued_orders"),
-            F.sum(freight).alias("freight"),
-            F.count(freight).alias("freight_orders"),
-            count_when(measurable).alias("delivered_orders"),
-            count_when(late).alias("late_orders"),
-            sum_when(measurable, micros_between(m.PURCHASED, m.RECEIVED)).alias("micros"),
-            sum_when(late, F.col("order_value")).alias("late_revenue"),
-        )
+    earned, freight = (F.when(m.earns_revenue(), F.col(c)) for c in ("order_value", "freight_value"))
+    per_customer = model.per_customer(
+        model.valued(model.order_deliveries, "left"),
+        F.count(F.lit(1)).alias("orders"),
+        count_when(m.earns_revenue()).alias("revenue_orders"),
+        F.sum(earned).alias("revenue"),
+        F.count(earned).alias("valued_orders"),
+        F.sum(freight).alias("freight"),
+        F.count(freight).alias("freight_orders"),
+        count_when(measurable).alias("delivered_orders"),
+        count_when(late).alias("late_orders"),
+        sum_when(measurable, micros_between(m.PURCHASED, m.RECEIVED)).alias("micros"),
+        sum_when(late, F.col("order_value")).alias("late_revenue"),
     )
-    people = model.customers.select("customer_id", "customer_unique_id", "customer_state")
     sums = [F.sum(name).alias(name) for name in TOTALS]
     return (
-        per_customer.join(people, "customer_id")
-        .groupBy("customer_state", "customer_unique_id")
+        per_customer.groupBy("customer_state", "customer_unique_id")
         .agg(*sums)
         .groupBy("customer_state")
         .agg(*sums, F.count("customer_unique_id").alias("customers"))

@@ -26,9 +26,9 @@ from merchlens.plans.dashboards import (
     regional_dashboard,
     sales_dashboard,
 )
-from merchlens.plans.model import SalesModel, category_totals, item_totals, order_facts
+from merchlens.plans.model import MONTH, SalesModel, category_base, order_base, order_facts, order_months
 from merchlens.session import build_session
-from merchlens.sources import clean_store, exports
+from merchlens.sources import clean_store, exports, files
 from merchlens.sources.jobs import side_by_side
 from merchlens.sources.raw_csv import RawFolder
 from merchlens.sources.schemas import CLEAN_DATASETS, ROW_ORDER
@@ -61,6 +61,12 @@ class Run:
     states: DataFrame | None = None
     # Whether profiles count distinct values exactly or estimate them from sketches.
     exact_unique: bool = True
+    # How many publications, sets of views and ingested copies stay for readers; None keeps all.
+    keep: int | None = 2
+    # Buckets of the stored facts; as many as the session has shuffle partitions where unset.
+    buckets: int | None = None
+    # Where the views are registered; the session's current database where unset.
+    database: str | None = None
 
     # ---- tables handed from step to step
 
@@ -103,8 +109,8 @@ class Run:
         tables = clean_store.published(self.spark, f"{self.folder}/warehouse")
         return SalesModel(
             **{name: tables[name] for name in CLEAN_DATASETS},
-            per_order=tables["item_totals"],
-            per_category=tables["category_totals"],
+            facts=tables["order_base"],
+            category_facts=tables["category_base"],
             states=self.states if self.states is not None else state_reference(self.spark),
             calendar=self.calendar,
         )
@@ -188,13 +194,10 @@ class Run:
     def load_tables(self) -> dict[str, int]:
         """Publish the clean tables as one set, after the constraints of the published tables hold.
 
-        The two per-order aggregates of the items are part of the publication: the items are shuffled for them
-        once, not again by every report.
+        The items are placed by their order's month and bucketed by order, and so are two tables that are derived once
+        for all reports: the items added up per order and category, and everything known of an order. Sets and ingested
+        copies beyond `keep` expire.
         """
-        def per_order(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-            items, products = tables["order_items"], tables["products"]
-            return {"item_totals": item_totals(items), "category_totals": category_totals(items, products)}
-
         clean = self.clean()
         outcomes = f"{self.folder}/outcomes/{self.raw.fingerprint(self.spark)}"
         if self._complete(outcomes):
@@ -202,13 +205,43 @@ class Run:
         else:
             constraints = validation.check_constraints(clean)
         validation.gate(constraints)
-        return clean_store.publish(self.spark, clean, f"{self.folder}/warehouse", per_order)
+        layout = clean_store.Layout(MONTH, "order_id", self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
+        def items_by_month(items: DataFrame, tables: Mapping[str, DataFrame]) -> clean_store.LaidOut:
+            return clean_store.LaidOut(items.join(order_months(tables["orders"]), "order_id", "left"), layout)
+
+        def per_category(tables: Mapping[str, DataFrame]) -> dict[str, clean_store.LaidOut]:
+            base = category_base(tables["order_items"], tables["products"], tables["orders"])
+            return {"category_base": clean_store.LaidOut(base, layout)}
+
+        def per_order(tables: Mapping[str, DataFrame]) -> dict[str, clean_store.LaidOut]:
+            base = order_base(tables["orders"], tables["customers"], tables["category_base"])
+            return {"order_base": clean_store.LaidOut(base, layout)}
+
+        counts = clean_store.publish(
+            self.spark, clean, f"{self.folder}/warehouse", {"order_items": items_by_month}, [per_category, per_order]
+        )
+        if self.keep is not None:
+            clean_store.expire(self.spark, f"{self.folder}/warehouse", self.keep)
+            self._expire_copies(self.keep)
+        return counts
+
+    def _expire_copies(self, keep: int) -> None:
+        """Delete the ingested and staged copies of all but the newest `keep` states of the raw files."""
+        for kind in ("raw", "staged", "outcomes"):
+            changed = files.folders(self.spark, f"{self.folder}/{kind}")
+            # A copy without its marker is being written.
+            done = {n: files.folders(self.spark, f"{self.folder}/{kind}/{n}").get("complete") for n in changed}
+            newest = sorted((at, n) for n, at in done.items() if at is not None)
+            for _, name in newest[:-keep]:
+                files.remove(self.spark, f"{self.folder}/{kind}/{name}")
 
     def create_views(self) -> list[str]:
         """Write the order facts and every dashboard once, require rows, and register them as views.
 
         They go to a folder of their own that becomes visible as a whole, so no reader meets views of different runs.
-        The operations dashboard is a projection of the written facts, so the tables are not joined again for it.
+        All of them read the stored facts. The catalog's views are replaced in dependency order, and sets beyond `keep`
+        expire.
         """
         model = self.model()
         built = {
@@ -221,14 +254,17 @@ class Run:
 
         root = f"{self.folder}/views"
         number, folder = clean_store.new_folder(self.spark, root)
-        sizes = clean_store.write_counted(self.spark, built, folder)
+        seen = clean_store.write_marked(self.spark, built, folder)
         facts = self.spark.read.parquet(f"{folder}/order_facts")
-        sizes |= clean_store.write_counted(self.spark, {"operations_dashboard": operations_dashboard(facts)}, folder)
+        seen |= clean_store.write_marked(self.spark, {"operations_dashboard": operations_dashboard(facts)}, folder)
         views = {name: self.spark.read.parquet(f"{folder}/{name}") for name in VIEWS}
-        clean_store.verify_row_counts(sizes, views)
+        clean_store.verify_content(self.spark, seen, views)
         exports.require_rows({name: views[name] for name in DASHBOARDS})
         clean_store.point_to(self.spark, root, number, folder, VIEWS)
-        return exports.refresh_views(views)
+        names = exports.refresh_views(self.spark, {name: f"{folder}/{name}" for name in VIEWS}, self.database)
+        if self.keep is not None:
+            clean_store.expire(self.spark, root, self.keep)
+        return names
 
     def run_sales_analysis(self) -> dict[str, int]:
         return self._export_reports("sales", sales.REPORTS)

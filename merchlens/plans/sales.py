@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from merchlens.functions import metrics as m
-from merchlens.functions.dates import within
 from merchlens.functions.numbers import (
     WHOLE,
     cents,
@@ -26,8 +25,7 @@ from merchlens.plans.model import SalesModel
 
 def _valued_orders(model: SalesModel) -> DataFrame:
     """Orders with items and their item totals."""
-    headers = model.order_headers.select("order_id", "customer_id", "order_status", m.PURCHASED)
-    return headers.join(model.order_totals(), "order_id")
+    return model.valued(model.order_headers)
 
 
 def _revenue_orders(model: SalesModel) -> DataFrame:
@@ -36,10 +34,7 @@ def _revenue_orders(model: SalesModel) -> DataFrame:
 
 def _category_orders(model: SalesModel, period: Column | None = None) -> DataFrame:
     """One row per (revenue order, category)."""
-    headers = model.order_headers.where(m.earns_revenue())
-    if period is not None:
-        headers = headers.where(period)
-    return model.order_categories().join(headers.select("order_id", m.PURCHASED), "order_id")
+    return model.category_orders(m.earns_revenue() if period is None else m.earns_revenue() & period)
 
 
 def _category_revenue(model: SalesModel) -> DataFrame:
@@ -64,21 +59,15 @@ def total_orders(model: SalesModel) -> DataFrame:
     Orders are first counted per customer id, so the join to customers meets one row per customer, and people
     are counted as groups instead of by a distinct aggregate over all orders.
     """
-    with_items = model.order_totals().select("order_id", F.lit(True).alias("has_items"))
-    per_customer = (
-        model.order_headers.join(with_items, "order_id", "left")
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            count_when(m.earns_revenue()).alias("revenue_orders"),
-            count_when(m.has_status(m.DELIVERED)).alias("delivered"),
-            count_when(F.col("has_items").isNull()).alias("bare"),
-        )
+    per_customer = model.per_customer(
+        model.valued(model.order_headers, "left"),
+        F.count(F.lit(1)).alias("orders"),
+        count_when(m.earns_revenue()).alias("revenue_orders"),
+        count_when(m.has_status(m.DELIVERED)).alias("delivered"),
+        count_when(F.col("item_count").isNull()).alias("bare"),
     )
-    per_person = (
-        per_customer.join(model.customers.select("customer_id", "customer_unique_id"), "customer_id")
-        .groupBy("customer_unique_id")
-        .agg(*[F.sum(c).alias(c) for c in ("orders", "revenue_orders", "delivered", "bare")])
+    per_person = per_customer.groupBy("customer_unique_id").agg(
+        *[F.sum(c).alias(c) for c in ("orders", "revenue_orders", "delivered", "bare")]
     )
     return per_person.agg(
         F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
@@ -92,7 +81,7 @@ def total_orders(model: SalesModel) -> DataFrame:
 def _monthly(model: SalesModel) -> DataFrame:
     return (
         _revenue_orders(model)
-        .where(model.calendar.in_trend())
+        .where(model.in_trend())
         .groupBy(m.purchase_month().alias("order_month"))
         .agg(F.sum("order_value").alias("revenue"))
     )
@@ -124,7 +113,7 @@ def monthly_revenue_mom(model: SalesModel) -> DataFrame:
 def monthly_order_volume(model: SalesModel) -> DataFrame:
     """Orders placed per month, split by whether they became revenue."""
     return (
-        model.order_headers.where(model.calendar.in_trend())
+        model.order_headers.where(model.in_trend())
         .groupBy(m.purchase_month().alias("order_month"))
         .agg(
             F.count(F.lit(1)).alias("orders_placed"),
@@ -177,15 +166,11 @@ def top_categories(model: SalesModel, places: int = 10) -> DataFrame:
 
 def revenue_by_state(model: SalesModel) -> DataFrame:
     """Orders, people, revenue and revenue share per customer state."""
-    per_customer = (
-        _revenue_orders(model)
-        .groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("order_value").alias("revenue"))
+    per_customer = model.per_customer(
+        _revenue_orders(model), F.count(F.lit(1)).alias("orders"), F.sum("order_value").alias("revenue")
     )
-    people = model.customers.select("customer_id", "customer_unique_id", "customer_state")
     per_state = (
-        per_customer.join(people, "customer_id")
-        .groupBy("customer_state", "customer_unique_id")
+        per_customer.groupBy("customer_state", "customer_unique_id")
         .agg(F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"))
         .groupBy("customer_state")
         .agg(
@@ -206,7 +191,7 @@ def revenue_by_state(model: SalesModel) -> DataFrame:
 def revenue_by_month_category(model: SalesModel) -> DataFrame:
     """Orders and revenue per month and category of the trend window."""
     return (
-        _category_orders(model, model.calendar.in_trend())
+        _category_orders(model, model.in_trend())
         .groupBy(m.purchase_month().alias("order_month"), "product_category")
         .agg(F.count(F.lit(1)).alias("orders"), money(F.sum("value")).alias("revenue"))
         .orderBy("order_month", F.desc_nulls_first("revenue"), "product_category")
@@ -271,7 +256,7 @@ def category_trend_recent_vs_prior(model: SalesModel, min_orders: int = 50) -> D
     Shares are taken over all categories; small categories are dropped afterwards.
     """
     calendar = model.calendar
-    whole_span = within(m.PURCHASED, calendar.prior_start, calendar.recent_end)
+    whole_span = model.during(calendar.prior_start, calendar.recent_end)
     is_recent = F.col(m.PURCHASED) >= F.lit(calendar.recent_start).cast("timestamp_ntz")
     none = F.lit(0).cast("decimal(28,2)")
     by_category = (

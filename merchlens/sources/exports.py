@@ -80,8 +80,13 @@ def write_json(data: DataFrame, path: str) -> None:
     data.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def refresh_views(views: Mapping[str, DataFrame]) -> list[str]:
-    """Create or replace a temporary view per entry, in the given order."""
-    for name, data in views.items():
-        data.createOrReplaceTempView(name)
-    return list(views)
+def refresh_views(spark: SparkSession, folders: Mapping[str, str], database: str | None = None) -> list[str]:
+    """Create or replace a view in the catalog per stored table, in the given order; other sessions see them too.
+
+    A view names the files it reads, so it stays as it is until it is replaced, and needs nothing of this session.
+    """
+    for name, folder in folders.items():
+        place = f"`{database}`.`{name}`" if database else f"`{name}`"
+        path = folder.replace("`", "``")
+        spark.sql(f"CREATE OR REPLACE VIEW {place} AS SELECT * FROM parquet.`{path}`")
+    return list(folders)
