@@ -5,14 +5,15 @@ by galloping: steps that double from a guessed place until they pass the end, th
 Ends in both lists cut the tokens into groups, and the ranks of the shorter list's ends in the longer one are the
 ranges of tokens that overlap. All ends of a batch of texts are searched at once.
 
-Tokens are written once, as the numbers of both tokenizers, and read for the counts of pairs over the corpus and again
-for the results. The most frequent pairs go to every task as a list of bounded length; the counts of the others are
-joined.
+Texts are tokenized and aligned once. What the counts over the corpus add, each text's different pairs of tokens, is
+written with the rest and looked up when all texts have been counted: the most frequent pairs in a list of bounded
+length that every task holds, the others by a join.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +27,8 @@ from merchlens.llm.shared import map_batches, record, written
 
 SPACE = "▁"
 PAIRS_AT_ONCE = 1 << 21
+# How byte-level vocabularies of this family cut a text before merging, a fixed value.
+CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 @dataclass(frozen=True)
@@ -34,7 +37,7 @@ class Settings:
 
     bytes_file: str = "/opt/tokenizers/byte_bpe_50k.json"
     pieces_file: str = "/opt/tokenizers/piece_bpe_32k.model"
-    at_once: int = 1 << 20
+    at_once: int = 1 << 18
     head: int = 1 << 18
 
 
@@ -48,71 +51,79 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _in_merge_order(file: dict) -> bool:
+    """Whether a tokenizer file is plain byte-level merging, by the usual cuts, with numbers in the order of the merges.
+
+    Then its numbers are the ranks of the merges, and any program that merges by rank gives the same tokens.
+    """
+    model, before = file["model"], file.get("pre_tokenizer") or {}
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    if model.get("type", "BPE") != "BPE" or file.get("normalizer") or any(model.get(o) for o in options):
+        return False
+    if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        return False
+    pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+    return all(model["vocab"].get(a + b) == 256 + i for i, (a, b) in enumerate(pairs))
+
+
 class Tokenizers:
     """Both tokenizers and the bytes of each of their tokens; special tokens are plain text."""
 
     def __init__(self, settings: Settings):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(settings.bytes_file)
-        self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=settings.pieces_file)
-        letters = _byte_letters()
-        self.bytes_a = [b""] * self.a.get_vocab_size()
-        for entry, number in self.a.get_vocab().items():
-            known = all(c in letters for c in entry)
-            self.bytes_a[number] = bytes(letters[c] for c in entry) if known else entry.encode()
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
             for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
         ]
-
-    def lengths(self) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.array([len(t) for t in tokens], np.int64) for tokens in (self.bytes_a, self.bytes_b))
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Numbers of both tokenizers; none for a text whose tokens do not spell a space and the text."""
-        spaced = [" " + t for t in texts]
-        a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        found = [], []
-        for text, one, two in zip(spaced, a, b):
+        with open(settings.bytes_file, encoding="utf-8") as source:
+            file = json.load(source)
+        vocabulary = file["model"]["vocab"] | {t["content"]: t["id"] for t in file.get("added_tokens", ())}
+        letters = _byte_letters()
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for entry, number in vocabulary.items():
+            known = all(c in letters for c in entry)
+            self.bytes_a[number] = bytes(letters[c] for c in entry) if known else entry.encode()
+        self.by_rank = _in_merge_order(file)
+        if self.by_rank:
+            import tiktoken
+
+            special = {t["id"] for t in file.get("added_tokens", ())}
+            ranks = {self.bytes_a[n]: n for n in file["model"]["vocab"].values() if n not in special}
+            self.a = tiktoken.Encoding("a", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
+        else:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            self.a = Tokenizer.from_file(settings.bytes_file)
+            self.a.encode_special_tokens = True
+        self.lengths = tuple(np.array([len(t) for t in tokens], np.int64) for tokens in (self.bytes_a, self.bytes_b))
+
+    def _first(self, texts: list[str]) -> list[np.ndarray]:
+        if self.by_rank:
+            return [self.a.encode_to_numpy(t, disallowed_special=()) for t in texts]
+        return [np.array(e.ids, np.uint32) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Numbers of both tokenizers; none for a NULL or empty text, nor where tokens do not spell a space and the text."""
+        none = np.zeros(0, np.uint32)
+        found = [none] * len(texts), [none] * len(texts)
+        full = [i for i, t in enumerate(texts) if t]
+        spaced = [" " + texts[i] for i in full]
+        second = self.b.encode([texts[i] for i in full], num_threads=1) if full else []
+        for i, text, one, two in zip(full, spaced, self._first(spaced), second):
             data = text.encode()
-            fits = b"".join(map(self.bytes_a.__getitem__, one)) == data and b"".join(map(self.bytes_b.__getitem__, two)) == data
-            for kept, numbers in zip(found, (one, two)):
-                kept.append(np.array(numbers if fits else [], "<u4"))
+            # Merging by rank starts from the bytes and cannot change them.
+            if b"".join(map(self.bytes_b.__getitem__, two)) == data and (self.by_rank or b"".join(map(self.bytes_a.__getitem__, one.tolist())) == data):
+                found[0][i], found[1][i] = one, np.array(two, np.uint32)
         return found
 
 
-def tokens(documents: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row long, doc_id long, a binary, b binary): each text's token numbers as unsigned little-endian 32-bit words.
-
-    row tells rows apart. NULL and empty texts have no tokens, nor have texts that one of the tokenizers changes.
-    """
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
-
-    def work(batches):
-        both = Tokenizers(settings)
-        for batch in batches:
-            for part in _bounded(batch, 2, settings.at_once):
-                texts = part.column(2).to_pylist()
-                full = [i for i, t in enumerate(texts) if t]
-                a, b = [b""] * len(texts), [b""] * len(texts)
-                for i, one, two in zip(full, *both.encode([texts[i] for i in full])):
-                    a[i], b[i] = one.tobytes(), two.tobytes()
-                yield record(schema, row=part.column(0), doc_id=part.column(1), a=a, b=b)
-
-    rows = documents.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
-    )
-    return map_batches(rows, work, "row long, doc_id long, a binary, b binary")
-
-
 def _bounded(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about `size` bytes in a column, of one row at least."""
-    lengths = [len(v.as_buffer()) if v.is_valid else 0 for v in batch.column(column)]
+    values = batch.column(column)
+    lengths = [len(v.as_buffer()) if v.is_valid else 0 for v in values]
     begin, held = 0, 0
     for i, length in enumerate(lengths):
         if held and held + length > size:
@@ -178,9 +189,13 @@ def align(a: list[np.ndarray], b: list[np.ndarray], lengths_a: np.ndarray, lengt
     long, long_at = _chosen(ends_b, ends_a, text_b, text_a, first_is_shorter)
     few, many = np.minimum(count_a, count_b), np.maximum(count_a, count_b)
     texts = np.repeat(np.arange(len(few)), few)
-    begin_few, begin_many = np.cumsum(few) - few, np.cumsum(many) - many
-    within = np.arange(len(short)) - begin_few[texts]
-    rank = gallop(short, long, begin_many[texts] + within * many[texts] // np.maximum(few[texts], 1))
+    begin_many = np.cumsum(many) - many
+    # A text's tokens are about equally long, so an end lies as far along the list as along the bytes.
+    last = np.cumsum(few) - 1
+    bytes_before = np.concatenate([[0], np.where(few > 0, short[last] if len(short) else 0, 0)])
+    bytes_before = np.maximum.accumulate(bytes_before)
+    size = np.maximum(np.diff(bytes_before), 1)
+    rank = gallop(short, long, begin_many[texts] + (short - bytes_before[texts]) * many[texts] // size[texts] - 1)
     common = long[rank] == short if len(short) else np.zeros(0, bool)
     # A token of the shorter list meets the other's tokens from the one behind its start to the one holding its end.
     start = np.concatenate([[0], rank[:-1] + common[:-1]])[: len(rank)]
@@ -216,8 +231,11 @@ class Spelled:
 
     def __init__(self, size_a: int, size_b: int):
         self.base = 2 * size_a
-        self.words = [b"%d%s" % (i // 2, (b",", b"|")[i % 2]) for i in range(2 * size_a)]
-        self.words += [b"%d%s" % (i // 2, (b",", b";")[i % 2]) for i in range(2 * size_b)]
+        words = [b"%d%s" % (i // 2, (b",", b"|")[i % 2]) for i in range(2 * size_a)]
+        words += [b"%d%s" % (i // 2, (b",", b";")[i % 2]) for i in range(2 * size_b)]
+        # One row of bytes a word, filled up with zeros, which no word holds.
+        self.words = np.array(words)
+        self.lengths = np.char.str_len(self.words).astype(np.int64)
 
     def digests(self, found: Aligned, texts: int) -> list[str]:
         """sha256 of each text's groups; empty without tokens."""
@@ -227,57 +245,119 @@ class Spelled:
         ends_a, ends_b = np.flatnonzero(ca) + 1, np.flatnonzero(cb) + 1
         words = np.empty(len(ca) + len(cb), np.int64)
         words[np.arange(len(ca)) + np.concatenate([[0], ends_b])[group_a]] = 2 * found.a + ca
-        words[np.arange(len(cb)) + ends_a[group_b]] = self.base + 2 * found.b + cb
+        words[np.arange(len(cb)) + (ends_a[group_b] if len(cb) else 0)] = self.base + 2 * found.b + cb
         cuts = np.concatenate([[0], np.cumsum(np.bincount(found.text_a, minlength=texts) + np.bincount(found.text_b, minlength=texts))])
-        look = self.words.__getitem__
-        return [
-            hashlib.sha256(b"".join(map(look, words[x:y].tolist()))[:-1]).hexdigest() if y > x else ""
-            for x, y in zip(cuts.tolist(), cuts[1:].tolist())
-        ]
+        places = np.concatenate([[0], np.cumsum(self.lengths[words])])[cuts]
+        spelled = self.words[words].view(np.uint8)
+        spelled = spelled[spelled != 0].tobytes()
+        return [hashlib.sha256(spelled[x : y - 1]).hexdigest() if y > x else "" for x, y in zip(places.tolist(), places[1:].tolist())]
 
 
 # ------------------------------------------------------------------ the corpus
 
 
-def _numbers(part: pa.RecordBatch, name: str) -> list[np.ndarray]:
-    return [np.frombuffer(v or b"", "<u4") for v in part.column(part.schema.get_field_index(name)).to_pylist()]
-
+def groups(documents: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, a, b, groups): both lists of token numbers, and per group how many of each it takes.
 
-def _counted(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys in order and the sums of their times."""
-    order = np.argsort(keys, kind="stable")
-    keys, times = keys[order], times[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(times, first) if len(first) else times
+    One row for every row of `documents`; without tokens (see `align_tokenizers`) the lists are empty.
+    """
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())),
+        ("groups", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
+    ])
 
+    def work(batches):
+        both = Tokenizers(settings)
+        for batch in batches:
+            for part in _bounded(batch, 1, settings.at_once):
+                a, b = both.encode(part.column(1).to_pylist())
+                found = align(a, b, *both.lengths)
+                out = []
+                for i in range(part.num_rows):
+                    ends = [np.flatnonzero(c[t == i]) for c, t in ((found.closes_a, found.text_a), (found.closes_b, found.text_b))]
+                    sizes = [np.diff(e, prepend=-1).tolist() for e in ends]
+                    out.append([{"a": x, "b": y} for x, y in zip(*sizes)])
+                yield record(schema, doc_id=part.column(0), a=[x.tolist() for x in a], b=[x.tolist() for x in b], groups=out)
+
+    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return map_batches(rows, work, "doc_id long, a array<int>, b array<int>, groups array<struct<a:int,b:int>>")
+
+
+class Counts:
+    """Adds up how often pairs are linked, in bounded memory."""
+
+    def __init__(self):
+        self.keys, self.times, self.held = [], [], 0
+
+    def add(self, keys: np.ndarray, times: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Add counts; gives back what has been added up when it becomes too much to hold."""
+        self.keys.append(keys)
+        self.times.append(times)
+        self.held += len(keys)
+        if self.held > PAIRS_AT_ONCE:
+            keys, times = self.take()
+            if len(keys) > PAIRS_AT_ONCE // 2:
+                yield keys, times
+            else:
+                self.keys, self.times, self.held = [keys], [times], len(keys)
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """Different pairs in order and their counts; nothing is held afterwards."""
+        keys = np.concatenate(self.keys) if self.keys else np.zeros(0, np.int64)
+        times = np.concatenate(self.times) if self.times else np.zeros(0, np.int64)
+        self.keys, self.times, self.held = [], [], 0
+        order = np.argsort(keys)
+        keys, times = keys[order], times[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        return keys[first], np.add.reduceat(times, first) if len(first) else times
+
+
+RESULT = ("row", "doc_id", "n_a", "n_b", "n_groups", "n_links")
+NUMBERS = ", ".join(f"{name} long" for name in RESULT)
+
+
+def _aligned(documents: DataFrame, settings: Settings, id_column: str, text: str) -> DataFrame:
+    """Rows of two kinds: a text's numbers, digest and different pairs with their times, or a pair and its count in a task.
+
+    Pairs are 64-bit little-endian words in a binary column, times 32-bit ones.
+    """
+    schema = pa.schema([
+        *((name, pa.int64()) for name in RESULT), ("groups_sha256", pa.string()), ("pairs", pa.binary()), ("times", pa.binary()),
+        ("pair", pa.int64()), ("n", pa.int64()),
+    ])
 
-def pair_counts(read: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(pair long, n long): how many links of all texts join each number of one tokenizer with one of the other."""
-    schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+    def counted(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        empty = {f.name: pa.nulls(len(keys), f.type) for f in schema}
+        return record(schema, **empty | {"pair": pa.array(keys), "n": pa.array(times)})
 
     def work(batches):
         both = Tokenizers(settings)
-        lengths, wide = both.lengths(), len(both.bytes_b)
-        keys, times, added = [], [], 0
+        spelled, wide, counts = Spelled(len(both.bytes_a), len(both.bytes_b)), len(both.bytes_b), Counts()
         for batch in batches:
-            for part in _bounded(batch, 0, 4 * settings.at_once):
-                found = align(_numbers(part, "a"), _numbers(part, "b"), *lengths)
-                k, n = np.unique(found.a[found.link_a] * wide + found.b[found.link_b], return_counts=True)
-                keys.append(k)
-                times.append(n)
-                added += len(k)
-            if added > PAIRS_AT_ONCE:
-                k, n = _counted(np.concatenate(keys), np.concatenate(times))
-                if len(k) > PAIRS_AT_ONCE // 2:
-                    yield record(schema, pair=k, n=n)
-                    keys, times, added = [], [], 0
-                else:
-                    keys, times, added = [k], [n], len(k)
-        if keys:
-            k, n = _counted(np.concatenate(keys), np.concatenate(times))
-            yield record(schema, pair=k, n=n)
-
-    return map_batches(read.select("a", "b"), work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+            for part in _bounded(batch, 2, settings.at_once):
+                rows = part.num_rows
+                f = align(*both.encode(part.column(2).to_pylist()), *both.lengths)
+                texts = f.text_a[f.link_a]
+                # Texts come first in the order, so the pairs of a text lie together.
+                keys, times = np.unique(texts << 40 | (f.a[f.link_a] * wide + f.b[f.link_b]), return_counts=True)
+                cuts = np.searchsorted(keys >> 40, np.arange(1, rows))
+                keys &= (1 << 40) - 1
+                for summed in counts.add(keys, times):
+                    yield counted(*summed)
+                yield record(
+                    schema, row=part.column(0), doc_id=part.column(1), n_a=np.bincount(f.text_a, minlength=rows),
+                    n_b=np.bincount(f.text_b, minlength=rows), n_groups=np.bincount(f.text_a[f.closes_a], minlength=rows),
+                    n_links=np.bincount(texts, minlength=rows), groups_sha256=spelled.digests(f, rows),
+                    pairs=[k.astype("<u8").tobytes() for k in np.split(keys, cuts)],
+                    times=[t.astype("<u4").tobytes() for t in np.split(times, cuts)],
+                    pair=pa.nulls(rows, pa.int64()), n=pa.nulls(rows, pa.int64()),
+                )
+        yield counted(*counts.take())
+
+    rows = documents.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
+    )
+    return map_batches(rows, work, f"{NUMBERS}, groups_sha256 string, pairs binary, times binary, pair long, n long")
 
 
 def _head(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -301,12 +381,13 @@ def align_tokenizers(documents: DataFrame, settings: Settings = Settings(), id_c
 
     Groups are cut where tokens of both tokenizers end; links are the pairs of tokens that share a byte. A pair of
     numbers counts once for each of its links in the whole corpus: n_best are the links whose pair is the most frequent
-    of its second number, ties included, and count_sum adds up the counts over the links. Rows without tokens (see
-    `tokens`) have zeros and an empty digest. Repeated rows each count and have their own rows; columns other than id
-    and text are not read. A text is tokenized as one value, so a task needs memory for its longest text.
+    of its second number, ties included, and count_sum adds up the counts over the links. NULL and empty texts and texts
+    that one of the tokenizers changes have no tokens: zeros and an empty digest. Repeated rows each count and have
+    their own rows; columns other than id and text are not read; no rows give no rows. A text is tokenized as one value,
+    so a task needs memory for its longest text.
     """
-    read = written(tokens(documents, settings, id_column, text), "tokens")
-    found = written(pair_counts(read, settings), "pairs")
+    once = written(_aligned(documents, settings, id_column, text), "aligned")
+    found = written(once.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     wide = len(Tokenizers(settings).bytes_b)
     # One row for each number of the second vocabulary.
     highest = found.groupBy(F.pmod("pair", F.lit(wide)).alias("second")).agg(F.max("n").alias("most"))
@@ -316,50 +397,37 @@ def align_tokenizers(documents: DataFrame, settings: Settings = Settings(), id_c
     )
     head, head_n, head_best = _head(counts, settings.head)
     schema = pa.schema([
-        *((name, pa.int64()) for name in ("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")),
-        ("groups_sha256", pa.string()), ("rest", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
+        *((name, pa.int64()) for name in RESULT), ("groups_sha256", pa.string()), ("n_best", pa.int64()), ("count_sum", pa.int64()),
+        ("rest", pa.list_(pa.int64())), ("rest_times", pa.list_(pa.int64())),
     ])
 
     def work(batches):
-        both = Tokenizers(settings)
-        lengths, spelled = both.lengths(), Spelled(len(both.bytes_a), len(both.bytes_b))
         for batch in batches:
-            for part in _bounded(batch, 2, 4 * settings.at_once):
-                rows = part.num_rows
-                f = align(_numbers(part, "a"), _numbers(part, "b"), *lengths)
-                texts, keys = f.text_a[f.link_a], f.a[f.link_a] * wide + f.b[f.link_b]
-                at = np.minimum(np.searchsorted(head, keys), max(len(head) - 1, 0))
-                known = head[at] == keys if len(head) else np.zeros(len(keys), bool)
-                owners, places = texts[known], at[known]
-                sums, best = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-                np.add.at(sums, owners, head_n[places])
-                np.add.at(best, owners, head_best[places].astype(np.int64))
-                rest, times = _rest(texts[~known], keys[~known], rows)
-                yield record(
-                    schema, row=part.column(0), doc_id=part.column(1), n_a=np.bincount(f.text_a, minlength=rows),
-                    n_b=np.bincount(f.text_b, minlength=rows), n_groups=np.bincount(f.text_a[f.closes_a], minlength=rows),
-                    n_links=np.bincount(texts, minlength=rows), n_best=best, count_sum=sums,
-                    groups_sha256=spelled.digests(f, rows), rest=rest, times=times,
-                )
-
-    numbers = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
-    aligned = written(map_batches(read, work, f"{numbers}, groups_sha256 string, rest array<long>, times array<long>"), "aligned")
-    rest = aligned.select("row", F.inline(F.arrays_zip(F.col("rest").alias("pair"), F.col("times").alias("times"))))
+            rows, names = batch.num_rows, batch.schema.names
+            pairs, times = ([np.frombuffer(v, d) for v in batch.column(names.index(c)).to_pylist()] for c, d in (("pairs", "<u8"), ("times", "<u4")))
+            owner = np.repeat(np.arange(rows), [len(x) for x in pairs])
+            keys, often = np.concatenate(pairs).astype(np.int64), np.concatenate(times).astype(np.int64)
+            at = np.minimum(np.searchsorted(head, keys), max(len(head) - 1, 0))
+            known = head[at] == keys if len(head) else np.zeros(len(keys), bool)
+            sums, best = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+            np.add.at(sums, owner[known], head_n[at[known]] * often[known])
+            np.add.at(best, owner[known], head_best[at[known]] * often[known])
+            cuts = np.searchsorted(owner[~known], np.arange(1, rows))
+            yield record(
+                schema, **{c: batch.column(names.index(c)) for c in (*RESULT, "groups_sha256")}, n_best=best, count_sum=sums,
+                rest=np.split(keys[~known], cuts), rest_times=np.split(often[~known], cuts),
+            )
+
+    texts = once.where("row IS NOT NULL").drop("pair", "n")
+    looked_up = written(
+        map_batches(texts, work, f"{NUMBERS}, groups_sha256 string, n_best long, count_sum long, rest array<long>, rest_times array<long>"), "looked-up"
+    )
+    rest = looked_up.select("row", F.inline(F.arrays_zip(F.col("rest").alias("pair"), F.col("rest_times").alias("times"))))
     added = rest.join(counts, "pair").groupBy("row").agg(
         F.sum(F.col("times") * F.col("n")).alias("more_sum"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("more_best")
     )
-    whole = aligned.drop("rest", "times").join(added, "row", "left").na.fill(0, ["more_sum", "more_best"])
+    whole = looked_up.drop("rest", "rest_times").join(added, "row", "left").na.fill(0, ["more_sum", "more_best"])
     return whole.select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", (F.col("n_best") + F.col("more_best")).alias("n_best"),
         (F.col("count_sum") + F.col("more_sum")).alias("count_sum"), "groups_sha256",
     )
-
-
-def _rest(texts: np.ndarray, keys: np.ndarray, rows: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Per text the different keys and how often each occurs."""
-    order = np.lexsort((keys, texts))
-    texts, keys = texts[order], keys[order]
-    first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (texts[1:] != texts[:-1])])) if len(keys) else np.zeros(0, np.int64)
-    times = np.diff(np.concatenate([first, [len(keys)]]))
-    cuts = np.searchsorted(texts[first], np.arange(1, rows))
-    return np.split(keys[first], cuts), np.split(times, cuts)

@@ -7,10 +7,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from merchlens.llm import token_alignment as ta
 
 FOLDER = "/root/testdata/sf0.001"
+PLAIN = Tokenizer.from_file(ta.Settings().bytes_file)
+PLAIN.encode_special_tokens = True
 COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
@@ -27,7 +30,7 @@ def brute_force(both, documents):
     """Each document's row, links from the pairs of tokens that own a byte."""
     read = []
     for doc, text in documents:
-        a = both.a.encode(" " + text, add_special_tokens=False).ids if text else []
+        a = PLAIN.encode(" " + text, add_special_tokens=False).ids if text else []
         b = both.b.encode(text) if text else []
         data = (" " + text).encode() if text else b""
         if b"".join(both.bytes_a[i] for i in a) != data or b"".join(both.bytes_b[i] for i in b) != data:
@@ -113,3 +116,35 @@ def test_small_pieces_flush_and_merge_counts(spark, both, monkeypatch):
     rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").limit(25).collect()]
     monkeypatch.setattr(ta, "PAIRS_AT_ONCE", 500)
     assert found(spark.createDataFrame(rows, "doc_id long, text string"), ta.Settings(at_once=2000)) == brute_force(both, rows)
+
+
+def test_tokens_by_rank_are_those_of_the_file_for_every_character(both):
+    assert both.by_rank
+    texts = [f" a{chr(c)}b {chr(c)}1{chr(c)}{chr(c)} .{chr(c)}  {chr(c)} " for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for begin in range(0, len(texts), 20_000):
+        part = texts[begin : begin + 20_000]
+        for ours, theirs in zip(both._first(part), PLAIN.encode_batch_fast(part, add_special_tokens=False)):
+            assert ours.tolist() == theirs.ids
+
+
+def test_other_files_are_read_by_their_library(tmp_path):
+    import json
+
+    file = json.loads(open(ta.Settings().bytes_file, encoding="utf-8").read())
+    file["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "t.json").write_text(json.dumps(file))
+    other = ta.Tokenizers(ta.Settings(bytes_file=str(tmp_path / "t.json")))
+    assert not other.by_rank
+    assert other._first(["word again"])[0].tolist() == PLAIN.encode(" word again", add_special_tokens=False).ids
+
+
+def test_groups_are_returned_with_their_tokens(spark, both):
+    rows = [(1, "Some wörds align"), (2, None), (3, "")]
+    found = {r.doc_id: r for r in ta.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    one = found[1]
+    assert (sum(g.a for g in one.groups), sum(g.b for g in one.groups)) == (len(one.a), len(one.b))
+    i = j = 0
+    for g in one.groups:
+        assert b"".join(both.bytes_a[x] for x in one.a[i : i + g.a]) == b"".join(both.bytes_b[x] for x in one.b[j : j + g.b])
+        i, j = i + g.a, j + g.b
+    assert all(found[d].a == found[d].b == found[d].groups == [] for d in (2, 3))
