@@ -1,13 +1,16 @@
 """Scoring texts with a hashed maximum-entropy language model.
 
-The next word is predicted in two softmax steps, first its class and then its unit within the class, from hashed
-features of the words before it: the last word, the last two, and the second and third last alone (skips). The most
-frequent words are units of their own; the others share units by their ending and are told apart within a unit by
-their smoothed frequency, so every word, also a new one, has a probability and all of them add up to one.
+The next word is predicted in two softmax steps, first its class, then the word within the class. Classes are stretches
+of words by their endings, so every word has one. The class step has hashed features of the words before: the last
+word, the last two, the second last alone (a skip), and over a longer skip the class that is most frequent among the
+last words. The word step has a feature for each frequent word together with that most frequent class; every other
+word of a class is told apart by its smoothed frequency. So each word, also a new one, has a probability, and those of
+all words add up to one.
 
 Word counts cover all training texts and never leave Spark as a whole: a bounded list of the most frequent words goes
-to the tasks, and the rest is joined. Weights start from the frequencies and are trained by distributed updates: every
-task follows the gradient over its own texts, and the changes are averaged by how often a task has met each feature.
+to the tasks, and the rest is joined. Weights are trained by gradient updates over disjoint shares of the training
+texts: every task adds up what is observed and what the common weights expect, the sums of all tasks are added up in a
+tree, and one step follows. What a task has read does not matter, so the model is the same for any partitioning.
 """
 
 from __future__ import annotations
@@ -29,29 +32,35 @@ from merchlens.llm.shared import drawn, map_batches, record, remainder, word_pie
 SEED = 42
 ENDINGS = 1 << 16
 MARKS = b".,;:!?|*#$%&\"')"
-FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-SLICE_ROWS = 1 << 12
+IS_MARK = np.isin(np.arange(256), list(MARKS))
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+SLICE = 1 << 17
 COUNTED_AT_ONCE = 300_000
+TOKENS_AT_ONCE = 1 << 16
+# Places that are not those of frequent words.
+OTHER, END = -1, -2
 
 
 @dataclass(frozen=True)
 class Settings:
     """Sizes and training.
 
-    `classes` times `units` output units, `own` of them single words; `head` words known to every task; feature rows
-    of the two softmax steps; each of `rounds` updates uses its own `share` of the training texts, together all of them.
+    `classes` of words, `head` frequent words with features of their own, `rows` of hashed features, `window` words of
+    the long skip; `rounds` updates, each over its own `share` of the training texts, together all of them. A weight
+    moves by `rate` times twice the gradient over observed + expected + `prior`; those of words have their own values.
     """
 
-    classes: int = 16
-    units: int = 16
-    own: int = 192
-    head: int = 1 << 16
-    class_rows: int = 1 << 14
-    unit_rows: int = 1 << 11
+    classes: int = 32
+    head: int = 1 << 15
+    rows: int = 1 << 14
+    window: int = 64
     rounds: int = 2
     share: float = 0.5
-    rate: float = 0.1
-    batch: int = 8192
+    rate: float = 0.5
+    prior: float = 5.0
+    word_rate: float = 1.3
+    word_prior: float = 10.0
+    batch: int = 1 << 14
     smoothing: float = 0.5
 
 
@@ -59,7 +68,8 @@ class Settings:
 class Vocabulary:
     """Counts of the whole training corpus, and what tasks need to number words.
 
-    `head` maps the most frequent words to their place; the other arrays go by place or by unit.
+    `head` maps the most frequent words to their place; the other arrays go by place, ending or class. Class 0 is the
+    end of a text.
     """
 
     tokens: int
@@ -67,17 +77,27 @@ class Vocabulary:
     texts: int
     head: dict[bytes, int]
     head_count: np.ndarray
-    head_unit: np.ndarray
-    ending_unit: np.ndarray
-    unit_tokens: np.ndarray
-    unit_words: np.ndarray
+    head_class: np.ndarray
+    ending_class: np.ndarray
+    class_tokens: np.ndarray
+    class_words: np.ndarray
     settings: Settings
 
 
-def _ending(word: bytes) -> int:
-    """The last two bytes before trailing punctuation."""
-    stem = word.rstrip(MARKS) or word
-    return stem[-1] * 256 + (stem[-2] if len(stem) > 1 else 0)
+def endings(words: list[bytes]) -> np.ndarray:
+    """A number for the last two bytes before trailing punctuation of each word; words of nothing else end as they are."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    data = np.frombuffer(b"".join(words), np.uint8)
+    begin = np.cumsum(lengths) - lengths
+    whole = begin + lengths - 1
+    last, open_ = whole.copy(), np.arange(len(words))
+    while len(open_):
+        open_ = open_[IS_MARK[data[last[open_]]]]
+        last[open_] -= 1
+        open_ = open_[last[open_] >= begin[open_]]
+    last = np.where(last < begin, whole, last)
+    before = np.where(last > begin, data[np.maximum(last - 1, 0)], 0) if len(words) else last
+    return data[last].astype(np.int64) * 256 + before
 
 
 def count_words(documents: DataFrame) -> DataFrame:
@@ -89,7 +109,7 @@ def count_words(documents: DataFrame) -> DataFrame:
 
         def flush():
             words = list(counts)
-            batch = record(schema, word=words, ending=[_ending(w) for w in words], n=list(counts.values()))
+            batch = record(schema, word=words, ending=endings(words).astype(np.int32), n=list(counts.values()))
             counts.clear()
             return batch
 
@@ -117,28 +137,19 @@ def vocabulary(counts: DataFrame, settings: Settings = Settings()) -> Vocabulary
     words = counts.where("word IS NOT NULL")
     top = _frequent(words, settings.head)
     head = {bytes(r.word): i for i, r in enumerate(top)}
-    count = np.array([r.n for r in top], np.float64)
-    units = settings.classes * settings.units
-    own = min(settings.own - 1, len(top))
-    # Unit 0 is the end of a text; single words follow, and the endings share what is left in stretches of equal mass.
-    masses = np.zeros(ENDINGS)
-    kinds = np.zeros(ENDINGS, np.int64)
+    # Endings share the classes behind the first in stretches of equal mass.
+    masses, kinds = np.zeros(ENDINGS), np.zeros(ENDINGS, np.int64)
     for r in words.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect():
         masses[r.ending], kinds[r.ending] = r.n, r.k
-    for word, place in list(head.items())[:own]:
-        masses[_ending(word)] -= count[place]
-        kinds[_ending(word)] -= 1
-    shared = units - 1 - own
+    shared = settings.classes - 1
     middle = np.cumsum(masses) - masses / 2
-    ending_unit = 1 + own + np.minimum((middle / max(masses.sum(), 1) * shared).astype(np.int64), shared - 1)
-    unit_tokens = np.bincount(ending_unit, masses, units)
-    unit_words = np.bincount(ending_unit, kinds, units)
-    unit_tokens[0], unit_words[0] = totals.texts, 1
-    unit_tokens[1 : own + 1], unit_words[1 : own + 1] = count[:own], 1
-    head_unit = np.array([1 + i if i < own else ending_unit[_ending(bytes(r.word))] for i, r in enumerate(top)], np.int64)
+    ending_class = 1 + np.minimum((middle / max(masses.sum(), 1) * shared).astype(np.int64), shared - 1)
+    class_tokens = np.bincount(ending_class, masses, settings.classes)
+    class_words = np.bincount(ending_class, kinds, settings.classes)
+    class_tokens[0], class_words[0] = totals.texts, 1
     return Vocabulary(
-        int(totals.tokens), int(totals.words) + (totals.texts > 0), int(totals.texts), head, count, head_unit, ending_unit,
-        unit_tokens, unit_words, settings,
+        int(totals.tokens), int(totals.words) + (totals.texts > 0), int(totals.texts), head, np.array([r.n for r in top], np.float64),
+        ending_class[endings(list(head))], ending_class, class_tokens, class_words, settings,
     )
 
 
@@ -163,185 +174,262 @@ def _frequent(words: DataFrame, most: int) -> list:
 
 @dataclass
 class Weights:
-    """Rows of feature weights for classes and, per class, for units; the first row of each holds the biases."""
+    """Biases and feature rows of the class step, features of frequent words by the long skip, and log10 of the mass of
+    each class by the long skip, which its words' probabilities are divided by.
+    """
 
-    classes: np.ndarray
-    units: np.ndarray
+    bias: np.ndarray
+    rows: np.ndarray
+    words: np.ndarray
+    mass: np.ndarray
 
     @staticmethod
     def initial(v: Vocabulary) -> Weights:
-        """Biases that reproduce the smoothed frequencies of the units."""
+        """Biases that reproduce the smoothed frequencies of the classes, and no features."""
         s = v.settings
-        mass = (v.unit_tokens + 1.0).reshape(s.units, s.classes)
-        w = Weights(np.zeros((s.class_rows, s.classes), np.float32), np.zeros((s.unit_rows * s.classes, s.units), np.float32))
-        w.classes[0] = np.log(mass.sum(axis=0) / mass.sum())
-        w.units[: s.classes] = np.log(mass / mass.sum(axis=0)).T
-        return w
+        smoothed = v.class_tokens + 1.0
+        mass = np.repeat(np.log10(_class_mass(v))[:, None], s.classes + 1, axis=1)
+        return Weights(
+            np.log(smoothed / smoothed.sum()).astype(np.float32), np.zeros((s.rows + s.classes + 1, s.classes), np.float32),
+            np.zeros((len(v.head), s.classes + 1), np.float32), mass,
+        )
+
+
+def _class_mass(v: Vocabulary) -> np.ndarray:
+    """Smoothed counts of all words of each class and of one unknown word."""
+    return np.maximum(v.class_tokens + v.settings.smoothing * (v.class_words + 1), 1e-9)
+
+
+@dataclass
+class Tokens:
+    """A run of tokens: the two words before each, last first, its class, the place of a frequent word, the most frequent class of the
+    words before (`classes` without any), and the number of its text.
+    """
+
+    before: np.ndarray
+    classes: np.ndarray
+    places: np.ndarray
+    skip: np.ndarray
+    texts: np.ndarray
 
 
 class Reader:
-    """Turns texts into context and target numbers, in bounded chunks."""
+    """Turns texts into tokens, in bounded runs."""
 
     def __init__(self, v: Vocabulary):
         self.v, self.get = v, v.head.get
-        self.start = len(v.head) + len(v.unit_tokens)
+        self.start = len(v.head) + v.settings.classes
 
-    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """(context ids, units, places of the head words, other words) of a word list."""
-        places = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
+    def _numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """(ids as context, classes, places, other words) of a word list."""
+        places = np.fromiter(map(self.get, words, repeat(OTHER)), np.int64, len(words))
         rare = np.flatnonzero(places < 0)
         others = [words[i] for i in rare.tolist()]
-        units = self.v.head_unit[places] if len(self.v.head) else np.zeros(len(words), np.int64)
+        classes = self.v.head_class[places] if len(self.v.head) else np.zeros(len(words), np.int64)
         if others:
-            units[rare] = self.v.ending_unit[np.fromiter(map(_ending, others), np.int64, len(others))]
-        ids = np.where(places < 0, len(self.v.head) + units, places)
-        return ids, units, places[places >= 0], others
+            classes[rare] = self.v.ending_class[endings(others)]
+        return np.where(places < 0, len(self.v.head) + classes, places), classes, places, others
 
-    def chunks(self, texts: list[str | None], seen=None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(contexts of the last three words, units, text numbers) of bounded length; `seen` gets each list's words."""
-        waiting, held = [], 0
+    def runs(self, texts: list[str | None], seen=None) -> Iterator[Tokens]:
+        """All tokens of the texts, each text's words and its end; `seen` gets each text's number and other words."""
+        waiting, held, window = [], 0, self.v.settings.window
         for i, text in enumerate(texts):
-            past = np.full(3, self.start, np.int64)
-            for words in word_pieces(text, 1 << 18):
-                ids, units, places, others = self.numbers(words)
+            ids_before, classes_before = np.full(2, self.start, np.int64), np.zeros(0, np.int64)
+            pieces = word_pieces(text, 1 << 18)
+            words, more = next(pieces), True
+            while more:
+                # Only the last list of a text ends with its end.
+                following = next(pieces, None)
+                more = following is not None
+                ids, classes, places, others = self._numbers(words)
                 if seen is not None:
-                    seen(i, units, places, others)
-                past = np.concatenate([past, ids])
-                # Targets are the words of this list; the end of the text follows after the last list.
-                waiting.append((past[:-1], units, i))
-                held += len(units)
-                past = past[-3:]
-                if held > 200_000:
+                    seen(i, others)
+                if not more:
+                    classes, places, ids = np.append(classes, 0), np.append(places, END), np.append(ids, 0)
+                ids = np.concatenate([ids_before, ids])
+                waiting.append((ids, classes, places, classes_before, i))
+                held += len(classes)
+                ids_before, classes_before = ids[-2:], np.concatenate([classes_before, classes])[-window:]
+                if held > TOKENS_AT_ONCE:
                     yield self._join(waiting)
                     waiting, held = [], 0
-            waiting.append((past, np.zeros(1, np.int64), i))
+                words = following
         if waiting:
             yield self._join(waiting)
 
-    @staticmethod
-    def _join(waiting):
-        contexts = np.concatenate([np.stack([p[2 : 2 + len(u)], p[1 : 1 + len(u)], p[: len(u)]], axis=1) for p, u, _ in waiting])
-        units = np.concatenate([u for _, u, _ in waiting])
-        return contexts, units, np.repeat([i for _, _, i in waiting], [len(u) for _, u, _ in waiting])
-
-
-def _features(contexts: np.ndarray) -> np.ndarray:
-    """Four 64-bit feature hashes per position: last word, last two, second last, third last."""
-    one, two, three = (contexts[:, i].astype(np.uint64) + np.uint64(1) for i in range(3))
-    mixed = np.stack([one * FACTORS[0], (one * FACTORS[1]) ^ (two * FACTORS[2]), two * FACTORS[3], three * FACTORS[4]], axis=1)
+    def _join(self, waiting) -> Tokens:
+        sizes = [len(c) for _, c, _, _, _ in waiting]
+        before = np.concatenate([np.stack([ids[1:-1], ids[:-2]], axis=1) for ids, *_ in waiting])
+        classes = np.concatenate([c for _, c, _, _, _ in waiting])
+        places = np.concatenate([p for _, _, p, _, _ in waiting])
+        return Tokens(before, classes, places, self._skips(waiting), np.repeat([i for *_, i in waiting], sizes))
+
+    def _skips(self, waiting) -> np.ndarray:
+        """The most frequent class of up to `window` words before each token, the first of equally frequent ones."""
+        s = self.v.settings
+        row = np.concatenate([x for _, c, _, b, _ in waiting for x in (b, c)])
+        lengths = np.array([(len(b), len(c)) for _, c, _, b, _ in waiting], np.int64)
+        begins = np.cumsum(lengths.sum(axis=1)) - lengths.sum(axis=1)
+        firsts = begins + lengths[:, 0]
+        at = np.arange(lengths[:, 1].sum()) + np.repeat(firsts - (np.cumsum(lengths[:, 1]) - lengths[:, 1]), lengths[:, 1])
+        low = np.maximum(at - s.window, np.repeat(begins, lengths[:, 1]))
+        sums = np.zeros((len(row) + 1, s.classes), np.int32)
+        sums[np.arange(1, len(row) + 1), row] = 1
+        np.cumsum(sums, axis=0, out=sums)
+        found = (sums[at] - sums[low]).argmax(axis=1)
+        found[at == low] = s.classes
+        return found
+
+
+def features(t: Tokens, s: Settings) -> np.ndarray:
+    """Four feature rows per token: last word, last two, second last, and the long skip."""
+    one, two = (t.before[:, i].astype(np.uint64) + np.uint64(1) for i in range(2))
+    mixed = np.stack([one * FACTORS[0], (one * FACTORS[1]) ^ (two * FACTORS[2]), two * FACTORS[3]], axis=1)
     mixed ^= mixed >> np.uint64(31)
     mixed *= FACTORS[0]
-    return mixed >> np.uint64(20)
-
-
-def _softmax(logits: np.ndarray) -> np.ndarray:
+    hashed = (mixed >> np.uint64(20)) % np.uint64(s.rows)
+    rows = np.concatenate([hashed, (s.rows + t.skip.astype(np.uint64))[:, None]], axis=1)
+    # Two bytes are sorted by counting, far faster than eight.
+    return rows.astype(np.uint16 if s.rows + s.classes < 1 << 16 else np.int64)
+
+
+def class_probabilities(w: Weights, rows: np.ndarray) -> np.ndarray:
+    """The softmax over classes for each token's feature rows."""
+    logits = w.rows[rows[:, 0]]
+    for k in range(1, rows.shape[1]):
+        logits += w.rows[rows[:, k]]
+    logits += w.bias
     logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
 
-def _steps(w: Weights, contexts: np.ndarray, units: np.ndarray, s: Settings):
-    """(rows, targets, probabilities) of the class step and of the unit step; unit u is number u // classes of class u % classes."""
-    features = _features(contexts)
-    of_class, number = units % s.classes, units // s.classes
-    class_rows = (features % np.uint64(s.class_rows - 1)).astype(np.int64) + 1
-    unit_rows = ((features % np.uint64(s.unit_rows - 1)).astype(np.int64) + 1) * s.classes + of_class[:, None]
-    for table, rows, bias, target in ((w.classes, class_rows, w.classes[0], of_class), (w.units, unit_rows, w.units[of_class], number)):
-        logits = table[rows[:, 0]]
-        for k in range(1, rows.shape[1]):
-            logits += table[rows[:, k]]
-        logits += bias
-        yield rows, target, _softmax(logits)
-
-
-def log_probabilities(w: Weights, contexts: np.ndarray, units: np.ndarray, s: Settings) -> np.ndarray:
-    """log10 probability of each unit after its context."""
-    total = np.zeros(len(units))
-    for _, target, p in _steps(w, contexts, units, s):
-        total += np.log10(np.maximum(p[np.arange(len(p)), target], 1e-30))
-    return total
+class Sums:
+    """Observed and expected numbers of features and outcomes, added up over tokens.
 
+    `observed` and `expected` go by feature row and class, `words` by frequent word and long skip, `skips` by class and
+    long skip.
+    """
 
-class Trainer:
-    """Follows the gradient from given weights with a step size that falls per feature row."""
-
-    def __init__(self, w: Weights, s: Settings):
-        self.s, self.start = s, w
-        self.now = Weights(w.classes.copy(), w.units.copy())
-        self.met = [np.zeros(len(t), np.float32) for t in (w.classes, w.units)]
-        self.squares = [np.full(len(t), 1.0, np.float32) for t in (w.classes, w.units)]
-
-    def learn(self, contexts: np.ndarray, units: np.ndarray) -> None:
-        for begin in range(0, len(units), self.s.batch):
-            part = slice(begin, begin + self.s.batch)
-            tables = (self.now.classes, self.now.units)
-            for i, (rows, target, wrong) in enumerate(_steps(self.now, contexts[part], units[part], self.s)):
-                wrong[np.arange(len(wrong)), target] -= 1
-                width = wrong.shape[1]
-                bias = np.zeros(len(rows), np.int64) if i == 0 else units[part] % self.s.classes
-                gradient = np.zeros(tables[i].size, np.float32)
-                columns = np.arange(width)
-                for column in (*rows.T, bias):
-                    np.add.at(gradient, (column[:, None] * width + columns).ravel(), wrong.ravel())
-                    self.met[i] += np.bincount(column, minlength=len(self.met[i]))
-                gradient = gradient.reshape(-1, width)
-                moved = np.flatnonzero(gradient.any(axis=1))
-                gradient = gradient[moved]
-                self.squares[i][moved] += (gradient**2).mean(axis=1)
-                tables[i][moved] -= self.s.rate * gradient / np.sqrt(self.squares[i][moved])[:, None]
-
-    def changes(self) -> Iterator[tuple[int, bytes, bytes]]:
-        """(slice number, weighted changes, weights) of both tables, for slices of rows."""
+    def __init__(self, w: Weights):
+        self.w = w
+        self.observed, self.expected = np.zeros(w.rows.size), np.zeros(w.rows.shape)
+        self.words, self.skips = np.zeros(w.words.size), np.zeros(w.mass.size)
+
+    def add(self, t: Tokens, s: Settings) -> None:
+        rows = features(t, s)
+        for begin in range(0, len(rows), s.batch):
+            part = rows[begin : begin + s.batch]
+            p = class_probabilities(self.w, part)
+            for column in part.T:
+                order = np.argsort(column, kind="stable")
+                sorted_ = column[order]
+                first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+                self.expected[sorted_[first]] += np.add.reduceat(p[order], first, axis=0)
+        np.add.at(self.observed, (rows.astype(np.int64) * s.classes + t.classes[:, None]).ravel(), 1.0)
+        frequent = t.places >= 0
+        np.add.at(self.words, t.places[frequent] * (s.classes + 1) + t.skip[frequent], 1.0)
+        np.add.at(self.skips, t.classes * (s.classes + 1) + t.skip, 1.0)
+
+    def slices(self) -> Iterator[tuple[int, str, bytes]]:
+        """(number, type, values): counts as whole numbers, then expectations, in slices of bounded length."""
+        counts = np.concatenate([self.observed, self.words, self.skips])
+        kinds = ((counts, "<i4" if counts.max(initial=0) < 1 << 31 else "<i8"), (self.expected.ravel(), "<f4"))
         number = 0
-        for old, new, met in zip((self.start.classes, self.start.units), (self.now.classes, self.now.units), self.met):
-            for begin in range(0, len(met), SLICE_ROWS):
-                part = slice(begin, begin + SLICE_ROWS)
-                yield number, ((new[part] - old[part]) * met[part, None]).astype(np.float32).tobytes(), met[part].tobytes()
+        for values, kind in kinds:
+            for begin in range(0, len(values), SLICE):
+                yield number, kind, values[begin : begin + SLICE].astype(kind).tobytes()
                 number += 1
 
 
 def _add_up(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    change = sum(np.frombuffer(b, np.float32).astype(np.float64) for b in frame.change)
-    met = sum(np.frombuffer(b, np.float32).astype(np.float64) for b in frame.met)
-    return pd.DataFrame({"slice": [key[0]], "change": [change.astype(np.float32).tobytes()], "met": [met.astype(np.float32).tobytes()]})
+    wide = "<f8" if frame.kind.iloc[0].startswith("<f") else "<i8"
+    total = sum(np.frombuffer(d, k).astype(wide) for k, d in zip(frame.kind, frame.data))
+    return pd.DataFrame({"slice": [key[0]], "kind": [wide], "data": [total.tobytes()]})
+
+
+def sums_over(documents: DataFrame, v: Vocabulary, w: Weights) -> Sums:
+    """The sums of `Sums` over all texts under common weights.
+
+    Tasks send slices of their sums, which are added up in a tree of two levels, each as wide as the square root of the
+    number of tasks; the driver receives one of each slice.
+    """
+    s = v.settings
+    schema = pa.schema([("slice", pa.int32()), ("salt", pa.int32()), ("kind", pa.string()), ("data", pa.binary())])
+
+    def work(batches):
+        reader, sums, salt = Reader(v), Sums(w), None
+        for batch in batches:
+            salt = batch.column(1)[0].as_py() if salt is None and batch.num_rows else salt
+            for tokens in reader.runs(batch.column(0).to_pylist()):
+                sums.add(tokens, s)
+        if salt is not None:
+            for number, kind, data in sums.slices():
+                yield record(schema, slice=[number], salt=[salt], kind=[kind], data=[data])
+
+    salts = max(1, round(documents.rdd.getNumPartitions() ** 0.5))
+    rows = documents.select(F.col("text").cast("string").alias("text"), F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
+    parts = map_batches(rows, work, "slice int, salt int, kind string, data binary")
+    out = "slice int, kind string, data binary"
+    found = parts.groupBy("slice", "salt").applyInPandas(_add_up, out).groupBy("slice").applyInPandas(_add_up, out).collect()
+    total = Sums(w)
+    if found:
+        flat = {kind: np.concatenate([np.frombuffer(r.data, kind) for r in sorted(found, key=lambda r: r.slice) if r.kind == kind]) for kind in ("<i8", "<f8")}
+        sizes = np.cumsum([total.observed.size, total.words.size])
+        total.observed, total.words, total.skips = (part.astype(np.float64) for part in np.split(flat["<i8"], sizes))
+        total.expected = flat["<f8"].reshape(total.expected.shape)
+    return total
 
 
 def train(documents: DataFrame, v: Vocabulary, place: Column) -> Weights:
-    """Weights after `rounds` distributed updates over disjoint shares of the documents.
+    """Weights after `rounds` updates over disjoint shares of the documents.
 
-    `place` is a number in 0..1 per row that deals the rows to the rounds. The changes of all tasks are added up in two
-    levels by slices of the tables, and the driver receives the sums.
+    `place` is a number in 0..1 per row that deals the rows to the rounds. The gradient of the log probability is
+    observed less expected; each weight's step is scaled by how often its feature and outcome were met or expected.
     """
     s, w = v.settings, Weights.initial(v)
-    schema = pa.schema([("slice", pa.int32()), ("salt", pa.int32()), ("change", pa.binary()), ("met", pa.binary())])
+    words, skips = np.zeros(w.words.shape), np.zeros(w.mass.shape)
     for number in range(s.rounds):
+        sums = sums_over(documents.where((place >= number * s.share) & (place < (number + 1) * s.share)), v, w)
+        observed = sums.observed.reshape(w.rows.shape)
+        step = s.rate * 2 * (observed - sums.expected) / (observed + sums.expected + s.prior)
+        w = Weights(w.bias, w.rows + step.astype(np.float32), w.words, w.mass)
+        words += sums.words.reshape(words.shape)
+        skips += sums.skips.reshape(skips.shape)
+    return Weights(w.bias, w.rows, *word_step(v, words, skips))
 
-        def work(batches, w=w):
-            reader, trainer, salt = Reader(v), Trainer(w, s), None
-            for batch in batches:
-                salt = batch.column(1)[0].as_py() if salt is None and batch.num_rows else salt
-                for contexts, units, _ in reader.chunks(batch.column(0).to_pylist()):
-                    trainer.learn(contexts, units)
-            if salt is not None:
-                for slice_number, change, met in trainer.changes():
-                    yield record(schema, slice=[slice_number], salt=[salt], change=[change], met=[met])
-
-        mine = documents.where((place >= number * s.share) & (place < (number + 1) * s.share))
-        rows = mine.select(F.col("text").cast("string").alias("text"), F.pmod(F.spark_partition_id(), F.lit(32)).alias("salt"))
-        parts = map_batches(rows, work, "slice int, salt int, change binary, met binary")
-        out = "slice int, change binary, met binary"
-        sums = parts.groupBy("slice", "salt").applyInPandas(_add_up, out).groupBy("slice").applyInPandas(_add_up, out).collect()
-        if sums:
-            found = {r.slice: r for r in sums}
-            w, slice_number = Weights(w.classes.copy(), w.units.copy()), 0
-            for table in (w.classes, w.units):
-                for begin in range(0, len(table), SLICE_ROWS):
-                    change = np.frombuffer(found[slice_number].change, np.float32).reshape(-1, table.shape[1])
-                    met = np.frombuffer(found[slice_number].met, np.float32)
-                    table[begin : begin + SLICE_ROWS] += change / np.maximum(met, 1)[:, None]
-                    slice_number += 1
-    return w
+
+def word_step(v: Vocabulary, observed: np.ndarray, skips: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, log10 masses) after one update of the word step from no features, for the pairs that occur.
+
+    `observed` counts frequent words by long skip and `skips` classes by long skip, over all training texts. Without
+    features a word's share of its class is that of its smoothed count, whatever the skip.
+    """
+    s, mass = v.settings, _class_mass(v)
+    smoothed = v.head_count + s.smoothing
+    expected = skips[v.head_class] * (smoothed / mass[v.head_class])[:, None] if len(smoothed) else observed
+    step = s.word_rate * 2 * (observed - expected) / (observed + expected + s.word_prior)
+    weights = np.where(observed > 0, step, 0.0).astype(np.float32)
+    by_class = np.repeat(mass[:, None], s.classes + 1, axis=1)
+    np.add.at(by_class, v.head_class, smoothed[:, None] * np.expm1(weights.astype(np.float64)))
+    return weights, np.log10(np.maximum(by_class, 1e-9))
+
+
+def log_probabilities(v: Vocabulary, w: Weights, t: Tokens) -> np.ndarray:
+    """log10 probability of each token after its context; of words that are not frequent without their smoothed count."""
+    s, found = v.settings, np.empty(len(t.classes))
+    rows = features(t, s)
+    for begin in range(0, len(rows), s.batch):
+        part = slice(begin, begin + s.batch)
+        p = class_probabilities(w, rows[part])
+        found[part] = np.log10(np.maximum(p[np.arange(len(p)), t.classes[part]], 1e-30))
+    words = t.places != END
+    found[words] -= w.mass[t.classes[words], t.skip[words]]
+    frequent = t.places >= 0
+    at = t.places[frequent]
+    found[frequent] += np.log10(v.head_count[at] + s.smoothing) + w.words[at, t.skip[frequent]] / np.log(10)
+    return found
 
 
 def score(documents: DataFrame, learn: Column, settings: Settings = Settings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -351,7 +439,7 @@ def score(documents: DataFrame, learn: Column, settings: Settings = Settings(),
     that occur in training, the number of training tokens, and the log10 probabilities of the whole text under smoothed
     word frequencies and under the model. NULL and empty texts consist of their end. Without training rows every token
     is unknown. A row whose `learn` is NULL is scored only. Repeated rows each count and are scored alike; columns
-    other than id and text are not read.
+    other than id and text are not read. No rows give no rows.
     """
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), learn.alias("learn"))
     training = rows.where("learn").select("doc_id", "text")
@@ -359,7 +447,7 @@ def score(documents: DataFrame, learn: Column, settings: Settings = Settings(),
     v = vocabulary(counts, settings)
     # Rows are dealt by id and text, whatever their order.
     w = train(training, v, drawn("doc_id", "text"))
-    scored = written(_score_head(rows.select("doc_id", "text"), v, w).withColumn("row", F.monotonically_increasing_id()), "scored")
+    scored = written(_score_frequent(rows.select("doc_id", "text"), v, w).withColumn("row", F.monotonically_increasing_id()), "scored")
 
     smoothing = settings.smoothing
     known = counts.where("word IS NOT NULL").select(F.xxhash64("word").alias("h"), F.col("n").alias("c"))
@@ -377,17 +465,15 @@ def score(documents: DataFrame, learn: Column, settings: Settings = Settings(),
     )
 
 
-def _score_head(rows: DataFrame, v: Vocabulary, w: Weights) -> DataFrame:
-    """Per row all that needs no word outside the head, and its other words as hashes with their numbers.
+def _score_frequent(rows: DataFrame, v: Vocabulary, w: Weights) -> DataFrame:
+    """Per row all that needs no word beside the frequent ones, and its other words as hashes with their numbers.
 
-    head_sum adds log10(count + smoothing) over head words and the end; model_sum adds the units' log probabilities and
-    the words' shares of their units but for the log10(count + smoothing) of other words.
+    head_sum adds log10(count + smoothing) over frequent words and the end; model_sum adds the log probabilities but for
+    the log10(count + smoothing) of other words.
     """
     s = v.settings
     counts = np.log10(v.head_count + s.smoothing)
     end = float(np.log10(v.texts + s.smoothing))
-    inside = np.log10(np.maximum(v.unit_tokens + s.smoothing * (v.unit_words + 1), 1e-9))
-    single = np.arange(len(inside)) <= min(s.own - 1, len(v.head))
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("head_sum", pa.float64()),
         ("model_sum", pa.float64()), ("h", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
@@ -398,24 +484,18 @@ def _score_head(rows: DataFrame, v: Vocabulary, w: Weights) -> DataFrame:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            tokens, known = np.ones(len(texts), np.int64), np.full(len(texts), int(v.texts > 0), np.int64)
+            tokens, known = np.zeros(len(texts), np.int64), np.full(len(texts), int(v.texts > 0), np.int64)
             head, model = np.full(len(texts), end), np.zeros(len(texts))
             rare = [Counter() for _ in texts]
-
-            def seen(i, units, places, others):
-                tokens[i] += len(units)
-                known[i] += len(places)
-                head[i] += counts[places].sum()
-                shared = units[~single[units]]
-                model[i] -= inside[shared].sum()
-                model[i] += counts[places[~single[v.head_unit[places]]]].sum() if len(places) else 0.0
-                rare[i].update(others)
-
-            for contexts, units, owners in reader.chunks(texts, seen):
-                model += np.bincount(owners, log_probabilities(w, contexts, units, s), len(texts))
+            for t in reader.runs(texts, lambda i, others: rare[i].update(others)):
+                frequent = t.places >= 0
+                tokens += np.bincount(t.texts, minlength=len(texts))
+                known += np.bincount(t.texts[frequent], minlength=len(texts))
+                head += np.bincount(t.texts[frequent], counts[t.places[frequent]], len(texts))
+                model += np.bincount(t.texts, log_probabilities(v, w, t), len(texts))
             yield record(
                 schema, doc_id=batch.column(0), n_tokens=tokens, n_known=known, head_sum=head, model_sum=model,
-                h=[np.array([digest(x, SEED) for x in c], np.uint64).view(np.int64) for c in rare],
+                h=[np.fromiter(map(digest, c, repeat(SEED)), np.uint64, len(c)).view(np.int64) for c in rare],
                 times=[list(c.values()) for c in rare],
             )
 

@@ -193,9 +193,11 @@ def test_long_texts_are_bundled_whole():
 # ------------------------------------------------------------------ language model
 
 
+SMALL = language_model.Settings(head=50, classes=8, rows=256, window=5)
+
+
 def test_base_score_and_counts_equal_brute_force(spark, documents):
-    small = language_model.Settings(head=50, own=20, classes=4, units=8, class_rows=256, unit_rows=64)
-    rows = {r.doc_id: r for r in language_model.score(documents, language_model.training_rows(), small).collect()}
+    rows = {r.doc_id: r for r in language_model.score(documents, language_model.training_rows(), SMALL).collect()}
     texts = {r.doc_id: r.text.encode().lower().split() for r in documents.collect()}
     counts = Counter()
     for i, words in texts.items():
@@ -211,16 +213,118 @@ def test_base_score_and_counts_equal_brute_force(spark, documents):
     assert sum(r.score for r in rows.values()) > sum(r.base_score for r in rows.values())
 
 
-def test_next_word_probabilities_add_up_to_one(spark):
-    texts = spark.createDataFrame([("a b c d e f a b",), ("b c a ab ba",)], "text string")
-    settings = language_model.Settings(head=3, own=3, classes=2, units=4, class_rows=16, unit_rows=16, share=0.5)
-    counts = language_model.count_words(texts)
-    v = language_model.vocabulary(counts, settings)
-    w = language_model.train(texts, v, F.lit(0.1))
-    context = np.array([[0, 1, 2]] * 8)
-    units = 10 ** language_model.log_probabilities(w, context, np.arange(8), settings)
-    assert units.sum() == pytest.approx(1, abs=1e-5)
-    assert v.unit_tokens.sum() == v.tokens and v.unit_words.sum() == v.distinct
+def plain_tokens(words, v):
+    """(context ids, class, word or None, most frequent class before) of each token, one at a time."""
+    s = v.settings
+
+    def class_of(word):
+        stem = word.rstrip(language_model.MARKS) or word
+        return int(v.ending_class[stem[-1] * 256 + (stem[-2] if len(stem) > 1 else 0)])
+
+    classes = [class_of(w) for w in words]
+    ids = [v.head.get(w, len(v.head) + c) for w, c in zip(words, classes)]
+    start = len(v.head) + s.classes
+    for i, word in enumerate([*words, None]):
+        last = Counter(classes[max(0, i - s.window) : i])
+        skip = min(last, key=lambda c: (-last[c], c)) if last else s.classes
+        yield [ids[i - k] if i >= k else start for k in (1, 2)], 0 if word is None else classes[i], word, skip
+
+
+def plain_rows(before, skip, s):
+    one, two = before[0] + 1, before[1] + 1
+    cut = (1 << 64) - 1
+    factors = [int(f) for f in language_model.FACTORS]
+    mixed = [one * factors[0] & cut, (one * factors[1] & cut) ^ (two * factors[2] & cut), two * factors[3] & cut]
+    return [((m ^ m >> 31) * factors[0] & cut) >> 20 for m in mixed], s.rows + skip
+
+
+def plain_class_step(w, before, skip, s):
+    hashed, last = plain_rows(before, skip, s)
+    rows = [h % s.rows for h in hashed] + [last]
+    logits = w.bias.astype(float) + sum(w.rows[r].astype(float) for r in rows)
+    p = np.exp(logits - logits.max())
+    return rows, p / p.sum()
+
+
+def test_scores_equal_brute_force_over_the_whole_vocabulary(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["the", "tha!", "one", "on", "e", "x", "...", "über"], rng.integers(0, 40), p=[0.3, 0.2, 0.2, 0.1, 0.1, 0.04, 0.03, 0.03])) for _ in range(40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    settings = language_model.Settings(head=4, classes=5, rows=64, window=3, word_prior=1.0)
+    learn = F.col("doc_id") < 30
+    counts = Counter(w for t in texts[:30] for w in t.encode().split())
+    v = language_model.vocabulary(language_model.count_words(rows.where(learn)), settings)
+    w = language_model.train(rows.where(learn), v, language_model.drawn("doc_id", "text"))
+    assert np.abs(w.words).max() > 0 and np.abs(w.rows).max() > 0
+    found = {r.doc_id: r.score for r in language_model.score(rows, learn, settings).collect()}
+
+    def weight(word, skip):
+        feature = w.words[v.head[word], skip] if word in v.head else 0.0
+        return (counts.get(word, 0) + 0.5) * np.exp(feature)
+
+    for i, text in enumerate(texts):
+        total = 0.0
+        for before, target, word, skip in plain_tokens(text.encode().split(), v):
+            _, p = plain_class_step(w, before, skip, settings)
+            total += np.log10(p[target])
+            if word is not None:
+                members = [x for x in counts if next(plain_tokens([x], v))[1] == target]
+                total += np.log10(weight(word, skip) / (sum(weight(x, skip) for x in members) + 0.5))
+        assert found[i] == pytest.approx(total, rel=1e-5)
+
+
+def test_sums_equal_brute_force_and_do_not_depend_on_partitions(spark, documents):
+    training = documents.select("doc_id", "text")
+    v = language_model.vocabulary(language_model.count_words(training), SMALL)
+    w = language_model.train(training, v, F.lit(0.1))
+    texts = [r.text.encode().lower().split() for r in training.limit(20).collect()]
+    sums = language_model.sums_over(training.limit(20), v, w)
+    observed, expected = np.zeros(w.rows.shape), np.zeros(w.rows.shape)
+    words, skips = np.zeros(w.words.shape), np.zeros(w.mass.shape)
+    for text in texts:
+        for before, target, word, skip in plain_tokens(text, v):
+            rows, p = plain_class_step(w, before, skip, SMALL)
+            for r in rows:
+                observed[r, target] += 1
+                expected[r] += p
+            skips[target, skip] += 1
+            if word in v.head:
+                words[v.head[word], skip] += 1
+    assert (sums.observed.reshape(observed.shape) == observed).all() and np.allclose(sums.expected, expected, rtol=1e-4, atol=1e-3)
+    assert (sums.words.reshape(words.shape) == words).all() and (sums.skips.reshape(skips.shape) == skips).all()
+    one, many = (
+        {r.doc_id: r.score for r in language_model.score(documents.repartition(n, "doc_id"), language_model.training_rows(), SMALL).collect()} for n in (1, 32)
+    )
+    assert all(one[i] == pytest.approx(many[i], rel=1e-6) for i in one)
+
+
+def test_long_texts_carry_their_context_over_pieces(spark, monkeypatch):
+    words = [f"w{i % 7}{i % 3}" for i in range(400)]
+    v = language_model.vocabulary(language_model.count_words(spark.createDataFrame([(" ".join(words),)], "text string")), SMALL)
+
+    def all_of(reader):
+        runs = list(reader.runs([" ".join(words), None, "w1"]))
+        return [np.concatenate([getattr(t, name) for t in runs]) for name in ("before", "classes", "places", "skip", "texts")]
+
+    whole = all_of(language_model.Reader(v))
+    cut = lambda text, size: iter([words[i : i + 3] for i in range(0, 400, 3)] if text and len(text) > 5 else [(text or "").encode().split()])
+    monkeypatch.setattr(language_model, "word_pieces", cut)
+    monkeypatch.setattr(language_model, "TOKENS_AT_ONCE", 10)
+    words = [w.encode() for w in words]
+    reader = language_model.Reader(v)
+    pieces = list(reader.runs([b" ".join(words).decode(), None, "w1"]))
+    joined = [np.concatenate([getattr(t, name) for t in pieces]) for name in ("before", "classes", "places", "skip", "texts")]
+    assert len(pieces) > 20 and all((a == b).all() for a, b in zip(whole, joined))
+
+
+def test_endings_of_words():
+    words = [b"word", b"a", b"ends...", b"...", b".", b"x!", "é".encode(), b"b,"]
+
+    def plain(word):
+        stem = word.rstrip(language_model.MARKS) or word
+        return stem[-1] * 256 + (stem[-2] if len(stem) > 1 else 0)
+
+    assert language_model.endings(words).tolist() == [plain(w) for w in words] and len(language_model.endings([])) == 0
 
 
 def test_language_model_of_awkward_rows(spark):
@@ -434,4 +538,4 @@ def test_every_training_text_updates_the_weights(spark, place):
     rows = frame(spark, [(1, "a b a b a c a b", "en", "a"), (2, "b a b a b a", "en", "a")]).select("doc_id", "text")
     v = language_model.vocabulary(language_model.count_words(rows))
     trained = language_model.train(rows, v, F.lit(place))
-    assert (trained.classes != language_model.Weights.initial(v).classes).any()
+    assert (trained.rows != language_model.Weights.initial(v).rows).any()
