@@ -61,6 +61,20 @@ def text_key(column: str = "text") -> Column:
     return F.when(F.col(column).isNull(), F.lit(-1).cast("long")).otherwise(F.xxhash64(F.col(column)))
 
 
+def free_name(data: DataFrame, name: str = "key") -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in data.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def row_key(doc_id: Column, key: Column) -> Column:
+    """An id and a text hash as one value that is never NULL and tells a NULL id from every other."""
+    number = doc_id.cast("long")
+    return F.struct(number.isNull().alias("none"), F.coalesce(number, F.lit(0).cast("long")).alias("id"), key.alias("text"))
+
+
 def drawn(*columns: str) -> Column:
     """A number in 0..1 fixed by the values of columns, spread evenly over different values."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.llm.components import components
-from merchlens.llm.shared import map_batches, record, text_key, word_pieces, written
+from merchlens.llm.shared import free_name, map_batches, record, row_key, text_key, word_pieces, written
 
 BITS = 64
 SEED = 42
@@ -211,15 +211,14 @@ def keep_first(documents: DataFrame, grouped: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
     # Not by component_id, which is NULL without ids and equal where an id repeats with different texts.
     best = grouped.groupBy("root").agg(F.min(order).alias("first"))
-    first = best.select(F.col("first.doc_id").alias("_doc"), F.col("first.text_key").alias("_key"))
-    copies = grouped.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(F.count(F.lit(1)).alias("_copies"))
-    chosen = written(
-        first.join(copies, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))).select("_doc", "_key", "_copies"),
-        "kept",
-    )
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (text_key() == F.col("_key"))
-    once = documents.join(chosen.where("_copies = 1"), match, "left_semi")
-    repeated = chosen.where("_copies > 1")
+    # Other columns of `documents` may have any name, so rows are met by one column under a name that none has.
+    key = free_name(documents)
+    first = best.select(row_key(F.col("first.doc_id"), F.col("first.text_key")).alias(key))
+    copies = grouped.groupBy(row_key(F.col("doc_id"), F.col("text_key")).alias(key)).agg(F.count(F.lit(1)).alias("copies"))
+    chosen = written(first.join(copies, key).select(key, "copies"), "kept")
+    keyed = documents.withColumn(key, row_key(F.col("doc_id"), text_key()))
+    once = keyed.join(chosen.where("copies = 1").select(key), key, "left_semi").drop(key)
+    repeated = chosen.where("copies > 1").select(key)
     if repeated.isEmpty():
         return once
-    return once.unionByName(documents.join(repeated, match, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return once.unionByName(keyed.join(repeated, key, "left_semi").dropDuplicates([key]).drop(key))

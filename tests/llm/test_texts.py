@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from merchlens.llm import decontaminate as dc
-from merchlens.llm import language, language_model, mixing, near_copies, quality, simhash
+from merchlens.llm import language, language_model, mixing, quality, simhash
 from merchlens.llm.components import components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -432,40 +432,54 @@ def test_mix_of_awkward_rows(spark):
 # ------------------------------------------------------------------ near-duplicate stage of the pipeline
 
 
-def plain_shingles(text, words=5):
-    found = (text or "").lower().split()
-    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
-
+def test_pipeline_removes_near_duplicates_by_fingerprint(spark):
+    import corpus_pipeline
 
-@pytest.mark.parametrize("bucket", [2, 32])
-def test_stage_keeps_one_of_each_chain_of_similar_texts(spark, bucket):
     rng = np.random.default_rng(3)
-    texts = ["", "one two", "One  TWO"]
-    for base in range(4):
-        words = [f"b{base}w{i}" for i in range(120)]
-        texts.append(" ".join(words))
-        for copy in range(25):
-            edits = dict.fromkeys(rng.choice(120, rng.integers(1, 7), replace=False).tolist(), f"x{base}y{copy}")
-            texts.append(" ".join(edits.get(i, w) for i, w in enumerate(words)))
-    sets = [plain_shingles(t) for t in texts]
-    near = lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join(words).upper(), " ".join("x" if i == 200 else w for i, w in enumerate(words)), " ".join(rng.permutation(words)), "", None]
+    prints = [simhash.fingerprint(t) for t in texts]
+    near = lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4
     rows = frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
-    kept = near_copies.keep_one(rows, near_copies.Settings(bucket=bucket, block=8))
+    kept = corpus_pipeline.keep_one_of_each_group(spark, rows, FOLDER)
     assert kept.columns == rows.columns
-    wanted = sorted(set(reachable(range(len(texts)), near).values()))
-    assert sorted(r.doc_id for r in kept.collect()) == wanted
-    # Most of these copies are further apart than the fingerprints of op7 link.
-    assert simhash.keep_one(rows).count() > len(wanted)
-    assert near_copies.keep_one(awkward(spark)).count() == 5 and near_copies.keep_one(rows.limit(0)).count() == 0
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(reachable(range(len(texts)), near).values()))
+
+
+CLASHING = (
+    "key", "key_", "_doc", "_key", "_copies", "_d", "_k", "root", "first", "copies", "doc", "text_key", "fp", "component_id", "item_id", "item", "passage", "pid",
+    "seed", "seeds", "items", "score", "row", "label", "predicted", "u", "v", "n", "position", "best", "tokens", "place", "number", "found", "none", "id", "shard",
+)
 
 
-def test_pipeline_removes_near_duplicates_by_similarity(spark):
+def clashing(spark, rows):
+    data = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    return data.select("*", *[F.lit("clash").alias(c) for c in CLASHING])
+
+
+def test_stages_with_any_other_columns(spark):
     import corpus_pipeline
 
-    words = [f"w{i}" for i in range(100)]
-    texts = [" ".join(words), " ".join("x" if i in (30, 70) else w for i, w in enumerate(words)), " ".join(f"v{i}" for i in range(100))]
-    rows = frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
-    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, rows, FOLDER).collect()) == [0, 2]
+    folder = "/root/testdata/sf0.001"
+    given = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").limit(80).collect()]
+    docs = clashing(spark, [*given, given[0], (None, "words without an id " * 30, "en", "s", 1), (5000, "", "en", "s", 0), (5001, None, None, None, None)])
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns, name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert docs.count() > 40, name
+    assert corpus_pipeline.mix_sources(spark, docs, folder).count() >= docs.count()
+
+
+def test_stages_without_documents(spark):
+    import corpus_pipeline
+
+    docs = clashing(spark, []).limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, FOLDER)
+        assert found.columns == docs.columns and found.count() == 0, name
+    assert corpus_pipeline.mix_sources(spark, docs, FOLDER).count() == 0
 
 
 # ------------------------------------------------------------------ edited copies beside exact ones
@@ -500,11 +514,60 @@ def test_any_passage_of_the_least_score_has_the_hits_it_needs():
         passage = [b"a"] * 5 + passage + [b"b"] * 5
         if plain_alignment(passage, item) >= 0.5:
             reached += 1
-            at, items = dc.Grams([b" ".join(item).decode()], 2).anchors(passage)
+            grams = dc.Grams([b" ".join(item).decode()], 2)
+            hits, places = grams.find(passage)
+            at, items = grams.anchors(hits, places)
             assert len(at) and set(items.tolist()) == {0}
+            # One of the seeds is there whichever n-grams are rare.
+            seeds, _ = grams.seeds(rng.integers(0, 9, len(grams.keys)))
+            assert np.isin(grams.keys[places], seeds).any()
     assert reached > 1000
 
 
+def test_words_of_any_script():
+    assert dc.words_of("Hello, it's_me-2!") == [b"hello", b"it", b"s", b"me", b"2"]
+    assert dc.words_of("“Hello”—‘x’ a\u00a0b") == dc.words_of('"Hello" - x a b')
+    assert dc.words_of("中文a1 カタ") == ["中".encode(), "文".encode(), b"a1", "カ".encode(), "タ".encode()]
+    assert dc.words_of("Größe Øl") == ["größe".encode(), "øl".encode()] and dc.words_of(None) == []
+    text = "中文字" * 40 + " latin words " * 5
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(dc, "PIECE_CHARS", 7)
+        assert [w for p in dc._pieces(text) for w in p] == dc.words_of(text)
+
+
+def test_long_and_short_items_other_scripts_and_quotes(spark):
+    rng = np.random.default_rng(9)
+    long_item = " ".join(f"l{x}" for x in rng.integers(0, 900, 5000))
+    chinese = "".join(chr(x) for x in rng.integers(0x4E00, 0x9FA5, 30))
+    quoted = 'He said: "never mind the weather" and left it at that'
+    short = "eight small words make one very short item"
+    benchmark = spark.createDataFrame([(1, long_item), (2, chinese), (3, quoted), (4, short)], "item_id long, text string")
+    filler = " ".join(f"f{i}" for i in range(400))
+    edited = "".join(c if i % 6 else "x" for i, c in enumerate(chinese))
+    rows = frame(spark, [
+        (10, f"{filler} {long_item} {filler}", "en", "a"), (11, f"{filler} {short} {filler}", "en", "a"), (12, f"前{chinese}后", "zh", "a"),
+        (13, f"前{edited}后", "zh", "a"), (14, "x “He said”: ‘never mind the weather’ — and left it at that…", "en", "a"), (15, filler, "en", "a"), (16, "中文" * 50, "zh", "a"),
+    ])
+    found = {(r.doc_id, r.item_id): (r.score, r.first_word, r.end_word) for r in dc.contaminated(rows, benchmark).collect()}
+    assert set(found) == {(10, 1), (11, 4), (12, 2), (13, 2), (14, 3)}
+    assert found[10, 1] == (1.0, 400, 5400) and found[11, 4] == (1.0, 400, 408) and found[14, 3][0] == 1.0 and found[13, 2][0] < 1
+    # A short item's passage is cut by its own length, not by the longest item's.
+    grams = dc.Grams([long_item, short], 2)
+    hits, places = grams.find(dc.words_of(f"{filler} {short} {filler}"))
+    at, items = grams.anchors(hits, places)
+    low, high = next(dc._stretches(at, grams.spans[items], 2))
+    assert high - low < 50
+    assert dc.contaminated(rows.limit(0), benchmark).count() == 0 and dc.remove(rows.limit(0), benchmark).count() == 0
+    assert dc.remove(rows, benchmark.limit(0)).count() == 7
+
+
+def test_seeds_are_the_rarest_places_of_an_item():
+    grams = dc.Grams(["a b c d e f g h i j"], 2)
+    often = np.arange(len(grams.keys))
+    seeds, owners = grams.seeds(often)
+    assert set(seeds.tolist()) == set(grams.keys[:6].tolist()) and grams.needed[0] == 4 and set(owners.tolist()) == {0}
+
+
 # ------------------------------------------------------------------ limits of the language stage
 
 
