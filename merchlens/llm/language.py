@@ -1,12 +1,14 @@
 """Language identification with hyperdimensional profiles.
 
-Each letter has a fixed random vector of +1 and -1. An n-gram is bound by multiplying the vectors of its letters, each
+Each letter of any script has a fixed random vector of +1 and -1, drawn from its code point. An n-gram is bound by multiplying the vectors of its letters, each
 rotated by its position; a text is the bundle (sum) of its n-gram vectors. A language prototype is the bundle of its
 training texts, each scaled to length one, and a text belongs to the prototype with the largest cosine.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.shared import drawn, map_batches, record, remainder
+from merchlens.llm.shared import drawn, free_name, map_batches, record, remainder, written
 
 UNKNOWN = "und"
-# Letter codes: 0 ends a word, 1-26 are a-z, the rest is shared by all other letters through a hash.
-CODES = 128
 CACHED_GRAMS = 50_000
+CACHED_LETTERS = 8192
 PIECE_CHARS = 1 << 18
+POINTS = 0x110000
 # Characters of the cut texts that limits are measured on.
 LENGTHS = (5, 10, 20, 40, 80, 160, 320, 640)
 
@@ -30,7 +32,8 @@ class Settings:
     """Vector length, seed of the letter vectors, and training rows expected per language.
 
     Rows are drawn by a hash of id and text with the share per_language / rows of the language, so `per_language`
-    bounds the sample in expectation at every corpus size. More than `languages` different values are an error.
+    bounds the sample in expectation at every corpus size. Up to `languages` prototypes go to the tasks at once; more
+    take several passes.
     """
 
     size: int = 1024
@@ -41,80 +44,134 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
+    """Languages in order with one prototype each; where there are more than a task may hold, they are in `stored`
+    (lang, block, prototype array), numbered by blocks that one may hold.
+    """
+
     languages: list[str]
     prototypes: np.ndarray
     settings: Settings
-
-
-def _code_table() -> np.ndarray:
-    table = np.zeros(1 << 16, np.uint8)
-    for point in range(1 << 16):
-        if chr(point).isalpha():
-            table[point] = _code(point)
-    return table
-
-
-def _code(point: int) -> int:
-    return point - 96 if 97 <= point <= 122 else 27 + (point * 2654435761 >> 7) % (CODES - 27)
-
-
-_TABLE = _code_table()
-
-
-def letter_codes(text: str) -> np.ndarray:
-    """Codes of the lower-cased text with a 0 at either end and one 0 for each run of anything but letters."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = _TABLE[np.minimum(points, 0xFFFF)]
-    for at in np.flatnonzero(points > 0xFFFF):
-        codes[at] = _code(int(points[at])) if chr(points[at]).isalpha() else 0
-    codes = np.concatenate([[0], codes, [0]]).astype(np.int32)
-    return codes[np.append(True, (codes[1:] != 0) | (codes[:-1] != 0))]
+    stored: DataFrame | None = None
+    blocks: int = 1
+
+    def block(self, number: int) -> Model:
+        """The model of one block of the languages."""
+        if self.stored is None:
+            return self
+        rows = sorted(self.stored.where(F.col("block") == number).collect(), key=lambda r: r.lang)
+        vectors = np.array([r.prototype for r in rows], np.float32).reshape(len(rows), self.settings.size)
+        return Model([r.lang for r in rows], vectors, self.settings)
+
+
+class Letters:
+    """Code points of texts as letters: 0 for anything else, lower-cased."""
+
+    def __init__(self):
+        # 0 is not known yet, 1 a letter, 2 none.
+        self.kinds = np.zeros(POINTS, np.uint8)
+
+    def _letters(self, points: np.ndarray) -> np.ndarray:
+        kinds = self.kinds[points]
+        if not kinds.all():
+            fresh = np.unique(points[kinds == 0])
+            self.kinds[fresh] = [1 if chr(c).isalpha() else 2 for c in fresh.tolist()]
+            kinds = self.kinds[points]
+        return np.where(kinds == 1, points, 0)
+
+    def trigrams(self, text: str | None) -> Iterator[np.ndarray]:
+        """Keys of all trigrams of the whole text, in bounded arrays; none without a letter.
+
+        A text has a 0 at either end and one 0 for each run of anything but letters.
+        """
+        lowered = (text or "").lower()
+        last = np.zeros(1, np.int64)
+        for start in range(0, len(lowered), PIECE_CHARS):
+            points = np.frombuffer(lowered[start : start + PIECE_CHARS].encode("utf-32-le", "surrogatepass"), np.uint32)
+            codes = self._letters(points).astype(np.int64)
+            if start + PIECE_CHARS >= len(lowered):
+                codes = np.append(codes, 0)
+            # The codes before go on, so that no trigram is lost or added at the cut.
+            codes = np.concatenate([last, codes])
+            codes = codes[np.append(True, (codes[1:] != 0) | (codes[:-1] != 0))]
+            if len(codes) > 2:
+                yield (codes[:-2] * POINTS + codes[1:-1]) * POINTS + codes[2:]
+            last = codes[-2:]
 
 
 class Encoder:
-    """Bundles texts; remembers the vectors of a bounded number of n-grams."""
+    """Bundles texts; remembers the vectors of a bounded number of letters and trigrams."""
 
     def __init__(self, settings: Settings):
-        self.size = settings.size
-        letters = np.random.default_rng(settings.seed).integers(0, 2, (CODES, settings.size), np.int8) * 2 - 1
-        self.rotated = [np.roll(letters, 2 - i, axis=1).astype(np.int8) for i in range(3)]
-        self.rows = np.full(CODES**3, -1, np.int32)
-        self.vectors = np.empty((CACHED_GRAMS, settings.size), np.int8)
-        self.used = 0
+        self.size, self.seed, self.letters = settings.size, settings.seed, Letters()
         self.trigrams = 0
+        self._forget_letters()
+        self._forget_grams()
+
+    def _forget_letters(self) -> None:
+        self.places = np.full(POINTS, -1, np.int32)
+        # A letter's vector, rotated for each of the three positions.
+        self.rotated = np.empty((3, 64, self.size), np.int8)
+        self.known = 0
+
+    def _forget_grams(self) -> None:
+        self.keys, self.rows = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.vectors = np.empty((CACHED_GRAMS, self.size), np.int8)
+
+    def _learn_letters(self, points: np.ndarray) -> None:
+        fresh = np.unique(points[self.places[points] < 0])
+        if self.known + len(fresh) > CACHED_LETTERS:
+            self._forget_letters()
+            fresh = np.unique(points)
+        while self.known + len(fresh) > self.rotated.shape[1]:
+            self.rotated = np.concatenate([self.rotated, np.empty_like(self.rotated)], axis=1)
+        for point in fresh.tolist():
+            letter = np.random.default_rng([self.seed, point]).integers(0, 2, self.size, np.int8) * 2 - 1
+            for i in range(3):
+                self.rotated[i, self.known] = np.roll(letter, 2 - i)
+            self.places[point] = self.known
+            self.known += 1
 
     def _vectors(self, grams: np.ndarray) -> np.ndarray:
-        rows = self.rows[grams]
-        new = grams[rows < 0]
+        """The vectors of different trigrams in order."""
+        at = np.searchsorted(self.keys, grams)
+        held = np.append(self.keys, -1)[at] == grams
+        new = grams[~held]
         if len(new):
-            if self.used + len(new) > CACHED_GRAMS:
-                self.rows.fill(-1)
-                self.used, new = 0, grams
-                if len(new) > CACHED_GRAMS:
-                    return self._bind(new)
-            self.vectors[self.used : self.used + len(new)] = self._bind(new)
-            self.rows[new] = np.arange(self.used, self.used + len(new))
-            self.used += len(new)
-            rows = self.rows[grams]
-        return self.vectors[rows]
+            if len(self.keys) + len(new) > CACHED_GRAMS:
+                if len(grams) > CACHED_GRAMS:
+                    return self._bind(grams)
+                self._forget_grams()
+                new = grams
+            begin = len(self.keys)
+            self.vectors[begin : begin + len(new)] = self._bind(new)
+            where = np.searchsorted(self.keys, new)
+            self.keys = np.insert(self.keys, where, new)
+            self.rows = np.insert(self.rows, where, np.arange(begin, begin + len(new)))
+            at = np.searchsorted(self.keys, grams)
+        return self.vectors[self.rows[at]]
 
     def _bind(self, grams: np.ndarray) -> np.ndarray:
-        first, second, third = grams // CODES**2, grams // CODES % CODES, grams % CODES
-        return self.rotated[0][first] * self.rotated[1][second] * self.rotated[2][third]
+        bound = np.empty((len(grams), self.size), np.int8)
+        # So few trigrams at once that their letters can all be held.
+        for begin in range(0, len(grams), CACHED_LETTERS // 4):
+            part = grams[begin : begin + CACHED_LETTERS // 4]
+            points = np.stack([part // POINTS**2, part // POINTS % POINTS, part % POINTS])
+            self._learn_letters(points.ravel())
+            first, second, third = self.places[points]
+            bound[begin : begin + len(part)] = self.rotated[0, first] * self.rotated[1, second] * self.rotated[2, third]
+        return bound
 
     def __call__(self, text: str | None) -> np.ndarray | None:
         """The bundle of all trigrams of the whole text, counted in `trigrams`; None without any letter."""
-        total, self.trigrams = None, 0
-        for start in range(0, len(text or ""), PIECE_CHARS):
-            # Two more characters than the piece, so that no trigram is lost at the cut.
-            codes = letter_codes(text[start : start + PIECE_CHARS + 2])
-            if codes.any():
-                keys = (codes[:-2] * CODES + codes[1:-1]) * CODES + codes[2:]
-                self.trigrams += len(keys)
-                grams, counts = np.unique(keys, return_counts=True)
-                part = counts.astype(np.float32) @ self._vectors(grams).astype(np.float32)
-                total = part if total is None else total + part
-        return total
+        total, self.trigrams, lettered = np.zeros(self.size, np.float32), 0, False
+        for keys in self.letters.trigrams(text):
+            lettered = lettered or bool(keys.any())
+            self.trigrams += len(keys)
+            grams, counts = np.unique(keys, return_counts=True)
+            for begin in range(0, len(grams), CACHED_GRAMS):
+                part = slice(begin, begin + CACHED_GRAMS)
+                total = total + counts[part].astype(np.float32) @ self._vectors(grams[part]).astype(np.float32)
+        return total if lettered else None
 
 
 def _unit(vector: np.ndarray) -> np.ndarray:
@@ -138,54 +195,103 @@ def fit(documents: DataFrame, settings: Settings = Settings(), learn: Column | N
     """Prototypes from the text and language of documents (doc_id, text, lang).
 
     `learn` is a condition on the documents that may be used. Rows without language or without a letter teach nothing.
-    Bundles are added up in the tasks and then by Spark; the driver receives one vector per language.
+    Bundles are added up in the tasks and then by Spark; the driver receives one vector per language, or, with more
+    languages than `languages`, none: then the prototypes stay in a table.
     """
     usable = documents.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     if learn is not None:
         usable = usable.where(learn)
+    counted = usable.groupBy("lang").count()
     # One row per language, `languages` at most, so the shares fit an expression and no text is shuffled to its language.
-    rows = {r.lang: r["count"] for r in usable.groupBy("lang").count().limit(settings.languages + 1).collect()}
-    if len(rows) > settings.languages:
-        raise ValueError(f"more than {settings.languages} different languages")
+    rows = {r.lang: r["count"] for r in counted.limit(settings.languages + 1).collect()}
     if not rows:
         return Model([], np.zeros((0, settings.size), np.float32), settings)
-    shares = F.create_map(*[F.lit(v) for lang, n in sorted(rows.items()) for v in (lang, min(1.0, settings.per_language / n))])
-    sample = usable.where(drawn("doc_id", "text") <= F.element_at(shares, F.col("lang"))).select("lang", "text")
+    many = len(rows) > settings.languages
+    if many:
+        share = F.least(F.lit(1.0), settings.per_language / F.col("count"))
+        sample = usable.join(written(counted, "languages"), "lang").where(drawn("doc_id", "text") <= share).select("lang", "text")
+    else:
+        shares = F.create_map(*[F.lit(v) for lang, n in sorted(rows.items()) for v in (lang, min(1.0, settings.per_language / n))])
+        sample = usable.where(drawn("doc_id", "text") <= F.element_at(shares, F.col("lang"))).select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("bundle", pa.list_(pa.float64()))])
 
     def work(batches):
         encoder, sums = Encoder(settings), {}
+
+        def flush():
+            batch = record(schema, lang=list(sums), bundle=list(sums.values()))
+            sums.clear()
+            return batch
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 bundle = encoder(text)
                 if bundle is not None:
                     sums[lang] = sums.get(lang, 0.0) + _unit(bundle.astype(np.float64))
-        yield record(schema, lang=list(sums), bundle=list(sums.values()))
+            if len(sums) > settings.languages:
+                yield flush()
+        yield flush()
 
     parts = map_batches(sample, work, "lang string, bundle array<double>")
     added = parts.select("lang", F.posexplode("bundle").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
+    if many:
+        return _stored(added, settings)
     found = added.toPandas().sort_values(["lang", "i"])
     languages = sorted(found.lang.unique().tolist())
     prototypes = found.x.to_numpy(np.float64).reshape(len(languages), settings.size)
     return Model(languages, np.array([_unit(p) for p in prototypes], np.float32).reshape(len(languages), settings.size), settings)
 
 
+def _stored(added: DataFrame, settings: Settings) -> Model:
+    """A model whose prototypes, of length one, stay in a table in blocks of about half of what a task may hold."""
+    vectors = added.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
+    length = F.greatest(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e["x"] * e["x"])), F.lit(1e-12))
+    unit = vectors.select("lang", F.transform("v", lambda e: (e["x"] / length).cast("float")).alias("prototype"))
+    stored = written(unit, "prototypes")
+    blocks = max(1, -(-2 * stored.count() // settings.languages))
+    numbered = written(stored.withColumn("block", F.pmod(F.xxhash64("lang"), F.lit(blocks))), "prototype-blocks", "block")
+    return Model([], np.zeros((0, settings.size), np.float32), settings, numbered, blocks)
+
+
 def predict(documents: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row: the nearest prototype and its cosine, cut to 0..1.
 
     Texts that are NULL, empty or without any letter are `und` with score 0, and so is every text when nothing was
     learned. Of equally near prototypes the first by name wins. Other columns are not read.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
+    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    if model.stored is None:
+        return _nearest(rows, model, "doc_id").drop("trigrams")
+    return nearest_of_all(rows.withColumn("row", F.monotonically_increasing_id()), model).select("doc_id", "lang_pred", "score")
+
+
+def _nearest(rows: DataFrame, model: Model, id_column: str) -> DataFrame:
+    """(id, lang_pred, score, trigrams) of rows (id, text) among the languages of one model that a task can hold."""
+    schema = pa.schema([(id_column, pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("trigrams", pa.int64())])
 
     def work(batches):
         predictor = Predictor(model)
         for batch in batches:
-            found = [predictor(t) for t in batch.column(1).to_pylist()]
-            yield record(schema, doc_id=batch.column(0), lang_pred=[f[0] for f in found], score=[f[1] for f in found])
+            found = [(*predictor(t), predictor.encoder.trigrams) for t in batch.column(1).to_pylist()]
+            columns = dict(zip(schema.names[1:], map(list, zip(*found)))) if found else {n: [] for n in schema.names[1:]}
+            yield record(schema, **{id_column: batch.column(0)}, **columns)
+
+    return map_batches(rows.select(id_column, "text"), work, f"{id_column} long, lang_pred string, score double, trigrams long")
 
-    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return map_batches(rows, work, "doc_id long, lang_pred string, score double")
+
+def nearest_of_all(rows: DataFrame, model: Model) -> DataFrame:
+    """The columns of `rows` (row, text, ...) but the text, with lang_pred, score and trigrams, over all blocks of a
+    model. Rows are written once and each block of prototypes passes over them.
+    """
+    rows = written(rows, "texts")
+    found = None
+    for number in range(model.blocks):
+        part = written(_nearest(rows.select("row", "text"), model.block(number), "row"), "nearest")
+        found = part if found is None else found.unionByName(part)
+    # The largest cosine, of equal ones the first language; `und` only where every block says so.
+    best = F.min(F.struct((F.col("lang_pred") == UNKNOWN).alias("none"), (-F.col("score")).alias("s"), "lang_pred", "trigrams")).alias("best")
+    merged = found.groupBy("row").agg(best).select("row", "best.lang_pred", (-F.col("best.s")).alias("score"), "best.trigrams")
+    return rows.drop("text").join(merged, "row")
 
 
 @dataclass(frozen=True)
@@ -208,16 +314,46 @@ def limits(documents: DataFrame, model: Model, held_out: Column, per_language: i
     what all but that share of the clean cuts reach, in the language where these lie lowest: very short texts are not
     told apart from chance at the expense of clean ones. None without such rows.
     """
-    usable = documents.select("doc_id", "text", "lang").where("text IS NOT NULL").where(held_out).where(F.col("lang").isin(model.languages))
-    rows = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
-    if not rows:
-        return None
-    shares = F.create_map(*[F.lit(v) for lang, n in sorted(rows.items()) for v in (lang, min(1.0, per_language / n))])
-    sample = usable.where(drawn("doc_id", "text") <= F.element_at(shares, F.col("lang"))).select("lang", "text")
-    schema = pa.schema([("lang", pa.string()), ("length", pa.int64()), ("trigrams", pa.int64()), ("clean", pa.float64()), ("random", pa.float64())])
+    usable = documents.select("doc_id", "text", "lang").where("text IS NOT NULL").where(held_out)
+    if model.stored is None:
+        usable = usable.where(F.col("lang").isin(model.languages))
+        rows = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
+        if not rows:
+            return None
+        shares = F.create_map(*[F.lit(v) for lang, n in sorted(rows.items()) for v in (lang, min(1.0, per_language / n))])
+        sample = usable.where(drawn("doc_id", "text") <= F.element_at(shares, F.col("lang"))).select("lang", "text")
+    else:
+        known = usable.groupBy("lang").count().join(model.stored.select("lang"), "lang")
+        sample = usable.join(written(known, "held-out"), "lang").where(drawn("doc_id", "text") <= per_language / F.col("count")).select("lang", "text")
+    cuts = _cuts(sample)
+    if model.stored is None:
+        measured = cuts.withColumn("row", F.monotonically_increasing_id())
+        measured = written(measured, "cuts")
+        found = measured.drop("text").join(written(_nearest(measured.select("row", "text"), model, "row"), "measured"), "row")
+    else:
+        found = nearest_of_all(cuts.withColumn("row", F.monotonically_increasing_id()), model)
+    pairs = found.groupBy("cut", "length", "lang").agg(
+        F.max(F.when(~F.col("random"), F.col("trigrams"))).alias("trigrams"), F.max(F.when(~F.col("random"), F.col("score"))).alias("clean"),
+        F.max(F.when(F.col("random"), F.col("score"))).alias("random"),
+    )
+    measured = pairs.where("trigrams > 0")
+    by_language = measured.groupBy("length", "lang").agg(
+        F.percentile("trigrams", F.lit(0.5)).alias("trigrams"), F.percentile("clean", F.lit(lost)).alias("clean"),
+        F.percentile("random", F.lit(1 - lost)).alias("random"),
+    )
+    found = by_language.groupBy("length").agg(
+        F.avg("trigrams").alias("trigrams"), F.least(F.min("clean"), F.max("random")).alias("limit")
+    ).orderBy("trigrams").collect()
+    return Limits(np.log([max(1.0, r.trigrams) for r in found]), np.array([r.limit for r in found])) if found else None
+
+
+def _cuts(sample: DataFrame) -> DataFrame:
+    """(cut, lang, length, random, text): texts (lang, text) cut to several lengths, and beside each cut a string of as
+    many random letters of the same text.
+    """
+    schema = pa.schema([("cut", pa.string()), ("lang", pa.string()), ("length", pa.int64()), ("random", pa.bool_()), ("text", pa.string())])
 
     def work(batches):
-        predictor = Predictor(model)
         for batch in batches:
             out = {name: [] for name in schema.names}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -227,22 +363,14 @@ def limits(documents: DataFrame, model: Model, held_out: Column, per_language: i
                 rng = np.random.default_rng(len(text))
                 for length in (n for n in LENGTHS if n <= len(text)):
                     places = rng.integers(0, len(letters) * 6 // 5 + 1, length)
-                    random = predictor("".join(letters[i] if i < len(letters) else " " for i in places))[1]
-                    clean = predictor(text[:length])[1]
-                    if predictor.encoder.trigrams:
-                        for name, value in zip(schema.names, (lang, length, predictor.encoder.trigrams, clean, random)):
-                            out[name].append(value)
+                    random = "".join(letters[i] if i < len(letters) else " " for i in places)
+                    cut = uuid.uuid4().hex
+                    for flag, value in ((False, text[:length]), (True, random)):
+                        for name, x in zip(schema.names, (cut, lang, length, flag, value)):
+                            out[name].append(x)
             yield record(schema, **out)
 
-    measured = map_batches(sample, work, "lang string, length long, trigrams long, clean double, random double")
-    by_language = measured.groupBy("length", "lang").agg(
-        F.percentile("trigrams", F.lit(0.5)).alias("trigrams"), F.percentile("clean", F.lit(lost)).alias("clean"),
-        F.percentile("random", F.lit(1 - lost)).alias("random"),
-    )
-    found = by_language.groupBy("length").agg(
-        F.avg("trigrams").alias("trigrams"), F.least(F.min("clean"), F.max("random")).alias("limit")
-    ).orderBy("trigrams").collect()
-    return Limits(np.log([max(1.0, r.trigrams) for r in found]), np.array([r.limit for r in found])) if found else None
+    return map_batches(sample.select("lang", "text"), work, "cut string, lang string, length long, random boolean, text string")
 
 
 def keep_known(documents: DataFrame, model: Model, least: float = 0.02, text: str = "text", limits: Limits | None = None) -> DataFrame:
@@ -250,22 +378,41 @@ def keep_known(documents: DataFrame, model: Model, least: float = 0.02, text: st
 
     Rejected are texts without a letter and texts whose cosine to every prototype is under the limit of their length.
     Without `limits` it is `least` for all; as the largest of several chance cosines (about 0.03 each between random
-    vectors of length 1024) is tested, so low a limit rejects hardly any text with letters.
+    vectors of length 1024) is tested, so low a limit rejects hardly any text with letters. NULL and empty texts go,
+    repeated rows are judged alike, and no rows give no rows.
     """
+
+    def known(lang: str, score: float, trigrams: int) -> bool:
+        return lang != UNKNOWN and score >= (least if limits is None else limits(trigrams))
+
+    if model.stored is not None:
+        return _keep_known_of_all(documents, model, known, text)
     position = documents.columns.index(text)
 
     def work(batches):
         predictor = Predictor(model)
         for batch in batches:
-            kept = []
-            for t in batch.column(position).to_pylist():
-                lang, score = predictor(t)
-                kept.append(lang != UNKNOWN and score >= (least if limits is None else limits(predictor.encoder.trigrams)))
+            kept = [known(*predictor(t), predictor.encoder.trigrams) for t in batch.column(position).to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return map_batches(documents, work, documents.schema)
 
 
+def _keep_known_of_all(documents: DataFrame, model: Model, known, text: str) -> DataFrame:
+    """The same over all blocks of a model: rows are numbered and written, so that verdicts find them again."""
+    number = free_name(documents, "row")
+    rows = written(documents.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = nearest_of_all(rows.select(F.col(number).alias("row"), F.col(text).cast("string").alias("text")), model)
+
+    def work(batches):
+        for batch in batches:
+            kept = [known(*values) for values in zip(*(batch.column(i).to_pylist() for i in range(1, 4)))]
+            yield batch.filter(pa.array(kept, pa.bool_())).select([0])
+
+    kept = map_batches(found.select("row", "lang_pred", "score", "trigrams"), work, "row long").withColumnRenamed("row", number)
+    return rows.join(kept, number, "left_semi").drop(number)
+
+
 def training_rows(modulus: int = 3, held_out: int = 1) -> Column:
     """Condition that excludes the held-out fold; NULL ids belong to no fold and teach nothing."""
     return remainder("doc_id", modulus) != held_out

@@ -178,16 +178,70 @@ def test_language_of_awkward_rows(spark):
     assert {r.lang_pred for r in language.predict(awkward(spark), nothing).collect()} == {"und"}
 
 
-def test_long_texts_are_bundled_whole():
+def plain_bundle(text, settings):
+    """Sum over trigrams of products of rotated letter vectors, one at a time."""
+    codes = [0]
+    for c in text.lower() + " ":
+        code = ord(c) if c.isalpha() else 0
+        if code or codes[-1]:
+            codes.append(code)
+    letter = {c: np.random.default_rng([settings.seed, c]).integers(0, 2, settings.size, np.int8).astype(int) * 2 - 1 for c in set(codes)}
+    grams = Counter(zip(codes, codes[1:], codes[2:]))
+    return sum(n * np.prod([np.roll(letter[c], 2 - i) for i, c in enumerate(g)], axis=0) for g, n in grams.items())
+
+
+@pytest.mark.parametrize("text", ["abc dé ", "a", "x y", "1ab2", "ſß Ωσς", "中文 한글 кириллица", "\U0001d400\U00010400a"])
+def test_bundles_equal_brute_force(text):
     settings = language.Settings(size=64)
-    text = "abc dé " * 60_000
-    codes = language.letter_codes(text)
-    whole = language.Encoder(settings)
-    keys = (codes[:-2] * language.CODES + codes[1:-1]) * language.CODES + codes[2:]
-    grams, counts = np.unique(keys, return_counts=True)
-    expected = counts @ whole._vectors(grams).astype(np.float64)
-    got = language.Encoder(settings)(text)
-    assert np.abs(got - expected).max() < 1e-3 * np.abs(expected).max()
+    assert (language.Encoder(settings)(text) == plain_bundle(text, settings)).all()
+
+
+@pytest.mark.parametrize("piece", [3, 5, 1 << 18])
+def test_long_texts_are_bundled_whole(monkeypatch, piece):
+    settings = language.Settings(size=64)
+    text = "abc dé  -- ΑΣ xyz" * 90
+    expected = plain_bundle(text, settings)
+    monkeypatch.setattr(language, "PIECE_CHARS", piece)
+    encoder = language.Encoder(settings)
+    assert (encoder(text) == expected).all() and encoder.trigrams == len(np.concatenate(list(encoder.letters.trigrams(text))))
+
+
+def test_letters_do_not_share_vectors_and_caches_are_bounded(monkeypatch):
+    settings = language.Settings(size=64)
+    rng = np.random.default_rng(3)
+    texts = ["".join(chr(c) for c in rng.integers(0x4E00, 0x9FA5, 60)) for _ in range(30)] + ["".join(map(chr, range(0x430, 0x450)))]
+    monkeypatch.setattr(language, "CACHED_LETTERS", 300)
+    monkeypatch.setattr(language, "CACHED_GRAMS", 100)
+    encoder = language.Encoder(settings)
+    assert all((encoder(t) == plain_bundle(t, settings)).all() for t in texts) and encoder.known <= 300
+    alone = [language.Encoder(settings)(c) for c in "àÿèćòđабвгд"]
+    assert len({v.tobytes() for v in alone}) == len(alone)
+
+
+def test_prototypes_equal_brute_force(spark):
+    rows = [(1, "der die das", "de", "a"), (2, "und oder", "de", "a"), (3, "the of", "en", "a"), (4, "123", "en", "a"), (5, "the", None, "a")]
+    settings = language.Settings(size=128)
+    model = language.fit(frame(spark, rows), settings)
+    unit = lambda v: v / np.linalg.norm(v)
+    for lang, prototype in zip(model.languages, model.prototypes):
+        expected = unit(sum(unit(plain_bundle(t, settings)) for _, t, x, _ in rows if x == lang and t != "123"))
+        assert np.abs(prototype - expected).max() < 1e-6
+
+
+def test_more_languages_than_a_task_may_hold(spark):
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 12)) for _ in range(41)]
+    rows = [(i, f"{w} {w[::-1]}", f"l{i:02}", "a") for i, w in enumerate(words)] + [(100, None, "l00", "a"), (101, "123", "l01", "a"), (None, words[0], None, "a")]
+    data = frame(spark, rows)
+    whole = language.fit(data, language.Settings(size=256))
+    many = language.fit(data, language.Settings(size=256, languages=10))
+    assert many.stored is not None and many.blocks > 4 and many.languages == []
+    found = [sorted((r.doc_id or -1, r.lang_pred, round(r.score, 5)) for r in language.predict(data, m).collect()) for m in (whole, many)]
+    assert found[0] == found[1] and ("l40" in {r[1] for r in found[1]}) and (100, "und", 0.0) in found[1]
+    measured = [language.limits(data, m, F.lit(True)) for m in (whole, many)]
+    assert np.allclose(measured[0].cosines, measured[1].cosines, atol=1e-5) and (measured[0].trigrams == measured[1].trigrams).all()
+    kept = [sorted((r.doc_id or -1) for r in language.keep_known(data, m, limits=measured[0]).collect()) for m in (whole, many)]
+    assert kept[0] == kept[1] and language.keep_known(data, many).columns == data.columns
 
 
 # ------------------------------------------------------------------ language model
