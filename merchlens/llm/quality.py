@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from merchlens.llm.shared import drawn, map_batches, record, remainder, text_key
 
-# Longer words are taken apart, so that one endless word costs no more than many short ones.
-LONGEST_WORD = 64
+# Characters of words whose n-grams are taken at once; a longer word is taken in overlapping parts.
+CHARS_AT_ONCE = 1 << 20
+# Longer words are not remembered, so that few endless ones do not fill the memory.
+LONGEST_CACHED = 64
 CACHED_WORDS = 200_000
 WORDS_AT_ONCE = 100_000
 PIECE_CHARS = 1 << 20
@@ -34,8 +36,9 @@ HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 class Settings:
     """Hash buckets, vector length, n-gram lengths, training rows and passes, learning rate, decision threshold.
 
-    `sample` bounds the labelled rows used for training; a row contributes at most one entry of four bytes per bucket,
-    of which there are 65,536 at most, so the training data is bounded however long texts are.
+    `sample` bounds the labelled rows used for training; a row contributes at most one entry of four bytes, or six where
+    a count needs them, per bucket, of which there are 65,536 at most, so the training data is bounded however long
+    texts are.
     """
 
     buckets: int = 1 << 16
@@ -59,50 +62,90 @@ class Model:
 
 
 def _word_lists(text: str | None) -> Iterator[list[str]]:
-    """All words of a text, case kept, in bounded lists; words over the longest length come in parts."""
+    """All words of a text, case kept, in bounded lists; a single word stays whole."""
     text, start = text or "", 0
     while start < len(text):
         end = len(text)
         if end - start > PIECE_CHARS:
             gap = SPACE.search(text, start + PIECE_CHARS)
             end = gap.start() if gap else end
-        words = text[start:end].split()
-        if max(map(len, words), default=0) > LONGEST_WORD:
-            words = [w[i : i + LONGEST_WORD] for w in words for i in range(0, len(w), LONGEST_WORD)]
-        yield words
+        yield text[start:end].split()
         start = end
 
 
-def subwords(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, owners): the bucket of every word and of its character n-grams with marked ends, and the word's index."""
+def subwords(words: list[str], settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, owners) in bounded parts: the bucket of every word and of its character n-grams with marked ends, and
+    the word's index.
+    """
+    begin = held = 0
+    for i, word in enumerate(words):
+        if held and held + len(word) > CHARS_AT_ONCE:
+            yield _grams(words[begin:i], begin, settings)
+            begin, held = i, 0
+        if len(word) > CHARS_AT_ONCE:
+            yield from _grams_of_long(word, i, settings)
+            begin, held = i + 1, 0
+        else:
+            held += len(word)
+    if begin < len(words):
+        yield _grams(words[begin:], begin, settings)
+
+
+def _word_bucket(marked: str, settings: Settings) -> int:
+    return zlib.crc32(marked.encode("utf-8", "surrogatepass")) % settings.buckets
+
+
+def _rolled(points: np.ndarray, settings: Settings) -> Iterator[tuple[int, np.ndarray]]:
+    """(length, buckets of all n-grams of that length) of a sequence of code points."""
+    rolled = points * HASH_FACTOR
+    for n in range(2, settings.longest + 1):
+        rolled = (rolled[:-1] ^ points[n - 1 :]) * HASH_FACTOR
+        if n >= settings.shortest:
+            yield n, ((rolled >> np.uint64(29)) % np.uint64(settings.buckets)).astype(np.int64)
+
+
+def _points(marked: str) -> np.ndarray:
+    return np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _grams(words: list[str], first: int, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     marked = [f"<{w}>" for w in words]
-    points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    points = _points("".join(marked))
     lengths = np.fromiter(map(len, marked), np.int64, len(marked))
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))
     owner = np.repeat(np.arange(len(words)), lengths)
-    buckets = [np.array([zlib.crc32(m.encode("utf-8", "surrogatepass")) % settings.buckets for m in marked], np.int64)]
+    buckets = [np.array([_word_bucket(m, settings) for m in marked], np.int64)]
     owners = [np.arange(len(words))]
-    rolled = points * HASH_FACTOR
-    for n in range(2, settings.longest + 1):
-        rolled = (rolled[:-1] ^ points[n - 1 :]) * HASH_FACTOR
-        if n >= settings.shortest:
-            inside = left[: len(rolled)] >= n
-            buckets.append(((rolled[inside] >> np.uint64(29)) % np.uint64(settings.buckets)).astype(np.int64))
-            owners.append(owner[: len(rolled)][inside])
-    return np.concatenate(buckets), np.concatenate(owners)
+    for n, found in _rolled(points, settings):
+        inside = left[: len(found)] >= n
+        buckets.append(found[inside])
+        owners.append(owner[: len(found)][inside])
+    return np.concatenate(buckets), np.concatenate(owners) + first
+
+
+def _grams_of_long(word: str, owner: int, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same for one word, whose parts overlap so that every n-gram is met once, in the part it starts in."""
+    marked = f"<{word}>"
+    yield np.array([_word_bucket(marked, settings)], np.int64), np.array([owner])
+    for begin in range(0, len(marked), CHARS_AT_ONCE):
+        points = _points(marked[begin : begin + CHARS_AT_ONCE + settings.longest - 1])
+        found = [b[:CHARS_AT_ONCE] for _, b in _rolled(points, settings)]
+        if found:
+            buckets = np.concatenate(found)
+            yield buckets, np.full(len(buckets), owner)
 
 
 def features(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and how often each occurs, up to 65,535 times."""
+    """Distinct buckets of a text and how often each occurs, in words of two bytes where these hold every count."""
     counts = np.zeros(settings.buckets)
     for words in _word_lists(text):
         if words:
             distinct = Counter(words)
-            buckets, owners = subwords(list(distinct), settings)
             often = np.fromiter(distinct.values(), np.float64, len(distinct))
-            counts += np.bincount(buckets, often[owners], settings.buckets)
+            for buckets, owners in subwords(list(distinct), settings):
+                counts += np.bincount(buckets, often[owners], settings.buckets)
     found = np.flatnonzero(counts)
-    return found.astype(np.uint16), np.minimum(counts[found], 0xFFFF).astype(np.uint16)
+    return found.astype(np.uint16), counts[found].astype(np.uint16 if counts.max(initial=0) <= 0xFFFF else np.uint32)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) -> Model:
@@ -151,6 +194,14 @@ class Scorer:
     def _forget(self) -> None:
         self.slots, self.sums, self.grams = _Slots(), np.zeros(0), np.zeros(0)
 
+    def _measured(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The sum of the buckets of each word and their number."""
+        sums, grams = np.zeros(len(words)), np.zeros(len(words))
+        for buckets, owners in subwords(words, self.model.settings):
+            sums += np.bincount(owners, self.model.buckets[buckets], len(words))
+            grams += np.bincount(owners, minlength=len(words))
+        return sums, grams
+
     def _add(self, texts: list[int], words: list[list[str]], totals: np.ndarray) -> None:
         """Add the sums and numbers of buckets of word lists to the totals of their texts."""
         if len(self.slots) > CACHED_WORDS:
@@ -159,9 +210,8 @@ class Scorer:
         found = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(words)), np.int64)
         if len(self.slots) > known:
             fresh = list(islice(self.slots, known, None))
-            buckets, owners = subwords(fresh, self.model.settings)
-            self.sums = np.append(self.sums, np.bincount(owners, self.model.buckets[buckets], len(fresh)))
-            self.grams = np.append(self.grams, np.bincount(owners, minlength=len(fresh)))
+            sums, grams = self._measured(fresh)
+            self.sums, self.grams = np.append(self.sums, sums), np.append(self.grams, grams)
         owner = np.repeat(texts, [len(w) for w in words])
         totals[0] += np.bincount(owner, self.sums[found], totals.shape[1])
         totals[1] += np.bincount(owner, self.grams[found], totals.shape[1])
@@ -171,6 +221,11 @@ class Scorer:
         owners, waiting, held = [], [], 0
         for i, text in enumerate(texts):
             for words in _word_lists(text):
+                if max(map(len, words), default=0) > LONGEST_CACHED:
+                    long = [w for w in words if len(w) > LONGEST_CACHED]
+                    sums, grams = self._measured(long)
+                    totals[:, i] += sums.sum(), grams.sum()
+                    words = [w for w in words if len(w) <= LONGEST_CACHED]
                 owners.append(i)
                 waiting.append(words)
                 held += len(words)
@@ -216,7 +271,9 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
         work, "doc_id long, key long, label int, ids binary, counts binary",
     )
     found = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(settings.sample).select("ids", "counts", "label").collect()
-    return train([(np.frombuffer(r.ids, np.uint16), np.frombuffer(r.counts, np.uint16), r.label) for r in found], settings)
+    rows_ = [(np.frombuffer(r.ids, np.uint16), bytes(r.counts), r.label) for r in found]
+    # Counts of four bytes are twice as long as the ids.
+    return train([(ids, np.frombuffer(c, np.uint16 if len(c) == ids.nbytes else np.uint32), label) for ids, c, label in rows_], settings)
 
 
 def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,7 +295,10 @@ def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text: s
 
 
 def keep_good(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of `documents` that the model accepts, all columns unchanged."""
+    """The rows of `documents` that the model accepts, all columns unchanged, whatever their names.
+
+    NULL and empty texts are accepted if the trained bias is, repeated rows are judged alike, and no rows give no rows.
+    """
     position = documents.columns.index(text)
 
     def work(batches):

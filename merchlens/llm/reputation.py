@@ -21,15 +21,15 @@ Rule = tuple[str, str]
 
 @dataclass(frozen=True)
 class Settings:
-    """Threshold of the lower bound, standard deviations below the mean, limits of the prior's strength in pages, and
-    suffixes of more than one label.
+    """Threshold of the lower bound, standard deviations below the mean, and limits of the prior's strength in pages.
+
+    With a threshold of one half a host is blocked when it is all but certain that most of its pages are bad.
     """
 
     threshold: float = 0.5
     deviations: float = 1.645
     weakest: float = 1.0
     strongest: float = 1000.0
-    long_suffixes: tuple[str, ...] = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz")
 
 
 def ascii_lower(text: Column) -> Column:
@@ -46,16 +46,50 @@ def path_of(url: str = "url") -> Column:
     return F.coalesce(F.regexp_extract(F.col(url), r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _suffix(host: Column, settings: Settings) -> Column:
-    last = F.substring_index(host, ".", -1)
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*settings.long_suffixes), two).otherwise(last)
+def name_of(host: Column) -> Column:
+    """The host without user, port and trailing dots."""
+    name = F.regexp_replace(F.substring_index(host, "@", -1), r"(?<![:\[]):[0-9]*$", "")
+    return F.regexp_replace(name, r"\.+$", "")
+
+
+def is_address(name: Column) -> Column:
+    """Whether a name is an IPv4 address or a bracketed IPv6 address."""
+    return name.rlike(r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$") | name.startswith("[")
+
 
+ADDRESS = "(address)"
 
-def _domain(host: Column, settings: Settings) -> Column:
-    """The suffix and one label more; a host that is a suffix is its own domain."""
-    two, three = F.substring_index(host, ".", -2), F.substring_index(host, ".", -3)
-    return F.when(two.isin(*settings.long_suffixes), three).otherwise(two)
+
+def domains_of(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """The columns of a table of different hosts with the domain and suffix of each.
+
+    The suffix of a name is its last label, or the longest entry of `suffixes` (column suffix, lower case) that ends it at
+    a dot. An entry `*.x` stands for x with any one label before it, and `!y.x` says that y.x is no suffix although such
+    an entry fits; it beats all others. The registered domain is the suffix and one label more, or the name itself if it
+    has no more. An address is its own domain, and all addresses share one suffix.
+    """
+    name = F.col("name")
+    named = hosts.withColumn("name", name_of(F.col("host")))
+    labels = F.size(F.split(name, r"\."))
+    if suffixes is None:
+        counted = named.withColumn("length", F.lit(1))
+    else:
+        rule = F.col("suffix")
+        rules = suffixes.where("suffix IS NOT NULL").select(
+            F.regexp_replace(rule, r"^(\*\.|!)", "").alias("tail"),
+            F.when(rule.startswith("*."), 1).when(rule.startswith("!"), -1).otherwise(0).alias("more"),
+        ).distinct()
+        parts = F.split(name, r"\.")
+        tails = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice(parts, -n, n), ".").alias("tail")))
+        met = named.where(~is_address(name)).select("host", F.inline(tails)).join(rules, "tail")
+        best = F.max(F.struct((F.col("more") == -1).alias("exception"), (F.col("n") + F.col("more")).alias("length"))).alias("best")
+        counted = named.join(met.groupBy("host").agg(best), "host", "left").withColumn("length", F.coalesce("best.length", F.lit(1)))
+    length = F.least(F.greatest(F.col("length"), F.lit(1)), labels)
+    tail = lambda n: F.when(n >= labels, name).otherwise(F.array_join(F.slice(F.split(name, r"\."), -n, n), "."))
+    return counted.select(
+        *hosts.columns, F.when(is_address(name), name).otherwise(tail(length + 1)).alias("domain"),
+        F.when(is_address(name), F.lit(ADDRESS)).otherwise(tail(length)).alias("suffix"),
+    )
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
@@ -77,8 +111,9 @@ def document_of(url: str = "url") -> Column:
 
 
 def _opening(text: Column, words: int = 3) -> Column:
-    """The first words with single spaces."""
-    return F.array_join(F.slice(F.split(F.trim(F.regexp_replace(F.substring(text, 1, 1000), r"\s+", " ")), " "), 1, words), " ")
+    """The first words with single spaces, however much white space comes before them; empty without a word."""
+    first = F.regexp_extract(text, rf"^\s*(\S+(?:\s+\S+){{0,{words - 1}}})", 1)
+    return F.regexp_replace(first, r"\s+", " ")
 
 
 def title_of(html: str = "html") -> Column:
@@ -93,7 +128,8 @@ def outcomes_of(pages: DataFrame, documents: DataFrame, judged: DataFrame) -> Da
     """(page_id, bad) of the pages that show a judged document; `judged` has doc_id and bad.
 
     The number in the url names the document, and the page's title must open like its text; a page whose number is of no
-    document, or of one that opens differently, has no outcome. Page ids are not document ids.
+    document, or of one that opens differently, has no outcome, nor has one with a NULL url or html. Page ids are not
+    document ids. Repeated rows of a page count each, those of a document or judgement once; no rows give no rows.
     """
     # Cut before the join, so no text is shuffled.
     known = documents.select("doc_id", _opening(F.col("text")).alias("opening")).join(judged, "doc_id").distinct()
@@ -103,31 +139,30 @@ def outcomes_of(pages: DataFrame, documents: DataFrame, judged: DataFrame) -> Da
     return shown.join(known, "doc_id").where(opens).select("page_id", "bad")
 
 
-def reputations(pages: DataFrame, outcomes: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def reputations(pages: DataFrame, outcomes: DataFrame, settings: Settings = Settings(), suffixes: DataFrame | None = None) -> DataFrame:
     """(host, domain, suffix, labelled, bad, mean, bound) per host of `pages`.
 
     `outcomes` has page_id and bad (0/1); pages without outcome and NULL outcomes count as unlabelled, and an id that
     occurs several times on either side counts once per page row, with its worst outcome. mean and bound are the
     posterior mean of the host's rate of bad pages and its lower bound. Without any outcome the rate is one half, with
-    the weight of the weakest prior.
+    the weight of the weakest prior. `suffixes` is the table of `domains_of`.
     """
     worst = outcomes.where("bad IN (0, 1)").groupBy("page_id").agg(F.max("bad").alias("bad"))
     host = host_of()
     # Counted per host before anything else: a host holding a third of all pages is one row per task from here on.
-    hosts = written(
-        pages.select("page_id", host.alias("host")).join(worst, "page_id", "left").groupBy("host").agg(
-            F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
-        ).select("host", _domain(F.col("host"), settings).alias("domain"), _suffix(F.col("host"), settings).alias("suffix"), "labelled", "bad"),
-        "hosts",
+    counted = pages.select("page_id", host.alias("host")).join(worst, "page_id", "left").groupBy("host").agg(
+        F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
     )
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    hosts = written(domains_of(counted if suffixes is None else written(counted, "host-counts"), suffixes), "hosts")
+    # Each level is written once; the one below and its own moments read it.
+    domains = written(hosts.groupBy("domain", "suffix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")), "domains")
+    ends = written(domains.groupBy("suffix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")), "suffixes")
     half = F.lit(settings.weakest / 2)
-    world = suffixes.agg(
+    world = ends.agg(
         (half + F.coalesce(F.sum("bad"), F.lit(0))).alias("a"), (half + F.coalesce(F.sum(F.col("labelled") - F.col("bad")), F.lit(0))).alias("b")
     )
-    top = _shrunk(suffixes.crossJoin(F.broadcast(world)), settings).select("suffix", "a", "b")
-    middle = _shrunk(domains.join(top, "suffix"), settings).select("domain", "a", "b")
+    top = written(_shrunk(ends.crossJoin(F.broadcast(world)), settings).select("suffix", "a", "b"), "suffix-posteriors")
+    middle = written(_shrunk(domains.join(top, "suffix"), settings).select("domain", "a", "b"), "domain-posteriors")
     shrunk = _shrunk(hosts.join(middle, "domain"), settings)
     a, b = F.col("a"), F.col("b")
     mean = a / (a + b)
@@ -169,7 +204,9 @@ def _shrunk(groups: DataFrame, settings: Settings) -> DataFrame:
     return joined.withColumn("a", F.col("strength") * m + k).withColumn("b", F.col("strength") * (1 - m) + n - k)
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], settings: Settings = Settings()) -> DataFrame:
+def judge(
+    pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], settings: Settings = Settings(), suffixes: DataFrame | None = None
+) -> DataFrame:
     """(page_id, host, path, rule, verdict, mean, bound) for every row of `pages`.
 
     `rules` are (allow or block, host/path). Where none fits, the verdict is block if the host's lower bound reaches the
@@ -177,7 +214,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], settings
     columns other than page_id and url are not read.
     """
     # One row per host of these pages, so every page finds its host.
-    known = reputations(pages, outcomes, settings).select("host", "mean", "bound")
+    known = reputations(pages, outcomes, settings, suffixes).select("host", "mean", "bound")
     rows = pages.select("page_id", host_of().alias("host"), path_of().alias("path")).withColumn(
         "rule", rule_of(F.col("host"), F.col("path"), rules)
     )

@@ -119,6 +119,86 @@ def test_reputation_shrinks_by_levels(spark):
     assert reputation.judge(data.limit(0), labels, queries.RULES).count() == 0
 
 
+def test_domains_and_suffixes_of_odd_hosts(spark):
+    rules = [("co.uk",), ("*.ck",), ("!www.ck",), ("uk",), (None,)]
+    suffixes = spark.createDataFrame(rules, "suffix string")
+    expected = {
+        "a.b.example.com": ("example.com", "com", "example.com", "com"), "example.com": ("example.com", "com", "example.com", "com"),
+        "com": ("com", "com", "com", "com"), "x.y.co.uk": ("co.uk", "uk", "y.co.uk", "co.uk"), "co.uk": ("co.uk", "uk", "co.uk", "co.uk"),
+        "a.b.any.ck": ("any.ck", "ck", "b.any.ck", "any.ck"), "a.www.ck": ("www.ck", "ck", "www.ck", "ck"),
+        "a.example.net:8080": ("example.net", "net", "example.net", "net"), "a.example.net.": ("example.net", "net", "example.net", "net"),
+        "user:pw@b.example.net:1": ("example.net", "net", "example.net", "net"),
+        "10.1.3.4": ("10.1.3.4", "(address)", "10.1.3.4", "(address)"), "99.9.3.4:80": ("99.9.3.4", "(address)", "99.9.3.4", "(address)"),
+        "[::1]:8080": ("[::1]", "(address)", "[::1]", "(address)"), "localhost": ("localhost",) * 4, "": ("",) * 4,
+    }
+    hosts = spark.createDataFrame([(h, 1) for h in expected], "host string, labelled long")
+    for table, at in ((None, 0), (suffixes, 2)):
+        found = {r.host: (r.domain, r.suffix) for r in reputation.domains_of(hosts, table).collect()}
+        assert found == {h: e[at : at + 2] for h, e in expected.items()}
+    pages = hosts.select(F.monotonically_increasing_id().alias("page_id"), F.concat(F.lit("http://"), "host").alias("url"))
+    assert reputation.reputations(pages, pages.select("page_id", F.lit(1).alias("bad")), suffixes=suffixes).count() == len(expected)
+
+
+def shrunk(groups, prior, settings):
+    """(a, b) per group from (labelled, bad), with the posterior of its parent."""
+    moments = [(n, k, (a - k) / (a + b - n)) for (n, k), (a, b) in zip(groups, prior)]
+    plain = np.array([n * m * (1 - m) for n, _, m in moments])
+    excess = sum((k - n * m) ** 2 - p for (n, k, m), p in zip(moments, plain))
+    scale = sum((n - 1) * p for (n, _, _), p in zip(moments, plain))
+    level = settings.weakest
+    if scale > 0:
+        level = scale / excess - 1 if excess > 0 else settings.strongest
+    level = max(settings.weakest, min(settings.strongest, level))
+    out = []
+    for (n, k, m), (a, b) in zip(moments, prior):
+        strength = min(level, a + b - n)
+        out.append((strength * m + k, strength * (1 - m) + n - k))
+    return out
+
+
+def test_posteriors_equal_brute_force(spark):
+    rng = np.random.default_rng(2)
+    settings = reputation.Settings()
+    hosts = [f"h{i}.d{i % 7}.{['com', 'org', 'net'][i % 3]}" for i in range(60)] + ["10.0.0.1", "10.0.0.2"]
+    pages, outcomes, counts = [], [], {}
+    for i, host in enumerate(hosts):
+        rate = [0.05, 0.3, 0.9][i % 7 % 3]
+        for _ in range(int(rng.integers(0, 30))):
+            pages.append((len(pages), f"http://{host}/"))
+            n, k = counts.get(host, (0, 0))
+            counts[host] = n, k
+            if rng.random() < 0.7:
+                bad = int(rng.random() < rate)
+                outcomes.append((len(pages) - 1, bad))
+                counts[host] = n + 1, k + bad
+    domain = lambda h: h if h[0] == "1" else ".".join(h.split(".")[-2:])
+    suffix = lambda d: "(address)" if d[0] == "1" else d.split(".")[-1]
+
+    def added(groups, parent):
+        out = {}
+        for g, (n, k) in groups.items():
+            x, y = out.get(parent(g), (0, 0))
+            out[parent(g)] = x + n, y + k
+        return out
+
+    domains = added(counts, domain)
+    ends = added(domains, suffix)
+    n, k = (sum(x) for x in zip(*ends.values()))
+    world = (settings.weakest / 2 + k, settings.weakest / 2 + n - k)
+    top = dict(zip(ends, shrunk(list(ends.values()), [world] * len(ends), settings)))
+    middle = dict(zip(domains, shrunk(list(domains.values()), [top[suffix(d)] for d in domains], settings)))
+    low = dict(zip(counts, shrunk(list(counts.values()), [middle[domain(h)] for h in counts], settings)))
+    data, judged = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(outcomes, "page_id long, bad int")
+    found = {r.host: r for r in reputation.reputations(data, judged).collect()}
+    assert set(found) == set(counts)
+    for host, (a, b) in low.items():
+        bound = a / (a + b) - settings.deviations * np.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))
+        assert (found[host].labelled, found[host].bad) == counts[host]
+        assert found[host].mean == pytest.approx(a / (a + b), rel=1e-9) and found[host].bound == pytest.approx(max(0, bound), rel=1e-9)
+    verdicts = {r.host: r.verdict for r in reputation.judge(data, judged, []).collect()}
+    assert {h for h, v in verdicts.items() if v == "block"} == {h for h in found if found[h].bound >= 0.5} != set()
+
+
 def test_outcomes_follow_the_document_a_page_shows(spark):
     html = "<html><title>{}</title><p>x</p></html>"
     pages = [
@@ -126,7 +206,7 @@ def test_outcomes_follow_the_document_a_page_shows(spark):
         (8, "http://a.com/en/8/", html.format("Other text")), (9, "http://a.com/en/99", html.format("Seven & more")), (1, None, None),
         (2, "http://a.com/8/en", html.format("Eight starts so")), (3, "http://a.com/99999999999999999999", html.format("Eight")),
     ]
-    documents = [(7, "Seven  & more words\nhere and there"), (8, "Eight starts so and ends"), (0, "Zero"), (9, None)]
+    documents = [(7, " \n" * 2000 + "Seven  & more words\nhere and there"), (8, "Eight starts so and ends"), (0, "Zero"), (9, None)]
     judged = spark.createDataFrame([(7, 1), (8, 0), (0, 1), (9, 1), (None, 1)], "doc_id long, bad int")
     found = reputation.outcomes_of(
         spark.createDataFrame(pages, "page_id long, url string, html string"), spark.createDataFrame(documents, "doc_id long, text string"), judged

@@ -149,13 +149,46 @@ def test_quality_of_awkward_rows(spark):
     assert quality.score(awkward(spark).limit(0), model).count() == 0
 
 
-def test_quality_scores_equal_the_mean_over_all_subwords():
+def plain_counts(text, settings):
+    """Buckets of every word and n-gram, one at a time."""
+    counts, cut = Counter(), (1 << 64) - 1
+    for word in text.split():
+        marked = f"<{word}>"
+        counts[zlib.crc32(marked.encode()) % settings.buckets] += 1
+        for n in range(settings.shortest, settings.longest + 1):
+            for i in range(len(marked) - n + 1):
+                rolled = ord(marked[i]) * int(quality.HASH_FACTOR) & cut
+                for c in marked[i + 1 : i + n]:
+                    rolled = (rolled ^ ord(c)) * int(quality.HASH_FACTOR) & cut
+                counts[(rolled >> 29) % settings.buckets] += 1
+    return counts
+
+
+@pytest.mark.parametrize("at_once", [5, 64, 1 << 20])
+def test_quality_scores_equal_the_mean_over_all_subwords(monkeypatch, at_once):
+    monkeypatch.setattr(quality, "CHARS_AT_ONCE", at_once)
     settings = quality.Settings(buckets=64)
     model = quality.Model(np.arange(64, dtype=np.float32) / 64, 0.25, settings)
-    text = "Some words, some  more wordsé " + "x" * 200
-    ids, counts = quality.features(text, settings)
-    mean = float(counts.astype(float) @ model.buckets[ids]) / counts.sum()
-    assert quality.Scorer(model)([text, None])[0] == pytest.approx(1 / (1 + np.exp(-mean - 0.25)))
+    texts = ["Some words, some  more wordsé " + "xyz" * 70, "a", "one " + "longword" * 20 + " one", None]
+    for text in texts[:3]:
+        ids, counts = quality.features(text, settings)
+        assert dict(zip(ids.tolist(), counts.tolist())) == plain_counts(text, settings)
+    expected = []
+    for text in texts:
+        found = plain_counts(text or "", settings)
+        mean = sum(n * float(model.buckets[b]) for b, n in found.items()) / max(1, sum(found.values()))
+        expected.append(1 / (1 + np.exp(-mean - 0.25)))
+    assert quality.Scorer(model)(texts) == pytest.approx(expected)
+
+
+def test_quality_counts_more_than_two_bytes_hold(spark):
+    settings = quality.Settings(buckets=1 << 16)
+    ids, counts = quality.features("ab " * 70_000, settings)
+    assert counts.max() == 70_000 and counts.dtype == np.uint32
+    rows = frame(spark, [(1, "ab " * 70_000, "en", "a"), (2, "cd ef", "en", "a")])
+    model = quality.fit(rows, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    scores = {r.doc_id: r.score for r in quality.score(rows, model).collect()}
+    assert scores[1] > scores[2]
 
 
 def test_language_on_held_out_rows(spark):
