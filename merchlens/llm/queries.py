@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from merchlens.llm import (
     chat, decontaminate, language, language_model, mixing, neighbours, quality, reputation, sharding, simhash, spelling,
-    token_alignment, warc,
+    statements, token_alignment, warc,
 )
 from merchlens.llm.shared import read_table, remainder
 
@@ -104,4 +104,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries train models, hash with functions that other engines lack, draw at random or write files."""
+    template = chat.Template()
+    markup = {name: len(getattr(template, name)) for name in ("begin", "after_role", "between", "end")}
+    return {
+        "op5_host_reputation": statements.host_reputation(RULES),
+        "op6_chat_format": statements.chat_format(PROBE, template.controls(), markup),
+    }

@@ -297,15 +297,31 @@ def test_every_query_returns_its_contract(spark):
         "op7_simhash": ["doc_id", "fingerprint", "component_id"],
         "op9_language_id": ["doc_id", "held_out", "lang_pred", "score"],
         "op10_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
+        "op11_spelling_variants": ["word", "form", "root", "n", "n_near", "form_n"],
+        "op12_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+        "op13_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     }
     found = queries.queries()
-    assert {n.split("_")[0] for n in found} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in found} == {f"op{i}" for i in range(1, 14)}
     for name, expected in columns.items():
         assert found[name](spark, FOLDER).columns == expected
     probe = queries.op6_chat_format(spark, FOLDER).where("conv_id = -1").first()
     assert (probe.n_turns, probe.loss_chars) == (2, len(queries.PROBE))
 
 
+def test_sql_counterparts_agree(spark):
+    from checks.compare import _rows, connect
+
+    found = queries.oracle_sql()
+    assert set(found) == {"op5_host_reputation", "op6_chat_format"}
+    connection = connect(FOLDER)
+    for name, sql in found.items():
+        frame = queries.queries()[name](spark, FOLDER)
+        result = connection.execute(sql)
+        names = [c[0] for c in result.description]
+        assert _rows(frame.columns, frame.collect()) == _rows(names, result.fetchall()), name
+
+
 def test_pipeline_stages_hand_over_documents(spark):
     folder = "/root/testdata/sf0.01"
     pipeline = importlib.import_module("corpus_pipeline")
