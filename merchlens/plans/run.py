@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,8 @@ from merchlens.plans.model import MONTH, SalesModel, category_base, order_base,
 from merchlens.session import build_session
 from merchlens.sources import clean_store, exports, files
 from merchlens.sources.jobs import side_by_side
-from merchlens.sources.raw_csv import RawFolder
-from merchlens.sources.schemas import CLEAN_DATASETS, ROW_ORDER
+from merchlens.sources.raw_csv import RawDataError, RawFolder
+from merchlens.sources.schemas import CLEAN_DATASETS
 from merchlens.sources.states import state_reference
 
 DASHBOARDS = ("sales_dashboard", "operations_dashboard", "regional_dashboard", "data_quality_summary")
@@ -79,8 +80,7 @@ class Run:
         folder = f"{self.folder}/raw/{self.raw.fingerprint(self.spark)}"
         if not self._complete(folder):
             self.check_raw_data()
-        tables = {name: self.spark.read.parquet(f"{folder}/{name}") for name in self.raw.files}
-        return tables if ordered else {name: table.drop(ROW_ORDER) for name, table in tables.items()}
+        return {name: self.raw.ingested(self.spark, name, f"{folder}/{name}", ordered) for name in self.raw.files}
 
     def _complete(self, folder: str) -> bool:
         """Whether every table of a folder was written; the marker comes last."""
@@ -125,13 +125,26 @@ class Run:
         """Check the raw files and ingest them; returns their sizes and raises with every problem found.
 
         The text is parsed once and kept unchanged in columns, so that profiling and cleaning, which read every
-        dataset several times, each read only the columns they need.
+        dataset several times, each read only the columns they need. Rows that do not fit their header are counted by
+        the tasks that parse them; where there are any, they are listed in one table before the error is raised.
         """
         folder = f"{self.folder}/raw/{self.raw.fingerprint(self.spark)}"
-        sizes = self.raw.check(self.spark)
-        # Only repeated translations are told apart by their place.
-        raw = {name: self.raw.read(self.spark, name, ordered=name == "category_translation") for name in self.raw.files}
-        side_by_side(self.spark, lambda n: raw[n].write.mode("overwrite").parquet(f"{folder}/{n}"), raw)
+        sizes, problems = self.raw.inspect(self.spark)
+
+        def ingest(name: str) -> dict[str, int]:
+            # Only repeated translations are told apart by their place.
+            return self.raw.ingest(self.spark, name, f"{folder}/{name}", ordered=name == "category_translation")
+
+        counts = dict(zip(sizes, side_by_side(self.spark, ingest, sizes)))
+        broken = {name: {reason: n for reason, n in found.items() if n} for name, found in counts.items() if any(found.values())}
+        if broken:
+            parts = [self.raw.rejected(self.spark, name, f"{folder}/{name}") for name in broken]
+            reduce(DataFrame.unionByName, parts).write.mode("overwrite").parquet(f"{folder}/rejected")
+            for name, found in broken.items():
+                listed = ", ".join(f"{n} ({reason})" for reason, n in found.items())
+                problems.append(f"{name}: {sum(found.values())} rows that do not fit the header: {listed}; see {folder}/rejected")
+        if problems:
+            raise RawDataError("Raw data check failed:\n" + "\n".join(problems))
         self._mark_complete(folder)
         return sizes
 
@@ -164,11 +177,10 @@ class Run:
         staged = dict(zip(tables, side_by_side(self.spark, lambda n: tables[n].stage(f"{folder}/{n}"), tables)))
         self._mark_complete(folder)
         summary = cleaning.cleaning_summary(staged)
-        clean = {name: table.data for name, table in staged.items()}
         reports = {
             "summary": summary,
             "actions": cleaning.cleaning_actions(staged),
-            "missing_values": cleaning.missing_value_report(clean),
+            "missing_values": cleaning.missing_value_report(staged),
         }
         side_by_side(self.spark, lambda name: exports.write_json(reports[name], f"{self.folder}/cleaning/{name}"), reports)
         return {
