@@ -51,7 +51,7 @@ class Settings:
     """
 
     classes: int = 32
-    head: int = 1 << 15
+    head: int = 1 << 16
     rows: int = 1 << 14
     window: int = 64
     rounds: int = 2
@@ -60,7 +60,7 @@ class Settings:
     prior: float = 5.0
     word_rate: float = 1.3
     word_prior: float = 10.0
-    batch: int = 1 << 14
+    batch: int = 1 << 13
     smoothing: float = 0.5
 
 
@@ -273,9 +273,10 @@ class Reader:
         firsts = begins + lengths[:, 0]
         at = np.arange(lengths[:, 1].sum()) + np.repeat(firsts - (np.cumsum(lengths[:, 1]) - lengths[:, 1]), lengths[:, 1])
         low = np.maximum(at - s.window, np.repeat(begins, lengths[:, 1]))
-        sums = np.zeros((len(row) + 1, s.classes), np.int32)
+        # Running sums may wrap around, since only differences of at most `window` are taken.
+        sums = np.zeros((len(row) + 1, s.classes), np.uint8 if s.window < 256 else np.int64)
         sums[np.arange(1, len(row) + 1), row] = 1
-        np.cumsum(sums, axis=0, out=sums)
+        np.cumsum(sums, axis=0, out=sums, dtype=sums.dtype)
         found = (sums[at] - sums[low]).argmax(axis=1)
         found[at == low] = s.classes
         return found
@@ -319,6 +320,8 @@ class Sums:
 
     def add(self, t: Tokens, s: Settings) -> None:
         rows = features(t, s)
+        # Short sums in single precision, long ones in double.
+        expected = np.zeros(self.expected.shape, np.float32)
         for begin in range(0, len(rows), s.batch):
             part = rows[begin : begin + s.batch]
             p = class_probabilities(self.w, part)
@@ -326,7 +329,8 @@ class Sums:
                 order = np.argsort(column, kind="stable")
                 sorted_ = column[order]
                 first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-                self.expected[sorted_[first]] += np.add.reduceat(p[order], first, axis=0)
+                expected[sorted_[first]] += np.add.reduceat(p[order], first, axis=0)
+        self.expected += expected
         np.add.at(self.observed, (rows.astype(np.int64) * s.classes + t.classes[:, None]).ravel(), 1.0)
         frequent = t.places >= 0
         np.add.at(self.words, t.places[frequent] * (s.classes + 1) + t.skip[frequent], 1.0)
