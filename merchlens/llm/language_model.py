@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.shared import drawn, map_batches, record, remainder, word_pieces, written
+from merchlens.llm.shared import drawn, map_batches, record, remainder, short_batches, word_pieces, written
 
 SEED = 42
 ENDINGS = 1 << 16
@@ -315,8 +315,9 @@ class Sums:
 
     def __init__(self, w: Weights):
         self.w = w
-        self.observed, self.expected = np.zeros(w.rows.size), np.zeros(w.rows.shape)
-        self.words, self.skips = np.zeros(w.words.size), np.zeros(w.mass.size)
+        # A task's counts fit four bytes, since it reads less than 2 ** 31 tokens.
+        self.observed, self.expected = np.zeros(w.rows.size, np.int32), np.zeros(w.rows.shape)
+        self.words, self.skips = np.zeros(w.words.size, np.int32), np.zeros(w.mass.size, np.int32)
 
     def add(self, t: Tokens, s: Settings) -> None:
         rows = features(t, s)
@@ -331,15 +332,15 @@ class Sums:
                 first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
                 expected[sorted_[first]] += np.add.reduceat(p[order], first, axis=0)
         self.expected += expected
-        np.add.at(self.observed, (rows.astype(np.int64) * s.classes + t.classes[:, None]).ravel(), 1.0)
+        np.add.at(self.observed, (rows.astype(np.int64) * s.classes + t.classes[:, None]).ravel(), 1)
         frequent = t.places >= 0
-        np.add.at(self.words, t.places[frequent] * (s.classes + 1) + t.skip[frequent], 1.0)
-        np.add.at(self.skips, t.classes * (s.classes + 1) + t.skip, 1.0)
+        np.add.at(self.words, t.places[frequent] * (s.classes + 1) + t.skip[frequent], 1)
+        np.add.at(self.skips, t.classes * (s.classes + 1) + t.skip, 1)
 
     def slices(self) -> Iterator[tuple[int, str, bytes]]:
         """(number, type, values): counts as whole numbers, then expectations, in slices of bounded length."""
         counts = np.concatenate([self.observed, self.words, self.skips])
-        kinds = ((counts, "<i4" if counts.max(initial=0) < 1 << 31 else "<i8"), (self.expected.ravel(), "<f4"))
+        kinds = ((counts, "<i4"), (self.expected.ravel(), "<f4"))
         number = 0
         for values, kind in kinds:
             for begin in range(0, len(values), SLICE):
@@ -376,7 +377,8 @@ def sums_over(documents: DataFrame, v: Vocabulary, w: Weights) -> Sums:
     rows = documents.select(F.col("text").cast("string").alias("text"), F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
     parts = map_batches(rows, work, "slice int, salt int, kind string, data binary")
     out = "slice int, kind string, data binary"
-    found = parts.groupBy("slice", "salt").applyInPandas(_add_up, out).groupBy("slice").applyInPandas(_add_up, out).collect()
+    with short_batches(documents.sparkSession):
+        found = parts.groupBy("slice", "salt").applyInPandas(_add_up, out).groupBy("slice").applyInPandas(_add_up, out).collect()
     total = Sums(w)
     if found:
         flat = {kind: np.concatenate([np.frombuffer(r.data, kind) for r in sorted(found, key=lambda r: r.slice) if r.kind == kind]) for kind in ("<i8", "<f8")}

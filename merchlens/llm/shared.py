@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 
 # Rows that a worker turns into Python objects at a time; Spark itself bounds the bytes of the Arrow batches they come in.
 TEXTS_PER_BATCH = 256
+DEFAULT_PER_BATCH = "10000"
+PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PIECE_BYTES = 1 << 20
 
 Batches = Iterable[pa.RecordBatch]
@@ -30,6 +33,22 @@ def work_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of few rows while a job of an operator starts, where the session has Spark's own default.
+
+    The setting is read when the job is planned; afterwards the session has its own again.
+    """
+    if spark.conf.get(PER_BATCH) != DEFAULT_PER_BATCH:
+        yield
+        return
+    spark.conf.set(PER_BATCH, str(TEXTS_PER_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(PER_BATCH, DEFAULT_PER_BATCH)
+
+
 def written(data: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The rows of `data`, computed once and read back from a new folder of the shared work folder.
 
@@ -38,7 +57,8 @@ def written(data: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """
     spark = data.sparkSession
     folder = f"{work_folder(spark)}/merchlens-{name}-{uuid.uuid4().hex}"
-    (data.write.partitionBy(by) if by else data.write).parquet(folder)
+    with short_batches(spark):
+        (data.write.partitionBy(by) if by else data.write).parquet(folder)
     return spark.read.schema(data.schema).parquet(folder)
 
 
