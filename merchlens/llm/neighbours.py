@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from merchlens.llm.shared import drawn, map_batches, record
+from merchlens.llm.shared import drawn, map_batches, record, written
 
 VECTORS_PER_INDEX = 8192
 
@@ -112,7 +112,7 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 10, settings: Setti
     no part, nor do those of another length than the most frequent one (the shorter of equally frequent lengths), nor
     rows without vec_id. Rows with the query's own id are no candidates; other rows that share an id count once. The
     distance is taken on the original vectors in double precision; ties go to the smaller vec_id. Queries come in
-    blocks of bounded size, each block sent to all tasks; every row is a candidate for every query.
+    blocks of bounded size, one after the other, each block sent to all tasks; every row is a candidate for every query.
     """
     rows = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
@@ -151,7 +151,8 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 10, settings: Setti
                     vec_id=np.concatenate([b[0] for b in best]), score=np.concatenate([b[1] for b in best]),
                 )
 
-        part = map_batches(rows, work, output)
+        # One block after the other, so that the driver and the tasks hold one at a time.
+        part = written(map_batches(rows, work, output), "neighbours") if blocks > 1 else map_batches(rows, work, output)
         found = part if found is None else found.unionByName(part)
     once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
