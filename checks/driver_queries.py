@@ -12,9 +12,10 @@ from checks.untidy import UntidyTables
 from merchlens.operators import cleaning, profiling, quality, validation
 from merchlens.plans import dashboards as d
 from merchlens.plans import explore, operations, regional, sales
-from merchlens.plans.model import SalesModel, category_totals, item_totals, order_facts, primary_category
+from merchlens.plans.model import SalesModel, category_base, category_totals, item_totals, order_base, order_facts, primary_category
 from merchlens.sources.exports import flags_as_numbers, query, table_columns
 from merchlens.sources.star_tables import star_model
+from merchlens.sources.states import STATE_CODES, state_reference
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,11 +99,28 @@ def _monthly_revenue_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _column_listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Column names and types of the order facts in order, next to the rows they describe."""
+    """The columns of the order facts in order with their types, and how many rows fill each."""
     facts = order_facts(star_model(spark, folder))
     listed = [(i, name, kind) for i, (name, kind) in enumerate(table_columns(facts), 1)]
-    listing = spark.createDataFrame(listed, "position int, column_name string, data_type string")
-    return plain(listing.crossJoin(F.broadcast(facts.agg(F.count(F.lit(1)).alias("table_rows")))))
+    filled = facts.agg(*[F.count(F.col(f"`{name}`")).alias(name) for _, name, _ in listed])
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(n).alias("column_name"), F.lit(k).alias("data_type"), F.col(n).alias("filled_rows")) for i, n, k in listed]
+    return plain(filled.select(F.inline(F.array(*rows))))
+
+
+def _customers_by_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers per state of the reference dimension, dealt to its codes by their number."""
+    codes = F.array(*[F.lit(code) for code in STATE_CODES])
+    coded = star_model(spark, folder).customers.select(
+        F.element_at(codes, (F.col("customer_id") % len(STATE_CODES) + 1).cast("int")).alias("state_code")
+    )
+    counted = coded.groupBy("state_code").agg(F.count(F.lit(1)).alias("customers"))
+    joined = state_reference(spark).join(counted, "state_code", "left")
+    return plain(joined.select("state_code", "state_name", "macro_region", F.coalesce("customers", F.lit(0).cast("bigint")).alias("customers")))
+
+
+def _order_base(model: SalesModel) -> DataFrame:
+    """The stored facts: one row per order with customer, totals, category and month."""
+    return order_base(model.orders, model.customers, category_base(model.order_items, model.products, model.order_deliveries))
 
 
 def _column_profiles(raw: Mapping[str, DataFrame]) -> DataFrame:
@@ -131,6 +149,9 @@ def queries() -> dict[str, Query]:
     result["dashboard_export"] = _model(lambda m: flags_as_numbers(_operations(m)))
     result["monthly_revenue_by_parameters"] = _monthly_revenue_sql
     result["order_facts_columns"] = _column_listing
+    result["customers_by_reference_state"] = _customers_by_state
+    result["order_base"] = _model(_order_base)
+    result["category_base"] = _model(lambda m: category_base(m.order_items, m.products, m.order_deliveries))
 
     # Dashboard calculations
     result["sales_kpis"] = _model(lambda m: d.sales_kpis(d.sales_dashboard(m)))

@@ -6,6 +6,8 @@ whole numbers. `ORDERS` lists one row per order with everything known about it.
 
 from __future__ import annotations
 
+from merchlens.sources.states import STATES
+
 
 def ratio(num: str, den: str, digits: int = 2) -> str:
     """num / den rounded half away from zero, NULL for an empty denominator."""
@@ -528,8 +530,21 @@ def model() -> dict[str, str]:
         "delivery_days double|estimated_days double|days_vs_estimate int|approval_hours double|"
         "seller_handoff_days double|carrier_transit_days double|has_invalid_dates boolean"
     )
-    listed = ", ".join(
-        f"({i}, '{c.split(' ')[0]}', '{c.split(' ')[1]}')" for i, c in enumerate(columns.split("|"), 1)
+    listed = " UNION ALL ".join(
+        f"SELECT {i} AS position, '{name}' AS column_name, '{kind}' AS data_type, count({name}) AS filled_rows FROM facts"
+        for i, (name, kind) in enumerate((c.split(" ") for c in columns.split("|")), 1)
+    )
+    codes = ", ".join(f"('{code}', '{name}', '{region}', {i})" for i, (code, name, region) in enumerate(STATES))
+    facts = star(
+        "SELECT ord.order_id, person AS customer_unique_id, state AS customer_state, state_name, "
+        f"region AS macro_region, status AS order_status, {text_time('bought_at')} AS order_purchase_timestamp, "
+        f"{text_day('bought_at')} AS order_purchase_date, {text_day('month')} AS order_month, trend AS in_trend_window, "
+        f"category AS primary_category, coalesce(n, 0) AS item_count, {money('prod_c')} AS product_value, "
+        f"{money('freight_c')} AS freight_value, {money('value_c')} AS order_value, "
+        f"{money('CASE WHEN earns THEN value_c END')} AS revenue, earns AS is_revenue_order, "
+        "status = 'canceled' AS is_canceled, status = 'unavailable' AS is_unavailable, "
+        "meas AS is_measurable_delivery, CASE WHEN meas THEN tardy END AS is_late, "
+        f"CASE WHEN meas THEN gap END AS days_vs_estimate, {measures}, bad AS has_invalid_dates FROM ord"
     )
     return {
         "state_reference": star("SELECT * FROM states"),
@@ -542,16 +557,22 @@ def model() -> dict[str, str]:
             f"{money('prod_c')} AS product_value, {money('value_c')} AS value FROM by_cat"
         ),
         "primary_category": star("SELECT order_id, category AS product_category FROM main_cat"),
-        "order_facts": star(
-            "SELECT ord.order_id, person AS customer_unique_id, state AS customer_state, state_name, "
-            f"region AS macro_region, status AS order_status, {text_time('bought_at')} AS order_purchase_timestamp, "
-            f"{text_day('bought_at')} AS order_purchase_date, {text_day('month')} AS order_month, trend AS in_trend_window, "
-            f"category AS primary_category, coalesce(n, 0) AS item_count, {money('prod_c')} AS product_value, "
-            f"{money('freight_c')} AS freight_value, {money('value_c')} AS order_value, "
-            f"{money('CASE WHEN earns THEN value_c END')} AS revenue, earns AS is_revenue_order, "
-            "status = 'canceled' AS is_canceled, status = 'unavailable' AS is_unavailable, "
-            "meas AS is_measurable_delivery, CASE WHEN meas THEN tardy END AS is_late, "
-            f"CASE WHEN meas THEN gap END AS days_vs_estimate, {measures}, bad AS has_invalid_dates FROM ord"
+        "order_facts": facts,
+        "order_base": star(
+            "SELECT order_id, customer_id, person AS customer_unique_id, state AS customer_state, TRUE AS has_customer, "
+            f"status AS order_status, {text_time('bought_at')} AS order_purchase_timestamp, {text_time('approved')} AS order_approved_at, "
+            f"{text_time('handed')} AS order_delivered_carrier_date, {text_time('got')} AS order_delivered_customer_date, "
+            f"{text_time('due')} AS order_estimated_delivery_date, bad AS has_invalid_dates, n AS item_count, "
+            f"{money('prod_c')} AS product_value, {money('freight_c')} AS freight_value, {money('value_c')} AS order_value, "
+            "CASE WHEN n IS NOT NULL THEN category IS NOT NULL END AS in_catalogue, category AS primary_category, "
+            f"{text_day('month')} AS order_month FROM ord"
+        ),
+        "category_base": star(
+            "SELECT l.order_id, category AS product_category, g.product_id IS NOT NULL AS in_catalogue, count(*) AS items, "
+            f"count(price_c) AS priced_items, {money('sum(price_c)')} AS product_value, {money('sum(freight_c)')} AS freight_value, "
+            f"{money('sum(price_c + freight_c)')} AS value, status AS order_status, {text_time('bought_at')} AS order_purchase_timestamp, "
+            "strftime(bought_at, '%Y-%m-01') AS order_month "
+            "FROM lines l LEFT JOIN goods g ON g.product_id = l.product_id LEFT JOIN bought b ON b.order_id = l.order_id GROUP BY l.order_id, category, g.product_id IS NOT NULL, status, bought_at"
         ),
         "sales_dashboard": star(
             "SELECT order_id, item_id AS order_item_id, person AS customer_unique_id, state AS customer_state, "
@@ -564,9 +585,10 @@ def model() -> dict[str, str]:
         "operations_dashboard": star(_operations_rows()),
         "dashboard_export": star(_operations_rows(numeric=True)),
         "monthly_revenue_by_parameters": sales()["monthly_revenue"],
-        "order_facts_columns": star(
-            "SELECT position, column_name, data_type, (SELECT count(*) FROM ord) AS table_rows "
-            f"FROM (VALUES {listed}) AS c(position, column_name, data_type)"
+        "order_facts_columns": f"WITH facts AS MATERIALIZED ({facts}) {listed}",
+        "customers_by_reference_state": (
+            f"SELECT state_code, state_name, macro_region, count(c_custkey) AS customers FROM (VALUES {codes}) AS s(state_code, state_name, macro_region, place) "
+            f"LEFT JOIN (SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey) ON c_custkey % {len(STATES)} = place GROUP BY ALL"
         ),
     }
 

@@ -15,6 +15,7 @@ def _later(expr: str, days: str) -> str:
     return f"{expr} + to_days(CAST({days} AS INTEGER))"
 
 
+# The columns of the raw datasets, and those that identify a row.
 COLUMNS = {
     "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
     "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",

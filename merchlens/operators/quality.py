@@ -12,15 +12,17 @@ from merchlens.operators import keys as k
 from merchlens.operators import rules as r
 from merchlens.operators.rules import CRITICAL, INFO, WARNING, Rule
 from merchlens.operators.validation import ORDER_STATUSES, PAYMENT_TYPES, ZIP_PATTERN
-from merchlens.sources.schemas import KEYS, PRODUCT_MEASURES
+from merchlens.sources.schemas import PRODUCT_MEASURES
 
 PURCHASED, APPROVED = "order_purchase_timestamp", "order_approved_at"
 HANDED_OVER, RECEIVED = "order_delivered_carrier_date", "order_delivered_customer_date"
 PROMISED = "order_estimated_delivery_date"
 
 
-def quality_scopes(data: Mapping[str, DataFrame], states: DataFrame) -> dict[str, DataFrame]:
-    """What the checks are measured on: each table is read once for its own checks and once for its keys."""
+def quality_scopes(data: Mapping[str, DataFrame], states: DataFrame, profiles: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """What the checks are measured on: each table is read once for its own checks, and once for its keys unless the
+    profiles of these were taken before.
+    """
     last_purchase = data["orders"].agg(F.max(PURCHASED).alias("last_purchase"))
     known = states.select(F.col("state_code").alias("customer_state"), F.lit(True).alias("known_state")).distinct()
     folded = F.lower(F.trim("product_category_name"))
@@ -30,11 +32,7 @@ def quality_scopes(data: Mapping[str, DataFrame], states: DataFrame) -> dict[str
         "order_items": data["order_items"].crossJoin(F.broadcast(last_purchase)),
         "payments": data["payments"],
         "products": data["products"],
-        "order_keys": k.census({name: (data[name], "order_id") for name in ("orders", "order_items", "payments")}),
-        "customer_keys": k.census({name: (data[name], "customer_id") for name in ("customers", "orders")}),
-        "product_keys": k.census({name: (data[name], "product_id") for name in ("products", "order_items")}),
-        "item_keys": k.key_counts(data["order_items"], KEYS["order_items"]),
-        "payment_keys": k.key_counts(data["payments"], KEYS["payments"]),
+        **(profiles or k.key_profiles(data)),
         # More than one spelling exactly when the smallest and the largest differ.
         "category_names": data["products"]
         .groupBy(folded.alias("folded"))
@@ -56,7 +54,7 @@ def quality_rules(
         return Rule(name, table, severity, table, count, r.rows(), category)
 
     def keyed(category: str, table: str, name: str, severity: str, scope: str, count: Column, n: str) -> Rule:
-        return Rule(name, table, severity, scope, count, F.sum(n), category)
+        return Rule(name, table, severity, scope, count, k.rows_of(n), category)
 
     # Check categories, names and severities.
     absent, twice, invalid = "Missing values", "Duplicate records", "Invalid values"
@@ -124,15 +122,17 @@ def quality_rules(
         check(mixed, "payments", "Payment type not_defined or unknown", WARNING,
               r.outside("payment_type", payment_types)),
         check(mixed, "customers", "State code not a Brazilian state", WARNING, r.missing("known_state")),
-        keyed(mixed, "products", "Category name variants differing only by case/spacing", WARNING, "category_names",
-              F.count_if(F.col("first_spelling") < F.col("last_spelling")), "n"),
+        Rule("Category name variants differing only by case/spacing", "products", WARNING, "category_names",
+             F.count_if(F.col("first_spelling") < F.col("last_spelling")), F.sum("n"), mixed),
     ]
 
 
-def data_quality_summary(data: Mapping[str, DataFrame], states: DataFrame, **domains: Sequence[str]) -> DataFrame:
+def data_quality_summary(
+    data: Mapping[str, DataFrame], states: DataFrame, profiles: Mapping[str, DataFrame] | None = None, **domains: Sequence[str]
+) -> DataFrame:
     """One row per check with its share of the table and its status."""
     return (
-        r.evaluate(quality_rules(**domains), quality_scopes(data, states))
+        r.evaluate(quality_rules(**domains), quality_scopes(data, states, profiles))
         .select(
             F.col("category").alias("check_category"),
             F.col("dataset").alias("table_name"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens.functions.metrics import Calendar
-from merchlens.operators import cleaning, profiling, quality, validation
+from merchlens.operators import cleaning, keys, profiling, quality, validation
 from merchlens.plans import operations, regional, sales
 from merchlens.plans.dashboards import (
     operations_dashboard,
@@ -115,6 +115,11 @@ class Run:
             calendar=self.calendar,
         )
 
+    def key_profiles(self) -> dict[str, DataFrame]:
+        """The profiles of the newest published tables' keys."""
+        tables = clean_store.published(self.spark, f"{self.folder}/warehouse")
+        return {name: tables[name] for name in keys.PROFILES}
+
     def views(self) -> dict[str, DataFrame]:
         """The newest complete set written by `create_views`."""
         return clean_store.published(self.spark, f"{self.folder}/views")
@@ -196,7 +201,12 @@ class Run:
         The constraints of the published tables are evaluated along with the rules, and kept for `load_tables`.
         """
         path, outcomes = f"{self.folder}/validation", f"{self.folder}/outcomes/{self.raw.fingerprint(self.spark)}"
-        validation.check_everything(self.clean(), self.domains).coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/rows")
+        clean = self.clean()
+        # Grouped here once; rules and constraints, the publication and the data quality of the views read the profiles.
+        profiles = keys.key_profiles(clean)
+        side_by_side(self.spark, lambda n: profiles[n].coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/{n}"), profiles)
+        kept = {name: self.spark.read.parquet(f"{outcomes}/{name}") for name in profiles}
+        validation.check_everything(clean, self.domains, kept).coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/rows")
         self._mark_complete(outcomes)
         rules = self.spark.read.parquet(f"{outcomes}/rows").where("is_rule").drop("is_rule").orderBy("position")
         exports.write_json(rules, path)
@@ -212,8 +222,10 @@ class Run:
         """
         clean = self.clean()
         outcomes = f"{self.folder}/outcomes/{self.raw.fingerprint(self.spark)}"
+        profiles = None
         if self._complete(outcomes):
             constraints = self.spark.read.parquet(f"{outcomes}/rows").where("NOT is_rule")
+            profiles = {name: self.spark.read.parquet(f"{outcomes}/{name}") for name in keys.PROFILES}
         else:
             constraints = validation.check_constraints(clean)
         validation.gate(constraints)
@@ -230,8 +242,13 @@ class Run:
             base = order_base(tables["orders"], tables["customers"], tables["category_base"])
             return {"order_base": clean_store.LaidOut(base, layout)}
 
+        def per_key(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+            found = profiles or keys.key_profiles(tables)
+            return {name: data.coalesce(1) for name, data in found.items()}
+
         counts = clean_store.publish(
-            self.spark, clean, f"{self.folder}/warehouse", {"order_items": items_by_month}, [per_category, per_order]
+            self.spark, clean, f"{self.folder}/warehouse", {"order_items": items_by_month},
+            [per_category, lambda tables: {**per_order(tables), **per_key(tables)}],
         )
         if self.keep is not None:
             clean_store.expire(self.spark, f"{self.folder}/warehouse", self.keep)
@@ -261,7 +278,7 @@ class Run:
             "order_facts": order_facts(model),
             "sales_dashboard": sales_dashboard(model),
             "regional_dashboard": regional_dashboard(model),
-            "data_quality_summary": quality.data_quality_summary(model.tables(), model.states),
+            "data_quality_summary": quality.data_quality_summary(model.tables(), model.states, self.key_profiles()),
         }
 
         root = f"{self.folder}/views"

@@ -196,3 +196,14 @@ def test_repeated_rows_change_the_mark(spark):
     one = spark.createDataFrame([(1, "a"), (2, None)], "n int, t string")
     found = marks(spark, {"one": one, "other": one.orderBy(F.desc("n")).select("t", "n"), "twice": one.unionAll(one), "none": one.limit(0)})
     assert found["one"] == found["other"] != found["twice"] and found["none"].rows == found["none"].content == 0
+
+
+def test_quality_of_a_publication_groups_no_key_again(batch, stored):
+    from merchlens.operators import quality
+
+    profiles = batch.key_profiles()
+    kept = quality.data_quality_summary(stored.tables(), stored.states, profiles)
+    assert kept.collect() == quality.data_quality_summary(stored.tables(), stored.states).collect()
+    plan = plan_of(kept)
+    assert "hashpartitioning(order_id" not in plan and "hashpartitioning(key" not in plan and "hashpartitioning(product_id" not in plan
+    assert all(p.count() < 200 for p in profiles.values())

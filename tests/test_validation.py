@@ -117,12 +117,12 @@ def test_zip_pattern_takes_no_trailing_line_break(spark):
 
 def test_key_measures(spark):
     compound = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1)], "k1 string, k2 int")
-    assert count(k.key_counts(compound, ["k1"]), k.extra_rows("n")) == 2
-    assert count(k.key_counts(compound, ["k1", "k2"]), k.extra_rows("n")) == 1
+    assert count(k.profile(k.key_counts(compound, ["k1"])), k.extra_rows("n")) == 2
+    assert count(k.profile(k.key_counts(compound, ["k1", "k2"])), k.extra_rows("n")) == 1
 
     child = spark.createDataFrame([("p1",), ("p2",), (None,), ("p9",)], "c string")
     parent = spark.createDataFrame([("p1",), ("p2",), ("p3",)], "p string")
-    both = k.census({"child": (child, "c"), "parent": (parent, "p")})
+    both = k.profile(k.census({"child": (child, "c"), "parent": (parent, "p")}))
     assert count(both, k.broken_references("n_child", "n_parent")) == 1
     assert count(both, k.unmatched_rows("n_child", "n_parent")) == 2
     assert count(both, k.unreferenced_rows("n_parent", "n_child")) == 1
@@ -130,10 +130,10 @@ def test_key_measures(spark):
 
 def test_missing_keys_in_key_measures(spark):
     keys = spark.createDataFrame([("a",), (None,), (None,)], "c string")
-    alone = k.census({"t": (keys, "c")})
+    alone = k.profile(k.census({"t": (keys, "c")}))
     assert count(alone, k.extra_rows("n_t")) == 1  # missing keys equal each other
     assert count(alone, k.extra_rows_beyond_distinct("n_t")) == 2  # or are never distinct values
-    both = k.census({"parent": (keys, "c"), "child": (spark.createDataFrame([(None,)], "c string"), "c")})
+    both = k.profile(k.census({"parent": (keys, "c"), "child": (spark.createDataFrame([(None,)], "c string"), "c")}))
     assert count(both, k.unreferenced_rows("n_parent", "n_child")) == 1
     assert count(both, k.rows_without_match("n_parent", "n_child")) == 3
 
@@ -146,8 +146,8 @@ def test_every_scope_is_aggregated_once(spark, tmp_path):
         spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
         stored[name] = spark.read.schema(schema).parquet(str(tmp_path / name))
     plan = v.validate(stored)._jdf.queryExecution().optimizedPlan().toString()
-    # One aggregation per scope, plus the grouping inside each of the five key scopes.
-    assert plan.count("Aggregate [") == 10 + 5
+    # One aggregation per scope; five profiles over three censuses, and two counts of compound keys with two uses each.
+    assert plan.count("Aggregate [") == 10 + 5 + 3 + 4
     # Every table is read for its own rules and for the censuses it takes part in, never once per rule.
     assert plan.count("Relation [") == 5 + 7 + 2
 
@@ -195,3 +195,30 @@ def test_repeated_states_count_once(clean):
     states = state_reference(clean["orders"].sparkSession)
     plain = data_quality_summary(clean, states).collect()
     assert data_quality_summary(clean, states.unionByName(states)).collect() == plain
+
+
+def test_profiles_hold_a_row_per_combination_of_counts(spark, clean):
+    profiles = k.key_profiles(clean)
+    assert set(profiles) == set(k.PROFILES)
+    orders = {(r.no_key, r.n_orders, r.n_order_items, r.n_payments): r["keys"] for r in profiles["order_keys"].collect()}
+    plain = {}
+    counts = [{r[0]: r[1] for r in clean[t].groupBy("order_id").count().collect()} for t in ("orders", "order_items", "payments")]
+    for key in set().union(*counts):
+        vector = (False, *(c.get(key, 0) for c in counts))
+        plain[vector] = plain.get(vector, 0) + 1
+    assert orders == plain
+    # Rules, constraints and quality give the same from kept profiles.
+    builds = (
+        lambda p: v.validate(clean, profiles=p), lambda p: v.check_constraints(clean, p),
+        lambda p: data_quality_summary(clean, state_reference(spark), p),
+    )
+    for build in builds:
+        assert build(None).collect() == build(profiles).collect()
+
+
+def test_rules_read_kept_profiles_instead_of_grouping_keys(spark, clean, tmp_path):
+    for name, data in k.key_profiles(clean).items():
+        data.write.parquet(f"{tmp_path}/{name}")
+    kept = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in k.PROFILES}
+    plan = v.validate(clean, profiles=kept)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
