@@ -312,7 +312,8 @@ def limits(documents: DataFrame, model: Model, held_out: Column, per_language: i
     beside each cut a string of as many random letters of the same text is made. At each length the limit is what all
     but the share `lost` of the random strings stay below, in the language where they come nearest, but no more than
     what all but that share of the clean cuts reach, in the language where these lie lowest: very short texts are not
-    told apart from chance at the expense of clean ones. None without such rows.
+    told apart from chance at the expense of clean ones. Only the beginnings of the sampled texts are measured; NULL
+    texts and texts of fewer than two letters measure nothing, repeated rows count alike. None without such rows.
     """
     usable = documents.select("doc_id", "text", "lang").where("text IS NOT NULL").where(held_out)
     if model.stored is None:

@@ -215,7 +215,8 @@ def read_chunks(manifest: DataFrame, data: bool = True, settings: Settings = Set
 
     bytes and digest (bare base32 SHA-1) cover the payload up to and including the chunk, so the last row of a record
     has those of the whole payload. A revisit has one row without data; its length and digest are those of its headers.
-    A stored payload that differs from the digest in its headers is an error. Without `data` the column is NULL.
+    A stored payload that differs from the digest in its headers is an error. Without `data` the column is NULL. Records
+    of repeated rows each have their chunks, an empty payload has one of no bytes, and an empty manifest gives no rows.
     """
     count = manifest.count()
     spread = manifest.select("path", "begin", "end").repartition(max(1, min(count, 10_000)), "path", "begin")
