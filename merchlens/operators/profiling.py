@@ -40,24 +40,37 @@ def profile_columns(dataset: str, raw: DataFrame, exact_unique: bool = True) ->
     else:
         counted = long.withColumn("n", F.lit(1).cast("bigint"))
         unique = F.approx_count_distinct("value")
+    stats = _parsed(counted, names).groupBy("column_name").agg(unique.alias("unique"), *_measures())
+    return _described(dataset, names, stats)
 
-    # Values are parsed once each, and only as what their column's name lets them be.
+
+def _kinds(names: Sequence[str]) -> tuple[Column, Column]:
+    """Whether a column's name lets its values be dates, and whether they are codes."""
     dates = [c for c in names if re.search(DATE_COLUMN_PATTERN, c)]
     codes = [c for c in names if re.search(CODE_COLUMN_PATTERN, c) and c not in dates]
-    value, filled = F.col("value"), F.col("value").isNotNull()
-    is_date, is_code = F.col("column_name").isin(*dates), F.col("column_name").isin(*codes)
-    parsed = counted.select(
+    return F.col("column_name").isin(*dates), F.col("column_name").isin(*codes)
+
+
+def _parsed(counted: DataFrame, names: Sequence[str], *more: str) -> DataFrame:
+    """Values parsed once each, and only as what their column's name lets them be."""
+    is_date, is_code = _kinds(names)
+    value = F.col("value")
+    return counted.select(
+        *more,
         "column_name",
         "value",
         "n",
         F.when(is_date, parse_timestamp("value")).alias("moment"),
         F.when(~is_date & ~is_code & value.rlike(NUMBER_PATTERN), F.trim(value).try_cast("double")).alias("number"),
     )
+
+
+def _measures() -> list[Column]:
+    value, filled = F.col("value"), F.col("value").isNotNull()
     moment, number = F.col("moment"), F.col("number")
-    stats = parsed.groupBy("column_name").agg(
+    return [
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(filled, F.col("n"))), F.lit(0)).alias("non_null"),
-        unique.alias("unique"),
         F.coalesce(F.sum(F.when(moment.isNotNull(), F.col("n"))), F.lit(0)).alias("dated"),
         F.min(moment).alias("first_moment"),
         F.max(moment).alias("last_moment"),
@@ -65,11 +78,16 @@ def profile_columns(dataset: str, raw: DataFrame, exact_unique: bool = True) ->
         F.bool_or(value.contains(".")).alias("any_point"),
         F.min(number).alias("smallest"),
         F.max(number).alias("largest"),
-    )
+    ]
+
+
+def _described(dataset: str, names: Sequence[str], stats: DataFrame, *more: str) -> DataFrame:
+    """The profile's columns from the measures, one row per name."""
     # An empty table still has a profile of its columns.
-    listed = raw.sparkSession.createDataFrame(list(enumerate(names, 1)), "position int, column_name string")
+    listed = stats.sparkSession.createDataFrame(list(enumerate(names, 1)), "position int, column_name string")
     joined = listed.join(stats, "column_name", "left").fillna(0, ["rows", "non_null", "unique", "dated"])
 
+    is_date, _ = _kinds(names)
     is_number = F.coalesce("all_numbers", F.lit(False))
     kind = (
         F.when(is_date, "datetime")
@@ -96,7 +114,47 @@ def profile_columns(dataset: str, raw: DataFrame, exact_unique: bool = True) ->
         F.when(is_date, F.col("non_null") - F.col("dated")).otherwise(F.lit(0)).alias("unparseable"),
         bound("first_moment", "smallest").alias("min_value"),
         bound("last_moment", "largest").alias("max_value"),
+        *more,
+    )
+
+
+# ------------------------------------------------------------------ profiles that merge
+
+
+def column_states(raw: DataFrame, version: str) -> DataFrame:
+    """One row per value of `version` (a column that tells files apart) and other column: what a profile is made of.
+
+    Counts and bounds add up exactly; distinct values and the spread of numbers are kept as sketches of a few kilobytes,
+    so the states of any files merge into the profile of all of them without reading these again.
+    """
+    names = [c for c in raw.columns if c != version]
+    long = raw.select(F.col(version).alias("version"), *[F.col(c).cast("string").alias(c) for c in names]).unpivot(
+        ["version"], names, "column_name", "value"
+    )
+    parsed = _parsed(long.withColumn("n", F.lit(1).cast("bigint")), names, "version")
+    return parsed.groupBy("version", "column_name").agg(
+        *_measures(), F.hll_sketch_agg("value").alias("distinct_state"), F.kll_sketch_agg_double("number").alias("number_state")
+    )
+
+
+def merged_profile(dataset: str, names: Sequence[str], states: DataFrame) -> DataFrame:
+    """The profile of all rows whose states are given: the columns of `profile_columns`, and an estimated median.
+
+    `unique` and `median_estimate` come from sketches; everything else is exact.
+    """
+    added = states.groupBy("column_name").agg(
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("distinct_state")), F.lit(0)).alias("unique"),
+        *[F.sum(c).alias(c) for c in ("rows", "non_null", "dated")],
+        F.min("first_moment").alias("first_moment"),
+        F.max("last_moment").alias("last_moment"),
+        F.bool_and("all_numbers").alias("all_numbers"),
+        F.bool_or("any_point").alias("any_point"),
+        F.min("smallest").alias("smallest"),
+        F.max("largest").alias("largest"),
+        F.kll_merge_agg_double("number_state").alias("number_state"),
     )
+    middle = F.when(F.col("all_numbers"), F.kll_sketch_get_quantile_double("number_state", F.lit(0.5)))
+    return _described(dataset, names, added.withColumn("median_estimate", middle), "median_estimate")
 
 
 def profile_dataset(dataset: str, raw: DataFrame, key: Sequence[str] | None = None) -> DataFrame:

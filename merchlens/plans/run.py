@@ -31,7 +31,7 @@ from merchlens.plans.model import MONTH, SalesModel, category_base, order_base,
 from merchlens.session import build_session
 from merchlens.sources import clean_store, exports, files
 from merchlens.sources.jobs import side_by_side
-from merchlens.sources.raw_csv import RawDataError, RawFolder
+from merchlens.sources.raw_csv import FILE, RawDataError, RawFolder
 from merchlens.sources.schemas import CLEAN_DATASETS
 from merchlens.sources.states import state_reference
 
@@ -60,7 +60,7 @@ class Run:
     calendar: Calendar = Calendar()
     domains: validation.Domains = validation.Domains()
     states: DataFrame | None = None
-    # Whether profiles count distinct values exactly or estimate them from sketches.
+    # Whether profiles count distinct values exactly, or merge kept states of the files, which estimate them.
     exact_unique: bool = True
     # How many publications, sets of views and ingested copies stay for readers; None keeps all.
     keep: int | None = 2
@@ -124,6 +124,31 @@ class Run:
         """The newest complete set written by `create_views`."""
         return clean_store.published(self.spark, f"{self.folder}/views")
 
+    def column_states(self, dataset: str) -> DataFrame:
+        """The profile states of a dataset's files as they are now; only files without kept states are read.
+
+        States are kept under the files' versions and never change, so a state written twice counts once.
+        """
+        folder, kept = f"{self.folder}/raw/{self.raw.fingerprint(self.spark)}", f"{self.folder}/profile_states/{dataset}"
+        versions = self.raw.versions(self.spark, dataset)
+
+        def known() -> DataFrame | None:
+            try:
+                return self.spark.read.parquet(kept).where(F.col("version").isin(*versions.values())).dropDuplicates(["version", "column_name"])
+            except AnalysisException:
+                return None
+
+        found = known()
+        have = set() if found is None else {r.version for r in found.select("version").distinct().collect()}
+        fresh = [(path, version) for path, version in versions.items() if version not in have]
+        if fresh:
+            rows = self.raw.ingested(self.spark, dataset, f"{folder}/{dataset}", files=True)
+            # One row per file.
+            named = self.spark.createDataFrame(fresh, f"{FILE} string, _version string")
+            states = profiling.column_states(rows.join(F.broadcast(named), FILE).drop(FILE), "_version")
+            states.write.mode("append").parquet(kept)
+        return known()
+
     # ---- steps
 
     def check_raw_data(self) -> dict[str, int]:
@@ -155,7 +180,12 @@ class Run:
 
     def profile_data(self) -> dict[str, int]:
         raw = self.raw_tables()
-        datasets, columns = profiling.profile_all(raw, self.exact_unique)
+        if self.exact_unique:
+            datasets, columns = profiling.profile_all(raw)
+        else:
+            datasets = reduce(DataFrame.unionByName, [profiling.profile_dataset(name, data) for name, data in raw.items()])
+            merged = [profiling.merged_profile(name, data.columns, self.column_states(name)) for name, data in raw.items()]
+            columns = reduce(DataFrame.unionByName, merged)
         # The columns are profiled once; what follows from their profiles is read from the written ones.
         exports.write_json(columns, f"{self.folder}/profile/columns")
         columns = self.spark.read.schema(columns.schema).json(f"{self.folder}/profile/columns")

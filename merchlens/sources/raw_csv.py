@@ -86,14 +86,13 @@ class RawFolder:
         seen = Observation()
         counts = [F.count_if(F.col(REJECTED) & (reason == r)).alias(r) for r in REASONS]
         written = data.observe(seen, *counts) if ordered else data.drop(ROW_ORDER).observe(seen, *counts)
-        # What fits needs neither its text nor its file again.
-        written = written.withColumn(FILE, F.when(F.col(REJECTED), F.col(FILE)))
         written.write.mode("overwrite").parquet(folder)
         return {r: seen.get[r] for r in REASONS}
 
-    def ingested(self, spark: SparkSession, dataset: str, folder: str, ordered: bool = False) -> DataFrame:
-        """The ingested rows of one dataset that fit its header."""
-        data = spark.read.parquet(folder).where(~F.col(REJECTED)).drop(MALFORMED, FILE, REJECTED)
+    def ingested(self, spark: SparkSession, dataset: str, folder: str, ordered: bool = False, files: bool = False) -> DataFrame:
+        """The ingested rows of one dataset that fit its header, with the file of each if `files` is set."""
+        data = spark.read.parquet(folder).where(~F.col(REJECTED)).drop(MALFORMED, REJECTED)
+        data = data if files else data.drop(FILE)
         return data if ordered or ROW_ORDER not in data.columns else data.drop(ROW_ORDER)
 
     def rejected(self, spark: SparkSession, dataset: str, folder: str) -> DataFrame:
@@ -105,6 +104,13 @@ class RawFolder:
             F.col(MALFORMED).alias("record"),
         )
 
+    def versions(self, spark: SparkSession, dataset: str) -> dict[str, str]:
+        """The files of a dataset with a name for each as it is now, which changes whenever the file does."""
+        found = spark.read.format("binaryFile").load(self.location(dataset)).select(
+            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+        )
+        return {r[0]: hashlib.sha256(repr((dataset, r[0], r[1], str(r[2]))).encode()).hexdigest()[:32] for r in found.collect()}
+
     def fingerprint(self, spark: SparkSession) -> str:
         """Changes whenever a file is added, removed, grown, shortened or written again."""
         digest = hashlib.sha256(f"{self.multiline} {self.joined}".encode())

@@ -155,3 +155,50 @@ def test_observed_figures_equal_the_aggregates(spark, tmp_path):
     assert (figures["rows_before"], figures["rows_after"], figures["rows_modified"]) == (3, 1, 1)
     for report in (c.cleaning_summary, c.cleaning_actions, c.missing_value_report):
         assert "FileScan" not in report(staged)._jdf.queryExecution().executedPlan().toString()
+
+
+# ------------------------------------------------------------------ kept profile states
+
+
+def test_only_new_files_are_profiled(spark, tmp_path, monkeypatch):
+    from merchlens.operators import profiling
+
+    (tmp_path / "customers").mkdir()
+
+    def part(name, rows):
+        (tmp_path / "customers" / f"{name}.csv").write_text("\n".join([HEADER, *rows]) + "\n")
+
+    part("a", [f"a{i},u{i},0131{i % 10},rio,RJ" for i in range(30)])
+    raw = RawFolder(str(tmp_path), {"customers": "customers"})
+    batch = r.Run(spark, raw, str(tmp_path / "work"), exact_unique=False)
+    measured = []
+    states = profiling.column_states
+    monkeypatch.setattr(profiling, "column_states", lambda rows, version: measured.append(rows.count()) or states(rows, version))
+
+    def profile():
+        folder = f"{batch.folder}/raw/{raw.fingerprint(spark)}"
+        raw.ingest(spark, "customers", f"{folder}/customers")
+        rows = raw.ingested(spark, "customers", f"{folder}/customers")
+        merged = profiling.merged_profile("customers", rows.columns, batch.column_states("customers"))
+        return merged.drop("median_estimate").orderBy("position").collect(), profiling.profile_columns("customers", rows).orderBy("position").collect()
+
+    merged, exact = profile()
+    assert merged == exact and measured == [30]
+    part("b", [f"b{i},u{i},,sao,SP" for i in range(12)])
+    merged, exact = profile()
+    assert merged == exact and measured == [30, 12] and merged[0].non_null == 42
+    # A file that changes is read again, one that is gone no longer counts.
+    part("b", ["c1,u1,1,x,SP"])
+    merged, exact = profile()
+    assert merged == exact and measured == [30, 12, 1] and merged[0].non_null == 31
+
+
+def test_a_run_with_estimates_profiles_like_one_without(spark, tmp_path):
+    raw = write_raw(tmp_path / "raw")
+    reports = []
+    for exact in (True, False):
+        batch = r.Run(spark, raw, str(tmp_path / f"work{exact}"), exact_unique=exact)
+        r.run(batch, ["profile_data"])
+        columns = ["dataset", "column_name", "inferred_type", "non_null", "missing", "unique", "min_value", "max_value"]
+        reports.append(sorted(map(str, spark.read.json(f"{batch.folder}/profile/columns").select(columns).collect())))
+    assert reports[0] == reports[1]

@@ -113,3 +113,32 @@ def test_date_and_missing_reports(spark):
     assert len(dates) == 5
     assert (dates["order_approved_at"].missing, dates["order_approved_at"].unparseable) == (1, 1)
     assert [row.column_name for row in p.missing_values(columns).collect()] == ["order_approved_at"]
+
+
+def test_states_of_two_files_merge_into_the_profile_of_both(spark):
+    rows = [item(f"o{i}", "1", price=f"{i}.5" if i % 2 else str(i), freight=None if i % 3 else "2", limit="soon" if i == 4 else "2018-03-08 12:00:00") for i in range(120)]
+    names = list(rows[0])
+    raw = text_frame(spark, "order_items", rows)
+    parts = p.column_states(raw.withColumn("f", (raw.price.cast("double") < 40).cast("string")), "f")
+    whole = p.column_states(raw.selectExpr("*", "'all' AS f"), "f")
+    assert parts.count() == 2 * whole.count() == 2 * len(names)
+    merged = p.merged_profile("order_items", names, parts).orderBy("position")
+    assert merged.collect() == p.merged_profile("order_items", names, whole).orderBy("position").collect()
+    exact = p.profile_columns("order_items", raw).orderBy("position")
+    assert merged.drop("median_estimate").collect() == exact.collect()
+    medians = {r.column_name: r.median_estimate for r in merged.collect()}
+    assert 55 < medians["price"] < 64 and medians["order_id"] is None and medians["freight_value"] == 2.0
+
+
+def test_estimates_of_many_values_stay_close(spark):
+    raw = spark.range(60_000).selectExpr("cast(id as string) AS a", "cast(id % 7 as string) AS f")
+    found = one(p.merged_profile("t", ["a"], p.column_states(raw, "f")))
+    assert abs(found["unique"] - 60_000) < 2400 and abs(found["median_estimate"] - 30_000) < 1500
+    assert (found["non_null"], found["min_value"], found["max_value"]) == (60_000, "0", "59,999")
+
+
+def test_states_without_rows(spark):
+    empty = text_frame(spark, "customers", []).selectExpr("*", "'x' AS f")
+    names = [c for c in empty.columns if c != "f"]
+    found = p.merged_profile("customers", names, p.column_states(empty, "f")).collect()
+    assert len(found) == 5 and {(r.non_null, r.unique, r.inferred_type) for r in found} == {(0, 0, "text")}

@@ -220,5 +220,8 @@ def test_rules_read_kept_profiles_instead_of_grouping_keys(spark, clean, tmp_pat
     for name, data in k.key_profiles(clean).items():
         data.write.parquet(f"{tmp_path}/{name}")
     kept = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in k.PROFILES}
-    plan = v.validate(clean, profiles=kept)._jdf.queryExecution().executedPlan().toString()
+    for name, data in clean.items():
+        data.write.parquet(f"{tmp_path}/clean_{name}")
+    stored = {name: spark.read.parquet(f"{tmp_path}/clean_{name}") for name in clean}
+    plan = v.validate(stored, profiles=kept)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan
