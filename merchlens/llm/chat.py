@@ -120,7 +120,9 @@ def learned_text(segments: Column, template: Template = Template()) -> Column:
 def digests(formatted: DataFrame, template: Template = Template()) -> DataFrame:
     """What the formatted output holds, read back from it: numbers and hashes of turns and of learned text."""
     turns = read_turns(F.col("formatted"), template)
-    read = formatted.select("conv_id", turns.alias("turns"), learned_text(F.col("segments"), template).alias("learned"), "formatted")
+    # Read from the string itself; it is what the mask of the segments covers.
+    texts = F.transform(F.filter("turns", lambda t: t["role"] == template.learn), lambda t: t["text"])
+    read = formatted.select("conv_id", turns.alias("turns"), "formatted").withColumn("learned", F.array_join(texts, ""))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",

@@ -219,7 +219,9 @@ def read_chunks(manifest: DataFrame, data: bool = True, settings: Settings = Set
     of repeated rows each have their chunks, an empty payload has one of no bytes, and an empty manifest gives no rows.
     """
     count = manifest.count()
-    spread = manifest.select("path", "begin", "end").repartition(max(1, min(count, 10_000)), "path", "begin")
+    # A task per segment, or per 16 of them where there are very many.
+    tasks = max(1, min(count, max(10_000, -(-count // 16))))
+    spread = manifest.select("path", "begin", "end").repartition(tasks, "path", "begin")
 
     def work(batches):
         for batch in batches:

@@ -235,6 +235,7 @@ def test_turns_and_mask_are_read_back_exactly(spark):
     turns += [(50, 1, "user", None, "x"), (50, 0, "assistant", "first", "x"), (50, 1, "user", None, "x"), (None, None, "assistant", "z", "x")]
     data = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, formatted string")
     formatted = chat.format_conversations(data)
+    masked = {r.conv_id: r.learned for r in formatted.select("conv_id", chat.learned_text(F.col("segments")).alias("learned")).collect()}
     found = {r.conv_id: r for r in chat.digests(formatted).collect()}
     whole = {r.conv_id: r for r in formatted.collect()}
     grouped = {}
@@ -245,6 +246,7 @@ def test_turns_and_mask_are_read_back_exactly(spark):
         rows.sort()
         lines = "".join(f"{r}\n{t}\n" for _, r, t in rows)
         learned = "".join(t for _, r, t in rows if r == "assistant")
+        assert masked[conv] == learned
         assert found[conv].n_turns == len(rows)
         assert found[conv].turns_sha256 == hashlib.sha256(lines.encode()).hexdigest()
         assert (found[conv].loss_chars, found[conv].loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
