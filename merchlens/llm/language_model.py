@@ -2,8 +2,7 @@
 
 The next word is predicted in two softmax steps, first its class, then the word within the class. Classes are stretches
 of words by their endings, so every word has one. The class step has hashed features of the words before: the last
-word, the last two, the second last alone (a skip), and over a longer skip the class that is most frequent among the
-last words. The word step has a feature for each frequent word together with that most frequent class; every other
+word, the last two, and over a long skip the class that is most frequent among the last words. The word step has a feature for each frequent word together with that most frequent class; every other
 word of a class is told apart by its smoothed frequency. So each word, also a new one, has a probability, and those of
 all words add up to one.
 
@@ -33,7 +32,9 @@ SEED = 42
 ENDINGS = 1 << 16
 MARKS = b".,;:!?|*#$%&\"')"
 IS_MARK = np.isin(np.arange(256), list(MARKS))
-FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+# Logits up to this size need no shift before they are exponentiated in single precision.
+LARGEST = 80.0
 SLICE = 1 << 17
 COUNTED_AT_ONCE = 300_000
 TOKENS_AT_ONCE = 1 << 16
@@ -183,6 +184,10 @@ class Weights:
     words: np.ndarray
     mass: np.ndarray
 
+    def __post_init__(self):
+        # Three rows and the bias add up to a logit.
+        self.steep = 3 * np.abs(self.rows).max(initial=0.0) + np.abs(self.bias).max() > LARGEST
+
     @staticmethod
     def initial(v: Vocabulary) -> Weights:
         """Biases that reproduce the smoothed frequencies of the classes, and no features."""
@@ -283,9 +288,9 @@ class Reader:
 
 
 def features(t: Tokens, s: Settings) -> np.ndarray:
-    """Four feature rows per token: last word, last two, second last, and the long skip."""
+    """Three feature rows per token: last word, last two, and the long skip."""
     one, two = (t.before[:, i].astype(np.uint64) + np.uint64(1) for i in range(2))
-    mixed = np.stack([one * FACTORS[0], (one * FACTORS[1]) ^ (two * FACTORS[2]), two * FACTORS[3]], axis=1)
+    mixed = np.stack([one * FACTORS[0], (one * FACTORS[1]) ^ (two * FACTORS[2])], axis=1)
     mixed ^= mixed >> np.uint64(31)
     mixed *= FACTORS[0]
     hashed = (mixed >> np.uint64(20)) % np.uint64(s.rows)
@@ -300,12 +305,26 @@ def class_probabilities(w: Weights, rows: np.ndarray) -> np.ndarray:
     for k in range(1, rows.shape[1]):
         logits += w.rows[rows[:, k]]
     logits += w.bias
-    logits -= logits.max(axis=1, keepdims=True)
+    if w.steep:
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+
+
+def _add_rows(table: np.ndarray, places: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to the table's row at its place; rows of one place are added up first."""
+    order = np.argsort(places, kind="stable")
+    sorted_ = places[order]
+    first = _changes(sorted_)
+    table[sorted_[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
 class Sums:
     """Observed and expected numbers of features and outcomes, added up over tokens.
 
@@ -326,11 +345,12 @@ class Sums:
         for begin in range(0, len(rows), s.batch):
             part = rows[begin : begin + s.batch]
             p = class_probabilities(self.w, part)
-            for column in part.T:
-                order = np.argsort(column, kind="stable")
-                sorted_ = column[order]
-                first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-                expected[sorted_[first]] += np.add.reduceat(p[order], first, axis=0)
+            *hashed, skip = part.T
+            for column in hashed:
+                _add_rows(expected, column, p)
+            # The long skip changes seldom from token to token.
+            first = _changes(skip)
+            _add_rows(expected, skip[first], np.add.reduceat(p, first, axis=0))
         self.expected += expected
         np.add.at(self.observed, (rows.astype(np.int64) * s.classes + t.classes[:, None]).ravel(), 1)
         frequent = t.places >= 0

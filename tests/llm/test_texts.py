@@ -321,7 +321,7 @@ def plain_rows(before, skip, s):
     one, two = before[0] + 1, before[1] + 1
     cut = (1 << 64) - 1
     factors = [int(f) for f in language_model.FACTORS]
-    mixed = [one * factors[0] & cut, (one * factors[1] & cut) ^ (two * factors[2] & cut), two * factors[3] & cut]
+    mixed = [one * factors[0] & cut, (one * factors[1] & cut) ^ (two * factors[2] & cut)]
     return [((m ^ m >> 31) * factors[0] & cut) >> 20 for m in mixed], s.rows + skip
 
 
