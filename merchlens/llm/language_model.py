@@ -36,7 +36,7 @@ FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9],
 # Logits up to this size need no shift before they are exponentiated in single precision.
 LARGEST = 80.0
 SLICE = 1 << 17
-COUNTED_AT_ONCE = 300_000
+COUNTED_AT_ONCE = 500_000
 TOKENS_AT_ONCE = 1 << 16
 # Places that are not those of frequent words.
 OTHER, END = -1, -2
@@ -51,7 +51,7 @@ class Settings:
     moves by `rate` times twice the gradient over observed + expected + `prior`; those of words have their own values.
     """
 
-    classes: int = 32
+    classes: int = 24
     head: int = 1 << 16
     rows: int = 1 << 14
     window: int = 64
