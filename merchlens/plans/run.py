@@ -39,6 +39,7 @@ DASHBOARDS = ("sales_dashboard", "operations_dashboard", "regional_dashboard", "
 # In dependency order.
 VIEWS = ("state_reference", "order_facts", *DASHBOARDS)
 REPORTS = {"sales": sales.REPORTS, "operations": operations.REPORTS, "regional": regional.REPORTS}
+ITEMS_PER_BUCKET = 1_000_000
 HEADLINES = ("total_revenue", "total_orders", "average_order_value", "operations_kpis")
 
 
@@ -64,7 +65,7 @@ class Run:
     exact_unique: bool = True
     # How many publications, sets of views and ingested copies stay for readers; None keeps all.
     keep: int | None = 2
-    # Buckets of the stored facts; as many as the session has shuffle partitions where unset.
+    # Buckets of the stored facts; by the number of items, up to the session's shuffle partitions, where unset.
     buckets: int | None = None
     # Where the views are registered; the session's current database where unset.
     database: str | None = None
@@ -259,7 +260,10 @@ class Run:
         else:
             constraints = validation.check_constraints(clean)
         validation.gate(constraints)
-        layout = clean_store.Layout(MONTH, "order_id", self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        # One bucket per million items, no more than a shuffle would have: small tables would only get many tiny files.
+        most = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = self.buckets or min(most, 1 + clean["order_items"].count() // ITEMS_PER_BUCKET)
+        layout = clean_store.Layout(MONTH, "order_id", buckets)
 
         def items_by_month(items: DataFrame, tables: Mapping[str, DataFrame]) -> clean_store.LaidOut:
             return clean_store.LaidOut(items.join(order_months(tables["orders"]), "order_id", "left"), layout)
