@@ -7,7 +7,6 @@ training texts, each scaled to length one, and a text belongs to the prototype w
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from merchlens.llm.shared import drawn, free_name, map_batches, record, remainder, written
+from merchlens.llm.shared import free_name, map_batches, record, remainder, written
 
 UNKNOWN = "und"
 CACHED_GRAMS = 50_000
@@ -25,21 +25,19 @@ PIECE_CHARS = 1 << 18
 POINTS = 0x110000
 # Characters of the cut texts that limits are measured on.
 LENGTHS = (5, 10, 20, 40, 80, 160, 320, 640)
+# Cosines are counted in bins first; as they have four bytes, a bin holds a few thousand different ones.
+BINS = 1 << 16
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Vector length, seed of the letter vectors, and training rows expected per language.
-
-    Rows are drawn by a hash of id and text with the share per_language / rows of the language, so `per_language`
-    bounds the sample in expectation at every corpus size. Up to `languages` prototypes go to the tasks at once; more
-    take several passes.
+    """Vector length and seed of the letter vectors. Up to `languages` prototypes go to the tasks at once; more take
+    several passes.
     """
 
     size: int = 1024
     seed: int = 11
     languages: int = 2000
-    per_language: int = 8000
 
 
 @dataclass(frozen=True)
@@ -173,6 +171,19 @@ class Encoder:
                 total = total + counts[part].astype(np.float32) @ self._vectors(grams[part]).astype(np.float32)
         return total if lettered else None
 
+    def together(self, texts: list[str], remember: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bundle, number of trigrams, whether there is a letter) of each of a few short texts.
+
+        Trigrams of random strings hardly come back; without `remember` they do not push others out.
+        """
+        keys = [np.concatenate([np.zeros(0, np.int64), *self.letters.trigrams(t)]) for t in texts]
+        lengths = np.array(list(map(len, keys)))
+        grams, places = np.unique(np.concatenate(keys), return_inverse=True)
+        cells = np.repeat(np.arange(len(texts)) * len(grams), lengths) + places
+        counts = np.bincount(cells, minlength=len(texts) * len(grams)).reshape(len(texts), len(grams)).astype(np.float32)
+        vectors = self._vectors(grams) if remember else self._bind(grams)
+        return counts @ vectors.astype(np.float32), lengths, np.array([bool(k.any()) for k in keys])
+
 
 def _unit(vector: np.ndarray) -> np.ndarray:
     return vector / max(float(np.linalg.norm(vector)), 1e-12)
@@ -190,29 +201,27 @@ class Predictor:
         best = int(np.argmax(cosines))
         return self.model.languages[best], float(min(1.0, max(0.0, cosines[best])))
 
+    def scores(self, texts: list[str], remember: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """(score, number of trigrams) of each of a few short texts."""
+        bundles, trigrams, lettered = self.encoder.together(texts, remember)
+        units = bundles / np.maximum(np.linalg.norm(bundles, axis=1, keepdims=True), np.float32(1e-12))
+        return np.where(lettered, np.clip((units @ self.model.prototypes.T).max(axis=1), 0, 1), 0), trigrams
+
 
 def fit(documents: DataFrame, settings: Settings = Settings(), learn: Column | None = None) -> Model:
     """Prototypes from the text and language of documents (doc_id, text, lang).
 
-    `learn` is a condition on the documents that may be used. Rows without language or without a letter teach nothing.
-    Bundles are added up in the tasks and then by Spark; the driver receives one vector per language, or, with more
-    languages than `languages`, none: then the prototypes stay in a table.
+    `learn` is a condition on the documents that may be used, all of which teach; rows without language or without a
+    letter teach nothing. Bundles are added up in the tasks and then by Spark; the driver receives one vector per
+    language, or, with more languages than `languages`, none: then the prototypes stay in a table.
     """
     usable = documents.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     if learn is not None:
         usable = usable.where(learn)
-    counted = usable.groupBy("lang").count()
-    # One row per language, `languages` at most, so the shares fit an expression and no text is shuffled to its language.
-    rows = {r.lang: r["count"] for r in counted.limit(settings.languages + 1).collect()}
-    if not rows:
+    known = usable.select("lang").distinct().limit(settings.languages + 1).count()
+    if not known:
         return Model([], np.zeros((0, settings.size), np.float32), settings)
-    many = len(rows) > settings.languages
-    if many:
-        share = F.least(F.lit(1.0), settings.per_language / F.col("count"))
-        sample = usable.join(written(counted, "languages"), "lang").where(drawn("doc_id", "text") <= share).select("lang", "text")
-    else:
-        shares = F.create_map(*[F.lit(v) for lang, n in sorted(rows.items()) for v in (lang, min(1.0, settings.per_language / n))])
-        sample = usable.where(drawn("doc_id", "text") <= F.element_at(shares, F.col("lang"))).select("lang", "text")
+    many = known > settings.languages
     schema = pa.schema([("lang", pa.string()), ("bundle", pa.list_(pa.float64()))])
 
     def work(batches):
@@ -232,7 +241,7 @@ def fit(documents: DataFrame, settings: Settings = Settings(), learn: Column | N
                 yield flush()
         yield flush()
 
-    parts = map_batches(sample, work, "lang string, bundle array<double>")
+    parts = map_batches(usable.select("lang", "text"), work, "lang string, bundle array<double>")
     added = parts.select("lang", F.posexplode("bundle").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
     if many:
         return _stored(added, settings)
@@ -305,73 +314,107 @@ class Limits:
         return float(np.interp(np.log(max(1, trigrams)), self.trigrams, self.cosines))
 
 
-def limits(documents: DataFrame, model: Model, held_out: Column, per_language: int = 200, lost: float = 0.02) -> Limits | None:
+def limits(documents: DataFrame, model: Model, held_out: Column, lost: float = 0.02) -> Limits | None:
     """The cosines that tell learned languages from chance, from rows of `documents` that taught nothing.
 
-    Texts of the rows where `held_out` holds, `per_language` expected of each language, are cut to several lengths, and
-    beside each cut a string of as many random letters of the same text is made. At each length the limit is what all
-    but the share `lost` of the random strings stay below, in the language where they come nearest, but no more than
-    what all but that share of the clean cuts reach, in the language where these lie lowest: very short texts are not
-    told apart from chance at the expense of clean ones. Only the beginnings of the sampled texts are measured; NULL
-    texts and texts of fewer than two letters measure nothing, repeated rows count alike. None without such rows.
+    The texts of all rows in a learned language where `held_out` holds are cut to several lengths, and beside each cut a
+    string of as many random letters of the same text is made. At each length the limit is what all but the share
+    `lost` of the random strings stay below, in the language where they come nearest, but no more than what all but that
+    share of the clean cuts reach, in the language where these lie lowest: very short texts are not told apart from
+    chance at the expense of clean ones. NULL texts and texts of fewer than two letters at their beginning, as far as
+    the longest cut needs it, measure nothing, repeated rows count alike. None without such rows.
     """
-    usable = documents.select("doc_id", "text", "lang").where("text IS NOT NULL").where(held_out)
+    usable = documents.select("lang", "text").where("text IS NOT NULL AND lang IS NOT NULL").where(held_out)
     if model.stored is None:
         usable = usable.where(F.col("lang").isin(model.languages))
-        rows = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
-        if not rows:
-            return None
-        shares = F.create_map(*[F.lit(v) for lang, n in sorted(rows.items()) for v in (lang, min(1.0, per_language / n))])
-        sample = usable.where(drawn("doc_id", "text") <= F.element_at(shares, F.col("lang"))).select("lang", "text")
     else:
-        known = usable.groupBy("lang").count().join(model.stored.select("lang"), "lang")
-        sample = usable.join(written(known, "held-out"), "lang").where(drawn("doc_id", "text") <= per_language / F.col("count")).select("lang", "text")
-    cuts = _cuts(sample)
-    if model.stored is None:
-        measured = cuts.withColumn("row", F.monotonically_increasing_id())
-        measured = written(measured, "cuts")
-        found = measured.drop("text").join(written(_nearest(measured.select("row", "text"), model, "row"), "measured"), "row")
-    else:
-        found = nearest_of_all(cuts.withColumn("row", F.monotonically_increasing_id()), model)
-    pairs = found.groupBy("cut", "length", "lang").agg(
-        F.max(F.when(~F.col("random"), F.col("trigrams"))).alias("trigrams"), F.max(F.when(~F.col("random"), F.col("score"))).alias("clean"),
-        F.max(F.when(F.col("random"), F.col("score"))).alias("random"),
-    )
-    measured = pairs.where("trigrams > 0")
-    by_language = measured.groupBy("length", "lang").agg(
-        F.percentile("trigrams", F.lit(0.5)).alias("trigrams"), F.percentile("clean", F.lit(lost)).alias("clean"),
-        F.percentile("random", F.lit(1 - lost)).alias("random"),
-    )
+        usable = usable.join(model.stored.select("lang"), "lang", "left_semi")
+    measured = written(_measured(usable.select("lang", "text"), model).where("trigrams > 0"), "measured")
+    by_language = percentiles(measured, ["length", "lang"], {"trigrams": 0.5, "clean": lost, "random": 1 - lost})
+    # One row per length.
     found = by_language.groupBy("length").agg(
         F.avg("trigrams").alias("trigrams"), F.least(F.min("clean"), F.max("random")).alias("limit")
     ).orderBy("trigrams").collect()
     return Limits(np.log([max(1.0, r.trigrams) for r in found]), np.array([r.limit for r in found])) if found else None
 
 
-def _cuts(sample: DataFrame) -> DataFrame:
-    """(cut, lang, length, random, text): texts (lang, text) cut to several lengths, and beside each cut a string of as
-    many random letters of the same text.
+def _cuts(text: str) -> list[tuple[int, str, str]]:
+    """(length, cut, string of as many random letters of the text) for each length that the text reaches."""
+    letters = sorted(c for c in set(text[: 2 * LENGTHS[-1]].lower()) if c.isalpha())
+    if len(letters) < 2:
+        return []
+    rng = np.random.default_rng(len(text))
+    choices = len(letters) * 6 // 5 + 1
+    points = np.array([*map(ord, letters), *[ord(" ")] * (choices - len(letters))], "<u4")
+    lengths = [n for n in LENGTHS if n <= len(text)]
+    return [(n, text[:n], points[rng.integers(0, choices, n)].tobytes().decode("utf-32-le", "surrogatepass")) for n in lengths]
+
+
+def _measured(rows: DataFrame, model: Model) -> DataFrame:
+    """(lang, length, trigrams, clean, random) for every cut of texts (lang, text): its trigrams, its cosine and that of
+    the random string beside it.
     """
-    schema = pa.schema([("cut", pa.string()), ("lang", pa.string()), ("length", pa.int64()), ("random", pa.bool_()), ("text", pa.string())])
+    if model.stored is not None:
+        return _measured_of_all(rows, model)
+    schema = pa.schema([("lang", pa.string()), ("length", pa.int64()), ("trigrams", pa.int64()), ("clean", pa.float64()), ("random", pa.float64())])
 
     def work(batches):
+        predictor = Predictor(model)
         for batch in batches:
-            out = {name: [] for name in schema.names}
+            out = []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                letters = sorted({c for c in text[: 2 * LENGTHS[-1]].lower() if c.isalpha()})
-                if len(letters) < 2:
-                    continue
-                rng = np.random.default_rng(len(text))
-                for length in (n for n in LENGTHS if n <= len(text)):
-                    places = rng.integers(0, len(letters) * 6 // 5 + 1, length)
-                    random = "".join(letters[i] if i < len(letters) else " " for i in places)
-                    cut = uuid.uuid4().hex
-                    for flag, value in ((False, text[:length]), (True, random)):
-                        for name, x in zip(schema.names, (cut, lang, length, flag, value)):
-                            out[name].append(x)
-            yield record(schema, **out)
-
-    return map_batches(sample.select("lang", "text"), work, "cut string, lang string, length long, random boolean, text string")
+                if cuts := _cuts(text):
+                    lengths, clean, random = zip(*cuts)
+                    scores, trigrams = predictor.scores(clean)
+                    chance, _ = predictor.scores(random, remember=False)
+                    out += zip([lang] * len(cuts), lengths, trigrams.tolist(), scores.tolist(), chance.tolist())
+            yield record(schema, **(dict(zip(schema.names, map(list, zip(*out)))) if out else {n: [] for n in schema.names}))
+
+    return map_batches(rows, work, "lang string, length long, trigrams long, clean double, random double")
+
+
+def _measured_of_all(rows: DataFrame, model: Model) -> DataFrame:
+    """The same over all blocks of a model: cuts are numbered and written, so that both cosines find each other."""
+    schema = pa.schema([("lang", pa.string()), ("length", pa.int64()), ("clean", pa.string()), ("random", pa.string())])
+
+    def work(batches):
+        for batch in batches:
+            out = [(lang, *cut) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for cut in _cuts(text)]
+            yield record(schema, **(dict(zip(schema.names, map(list, zip(*out)))) if out else {n: [] for n in schema.names}))
+
+    cuts = map_batches(rows, work, "lang string, length long, clean string, random string")
+    cuts = written(cuts.withColumn("cut", F.monotonically_increasing_id()), "cuts")
+    both = F.explode(F.create_map(F.lit(False), "clean", F.lit(True), "random")).alias("is_random", "text")
+    texts = cuts.select("lang", "length", "cut", both).withColumn("row", F.monotonically_increasing_id())
+    return nearest_of_all(texts, model).groupBy("cut", "length", "lang").agg(
+        F.max(F.when(~F.col("is_random"), F.col("trigrams"))).alias("trigrams"),
+        F.max(F.when(~F.col("is_random"), F.col("score"))).alias("clean"), F.max(F.when(F.col("is_random"), F.col("score"))).alias("random"),
+    ).drop("cut")
+
+
+def percentiles(rows: DataFrame, by: list[str], shares: dict[str, float]) -> DataFrame:
+    """One row per group with the exact percentile of each column of `shares`, interpolated like percentile().
+
+    The values of a group never meet in one task: they are counted in bins, and only the different values of the one or
+    two bins where the percentile lies are put in order. Values are whole numbers or in 0..1; rows are read twice. Rows
+    with a NULL in `by` are left out.
+    """
+    pairs = [F.struct(F.lit(n).alias("of"), F.lit(p).alias("share"), F.col(n).cast("double").alias("value")) for n, p in shares.items()]
+    values = rows.select(*by, F.inline(F.array(*pairs))).withColumn("bin", F.floor(F.col("value") * BINS))
+    group = [*by, "of"]
+    binned = values.groupBy(*group, "share", "bin").agg(F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = binned.withColumn("upto", F.sum("n").over(running)).withColumn("place", F.col("share") * (F.sum("n").over(Window.partitionBy(*group)) - 1))
+    low, high = F.floor("place"), F.ceil("place")
+    chosen = placed.where((F.col("upto") > low) & (F.col("upto") - F.col("n") <= high)).select(*group, "bin", "place", (F.col("upto") - F.col("n")).alias("below"))
+    inside = values.join(chosen, [*group, "bin"]).groupBy(*group, "place", "below", "value").agg(F.count(F.lit(1)).alias("n"))
+    # `below` counts the values of all lower bins.
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy(*group, "below").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends = inside.withColumn("upto", upto).groupBy(*group, "place").agg(
+        F.min(F.when(F.col("upto") > low, F.col("value"))).alias("low"), F.min(F.when(F.col("upto") > high, F.col("value"))).alias("high")
+    )
+    between = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise((high - F.col("place")) * F.col("low") + (F.col("place") - low) * F.col("high"))
+    return ends.groupBy(*by).agg(*[F.max(F.when(F.col("of") == n, between)).alias(n) for n in shares])
 
 
 def keep_known(documents: DataFrame, model: Model, least: float = 0.02, text: str = "text", limits: Limits | None = None) -> DataFrame:

@@ -1,8 +1,9 @@
 """Quality classifier on supervised subword embeddings.
 
 A text is the mean of learned vectors of its words and character n-grams, each looked up by hash; a softmax layer over
-the mean gives the class. Vectors and layer are trained together by stochastic gradient descent in numpy on a bounded
-sample of labelled rows. As the layer is linear, the trained model scores a text from one number per hash bucket.
+the mean gives the class. Vectors and layer are trained together by stochastic gradient descent in numpy, on groups that
+all labelled rows are dealt to. As the layer is linear, a trained model scores a text from one number per hash bucket,
+and the models of the groups are averaged, weighted by their rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.shared import drawn, map_batches, record, remainder, text_key
+from merchlens.llm.shared import map_batches, record, remainder, text_key
 
 # Characters of words whose n-grams are taken at once; a longer word is taken in overlapping parts.
 CHARS_AT_ONCE = 1 << 20
@@ -30,22 +31,25 @@ WORDS_AT_ONCE = 100_000
 PIECE_CHARS = 1 << 20
 SPACE = re.compile(r"\s")
 HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+# Bytes of features after which a group is trained, however few rows it has.
+GROUP_BYTES = 1 << 28
+SLICE = 1024
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Hash buckets, vector length, n-gram lengths, training rows and passes, learning rate, decision threshold.
+    """Hash buckets, vector length, n-gram lengths, rows of a group and passes, learning rate, decision threshold.
 
-    `sample` bounds the labelled rows used for training; a row contributes at most one entry of four bytes, or six where
-    a count needs them, per bucket, of which there are 65,536 at most, so the training data is bounded however long
-    texts are.
+    All labelled rows are dealt to groups of `rows` on average, each trained in one task; a row has at most one entry of
+    four bytes, or six where a count needs them, per bucket, of which there are 65,536 at most, so a task's memory is
+    bounded however long texts are.
     """
 
     buckets: int = 1 << 16
     size: int = 8
     shortest: int = 2
     longest: int = 4
-    sample: int = 2000
+    rows: int = 2000
     passes: int = 8
     rate: float = 0.5
     threshold: float = 0.3
@@ -241,39 +245,50 @@ class Scorer:
 def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings(), learn: Column | None = None) -> Model:
     """A model from documents (doc_id, text) and labels (doc_id, quality 0/1).
 
-    `learn` is a condition on doc_id for the labels that may be used. A share of them is drawn by a hash of doc_id, so
-    that `sample` labels are expected; no task or driver sees all. Labels that are NULL or not 0/1 and ids that are NULL teach nothing; of contradicting labels of one id
-    the lower counts. The sample's features, bounded by rows and buckets, are trained on at the driver.
+    `learn` is a condition on doc_id for the labels that may be used. All of them teach: their rows are dealt by a hash
+    of id and text to groups of `rows` on average, of which each trains a model of its own, and the average of these,
+    weighted by rows, is the model. Up to `rows` rows are one group. No task or driver sees all; the driver receives one
+    number per bucket. Labels that are NULL or not 0/1 and ids that are NULL teach nothing; of contradicting labels of
+    one id the lower counts, and rows that repeat an id all teach.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     if learn is not None:
         usable = usable.where(learn)
     known = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
-    share = settings.sample / max(known.count(), settings.sample)
-    # About `sample` ids, so the broadcast is bounded; rows repeating an id are cut to the bound below.
-    sample = known.where(drawn("doc_id") <= share)
-    taught = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("key", pa.int64()), ("label", pa.int32()),
-        ("ids", pa.binary()), ("counts", pa.binary()),
-    ])
+    rows = documents.select("doc_id").join(known, "doc_id").count()
+    if not rows:
+        return train([], settings)
+    taught = documents.select("doc_id", "text").join(known, "doc_id").select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "label", F.col("text").cast("string").alias("text")
+    )
+    dealt = taught.repartition(-(-rows // settings.rows), "doc_id", "key").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "key")
+    schema = pa.schema([("rows", pa.int64()), ("slice", pa.int64()), ("numbers", pa.list_(pa.float64()))])
 
     def work(batches):
+        group, held = [], 0
+
+        def trained():
+            model = train(group, settings)
+            numbers = np.append(model.buckets.astype(np.float64), model.bias) * len(group)
+            slices = [numbers[i : i + SLICE] for i in range(0, len(numbers), SLICE)]
+            return record(schema, rows=[len(group)] * len(slices), slice=np.arange(len(slices)), numbers=slices)
+
         for batch in batches:
-            pairs = [features(t, settings) for t in batch.column(3).to_pylist()]
-            yield record(
-                schema, doc_id=batch.column(0), key=batch.column(1), label=batch.column(2),
-                ids=[p[0].tobytes() for p in pairs], counts=[p[1].tobytes() for p in pairs],
-            )
-
-    rows = map_batches(
-        taught.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "label", F.col("text").cast("string").alias("text")),
-        work, "doc_id long, key long, label int, ids binary, counts binary",
-    )
-    found = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(settings.sample).select("ids", "counts", "label").collect()
-    rows_ = [(np.frombuffer(r.ids, np.uint16), bytes(r.counts), r.label) for r in found]
-    # Counts of four bytes are twice as long as the ids.
-    return train([(ids, np.frombuffer(c, np.uint16 if len(c) == ids.nbytes else np.uint32), label) for ids, c, label in rows_], settings)
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids, counts = features(text, settings)
+                group.append((ids, counts, label))
+                held += ids.nbytes + counts.nbytes
+                # Only many equal rows or very long texts get here; the rest of them is a group as well.
+                if len(group) >= 2 * settings.rows or held >= GROUP_BYTES:
+                    yield trained()
+                    group, held = [], 0
+        if group:
+            yield trained()
+
+    parts = map_batches(dealt.select("label", "text"), work, "rows long, slice long, numbers array<double>")
+    numbers = parts.select("rows", "slice", F.posexplode("numbers").alias("i", "x")).groupBy("slice", "i")
+    found = numbers.agg((F.sum("x") / F.sum("rows")).alias("x")).toPandas().sort_values(["slice", "i"]).x.to_numpy(np.float64)
+    return Model(found[:-1].astype(np.float32), float(found[-1]), settings)
 
 
 def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:

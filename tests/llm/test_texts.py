@@ -191,6 +191,21 @@ def test_quality_counts_more_than_two_bytes_hold(spark):
     assert scores[1] > scores[2]
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, "".join(chr(c) for c in rng.integers(0x4E00, 0x9FA5, 4)), "zh", "a") for i in range(3000)]
+    labels = spark.createDataFrame([(i, int(rng.integers(0, 2))) for i in range(3000)], "doc_id long, quality int")
+    data = frame(spark, rows)
+    model = quality.fit(data, labels)
+    scores = quality.score(data, model).join(labels, "doc_id").collect()
+    # Each text has n-grams of its own, so a row that teaches nothing is right by chance only.
+    assert np.mean([(r.score > 0.5) == (r.quality == 1) for r in scores]) > 0.97
+    equal = frame(spark, [(1, "ab cd", "en", "a")] * 70 + [(2, "ef gh", "en", "a")] * 3)
+    few = quality.fit(equal, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"), quality.Settings(rows=10))
+    found = {r.doc_id: r.score for r in quality.score(equal, few).collect()}
+    assert found[1] > found[2]
+
+
 def test_language_on_held_out_rows(spark):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(documents, learn=language.training_rows())
@@ -261,6 +276,65 @@ def test_prototypes_equal_brute_force(spark):
         assert np.abs(prototype - expected).max() < 1e-6
 
 
+def test_every_row_teaches_its_language(spark):
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(300)]
+    settings = language.Settings(size=64)
+    texts = [words[i] for i in rng.integers(0, 300, 12_000)]
+    model = language.fit(spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string"), settings)
+    unit = lambda v: v / np.linalg.norm(v)
+    expected = unit(sum(n * unit(plain_bundle(t, settings)) for t, n in Counter(texts).items()))
+    assert np.abs(model.prototypes[0] - expected).max() < 1e-6
+
+
+def plain_limits(rows, model, lost):
+    """Limits with one cut at a time and all values of a language in one list."""
+    predictor, found = language.Predictor(model), {}
+    for lang, text in rows:
+        letters = sorted({c for c in (text or "")[:1280].lower() if c.isalpha()})
+        if lang not in model.languages or len(letters) < 2:
+            continue
+        rng = np.random.default_rng(len(text))
+        for length in (n for n in language.LENGTHS if n <= len(text)):
+            places = rng.integers(0, len(letters) * 6 // 5 + 1, length)
+            clean = predictor(text[:length])[1]
+            trigrams = predictor.encoder.trigrams
+            random = predictor("".join(letters[i] if i < len(letters) else " " for i in places))[1]
+            if trigrams:
+                found.setdefault(length, {}).setdefault(lang, []).append((trigrams, clean, random))
+    by_length = []
+    for languages in found.values():
+        at = [np.percentile(np.array(v), 100 * q, axis=0)[i] for v in languages.values() for i, q in ((0, 0.5), (1, lost), (2, 1 - lost))]
+        by_length.append((np.mean(at[::3]), min(min(at[1::3]), max(at[2::3]))))
+    return np.array(sorted(by_length)).T
+
+
+def test_limits_are_measured_on_every_held_out_row(spark):
+    rng = np.random.default_rng(10)
+    letters = {"aa": "abcdefghijkl", "bb": "mnopqrstuvwx"}
+    rows = [(i, "".join(rng.choice(list(letters[x] + " "), int(rng.integers(1, 60)))), x, "a") for i in range(600) for x in ("aa", "bb")]
+    rows += [(700, None, "aa", "a"), (701, "12 34 56", "bb", "a"), (None, "abc def", "aa", "a"), (702, "abcdefgh", None, "a"), (703, "abcdefgh", "cc", "a")]
+    rows += [(704, "abc def ghi jkl", "aa", "a")] * 40
+    model = language.fit(frame(spark, [r for r in rows if r[2] != "cc"]), language.Settings(size=128))
+    for lost in (0.02, 0.31):
+        found = language.limits(frame(spark, rows), model, F.lit(True), lost=lost)
+        trigrams, cosines = plain_limits([(r[2], r[1]) for r in rows], model, lost)
+        assert np.allclose(found.trigrams, np.log(trigrams)) and np.allclose(found.cosines, cosines, atol=1e-6)
+    assert language.limits(frame(spark, rows[:0]), model, F.lit(True)) is None
+
+
+def test_percentiles_equal_those_of_one_sorted_list(spark):
+    rng = np.random.default_rng(12)
+    values = [*rng.random(40).tolist(), *([0.25] * 30), *(0.5 + rng.random(30) * 2e-6).tolist(), 0.0, 1.0]
+    rows = [("a", v, int(v * 9)) for v in values] + [("b", 0.75, 3)] + [(None, 0.1, 1), (None, 0.2, 4)]
+    for share in (0.0, 0.02, 0.33, 0.5, 0.6, 0.98, 1.0):
+        found = language.percentiles(spark.createDataFrame(rows, "g string, x double, n long"), ["g"], {"x": share, "n": 1 - share}).collect()
+        assert {r.g for r in found} == {"a", "b"}
+        for r in found:
+            mine = [v[1:] for v in rows if v[0] == r.g]
+            assert np.allclose((r.x, r.n), (np.percentile([m[0] for m in mine], 100 * share), np.percentile([m[1] for m in mine], 100 - 100 * share)), atol=1e-12)
+
+
 def test_more_languages_than_a_task_may_hold(spark):
     rng = np.random.default_rng(6)
     words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 12)) for _ in range(41)]
