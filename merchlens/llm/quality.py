@@ -17,7 +17,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.llm.shared import map_batches, record, remainder, text_key
@@ -34,6 +34,8 @@ HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 # Bytes of features after which a group is trained, however few rows it has.
 GROUP_BYTES = 1 << 28
 SLICE = 1024
+# Texts that a group's task may read for each that teaches; where labels are rarer, the others are dropped beforehand.
+TEXTS_PER_ROW = 8
 
 
 @dataclass(frozen=True)
@@ -245,23 +247,30 @@ class Scorer:
 def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings(), learn: Column | None = None) -> Model:
     """A model from documents (doc_id, text) and labels (doc_id, quality 0/1).
 
-    `learn` is a condition on doc_id for the labels that may be used. All of them teach: their rows are dealt by a hash
+    `learn` is a condition on doc_id for the rows that may be used. All of them teach: their rows are dealt by a hash
     of id and text to groups of `rows` on average, of which each trains a model of its own, and the average of these,
     weighted by rows, is the model. Up to `rows` rows are one group. No task or driver sees all; the driver receives one
-    number per bucket. Labels that are NULL or not 0/1 and ids that are NULL teach nothing; of contradicting labels of
+    number per bucket. Texts are shuffled once, to their groups; where fewer than one in `TEXTS_PER_ROW` teaches, those
+    that do once more. Labels that are NULL or not 0/1 and ids that are NULL teach nothing; of contradicting labels of
     one id the lower counts, and rows that repeat an id all teach.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+    texts = documents.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text")
+    )
     if learn is not None:
-        usable = usable.where(learn)
+        usable, texts = usable.where(learn), texts.where(learn)
     known = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
-    rows = documents.select("doc_id").join(known, "doc_id").count()
+    rows = texts.select("doc_id").join(known, "doc_id").count()
     if not rows:
         return train([], settings)
-    taught = documents.select("doc_id", "text").join(known, "doc_id").select(
-        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "label", F.col("text").cast("string").alias("text")
-    )
-    dealt = taught.repartition(-(-rows // settings.rows), "doc_id", "key").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "key")
+    # The label of each pair of id and text hash goes to the group of its texts. A join would change the number of groups.
+    named = texts.select("doc_id", "key").join(known, "doc_id").groupBy("doc_id", "key").agg(F.min("label").alias("label"))
+    if texts.count() > TEXTS_PER_ROW * rows:
+        texts = texts.join(named, ["doc_id", "key"], "left_semi")
+    met = texts.unionByName(named, allowMissingColumns=True).repartition(-(-rows // settings.rows), "doc_id", "key")
+    taught = met.withColumn("of_key", F.max("label").over(Window.partitionBy("doc_id", "key"))).where("label IS NULL AND of_key IS NOT NULL")
+    dealt = taught.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "key")
     schema = pa.schema([("rows", pa.int64()), ("slice", pa.int64()), ("numbers", pa.list_(pa.float64()))])
 
     def work(batches):
@@ -285,7 +294,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
         if group:
             yield trained()
 
-    parts = map_batches(dealt.select("label", "text"), work, "rows long, slice long, numbers array<double>")
+    parts = map_batches(dealt.select("of_key", "text"), work, "rows long, slice long, numbers array<double>")
     numbers = parts.select("rows", "slice", F.posexplode("numbers").alias("i", "x")).groupBy("slice", "i")
     found = numbers.agg((F.sum("x") / F.sum("rows")).alias("x")).toPandas().sort_values(["slice", "i"]).x.to_numpy(np.float64)
     return Model(found[:-1].astype(np.float32), float(found[-1]), settings)

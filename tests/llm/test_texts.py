@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from itertools import pairwise
@@ -206,6 +207,53 @@ def test_quality_learns_from_every_labelled_row(spark):
     assert found[1] > found[2]
 
 
+def captured(monkeypatch):
+    """The rows that quality.fit deals to its groups, as often as it is called."""
+    dealt, work = [], quality.map_batches
+    monkeypatch.setattr(quality, "map_batches", lambda data, *rest: dealt.append(data) or work(data, *rest))
+    return dealt
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_quality_training_shuffles_texts_once(spark, monkeypatch, broadcast):
+    dealt = captured(monkeypatch)
+    data = frame(spark, [(i, f"word{i} good" if i % 2 else f"word{i} bad", "en", "a") for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 60, 3)], "doc_id long, quality int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        quality.fit(data, labels, quality.Settings(rows=20), quality.training_rows())
+        plan = spark._jvm.PythonSQLUtils.explainString(dealt[0]._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"\) Exchange\nInput \[\d+\]: \[[^]]*\btext#", plan)) == 1
+    assert dealt[0].count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(0, 60, 3))
+
+
+@pytest.mark.parametrize("texts_per_row", [0, 8, 10**9])
+@pytest.mark.parametrize("partitions", ["2", "7"])
+def test_quality_groups_hold_the_labelled_rows(spark, monkeypatch, texts_per_row, partitions):
+    """Whatever the labels' share and the session's partitions, each row teaches as often as it comes, in groups by a hash."""
+    monkeypatch.setattr(quality, "TEXTS_PER_ROW", texts_per_row, raising=False)
+    dealt, settings = captured(monkeypatch), quality.Settings(rows=10)
+    kinds = [(i % 12, (None, "", "good words", f"bad {i}")[i % 4], "en", "a") for i in range(60)]
+    data = frame(spark, [*kinds, *kinds[:9], (None, "good words", "en", "a"), (77, None, "en", "a")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)] + [(3, 0), (None, 1), (9, None), (500, 1)], "doc_id long, quality int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        quality.fit(data, labels, settings)
+        found = dealt[0].toDF("label", "text").withColumn("group", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    known = {i: i % 2 for i in range(8)} | {3: 0}
+    expected = [(known[i], text) for i, text, *_ in [*kinds, *kinds[:9]] if i in known]
+    assert Counter((r.label, r.text) for r in found) == Counter(expected)
+    keyed = data.where("doc_id < 8").withColumn("key", quality.text_key())
+    places = keyed.select(F.pmod(F.hash("doc_id", "key"), F.lit(-(-len(expected) // 10))).alias("group"), "doc_id", "text").collect()
+    assert Counter((r.group, r.text) for r in found) == Counter((r.group, r.text) for r in places)
+
+
 def test_language_on_held_out_rows(spark):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(documents, learn=language.training_rows())
